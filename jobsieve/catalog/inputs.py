@@ -97,22 +97,27 @@ def payloads(spark, sf_dir) -> DataFrame:
     return p.select("arrival", value.cast("binary").alias("value"))
 
 
-def bio_rows(spark, sf_dir) -> DataFrame:
-    """Every blank-separated token of every document with a computed label.
+def bio_arrays(spark, sf_dir) -> DataFrame:
+    """Every blank-separated token of every document with a computed label, as one array.
 
     Some tokens are ``##`` pieces and some are special tokens.
     """
-    rows = table(spark, sf_dir, "documents").select(
-        F.col("doc_id").alias("doc"), F.posexplode(F.split("text", " ")).alias("pos", "t")
-    )
-    h = (F.col("doc") * 31 + F.col("pos") * 17) % 5
-    token = (
-        F.when(F.col("pos") % 11 == 5, "[SEP]")
-        .when(F.col("pos") % 4 == 3, F.concat(F.lit("##"), "t"))
-        .otherwise(F.col("t"))
+
+    def tag(t, pos):
+        h = (F.col("doc_id") * 31 + pos * 17) % 5
+        token = F.when(pos % 11 == 5, "[SEP]").when(pos % 4 == 3, F.concat(F.lit("##"), t)).otherwise(t)
+        label = F.when(h == 0, "B-SKILL").when(h.isin(1, 2), "I-SKILL").otherwise("O")
+        return F.struct(token.alias("token"), label.alias("label"))
+
+    return table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("doc"), F.transform(F.split("text", " "), tag).alias("tagged")
     )
-    label = F.when(h == 0, "B-SKILL").when(h.isin(1, 2), "I-SKILL").otherwise("O")
-    return rows.select("doc", "pos", token.alias("token"), label.alias("label"))
+
+
+def bio_rows(spark, sf_dir) -> DataFrame:
+    """The same as rows (doc, pos, token, label)."""
+    rows = bio_arrays(spark, sf_dir).select("doc", F.posexplode("tagged").alias("pos", "t"))
+    return rows.select("doc", "pos", "t.token", "t.label")
 
 
 def labelled_docs(spark, sf_dir) -> DataFrame:

@@ -391,8 +391,8 @@ string_agg(label, ' ' ORDER BY pos) AS labels FROM labelled GROUP BY doc""",
     "a9_skills_by_title": _by("Title"),
     "a10_skills_by_industry": _by("Industry_type"),
     "a11_category_counts": f"""{FULL} SELECT kind, grp AS "group", term, count(*) AS posts FROM leaves GROUP BY kind, grp, term""",
-    "a12_posts_over_time": f"""WITH {POSTS} SELECT CAST(date_trunc('month', TRY_CAST(
-  CASE WHEN Pubblication_date LIKE '____-__-__' THEN Pubblication_date END AS DATE)) AS VARCHAR) AS period, count(*) AS posts
+    "a12_posts_over_time": f"""WITH {POSTS} SELECT CAST(CAST(date_trunc('month', TRY_CAST(
+  CASE WHEN Pubblication_date LIKE '____-__-__' THEN Pubblication_date END AS DATE)) AS DATE) AS VARCHAR) AS period, count(*) AS posts
 FROM posts GROUP BY 1""",
     "a13_facet": f"""{FULL} SELECT skill, count(*) AS posts FROM skills JOIN normal USING (arrival)
 WHERE Seniority_level = 'entry level' AND arrival IN

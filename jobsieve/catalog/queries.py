@@ -106,7 +106,7 @@ def s4_posts_json(spark, sf):
     single = F.transform("p", lambda x: F.to_json(x))
     docs = pairs.select(F.explode(F.when(F.col("d") % 2 == 0, F.array(F.to_json("p"))).otherwise(single)).alias("value"))
     path = scratch_dir(spark, "arrays")
-    docs.write.option("maxRecordsPerFile", 1).text(path)
+    docs.repartition(32).write.option("maxRecordsPerFile", 1).text(path)
     return readers.read_posts_json(spark, path)
 
 
@@ -118,7 +118,7 @@ def s5_labelled_files(spark, sf):
     body = F.to_json(F.struct("doc", F.when(d % 40 != 3, F.col("tokens")).otherwise(F.array()).alias("tokens")))
     body = F.when(d % 25 == 1, F.substr(body, F.lit(1), F.length(body) - 2)).otherwise(body)
     path = scratch_dir(spark, "labelled")
-    docs.select("doc", body.alias("value")).write.partitionBy("doc").option("maxRecordsPerFile", 1).format(
+    docs.select("doc", body.alias("value")).repartition(32).write.partitionBy("doc").option("maxRecordsPerFile", 1).format(
         "text"
     ).save(path)
     # Spark writes .txt parts, so the scan is told to take them.
@@ -374,10 +374,11 @@ def p7_non_empty_tokens(spark, sf):
 
 @query
 def p8_skip_special_tokens(spark, sf):
-    tagged = F.array_sort(F.collect_list(F.struct("pos", "token", "label")))
-    rows = inputs.bio_rows(spark, sf).groupBy("doc").agg(tagged.alias("t"))
-    return rows.select("doc", F.transform(decode_tagged("t"), lambda s: span_text(s)).alias("spans")).select(
-        "doc", F.size("spans").alias("n_spans"), joined("spans").alias("spans")
+    spans = F.transform(decode_tagged("tagged"), lambda s: span_text(s))
+    return (
+        inputs.bio_arrays(spark, sf)
+        .select("doc", spans.alias("spans"))
+        .select("doc", F.size("spans").alias("n_spans"), joined("spans").alias("spans"))
     )
 
 
