@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import col
 from ..schemas import POST_FIELDS
+from ..sources.readers import spread
 
 # Values the derived posts cycle through.
 TITLES = [
@@ -36,7 +37,9 @@ MENTIONS = [
 
 
 def table(spark: SparkSession, sf_dir, name) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One of the given tables; those with long texts are spread over all cores."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df) if name in ("documents", "pages") else df
 
 
 def pick(values, index):

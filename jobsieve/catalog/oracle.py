@@ -48,7 +48,7 @@ lexicon(term) AS ({values([(t,) for t in Dictionaries().lexicon()])})"""
 
 TOKENS = r"""word_lists AS (
   SELECT arrival, list_filter(list_transform(
-      string_split_regex(lower(Description), '[\s\x0b\x{85}\x{a0},;:()!?"]+'),
+      string_split_regex(lower(Description), '[\s\x0b\x{85}\x{a0},;:()!?"\x{2000}-\x{206f}\x{3000}]+'),
       lambda t: rtrim(t, '.')), lambda t: t <> '') AS l
   FROM posts WHERE Description IS NOT NULL),
 words AS (SELECT arrival, unnest(l) AS token, generate_subscripts(l, 1) - 1 AS pos FROM word_lists)"""

@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .arrays import literal_map
-from .text import col, strip
+from .text import col, let, strip
 
 # Selectors of the job pages, as patterns.
 CARD = r'(?s)<li[^>]*>\s*(<div[^>]*class="[^"]*\bbase-card\b.*?)</li>'
@@ -23,7 +23,7 @@ DESCRIPTION_OPEN = r'<div\b[^>]*class="[^"]*\bshow-more-less-html__markup\b[^"]*
 _LIST = r"(?s)<ul\b[^>]*>(.*?)</ul>"
 _ITEM = r"(?s)<li\b[^>]*>(.*?)</li>"
 _SPAN = r"(?s)<span\b[^>]*>(.*?)</span>"
-_NOT_TEXT = r"(?is)<!--.*?-->|<script\b.*?</script>|<style\b.*?</style>|<[^>]+>"
+_NOT_TEXT = r"(?is)<(?:!--.*?-->|script\b.*?</script>|style\b.*?</style>|[^>]+>)"
 
 # Named character references of HTML 5, the frequent ones first.
 _COMMON = ["amp", "lt", "gt", "quot", "apos", "nbsp"]
@@ -41,7 +41,6 @@ def _character(code) -> Column:
 
 def unescape(c) -> Column:
     """Decode the numeric and named character references that end in a semicolon."""
-    c = col(c)
     named = literal_map(ENTITIES)
 
     def decoded(piece, i):
@@ -56,9 +55,12 @@ def unescape(c) -> Column:
         return F.when(i == 0, piece).otherwise(F.coalesce(F.concat(char, rest), as_is))
 
     # Most texts hold no reference and skip the work.
-    return F.when(
-        F.contains(c, F.lit("&")), F.array_join(F.transform(F.split(c, "&"), decoded), "")
-    ).otherwise(c)
+    return let(
+        col(c),
+        lambda t: F.when(
+            F.contains(t, F.lit("&")), F.array_join(F.transform(F.split(t, "&"), decoded), "")
+        ).otherwise(t),
+    )
 
 
 def text_of(fragment) -> Column:
@@ -66,40 +68,43 @@ def text_of(fragment) -> Column:
     return strip(unescape(F.regexp_replace(col(fragment), _NOT_TEXT, "")))
 
 
-def _absent_or_text(found, fragment) -> Column:
-    text = text_of(fragment)
-    return F.when(~found, F.lit("")).when(text != "", text)
+def _null_if_empty(text) -> Column:
+    return F.try_element_at(F.filter(F.array(text), lambda t: t != ""), F.lit(1))
 
 
 def html_text(c, pattern) -> Column:
     """Text of the first match of a one-group pattern."""
-    c = col(c)
-    return _absent_or_text(F.coalesce(c.rlike(pattern), F.lit(False)), F.regexp_extract(c, pattern, 1))
+    # The page is scanned once; the field is then read out of the short match.
+    return let(
+        F.coalesce(F.regexp_extract(col(c), pattern, 0), F.lit("")),
+        lambda match: F.when(match == "", "").otherwise(
+            _null_if_empty(text_of(F.regexp_extract(match, pattern, 1)))
+        ),
+    )
 
 
 def html_attr(c, tag, attr) -> Column:
     """An attribute of the first ``tag``; NULL when the tag lacks it or it is empty."""
-    c = col(c)
-    element = F.regexp_extract(c, rf"<{tag}\b[^>]*>", 0)
-    value = unescape(F.regexp_extract(element, rf'\b{attr}="([^"]*)"', 1))
-    return F.when(F.coalesce(element == "", F.lit(True)), F.lit("")).when(value != "", value)
+    return let(
+        F.coalesce(F.regexp_extract(col(c), rf"<{tag}\b[^>]*>", 0), F.lit("")),
+        lambda element: F.when(element == "", "").otherwise(
+            _null_if_empty(unescape(F.regexp_extract(element, rf'\b{attr}="([^"]*)"', 1)))
+        ),
+    )
 
 
 def html_block(c, open_pattern, tag="div") -> Column:
     """Inner HTML of a container that may hold nested elements of its own kind; NULL if absent.
 
     The text after the opening tag is split at the closing tags; the container ends at the
-    first closing tag by which as many were opened as closed.
+    first closing tag by which as many were opened as closed, or else at the end of the page.
     """
     c = col(c)
-    opening = F.regexp_extract(c, open_pattern, 0)
-    rest = F.substr(c, F.position(opening, c) + F.length(opening))
-    pieces = F.split(rest, rf"(?i)</{tag}\s*>")
-    opened = F.transform(pieces, lambda p: F.size(F.split(p, rf"(?i)<{tag}\b")) - 1)
+    opened = rf"(?i)<{tag}\b"
     start = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("closed_at"), F.lit(0).alias("i"))
 
-    def step(state, n):
-        depth = state["depth"] + n - 1
+    def step(state, piece):
+        depth = state["depth"] + F.size(F.split(piece, opened)) - 2
         i = state["i"] + 1
         ends_here = (state["closed_at"] == 0) & (depth == 0)
         return F.struct(
@@ -108,12 +113,17 @@ def html_block(c, open_pattern, tag="div") -> Column:
             i.alias("i"),
         )
 
-    closed_at = F.aggregate(opened, start, step, lambda s: s["closed_at"])
-    # An unclosed container runs to the end of the page.
-    inner = F.when(
-        closed_at > 0, F.array_join(F.slice(pieces, F.lit(1), closed_at), f"</{tag}>")
-    ).otherwise(rest)
-    return F.when(opening != "", inner)
+    def inner(pieces):
+        closed_at = F.aggregate(
+            pieces, start, step, lambda s: F.when(s["closed_at"] > 0, s["closed_at"]).otherwise(s["i"])
+        )
+        return F.array_join(F.slice(pieces, F.lit(1), closed_at), f"</{tag}>")
+
+    def after(opening):
+        rest = F.substr(c, F.position(opening, c) + F.length(opening))
+        return F.when(opening != "", let(F.split(rest, rf"(?i)</{tag}\s*>"), inner))
+
+    return let(F.regexp_extract(c, open_pattern, 0), after)
 
 
 def html_block_text(c, open_pattern=DESCRIPTION_OPEN, tag="div") -> Column:
@@ -129,7 +139,5 @@ def html_nth_item(c, k) -> Column:
         lambda ul: F.try_element_at(F.regexp_extract_all(ul, F.lit(_ITEM), F.lit(1)), F.lit(k)),
     )
     spans = F.filter(items, lambda item: item.rlike(_SPAN))
-    first = F.try_element_at(spans, F.lit(1))
-    return _absent_or_text(
-        F.coalesce(F.size(spans) > 0, F.lit(False)), F.regexp_extract(first, _SPAN, 1)
-    )
+    first = F.coalesce(F.try_element_at(spans, F.lit(1)), F.lit(""))
+    return html_text(first, _SPAN)

@@ -9,16 +9,18 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..schemas import SPECIAL_TOKENS
-from .text import col, strip
-
-# Characters that separate tokens: white space and this punctuation. A run of dots is also
-# dropped where a token ends, so ``c++``, ``c#``, ``.net`` and ``node.js`` stay whole.
-PUNCTUATION = ',;:()!?"'
-_UNICODE_SPACES = r"\x0b\x85\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-_SEPARATOR = rf"[\s{_UNICODE_SPACES}{PUNCTUATION}]"
+from .text import col, let, strip
+
+# Characters that separate tokens: white space, this punctuation, and the Unicode block of dashes,
+# quotes and bullets. A run of dots is also dropped where a token ends, so ``c++``, ``c#``,
+# ``.net`` and ``node.js`` stay whole. Latin-1 members are listed one by one because Java then
+# looks them up in a bitmap.
+SEPARATORS = " \t\n\r\f\x0b\x85\xa0" + ',;:()!?"' + " -⁯　"
+_SEPARATOR = f"[{SEPARATORS}]"
 _BREAK = rf"(?:\.*{_SEPARATOR})+"
-_TOKEN_START = rf"(?:^|(?<={_SEPARATOR}))"
 _TOKEN_END = rf"(?=\.*(?:{_SEPARATOR}|\z))"
+# Alternatives tried one after the other before a look-ahead on the next character narrows them.
+_FAN_OUT = 6
 # Marks around a lexicon hit inside a text; blanked in the input first.
 _OPEN, _CLOSE = "\u0001", "\u0002"
 
@@ -26,11 +28,6 @@ _OPEN, _CLOSE = "\u0001", "\u0002"
 MAX_PATTERN_TERMS = 5_000
 
 
-def let(value, body) -> Column:
-    """``body(value)`` with ``value`` evaluated once, for use inside lambdas."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def tokens(text) -> Column:
     """Lower-cased tokens of a text, in order."""
     return F.array_remove(F.split(F.lower(col(text)), rf"{_BREAK}|\.+\z"), "")
@@ -47,23 +44,42 @@ def matchable_terms(terms):
     return sorted({t for t in terms if t and normalise_term(t) == t})
 
 
+def _escaped(ch):
+    return ch if ch.isalnum() else "\\" + ch
+
+
+def _any_of(parts):
+    """Alternation of (first character, pattern) pairs, nested so that few are tried in vain."""
+    if len(parts) <= _FAN_OUT:
+        return "|".join(pattern for _, pattern in parts)
+    size = -(-len(parts) // _FAN_OUT)
+    groups = [parts[i : i + size] for i in range(0, len(parts), size)]
+    return "|".join(
+        f"(?=[{''.join(_escaped(ch) for ch, _ in g)}])(?:{_any_of(g)})" if len(g) > 1 else g[0][1]
+        for g in groups
+    )
+
+
 def _branches(suffixes):
     """Pattern for a set of term suffixes; the longest is tried first."""
     heads = {}
     for s in suffixes:
         if s:
             heads.setdefault(s[0], set()).add(s[1:])
-    parts = []
-    for ch in sorted(heads):
-        here = _BREAK if ch == " " else ch if ch.isalnum() else "\\" + ch
-        parts.append(here + _branches(heads[ch]))
+    letters = [(ch, _escaped(ch) + _branches(heads[ch])) for ch in sorted(heads) if ch != " "]
+    options = [_any_of(letters)] if letters else []
+    if " " in heads:
+        options.append(_BREAK + _branches(heads[" "]))
     if "" in suffixes:
-        parts.append(_TOKEN_END)
-    return parts[0] if len(parts) == 1 else "(?:" + "|".join(parts) + ")"
+        options.append(_TOKEN_END)
+    return options[0] if len(options) == 1 and len(letters) < 2 else f"(?:{'|'.join(options)})"
 
 
 def lexicon_pattern(terms):
-    """One regular expression that finds whole-token mentions, leftmost and longest first."""
+    """One regular expression for whole-token mentions: the separator before, then the mention.
+
+    The mention is leftmost and, from there, longest. Texts need one separator in front.
+    """
     terms = matchable_terms(terms)
     if not terms:
         raise ValueError("the lexicon has no matchable term")
@@ -71,12 +87,13 @@ def lexicon_pattern(terms):
         raise ValueError(
             f"{len(terms)} terms exceed {MAX_PATTERN_TERMS}; use operators.extract.lexicon_hits"
         )
-    return _TOKEN_START + _branches(set(terms))
+    return f"({_SEPARATOR})({_branches(set(terms))})"
 
 
 def mentions(text, pattern) -> Column:
     """Lexicon mentions of a text in order: non-overlapping, leftmost, longest."""
-    found = F.regexp_extract_all(F.lower(col(text)), F.lit(pattern), F.lit(0))
+    padded = F.concat(F.lit(" "), F.lower(col(text)))
+    found = F.regexp_extract_all(padded, F.lit(pattern), F.lit(2))
     return F.transform(found, lambda m: F.regexp_replace(m, _BREAK, " "))
 
 
@@ -93,7 +110,7 @@ def tagged_tokens(text, pattern) -> Column:
     mentions and the even ones the text between them.
     """
     clean = F.translate(F.lower(col(text)), _OPEN + _CLOSE, "  ")
-    marked = F.regexp_replace(clean, pattern, f"{_OPEN}$0{_CLOSE}")
+    marked = F.regexp_replace(F.concat(F.lit(" "), clean), pattern, f"$1{_OPEN}$2{_CLOSE}")
     pieces = F.split(marked, f"[{_OPEN}{_CLOSE}]")
 
     def tag(piece, i):

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import is_blank
+from ..functions.text import is_blank, let
 from ..functions.tokens import lexicon_pattern, mentions, span_text, tagged_tokens, tokens, truncate
 from ..schemas import SPECIAL_TOKENS
 
@@ -18,7 +18,9 @@ def truncate_tokens(df: DataFrame, n, pos="pos") -> DataFrame:
 
 def tokenize(df: DataFrame, doc, text) -> DataFrame:
     """Rows (doc, pos, token)."""
-    return df.select(F.col(doc), F.posexplode(tokens(text)).alias("pos", "token"))
+    # The outer form keeps the optimizer from filtering on the array, which would build it twice.
+    rows = df.select(F.col(doc), F.posexplode_outer(tokens(text)).alias("pos", "token"))
+    return rows.filter("token IS NOT NULL")
 
 
 def label_tokens(df: DataFrame, doc, text, lexicon) -> DataFrame:
@@ -27,65 +29,49 @@ def label_tokens(df: DataFrame, doc, text, lexicon) -> DataFrame:
     Mentions do not overlap: the leftmost wins, then the longest. No shuffle.
     """
     tagged = tagged_tokens(text, lexicon_pattern(lexicon))
-    rows = df.select(F.col(doc), F.posexplode(tagged).alias("pos", "_t"))
-    return rows.select(doc, "pos", "_t.token", "_t.label")
+    rows = df.select(F.col(doc), F.posexplode_outer(tagged).alias("pos", "_t"))
+    return rows.filter("_t IS NOT NULL").select(doc, "pos", "_t.token", "_t.label")
 
 
 def lexicon_hits(df: DataFrame, doc, text, lexicon: DataFrame, max_words=4) -> DataFrame:
     """Rows (doc, pos, n, term): every mention not strictly inside a longer one.
 
-    For a lexicon of any size, one ``term`` column. Mentions may overlap here. N-grams are
-    formed inside the row, so only hits, never tokens, are shuffled by the containment filter;
-    that filter is an equi anti join on the exact place, so a long document spreads out.
+    For a lexicon of any size, one ``term`` column; mentions may overlap here. Tokens meet the
+    first words of the terms, and only those that match form n-grams, inside the row, to meet the
+    whole terms. Containment is an equi anti join on the exact place, so nothing is gathered
+    per document.
     """
-
-    def grams(words):
-        return F.flatten(
-            F.transform(
-                words,
-                lambda _, i: F.filter(
-                    F.array(
-                        *[
-                            F.struct(
-                                i.alias("pos"),
-                                F.lit(n).alias("n"),
-                                F.when(
-                                    i + n <= F.size(words),
-                                    F.array_join(F.slice(words, i + 1, F.lit(n)), " "),
-                                ).alias("term"),
-                            )
-                            for n in range(1, max_words + 1)
-                        ]
-                    ),
-                    lambda g: g["term"].isNotNull(),
-                ),
-            )
+    terms = lexicon.select("term").distinct()
+    firsts = terms.select(F.substring_index("term", " ", 1).alias("first")).distinct()
+
+    def windows(words):
+        shifted = [F.slice(words, F.lit(k + 1), F.size(words)).alias(f"t{k + 1}") for k in range(max_words)]
+        return F.arrays_zip(*shifted)
+
+    places = df.select(F.col(doc), F.posexplode_outer(let(tokens(text), windows)).alias("pos", "_w"))
+    starts = places.filter("_w IS NOT NULL").join(firsts, F.col("_w.t1") == F.col("first"), "left_semi")
+    grams = [
+        F.struct(
+            F.lit(n).alias("n"),
+            F.when(
+                F.col(f"_w.t{n}").isNotNull(),
+                F.concat_ws(" ", *[F.col(f"_w.t{k}") for k in range(1, n + 1)]),
+            ).alias("term"),
         )
-
-    words = df.select(F.col(doc), F.array(tokens(text)).alias("_words"))
-    found = (
-        words.select(F.col(doc), F.explode(F.element_at(F.transform("_words", grams), 1)).alias("_g"))
-        .select(doc, "_g.pos", "_g.n", "_g.term")
-        .join(lexicon.select("term").distinct(), "term")
-    )
+        for n in range(1, max_words + 1)
+    ]
+    found = starts.select(doc, "pos", F.inline(F.array(*grams))).join(terms, "term")
     # Every place strictly inside a hit of two or more words.
     inner = [
-        F.struct((F.col("pos") + a).cast("int").alias("pos"), F.lit(m).alias("n"), F.lit(m + a).alias("reach"))
+        F.struct((F.col("pos") + a).alias("pos"), F.lit(m).alias("n"), F.lit(m + a).alias("reach"))
         for m in range(1, max_words)
         for a in range(0, max_words - m + 1)
     ]
     covered = (
         found.filter("n > 1")
-        .select(
-            doc,
-            F.explode(
-                F.filter(
-                    F.array(*inner),
-                    lambda p: (p["reach"] <= F.col("n")) & (p["n"] < F.col("n")),
-                )
-            ).alias("_p"),
-        )
-        .select(doc, "_p.pos", "_p.n")
+        .select(doc, F.col("n").alias("_n"), F.inline(F.array(*inner)))
+        .filter("reach <= _n AND n < _n")
+        .select(doc, "pos", "n")
     )
     return found.join(covered, [doc, "pos", "n"], "left_anti").select(doc, "pos", "n", "term")
 

@@ -9,13 +9,19 @@ from ..functions.text import parsed_date
 from ..schemas import CATEGORY_LEAVES, SERVICE_LEAVES
 
 
-def _skills(df):
-    return F.explode("Skills.raw_skills").alias("skill")
+def _with_skill(df, *columns):
+    """One row per post and skill.
+
+    The outer form keeps the optimizer from adding a filter on the array, which would compute
+    the skills a second time.
+    """
+    rows = df.select(*columns, F.explode_outer("Skills.raw_skills").alias("skill"))
+    return rows.filter("skill IS NOT NULL")
 
 
 def top_skills(df: DataFrame, k=10) -> DataFrame:
     """The k skills named by most posts; ties by name."""
-    counts = df.select(_skills(df)).groupBy("skill").agg(F.count("*").alias("posts"))
+    counts = _with_skill(df).groupBy("skill").agg(F.count("*").alias("posts"))
     return counts.orderBy(F.desc("posts"), "skill").limit(k)
 
 
@@ -24,7 +30,7 @@ def skills_by(df: DataFrame, column, k=10) -> DataFrame:
 
     Ranking runs on the counts, at most one row per distinct skill and value.
     """
-    counts = df.select(column, _skills(df)).groupBy(column, "skill").agg(F.count("*").alias("posts"))
+    counts = _with_skill(df, column).groupBy(column, "skill").agg(F.count("*").alias("posts"))
     ranked = Window.partitionBy(column).orderBy(F.desc("posts"), "skill")
     return counts.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= k)
 
@@ -41,7 +47,8 @@ def category_counts(df: DataFrame) -> DataFrame:
         )
 
     terms = F.flatten(F.array(*[rows(*leaf) for leaf in leaves]))
-    return df.select(F.inline(terms)).groupBy("kind", "group", "term").agg(F.count("*").alias("posts"))
+    found = df.select(F.inline_outer(terms)).filter("term IS NOT NULL")
+    return found.groupBy("kind", "group", "term").agg(F.count("*").alias("posts"))
 
 
 def posts_over_time(df: DataFrame, unit="month", column="Pubblication_date") -> DataFrame:

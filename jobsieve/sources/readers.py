@@ -9,6 +9,15 @@ from ..schemas import LABELLED_TOKENS, POST
 _CORRUPT = "_corrupt_record"
 
 
+def spread(df: DataFrame, partitions=None) -> DataFrame:
+    """Give a scan of few splits enough partitions for costly text work.
+
+    A scan that already has as many splits as the session has cores is left alone.
+    """
+    wanted = partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= wanted else df.repartition(wanted)
+
+
 def read_posts_stream(spark: SparkSession, source, options=None, fmt="kafka", schema=None) -> DataFrame:
     """Unbounded payload rows with a ``value`` column.
 
