@@ -119,8 +119,8 @@ def bio_arrays(spark, sf_dir) -> DataFrame:
 
 def bio_rows(spark, sf_dir) -> DataFrame:
     """The same as rows (doc, pos, token, label)."""
-    rows = bio_arrays(spark, sf_dir).select("doc", F.posexplode("tagged").alias("pos", "t"))
-    return rows.select("doc", "pos", "t.token", "t.label")
+    rows = bio_arrays(spark, sf_dir).select("doc", F.posexplode_outer("tagged").alias("pos", "t"))
+    return rows.filter("t IS NOT NULL").select("doc", "pos", "t.token", "t.label")
 
 
 def labelled_docs(spark, sf_dir) -> DataFrame:

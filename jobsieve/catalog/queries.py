@@ -54,7 +54,8 @@ def found_skills(spark, sf):
 
 
 def exploded_skills(spark, sf):
-    return found_skills(spark, sf).select("arrival", F.explode("skills").alias("skill"))
+    rows = found_skills(spark, sf).select("arrival", F.explode_outer("skills").alias("skill"))
+    return rows.filter("skill IS NOT NULL")
 
 
 # --- sources and sinks ---------------------------------------------------------------------
@@ -563,12 +564,12 @@ def a3_categorize_relational(spark, sf):
 @query
 def a4_sorted_arrays(spark, sf):
     d = inputs.table(spark, sf, "documents")
-    return d.select("doc_id", F.array_join(F.array_sort(F.array_distinct(F.split("text", " "))), " ").alias("words"))
+    return d.select("doc_id", F.array_join(F.sort_array(F.array_distinct(F.split("text", " "))), " ").alias("words"))
 
 
 @query
 def a5_order_tokens(spark, sf):
-    seqs = training.to_sequences(inputs.labelled_docs(spark, sf))
+    seqs = _sequences(spark, sf)
     return seqs.select("doc", F.array_join("tokens", " ").alias("tokens"), F.array_join("labels", " ").alias("labels"))
 
 
@@ -646,7 +647,7 @@ def f_array_functions(spark, sf):
     return e.select(
         "vec_id",
         arrays.argmax("embedding").alias("argmax"),
-        joined(F.array_sort(F.array_distinct(ints)).cast("array<string>")).alias("levels"),
+        joined(F.sort_array(F.array_distinct(ints)).cast("array<string>")).alias("levels"),
         joined(arrays.pad_to(F.slice(ints, 1, 3), F.lit(6), -100).cast("array<string>")).alias("padded"),
         F.array_contains(ints, 0).alias("has_zero"),
     )
@@ -667,7 +668,7 @@ def _run_enrichment(spark, sf, runs):
     path = staged(_unique_payloads(spark, sf), "payloads")
     table, progress = scratch_dir(spark, "enriched"), scratch_dir(spark, "progress")
     for run in runs:
-        stream = readers.read_posts_stream(spark, path, {"maxFilesPerTrigger": "1"}, fmt="parquet")
+        stream = readers.read_posts_stream(spark, path, {"maxFilesPerTrigger": "4"}, fmt="parquet")
         jobs.run_stream(stream, table, progress, DICTS, run=run, available_now=True).awaitTermination()
     schema = enrich_posts(spark.createDataFrame([], POST), DICTS).schema
     return flat_enriched(sinks.merge_by_key(sinks.read_versions(spark, table, schema)))
@@ -716,7 +717,9 @@ def r4_replay(spark, sf):
 
 
 def _sequences(spark, sf):
-    return training.to_sequences(inputs.labelled_docs(spark, sf))
+    """Sequences of the labelled documents, read from stored files."""
+    path = staged(inputs.labelled_docs(spark, sf), "labelled")
+    return training.to_sequences(spark.read.parquet(path))
 
 
 def _vocabulary(spark, sf):

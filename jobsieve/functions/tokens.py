@@ -15,7 +15,7 @@ from .text import col, let, strip
 # quotes and bullets. A run of dots is also dropped where a token ends, so ``c++``, ``c#``,
 # ``.net`` and ``node.js`` stay whole. Latin-1 members are listed one by one because Java then
 # looks them up in a bitmap.
-SEPARATORS = " \t\n\r\f\x0b\x85\xa0" + ',;:()!?"' + " -⁯　"
+SEPARATORS = " \t\n\r\f\x0b\x85\xa0" + ',;:()!?"' + "\u2000-\u206f\u3000"
 _SEPARATOR = f"[{SEPARATORS}]"
 _BREAK = rf"(?:\.*{_SEPARATOR})+"
 _TOKEN_END = rf"(?=\.*(?:{_SEPARATOR}|\z))"

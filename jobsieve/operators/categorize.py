@@ -15,7 +15,7 @@ def match_taxonomy(skills: DataFrame, taxonomy: DataFrame, skill_col="skill") ->
 
 def distinct_skills(df: DataFrame, key, skill_col="skill") -> DataFrame:
     """The sorted set of skills per key; sets combine map-side before the shuffle."""
-    return df.groupBy(key).agg(F.array_sort(F.collect_set(skill_col)).alias("skills"))
+    return df.groupBy(key).agg(F.sort_array(F.collect_set(skill_col)).alias("skills"))
 
 
 def categorize_skills(df: DataFrame, skills_col, topics: dict, services: dict, out="Skills") -> DataFrame:
@@ -28,8 +28,8 @@ def categorize_skills(df: DataFrame, skills_col, topics: dict, services: dict, o
     skills = F.coalesce(col(skills_col), empty)
     df = df.withColumns(
         {
-            "_raw": F.array_sort(F.array_distinct(skills)),
-            "_lower": F.array_sort(F.array_distinct(F.transform(skills, F.lower))),
+            "_raw": F.sort_array(F.array_distinct(skills)),
+            "_lower": F.sort_array(F.array_distinct(F.transform(skills, F.lower))),
         }
     )
 
@@ -43,7 +43,7 @@ def categorize_skills(df: DataFrame, skills_col, topics: dict, services: dict, o
     ]
     implied = F.filter(F.array(*providers), lambda p: p.isNotNull()) if providers else empty
     categories = {leaf: matches(topics.get(leaf)) for leaf in CATEGORY_LEAVES}
-    categories["cloud_providers"] = F.array_sort(F.array_union(categories["cloud_providers"], implied))
+    categories["cloud_providers"] = F.sort_array(F.array_union(categories["cloud_providers"], implied))
     struct = F.struct(
         F.col("_raw").alias("raw_skills"),
         F.struct(*[c.alias(leaf) for leaf, c in categories.items()]).alias("categories"),
@@ -69,5 +69,5 @@ def categorize_relational(matched: DataFrame, key, services_matched: DataFrame)
         topics.unionByName(by_service)
         .unionByName(implied)
         .groupBy(key, "group")
-        .agg(F.array_sort(F.collect_set("term")).alias("skills"))
+        .agg(F.sort_array(F.collect_set("term")).alias("skills"))
     )

@@ -126,7 +126,7 @@ def decode_bio(
             .agg(
                 F.min("pos").alias("start"),
                 F.max("pos").alias("end"),
-                F.array_sort(F.collect_list(F.struct("pos", "token"))).alias("parts"),
+                F.sort_array(F.collect_list(F.struct("pos", "token"))).alias("parts"),
             )
             .select(F.col("doc").alias(doc), "start", "end", F.col("parts.token").alias("tokens"))
         )
@@ -155,13 +155,13 @@ def extract_skills(df: DataFrame, key, text, lexicon=None, labeler=None, out="sk
         source = F.col(text)
         if max_tokens is not None:
             source = F.array_join(truncate(tokens(text), max_tokens), " ")
-        found = F.array_sort(F.array_distinct(mentions(source, lexicon_pattern(lexicon))))
+        found = F.sort_array(F.array_distinct(mentions(source, lexicon_pattern(lexicon))))
         return df.withColumn(out, F.when(is_blank(text), empty).otherwise(found))
     texts = df.filter(~is_blank(text)).select(key, text)
     labelled = truncate_tokens(labeler(texts), max_tokens)
     sets = (
         span_texts(decode_bio(labelled, key))
         .groupBy(key)
-        .agg(F.array_sort(F.collect_set("span")).alias(out))
+        .agg(F.sort_array(F.collect_set("span")).alias(out))
     )
     return df.join(sets, key, "left").withColumn(out, F.coalesce(out, empty))

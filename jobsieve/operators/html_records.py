@@ -11,7 +11,9 @@ from ..schemas import POST_FIELDS
 def explode_cards(df: DataFrame, html_col="html", card_pattern=html.CARD) -> DataFrame:
     """One row per repeated card of a page, with its place on the page; pages without cards drop."""
     cards = F.regexp_extract_all(F.col(html_col), F.lit(card_pattern), F.lit(1))
-    return df.select("*", F.posexplode(cards).alias("card_no", "card")).drop(html_col)
+    # The outer form keeps the optimizer from filtering on the array, which would build it twice.
+    rows = df.select("*", F.posexplode_outer(cards).alias("card_no", "card")).drop(html_col)
+    return rows.filter("card IS NOT NULL")
 
 
 def card_fields(cards: DataFrame, card_col="card") -> DataFrame:

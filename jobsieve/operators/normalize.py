@@ -34,7 +34,7 @@ def normalized_array(values, aliases: dict):
         return F.coalesce(F.try_element_at(mapping, bare), bare)
 
     mapped = F.filter(F.transform(col(values), canonical), lambda s: s != "")
-    return F.coalesce(F.array_sort(F.array_distinct(mapped)), F.array().cast("array<string>"))
+    return F.coalesce(F.sort_array(F.array_distinct(mapped)), F.array().cast("array<string>"))
 
 
 def normalize_array_by_map(df: DataFrame, column, aliases, key=None) -> DataFrame:
@@ -46,14 +46,16 @@ def normalize_array_by_map(df: DataFrame, column, aliases, key=None) -> DataFram
     """
     if isinstance(aliases, dict):
         return df.withColumn(column, normalized_array(column, aliases))
-    elements = df.select(key, F.explode(column).alias("_skill")).withColumn(
-        "_skill", remove_prefix("_skill", "##")
+    elements = (
+        df.select(key, F.explode_outer(column).alias("_skill"))
+        .filter("_skill IS NOT NULL")
+        .withColumn("_skill", remove_prefix("_skill", "##"))
     )
     sets = (
         normalize_by_map(elements, "_skill", aliases)
         .filter(F.col("_skill") != "")
         .groupBy(key)
-        .agg(F.array_sort(F.collect_set("_skill")).alias("_skills"))
+        .agg(F.sort_array(F.collect_set("_skill")).alias("_skills"))
     )
     empty = F.array().cast("array<string>")
     return (
@@ -84,7 +86,7 @@ def dictionary_audit(aliases: DataFrame, taxonomy: DataFrame) -> DataFrame:
     )
     multi = (
         taxonomy.groupBy("term")
-        .agg(F.array_sort(F.collect_set("group")).alias("groups"))
+        .agg(F.sort_array(F.collect_set("group")).alias("groups"))
         .filter(F.size("groups") > 1)
         .select(F.lit("multi_group").alias("issue"), "term", F.array_join("groups", ",").alias("detail"))
     )

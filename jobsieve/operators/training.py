@@ -13,7 +13,7 @@ def to_sequences(df: DataFrame, key="doc", tokens_col="tokens") -> DataFrame:
 
     Equal positions keep their order in the record; records without tokens are dropped.
     """
-    ordered = F.array_sort(
+    ordered = F.sort_array(
         F.transform(
             tokens_col,
             lambda t, i: F.struct(
@@ -52,11 +52,12 @@ def split_train_val(df: DataFrame, key="doc", fraction=0.2, seed=2, out="split")
         F.sum("n").over(Window.partitionBy()).alias("total"),
     ).withColumn("wanted", F.ceil(F.col("total") * F.lit(fraction)))
     cut_bucket = cumulative.filter("upto >= wanted AND upto - n < wanted")
-    place = cut_bucket.select((F.col("wanted") - F.col("upto") + F.col("n")).alias("place"))
-    in_bucket = keys.filter(F.col("bucket") == cut_bucket.select("bucket").scalar())
+    place = cut_bucket.select("bucket", (F.col("wanted") - F.col("upto") + F.col("n")).alias("place"))
+    # One row, so the broadcast is bounded.
+    in_bucket = keys.join(F.broadcast(place), "bucket")
     cut = (
         in_bucket.withColumn("r", F.row_number().over(Window.partitionBy("bucket").orderBy("h")))
-        .filter(F.col("r") == place.scalar())
+        .filter("r = place")
         .select("h")
     )
     is_val = F.coalesce(rank_key <= cut.scalar(), F.lit(False))
@@ -90,17 +91,17 @@ def encode_sequences(
     exploded = (
         df.withColumn("labels", label_ids)
         .repartition(key)
-        .select(key, *keep, "labels", F.posexplode("tokens").alias("pos", "_text"))
+        # Outer: an empty sequence keeps its row, and no filter computes the array twice.
+        .select(key, *keep, "labels", F.posexplode_outer("tokens").alias("pos", "_text"))
         # One copy of the labels is enough.
-        .withColumn("labels", F.when(F.col("pos") == 0, F.col("labels")))
+        .withColumn("labels", F.when(F.coalesce(F.col("pos") == 0, F.lit(True)), F.col("labels")))
     )
+    coded = F.struct("pos", F.coalesce("_id", F.lit(unk_id)).cast("int").alias("id"))
     gathered = (
         exploded.join(ids, F.col("_text") == F.col("_token"), "left")
         .groupBy(key, *keep)
         .agg(
-            F.array_sort(
-                F.collect_list(F.struct("pos", F.coalesce("_id", F.lit(unk_id)).cast("int").alias("id")))
-            ).alias("_ids"),
+            F.sort_array(F.collect_list(F.when(F.col("pos").isNotNull(), coded))).alias("_ids"),
             F.first("labels", ignorenulls=True).alias("_labels"),
         )
     )
@@ -142,7 +143,7 @@ def aligned_labels(df: DataFrame, key="doc", gold="labels", pred="pred_ids") ->
     """Rows (key, pos, gold, pred) of label texts; positions with the ignored id are dropped."""
     pairs = F.arrays_zip(F.col(gold).alias("g"), F.col(pred).alias("p"))
     return (
-        df.select(key, F.posexplode(pairs).alias("pos", "_x"))
+        df.select(key, F.posexplode_outer(pairs).alias("pos", "_x"))
         .filter(F.col("_x.g") != IGNORED_LABEL_ID)
         .select(key, "pos", id_label("_x.g").alias("gold"), id_label("_x.p").alias("pred"))
     )
