@@ -44,6 +44,6 @@ def reject_known(df: DataFrame, table: DataFrame, key="Job_ID", column="Descript
 
 
 def overwrite_by_key(df: DataFrame, table: DataFrame, key="Job_ID") -> DataFrame:
-    """Table after writing whole rows by key: new rows replace old ones with their key."""
-    kept = table.join(df.select(key), key, "left_anti")
+    """Table after writing whole rows by key: new rows, one per key, replace old ones."""
+    kept = table.join(df.select(key).distinct(), key, "left_anti")
     return kept.unionByName(df)
