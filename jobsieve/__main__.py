@@ -86,7 +86,7 @@ def prepare(spark, args):
     vocab = spark.read.schema("token string, id int").json(args.vocab)
     split = training.split_train_val(sequences, "file", args.fraction, args.seed)
     encoded = training.encode_sequences(split, vocab, "file", keep=["split"])
-    training.pad_sequences(encoded).write.partitionBy("split").parquet(f"{args.out}/encoded")
+    training.pad_sequences(encoded, sequences=split).write.partitionBy("split").parquet(f"{args.out}/encoded")
     bad = rejects.unionByName(unknown.selectExpr("file", "'unknown label' AS reason"))
     bad.write.json(f"{args.out}/rejects")
 

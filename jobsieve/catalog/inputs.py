@@ -145,7 +145,7 @@ def listing_pages(spark, sf_dir) -> DataFrame:
 
     def card(job, title, company, rest):
         return F.concat(
-            F.lit('<li>\n <div class="base-card relative" data-entity-urn="urn:x:jobPosting:'),
+            F.lit('<li>\n <div class="base-card relative" data-entity-urn="urn:x:job:'),
             job.cast("string"),
             F.lit('"><a class="full-link" href="/v"><span class="sr-only"> '),
             title,

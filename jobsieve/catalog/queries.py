@@ -728,8 +728,12 @@ def _vocabulary(spark, sf):
     return words.withColumn("id", (F.conv(F.substring(F.md5("token"), 1, 6), 16, 10).cast("int") + 200))
 
 
-def _encoded(spark, sf):
-    split = training.split_train_val(_sequences(spark, sf))
+def _split(spark, sf):
+    return training.split_train_val(_sequences(spark, sf))
+
+
+def _encoded(spark, sf, split=None):
+    split = split or _split(spark, sf)
     return training.encode_sequences(split, _vocabulary(spark, sf), keep=["split"])
 
 
@@ -759,7 +763,8 @@ def t3_encode_sequences(spark, sf):
 
 @query
 def t4_pad_sequences(spark, sf):
-    padded = training.pad_sequences(_encoded(spark, sf))
+    split = _split(spark, sf)
+    padded = training.pad_sequences(_encoded(spark, sf, split), sequences=split)
     n = lambda c, v: F.size(F.filter(c, lambda x: x == v))
     return padded.select(
         "doc",

@@ -131,13 +131,22 @@ def html_block_text(c, open_pattern=DESCRIPTION_OPEN, tag="div") -> Column:
     return F.coalesce(text_of(html_block(c, open_pattern, tag)), F.lit(""))
 
 
-def html_nth_item(c, k) -> Column:
-    """Text of the first span inside the k-th item of a list, over the lists in page order."""
-    lists = F.regexp_extract_all(col(c), F.lit(_LIST), F.lit(1))
+def html_lists(c) -> Column:
+    """Inner HTML of all lists of a page, in page order."""
+    return F.regexp_extract_all(col(c), F.lit(_LIST), F.lit(1))
+
+
+def nth_item_text(lists, k) -> Column:
+    """Text of the first span inside the k-th item, over lists in page order."""
     items = F.transform(
-        lists,
+        col(lists),
         lambda ul: F.try_element_at(F.regexp_extract_all(ul, F.lit(_ITEM), F.lit(1)), F.lit(k)),
     )
     spans = F.filter(items, lambda item: item.rlike(_SPAN))
     first = F.coalesce(F.try_element_at(spans, F.lit(1)), F.lit(""))
     return html_text(first, _SPAN)
+
+
+def html_nth_item(c, k) -> Column:
+    """The same straight from a page, for a single item."""
+    return nth_item_text(html_lists(c), k)

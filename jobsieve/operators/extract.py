@@ -38,8 +38,8 @@ def lexicon_hits(df: DataFrame, doc, text, lexicon: DataFrame, max_words=4) -> D
 
     For a lexicon of any size, one ``term`` column; mentions may overlap here. Tokens meet the
     first words of the terms, and only those that match form n-grams, inside the row, to meet the
-    whole terms. Containment is an equi anti join on the exact place, so nothing is gathered
-    per document.
+    whole terms. Containment is settled per exact place, so texts are read once, only hits are
+    shuffled, and nothing is gathered per document.
     """
     terms = lexicon.select("term").distinct()
     firsts = terms.select(F.substring_index("term", " ", 1).alias("first")).distinct()
@@ -61,19 +61,23 @@ def lexicon_hits(df: DataFrame, doc, text, lexicon: DataFrame, max_words=4) -> D
         for n in range(1, max_words + 1)
     ]
     found = starts.select(doc, "pos", F.inline(F.array(*grams))).join(terms, "term")
-    # Every place strictly inside a hit of two or more words.
+    # A hit speaks for its own place and against every place strictly inside it.
+    own = F.struct("pos", "n", F.col("n").alias("reach"), F.lit(True).alias("own"))
     inner = [
-        F.struct((F.col("pos") + a).alias("pos"), F.lit(m).alias("n"), F.lit(m + a).alias("reach"))
+        F.struct(
+            (F.col("pos") + a).alias("pos"), F.lit(m).alias("n"), F.lit(m + a).alias("reach"), F.lit(False).alias("own")
+        )
         for m in range(1, max_words)
         for a in range(0, max_words - m + 1)
     ]
-    covered = (
-        found.filter("n > 1")
-        .select(doc, F.col("n").alias("_n"), F.inline(F.array(*inner)))
-        .filter("reach <= _n AND n < _n")
-        .select(doc, "pos", "n")
+    places = found.select(doc, F.col("n").alias("_n"), F.col("term").alias("_term"), F.inline(F.array(own, *inner)))
+    return (
+        places.filter("own OR (reach <= _n AND n < _n)")
+        .groupBy(doc, "pos", "n")
+        .agg(F.bool_and("own").alias("free"), F.max("_term").alias("term"))
+        .filter("free")
+        .select(doc, "pos", "n", "term")
     )
-    return found.join(covered, [doc, "pos", "n"], "left_anti").select(doc, "pos", "n", "term")
 
 
 def decode_bio(
@@ -97,26 +101,24 @@ def decode_bio(
     """
     if mode not in ("strict", "conll"):
         raise ValueError(f"unknown mode {mode!r}")
-    opens = F.coalesce(F.col("label") == "B-SKILL", F.lit(False))
-    continues = F.coalesce(F.col("label") == "I-SKILL", F.lit(False))
-    rows = (
-        df.select(
-            F.col(doc).alias("doc"),
-            F.col(pos).cast("bigint").alias("pos"),
-            F.col(token).alias("token"),
-            F.col(label).alias("label"),
-        )
-        .filter(~F.col("token").isin(SPECIAL_TOKENS))
-        .withColumn("chunk", F.floor(F.col("pos") / F.lit(chunk)))
-        # Heads as one growing number: position, then whether it opens a span.
-        .withColumn("code", F.when(~continues, F.col("pos") * 2 + opens.cast("bigint")))
+    at = F.col(pos).cast("bigint")
+    opens = F.coalesce(F.col(label) == "B-SKILL", F.lit(False))
+    continues = F.coalesce(F.col(label) == "I-SKILL", F.lit(False))
+    # Only what the spans need is shuffled: the place, the text of B/I tokens, and for heads one
+    # growing number made of the position and whether it opens a span.
+    rows = df.filter(~F.col(token).isin(SPECIAL_TOKENS)).select(
+        F.col(doc).alias("doc"),
+        F.floor(at / F.lit(chunk)).alias("chunk"),
+        at.alias("pos"),
+        F.when(~continues, at * 2 + opens.cast("bigint")).alias("code"),
+        F.when(opens | continues, F.col(token)).alias("token"),
     )
     in_chunk = Window.partitionBy("doc", "chunk")
     so_far = in_chunk.orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     headed = rows.withColumn("head", F.max("code").over(so_far)).withColumn(
         "last_head", F.max("code").over(in_chunk)
     )
-    member = opens | continues
+    member = F.col("code").isNull() | (F.col("code") % 2 != 0)
     if mode == "strict":
         member = member & F.coalesce(F.col("head") % 2 != 0, F.lit(False))
 

@@ -32,16 +32,16 @@ def card_fields(cards: DataFrame, card_col="card") -> DataFrame:
 
 def detail_fields(details: DataFrame, html_col="html") -> DataFrame:
     """The description and the four listed criteria of a detail page."""
-    page = F.col(html_col)
-    return details.withColumns(
+    with_lists = details.withColumn("_lists", html.html_lists(html_col))
+    return with_lists.withColumns(
         {
-            "Description": html.html_block_text(page),
-            "Seniority_level": html.html_nth_item(page, 1),
-            "Employment_type": html.html_nth_item(page, 2),
-            "Job_Function": html.html_nth_item(page, 3),
-            "Industry_type": html.html_nth_item(page, 4),
+            "Description": html.html_block_text(html_col),
+            "Seniority_level": html.nth_item_text("_lists", 1),
+            "Employment_type": html.nth_item_text("_lists", 2),
+            "Job_Function": html.nth_item_text("_lists", 3),
+            "Industry_type": html.nth_item_text("_lists", 4),
         }
-    )
+    ).drop("_lists")
 
 
 def build_posts(cards: DataFrame, details: DataFrame) -> DataFrame:

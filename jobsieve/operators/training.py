@@ -116,14 +116,20 @@ def encode_sequences(
     )
 
 
-def pad_sequences(df: DataFrame, split_col="split", splits=("train", "val"), pad_id=0) -> DataFrame:
+def pad_sequences(
+    df: DataFrame, split_col="split", splits=("train", "val"), pad_id=0, sequences=None
+) -> DataFrame:
     """Pad the three arrays to the longest sequence of their split.
 
     One aggregate row holds the maximum of every split, so the sequences are not shuffled.
+    ``sequences`` may name the frame ``df`` was encoded from; the lengths are then taken from its
+    tokens and nothing is encoded twice.
     """
-    longest = {
-        s: df.agg(F.max(F.when(F.col(split_col) == s, F.size("input_ids")))).scalar() for s in splits
-    }
+    if sequences is None:
+        sizes, size = df, F.size("input_ids")
+    else:
+        sizes, size = sequences, F.size("tokens") + 2
+    longest = {s: sizes.agg(F.max(F.when(F.col(split_col) == s, size))).scalar() for s in splits}
     length = F.coalesce(*[F.when(F.col(split_col) == s, n) for s, n in longest.items()])
     return df.withColumns(
         {

@@ -11,6 +11,10 @@ from ..schemas import POST
 from ..sources.sinks import append_version, read_versions, to_payload, write_topic
 
 
+# Keys of one micro-batch that may be broadcast; above that the lookup is a shuffled join.
+MAX_BROADCAST_KEYS = 200_000
+
+
 def start(df: DataFrame, write_batch, checkpoint, run=0, available_now=False, query_name=None):
     """Start a query that hands every micro-batch to ``write_batch(df, batch_id, run)``.
 
@@ -113,12 +117,18 @@ def ingest_sink(table, schema, key="Job_ID", order="arrival", column="Descriptio
         # Seeded rows carry a negative batch number and belong to every run.
         earlier = stored.filter((F.col("batch") < 0) | ((F.col("run") == run) & (F.col("batch") < batch_id)))
         known = earlier.filter("has_text").select(key)
-        first = dedupe_first(drop_fields(batch), key, order, column)
-        fresh = first.join(known, key, "left_anti")
-        sinks = [
-            lambda b, i, r: append_version(b.withColumn("has_text", F.lit(True)), table, i, r, ["has_text"]),
-            *forward,
-        ]
-        fan_out(sinks)(fresh, batch_id, run)
+        first = dedupe_first(drop_fields(batch), key, order, column).persist()
+        try:
+            # With few new keys the stored ones are filtered where they are read, not shuffled.
+            if first.count() <= MAX_BROADCAST_KEYS:
+                known = known.join(F.broadcast(first.select(key)), key, "left_semi")
+            fresh = first.join(known, key, "left_anti")
+            sinks = [
+                lambda b, i, r: append_version(b.withColumn("has_text", F.lit(True)), table, i, r, ["has_text"]),
+                *forward,
+            ]
+            fan_out(sinks)(fresh, batch_id, run)
+        finally:
+            first.unpersist()
 
     return write
