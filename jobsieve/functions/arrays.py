@@ -36,8 +36,3 @@ def id_label(label_id_col) -> Column:
     """Label id to text, NULL for an unknown id."""
     names = {str(number): name for name, number in LABEL_IDS.items()}
     return F.try_element_at(literal_map(names), col(label_id_col).cast("string"))
-
-
-def member(c, values) -> Column:
-    """Membership in a fixed list; false for an empty list."""
-    return col(c).isin(list(values)) if values else F.lit(False)

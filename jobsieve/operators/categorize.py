@@ -3,7 +3,6 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.arrays import member
 from ..functions.text import col
 from ..schemas import CATEGORY_LEAVES, SERVICE_LEAVES
 
@@ -34,22 +33,29 @@ def categorize_skills(df: DataFrame, skills_col, topics: dict, services: dict, o
     )
 
     def matches(terms):
+        # As SQL text a long list of constants is one call, not one per constant.
         if not terms:
             return empty
-        return F.filter("_lower", lambda s: member(s, terms))
+        return F.expr(f"filter(_lower, s -> s IN ({', '.join(map(_quoted, terms))}))")
 
-    providers = [
-        F.when(F.size(matches(terms)) > 0, F.lit(provider)) for provider, terms in services.items()
-    ]
+    by_provider = {p: matches(services.get(p)) for p in dict.fromkeys([*SERVICE_LEAVES, *services])}
+    df = df.withColumn("_services", F.struct(*[c.alias(p) for p, c in by_provider.items()]))
+    found = lambda p: F.col("_services")[p]
+    providers = [F.when(F.size(found(p)) > 0, F.lit(p)) for p in services]
     implied = F.filter(F.array(*providers), lambda p: p.isNotNull()) if providers else empty
     categories = {leaf: matches(topics.get(leaf)) for leaf in CATEGORY_LEAVES}
     categories["cloud_providers"] = F.sort_array(F.array_union(categories["cloud_providers"], implied))
     struct = F.struct(
         F.col("_raw").alias("raw_skills"),
         F.struct(*[c.alias(leaf) for leaf, c in categories.items()]).alias("categories"),
-        F.struct(*[matches(services.get(p)).alias(p) for p in SERVICE_LEAVES]).alias("cloud_services"),
+        F.struct(*[found(p).alias(p) for p in SERVICE_LEAVES]).alias("cloud_services"),
     )
-    return df.withColumn(out, struct).drop("_raw", "_lower")
+    return df.withColumn(out, struct).drop("_raw", "_lower", "_services")
+
+
+def _quoted(term):
+    escaped = term.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
 
 
 def categorize_relational(matched: DataFrame, key, services_matched: DataFrame) -> DataFrame:

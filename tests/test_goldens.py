@@ -319,3 +319,10 @@ def test_span_score(spark):
     assert (score.precision, score.recall, score.f1) == (0.5, 0.5, 0.5)
     nothing = training.span_prf(df.withColumn("pred", F.lit("O"))).first()
     assert (nothing.precision, nothing.recall, nothing.f1) == (0.0, 0.0, 0.0)
+
+
+def test_terms_with_quotes_and_extra_providers(spark):
+    df = spark.createDataFrame([(["o'x", "a\\b", "p1"],)], "s array<string>")
+    out = categorize.categorize_skills(df, "s", {"databases": ["o'x", "a\\b"]}, {"aws": [], "other": ["p1"]}).first().Skills
+    assert out.categories.databases == ["a\\b", "o'x"]
+    assert out.categories.cloud_providers == ["other"] and out.cloud_services.aws == []
