@@ -265,7 +265,7 @@ count(*) AS n FROM posts GROUP BY 1""",
     "s4_posts_json": f"WITH {POSTS} SELECT {FIELDS} FROM posts",
     "s5_labelled_files": """SELECT doc_id AS doc, CASE WHEN doc_id % 25 = 1 THEN 'invalid JSON'
   WHEN doc_id % 40 = 3 THEN 'no tokens' ELSE 'good' END AS status,
-CASE WHEN doc_id % 25 = 1 OR doc_id % 40 = 3 THEN 0 ELSE len(string_split(text, ' ')) END AS n_tokens FROM documents""",
+CASE WHEN doc_id % 25 = 1 OR doc_id % 40 = 3 THEN 0 ELSE CAST(len(string_split(text, ' ')) AS INTEGER) END AS n_tokens FROM documents""",
     "s6_alias_map_usage": f"""{BASE} SELECT alias, canonical, count(arrival) AS posts
 FROM title_alias LEFT JOIN posts ON lower(Title) = alias GROUP BY alias, canonical""",
     "s7_taxonomy_usage": f"""{TEXTS} SELECT grp AS "group", t.term, count(arrival) AS posts
@@ -283,7 +283,7 @@ FROM posts CROSS JOIN (VALUES ('table'), ('topic')) v(sink) WHERE Description <>
 FROM posts LEFT JOIN {_SKILL_LISTS} USING (arrival)""",
     "s13_ensure_table": f"""WITH {POSTS}, firsts AS (SELECT * FROM posts WHERE Description <> ''
   QUALIFY row_number() OVER (PARTITION BY Job_ID ORDER BY arrival) = 1)
-SELECT Job_ID, Title, CAST(Pubblication_date AS DATE) AS Pubblication_date FROM firsts
+SELECT Job_ID, Title, Pubblication_date FROM firsts
 WHERE Pubblication_date IS NULL OR TRY_CAST(CASE WHEN Pubblication_date LIKE '____-__-__' THEN Pubblication_date END AS DATE) IS NOT NULL""",
     "s14_validate_dates": f"""WITH {POSTS} SELECT arrival, Pubblication_date, CASE WHEN Pubblication_date IS NULL
   OR TRY_CAST(CASE WHEN Pubblication_date LIKE '____-__-__' THEN Pubblication_date END AS DATE) IS NOT NULL
@@ -330,7 +330,7 @@ FROM (SELECT doc_id AS doc, unnest(string_split(text, ' ')) AS t FROM documents)
 SELECT d.doc_id AS doc, CAST(count(s.doc) AS INTEGER) AS n_spans,
   coalesce(string_agg({_GLUED}, '|' ORDER BY first_pos), '') AS spans
 FROM documents d LEFT JOIN spans s ON s.doc = d.doc_id GROUP BY d.doc_id""",
-    "j1_lookup_enrich": f"""WITH {STORED} SELECT p.arrival, p.Job_ID, s.arrival AS old_arrival, s.Description AS old_description
+    "j1_lookup_enrich": f"""WITH {STORED} SELECT p.arrival, p.Job_ID, CAST(s.arrival AS VARCHAR) AS old_arrival, s.Description AS old_description
 FROM posts p LEFT JOIN stored s USING (Job_ID)""",
     "j2_reject_known": f"""WITH {STORED} SELECT arrival, Job_ID, Description FROM posts p
 WHERE NOT EXISTS (SELECT 1 FROM stored s WHERE s.Job_ID = p.Job_ID AND s.Description <> '')""",
@@ -347,10 +347,10 @@ FROM posts LEFT JOIN word_lists USING (arrival)""",
     ON f.arrival = w.arrival AND f.at = w.pos)
 SELECT arrival, label, count(*) AS n, CAST(sum(pos) AS BIGINT) AS pos_sum, max(token) AS last_token FROM labelled GROUP BY arrival, label""",
     "x1_labelled_mentions": f"""{TEXTS}
-SELECT w.arrival, w.pos, w.token, CASE WHEN f.pos = w.pos THEN 'B-SKILL' ELSE 'I-SKILL' END AS label
+SELECT w.arrival, CAST(w.pos AS INTEGER) AS pos, w.token, CASE WHEN f.pos = w.pos THEN 'B-SKILL' ELSE 'I-SKILL' END AS label
 FROM words w JOIN (SELECT arrival, pos, unnest(range(pos, pos + n)) AS at FROM found) f
   ON f.arrival = w.arrival AND f.at = w.pos""",
-    "x1_lexicon_hits": f"""{TEXTS} SELECT arrival, pos, n, term FROM hits h WHERE NOT EXISTS (
+    "x1_lexicon_hits": f"""{TEXTS} SELECT arrival, CAST(pos AS INTEGER) AS pos, n, term FROM hits h WHERE NOT EXISTS (
   SELECT 1 FROM hits b WHERE b.arrival = h.arrival AND b.n > h.n AND b.pos <= h.pos AND b.pos + b.n >= h.pos + h.n)""",
     "x2_custom_labeler": f"""WITH {POSTS}, w AS (
   SELECT arrival, unnest(l) AS token, generate_subscripts(l, 1) AS pos
@@ -437,7 +437,7 @@ FROM aligned GROUP BY doc, gold, pred""",
     "t7_span_prf": _prf(conll_spans),
     "t7_span_prf_strict": _prf(strict_spans),
     "t8_split_report": f"WITH {SEQUENCES} SELECT split, count(*) AS n FROM split GROUP BY split",
-    "p9_ignored_positions": f"""WITH {SCORED} SELECT doc, count(*) AS n, min(pos) AS first_pos, max(pos) AS last_pos
+    "p9_ignored_positions": f"""WITH {SCORED} SELECT doc, count(*) AS n, CAST(min(pos) AS INTEGER) AS first_pos, CAST(max(pos) AS INTEGER) AS last_pos
 FROM aligned GROUP BY doc""",
 }
 ORACLE["j4_normalize_skills_join"] = ORACLE["j4_normalize_skills"]

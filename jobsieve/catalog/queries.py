@@ -237,7 +237,7 @@ def s13_ensure_table(spark, sf):
         table = sinks.ensure_table(spark, name, DEDUPED_TABLE, location)
     good, _ = clean.validate_dates(dedupe.dedupe_first(inputs.posts(spark, sf)))
     good.select(*table.columns).write.insertInto(name)
-    return spark.table(name).select("Job_ID", "Title", "Pubblication_date")
+    return spark.table(name).select("Job_ID", "Title", F.col("Pubblication_date").cast("string"))
 
 
 @query
@@ -397,7 +397,7 @@ def _table_and_batch(spark, sf):
 def j1_lookup_enrich(spark, sf):
     stored, posts = _table_and_batch(spark, sf)
     out = dedupe.lookup_enrich(posts, stored, "Job_ID", {"Description": "old_description", "arrival": "old_arrival"})
-    return out.select("arrival", "Job_ID", "old_arrival", "old_description")
+    return out.select("arrival", "Job_ID", F.col("old_arrival").cast("string"), "old_description")
 
 
 @query

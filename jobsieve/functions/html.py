@@ -15,14 +15,13 @@ from .text import col, let, strip
 # Selectors of the job pages, as patterns.
 CARD = r'(?s)<li[^>]*>\s*(<div[^>]*class="[^"]*\bbase-card\b.*?)</li>'
 CARD_URN = r'<div[^>]*\bdata-entity-urn="([^"]*)"'
-CARD_TITLE = r"(?s)<a\b[^>]*>(?:(?!</a>).)*?<span\b[^>]*>(.*?)</span>"
-CARD_COMPANY = r"(?s)<h4\b[^>]*>(?:(?!</h4>).)*?<a\b[^>]*>(.*?)</a>"
+CARD_TITLE = ("a", "span")
+CARD_COMPANY = ("h4", "a")
 CARD_LOCATION = r'(?s)<span\b[^>]*class="[^"]*\bjob-search-card__location\b[^"]*"[^>]*>(.*?)</span>'
 DESCRIPTION_OPEN = r'<div\b[^>]*class="[^"]*\bshow-more-less-html__markup\b[^"]*"[^>]*>'
 
 _LIST = r"(?s)<ul\b[^>]*>(.*?)</ul>"
 _ITEM = r"(?s)<li\b[^>]*>(.*?)</li>"
-_SPAN = r"(?s)<span\b[^>]*>(.*?)</span>"
 _NOT_TEXT = r"(?is)<(?:!--.*?-->|script\b.*?</script>|style\b.*?</style>|[^>]+>)"
 
 # Named character references of HTML 5, the frequent ones first.
@@ -83,6 +82,21 @@ def html_text(c, pattern) -> Column:
     )
 
 
+def _element(tag):
+    return rf"(?s)<{tag}\b[^>]*>(.*?)</{tag}>"
+
+
+def _first_inside(fragments, tag) -> Column:
+    """Text of the first ``tag`` in the first fragment that has one."""
+    having = F.filter(fragments, lambda f: f.rlike(_element(tag)))
+    return html_text(F.coalesce(F.try_element_at(having, F.lit(1)), F.lit("")), _element(tag))
+
+
+def html_descendant_text(c, outer, inner) -> Column:
+    """Text of the first ``inner`` element inside an ``outer`` one."""
+    return _first_inside(F.regexp_extract_all(col(c), F.lit(_element(outer)), F.lit(1)), inner)
+
+
 def html_attr(c, tag, attr) -> Column:
     """An attribute of the first ``tag``; NULL when the tag lacks it or it is empty."""
     return let(
@@ -142,9 +156,7 @@ def nth_item_text(lists, k) -> Column:
         col(lists),
         lambda ul: F.try_element_at(F.regexp_extract_all(ul, F.lit(_ITEM), F.lit(1)), F.lit(k)),
     )
-    spans = F.filter(items, lambda item: item.rlike(_SPAN))
-    first = F.coalesce(F.try_element_at(spans, F.lit(1)), F.lit(""))
-    return html_text(first, _SPAN)
+    return _first_inside(items, "span")
 
 
 def html_nth_item(c, k) -> Column:

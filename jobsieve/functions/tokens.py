@@ -17,7 +17,11 @@ from .text import col, let, strip
 # looks them up in a bitmap.
 SEPARATORS = " \t\n\r\f\x0b\x85\xa0" + ',;:()!?"' + "\u2000-\u206f\u3000"
 _SEPARATOR = f"[{SEPARATORS}]"
-_BREAK = rf"(?:\.*{_SEPARATOR})+"
+# Runs of dots and separators that end in a separator. No quantifier stands on a group that has
+# one inside: Java would recurse once per repetition, and long runs would overflow the stack.
+_BREAK = f"[.{SEPARATORS}]*{_SEPARATOR}"
+# The same for splitting, started only at the first of several dots, which keeps it linear.
+_SPLIT = rf"{_SEPARATOR}(?:{_BREAK})?|\.(?<!\.\.)\.*(?:\z|{_SEPARATOR}(?:{_BREAK})?)"
 _TOKEN_END = rf"(?=\.*(?:{_SEPARATOR}|\z))"
 # Alternatives tried one after the other before a look-ahead on the next character narrows them.
 _FAN_OUT = 6
@@ -30,7 +34,7 @@ MAX_PATTERN_TERMS = 5_000
 
 def tokens(text) -> Column:
     """Lower-cased tokens of a text, in order."""
-    return F.array_remove(F.split(F.lower(col(text)), rf"{_BREAK}|\.+\z"), "")
+    return F.array_remove(F.split(F.lower(col(text)), _SPLIT), "")
 
 
 def normalise_term(term):

@@ -22,8 +22,8 @@ def card_fields(cards: DataFrame, card_col="card") -> DataFrame:
     return cards.withColumns(
         {
             "Job_ID": urn_part(html.unescape(F.regexp_extract(c, html.CARD_URN, 1)), ":", 4),
-            "Title": html.html_text(c, html.CARD_TITLE),
-            "Company_name": html.html_text(c, html.CARD_COMPANY),
+            "Title": html.html_descendant_text(c, *html.CARD_TITLE),
+            "Company_name": html.html_descendant_text(c, *html.CARD_COMPANY),
             "Location": html.html_text(c, html.CARD_LOCATION),
             "Pubblication_date": html.html_attr(c, "time", "datetime"),
         }

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from jobsieve.functions.tokens import (
     SEPARATORS, decode_tagged, lexicon_pattern, matchable_terms, mentions, span_text, tagged_tokens, tokens,
 )
+from jobsieve.functions.text import strip
 from jobsieve.operators import extract
 from jobsieve.schemas import SPECIAL_TOKENS
 from jobsieve.sources.dictionaries import Dictionaries
@@ -186,3 +187,16 @@ def test_custom_labeler_equals_lexicon(spark, texts):
 def test_lexicon_size_is_checked():
     with pytest.raises(ValueError, match="exceed"):
         lexicon_pattern([f"term{i}" for i in range(6000)])
+
+
+@pytest.mark.parametrize("run", [" ", ".", "\n", ". ", " .", "a ", "•", "..x ", "c "])
+def test_very_long_runs(spark, run):
+    """Long runs neither overflow the stack nor take quadratic time."""
+    text = "java" + run * 100_000 + " spring" + run * 50_000 + "sql " + "." * 100_000 + "x"
+    terms = {"java", "spring", "sql", "c", "java sql"}
+    pattern = lexicon_pattern(terms)
+    df = spark.createDataFrame([(text,)], "t string").select(
+        F.size(tokens("t")).alias("n"), F.size(mentions("t", pattern)).alias("m"), F.length(strip("t")).alias("s")
+    )
+    row = df.first()
+    assert row.n == len(brute_tokens(text)) and row.m == len(brute_mentions(text, terms)) and row.s == len(text.strip())
