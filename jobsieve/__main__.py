@@ -3,7 +3,7 @@
 import argparse
 
 from .operators import insights, training
-from .operators.clean import require_non_empty
+from .operators.clean import drop_fields, require_non_empty
 from .plans.enrich import enrich_posts, extract_flat
 from .plans.ingest import posts_from_pages
 from .schemas import ENRICHED_POST
@@ -42,6 +42,11 @@ def ingest(spark, args):
         forward = jobs.topic_sink(args.topic, **{"kafka.bootstrap.servers": args.brokers})
     else:
         forward = jobs.payload_version_sink(args.topic)
+    if args.state_store:
+        stream = jobs.dedupe_stream(drop_fields(events))
+        sink = jobs.fan_out([jobs.upsert_sink(args.table), forward])
+        jobs.start(stream, sink, args.progress, args.run, args.available_now).awaitTermination()
+        return
     # Posts carry no arrival number of their own; the file they came in and its time give the order.
     arrived = events.selectExpr("*", "_metadata.file_modification_time AS arrived", "_metadata.file_path AS file")
     order = ["arrived", "file", "Pubblication_date", "Description"]
@@ -113,7 +118,9 @@ def main(argv=None, spark=None):
         p.add_argument("--available-now", action="store_true", help="stop when the source is read")
 
     command(pages, "listings", "details", "out")
-    stream(command(ingest, "source", "table", "topic", "progress"))
+    p = command(ingest, "source", "table", "topic", "progress")
+    p.add_argument("--state-store", action="store_true", help="keep known keys in the state store, not the table")
+    stream(p)
     p = command(enrich, "source", "table", "progress")
     p.add_argument("--min-partitions", type=int)
     stream(p)

@@ -39,6 +39,20 @@ def test_landing_to_report(spark, tmp_path):
     assert sinks.read_versions(spark, at("small"), ENRICHED_POST).count() == 2
 
 
+def test_ingest_with_state_store(spark, tmp_path):
+    at = lambda n: str(tmp_path / n)
+    (tmp_path / "landing").mkdir()
+    job = ["ingest", "--source", at("landing"), "--table", at("t"), "--topic", at("o"), "--progress", at("p"), "--available-now", "--state-store"]
+    for name, events in {
+        "a": [post(Job_ID="1", Description="x"), post(Job_ID="1", Description="y"), post(Job_ID="2", Description="")],
+        "b": [post(Job_ID="1", Description="z"), post(Job_ID="2", Description="late")],
+    }.items():
+        (tmp_path / "landing" / f"{name}.json").write_text("\n".join(map(json.dumps, events)))
+        main(job, spark)
+    stored = sinks.read_versions(spark, at("t"), POST)
+    assert sorted((r.Job_ID, r.batch) for r in stored.collect()) == [("1", 0), ("2", 1)]
+
+
 def test_batch_extraction(spark, tmp_path):
     (tmp_path / "in.json").write_text(json.dumps([post(Job_ID="1", Description="GCP and Go"), post(Job_ID="2", Description=None)]))
     main(["extract", "--source", str(tmp_path / "in.json"), "--out", str(tmp_path / "out"), "--stop-terms", "go"], spark)
