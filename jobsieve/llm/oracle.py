@@ -54,3 +54,27 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
   coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM dw LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
+
+ORACLE["op7_near_dedup"] = f"""
+WITH RECURSIVE dw AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents
+), sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN [w[1]]
+    ELSE list_transform(generate_series(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1]) END) AS s FROM dw
+), items AS (
+  SELECT doc_id, unnest(s) AS x FROM sets
+), shared AS (
+  SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS n FROM items a JOIN items b ON a.x = b.x AND a.doc_id <> b.doc_id
+  GROUP BY ALL
+), links AS (
+  SELECT u, v FROM shared JOIN sets a ON a.doc_id = u JOIN sets b ON b.doc_id = v
+  WHERE 100 * n >= 80 * (len(a.s) + len(b.s) - n)
+), reach(doc_id, r) AS (
+  SELECT doc_id, doc_id FROM sets
+  UNION
+  SELECT reach.doc_id, v FROM reach JOIN links ON u = r
+)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM sets JOIN (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id) USING (doc_id)
+"""

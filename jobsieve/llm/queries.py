@@ -5,7 +5,7 @@ import os
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
-from . import decontaminate, line_dedup, packing, toxicity
+from . import decontaminate, line_dedup, near_dedup, packing, toxicity
 from .common import table
 
 QUERIES = {}
@@ -61,6 +61,11 @@ def op4_decontamination(spark, sf):
     )
 
 
+@query
+def op7_near_dedup(spark, sf):
+    return near_dedup.link(table(spark, sf, "documents").select("doc_id", "text"))
+
+
 @query
 def op10_packing(spark, sf):
     return packing.pack_documents(table(spark, sf, "documents").select("doc_id", "text"), tokenizer())

@@ -14,14 +14,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from .common import rows_of, text_bytes
+from .common import rows_of, stored, text_bytes
 
 #: Bounds of the training sample; the prior is counted over all labelled training rows.
 MAX_POSITIVE = 3_000
 MAX_UNLABELLED = 6_000
 MAX_FEATURES = 1_024
+#: Standard errors by which a feature must be more common in positives than in unlabelled texts.
+MIN_Z = 3.0
 DIM = 1 << 22
-PREFIXES = (4, 5, 6)
+PREFIXES = (3, 4, 5, 6, 7, 8)
 THRESHOLD = 0.3
 
 _NOT_LETTERS = bytes(32 if c < 65 or 91 <= c <= 96 or 123 <= c <= 127 else c for c in range(256))
@@ -53,7 +55,7 @@ def held_out(doc_id="doc_id"):
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2
 
 
-def train_nnpu(positive, unlabelled, prior, steps=250, rate=0.05, decay=1e-4, gamma=1.0):
+def train_nnpu(positive, unlabelled, prior, steps=250, rate=0.05, decay=3e-4, gamma=1.0):
     """Weights and bias of a linear model under the non-negative risk, logistic loss, Adam steps."""
 
     def sigmoid(z):
@@ -150,8 +152,6 @@ def fit(docs, labels, max_positive=MAX_POSITIVE, max_unlabelled=MAX_UNLABELLED,
 
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_bytes("text").alias("text"))
     sample = texts.join(F.broadcast(chosen), "doc_id").select("p", "text").mapInArrow(scan, "p int, ids array<int>")
-    from .common import stored
-
     sample = stored(sample, "toxicity-sample")
     n_p, n_u = sample.agg(F.sum("p"), F.sum(1 - F.col("p"))).first()
     if not n_p or not n_u:
@@ -162,18 +162,21 @@ def fit(docs, labels, max_positive=MAX_POSITIVE, max_unlabelled=MAX_UNLABELLED,
         .agg(F.sum("p").alias("in_p"), F.sum(1 - F.col("p")).alias("in_u"))
         .filter("in_p + in_u >= 5")
     )
-    share_p, share_u = F.col("in_p") / n_p, F.col("in_u") / n_u
-    # Difference of the shares over its standard error: signed, so that both kinds of evidence are kept.
-    error = F.sqrt(share_p * (1 - share_p) / n_p + share_u * (1 - share_u) / n_u + 1e-9)
+    share_p, share_u, share = F.col("in_p") / n_p, F.col("in_u") / n_u, (F.col("in_p") + F.col("in_u")) / (n_p + n_u)
+    # Only evidence for toxicity: what clean texts say more often says nothing, however long they are.
+    error = F.sqrt(share * (1 - share) * (1 / n_p + 1 / n_u) + 1e-12)
     top = [
         r.id
-        for r in by_feature.withColumn("z", F.abs((share_p - share_u) / error))
+        for r in by_feature.withColumn("z", (share_p - share_u) / error)
+        .filter(F.col("z") >= MIN_Z)
         .orderBy(F.desc("z"), "id")
         .limit(max_features)
         .collect()
     ]
+    if not top:
+        return ToxicityModel({}, np.log(prior / (1 - prior)))
     place = {f: i for i, f in enumerate(top)}
-    marked = sample.select("p", F.array_intersect("ids", F.array(*map(F.lit, top))).alias("ids")).collect()
+    marked = sample.select("p", F.array_intersect("ids", F.lit(top).cast("array<int>")).alias("ids")).collect()
     x = np.zeros((len(marked), len(top)), np.float32)
     for row, r in zip(x, marked, strict=True):
         row[[place[f] for f in r.ids]] = 1
