@@ -78,3 +78,17 @@ WITH RECURSIVE dw AS (
 SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
 FROM sets JOIN (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id) USING (doc_id)
 """
+
+ORACLE["op8_nearest_neighbours"] = """
+WITH valid AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), ranked AS (
+  SELECT query_id, vec_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM (
+    SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v) AS score
+    FROM valid q JOIN valid c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0)
+)
+SELECT query_id, CAST(r AS INT) AS rank, vec_id, score FROM ranked WHERE r <= 20
+"""

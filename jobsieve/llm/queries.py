@@ -5,7 +5,7 @@ import os
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
-from . import decontaminate, line_dedup, near_dedup, packing, toxicity
+from . import ann, decontaminate, line_dedup, near_dedup, packing, toxicity
 from .common import table
 
 QUERIES = {}
@@ -66,6 +66,12 @@ def op7_near_dedup(spark, sf):
     return near_dedup.link(table(spark, sf, "documents").select("doc_id", "text"))
 
 
+@query
+def op8_nearest_neighbours(spark, sf):
+    vectors = table(spark, sf, "embeddings")
+    return ann.CodeIndex(vectors).search(vectors.filter("vec_id % 20 = 0"), k=20)
+
+
 @query
 def op10_packing(spark, sf):
     return packing.pack_documents(table(spark, sf, "documents").select("doc_id", "text"), tokenizer())
