@@ -5,15 +5,16 @@ sketch from either side forms a table key: ``SIDE ** 2`` tables of ``2 * ROWS``
 ``2 * SIDE * ROWS`` minhashes. Two sets of similarity s share no table with a chance of about
 ``2 * (1 - s ** ROWS) ** SIDE``: 0.15 % at 0.8, 0.01 % at 0.85, and less for members of groups.
 
-Equal sets are one class. In each bucket every class is compared with the smallest one there; classes that this
-leaves unconnected to their bucket's smallest one are then compared with all members of the bucket that are
-not yet connected to them. So no pair that shares a bucket stays undecided, and a group of copies gives
+Equal sets are one class. In each bucket every class is compared with the smallest one there, and those that this
+leaves unconnected with another one. Where buckets still hold several components, their members are compared exactly
+in blocks that return links only. So no pair that shares a bucket stays undecided, and a group of copies gives
 links in proportion to its size. Every link is confirmed on the full shingle sets.
 """
 
 import hashlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import functions as F
 
@@ -25,9 +26,10 @@ ROWS = 3
 SIDE = 10
 #: Bits of a fixed-size map of the documents whose sets are needed for comparisons.
 MAP_BITS = 1 << 25
-#: Of 60 one-bit minhashes, sets of similarity 0.8 agree in 54 on average, with a standard deviation of 2.3.
-#: Pairs of the second pass with fewer than this in common are not compared.
-MIN_AGREE = 43
+#: Turns of comparing the members of each bucket with one of them, before all open pairs are compared.
+TURNS = 2
+#: Documents in a block of a family whose members are compared with each other.
+BLOCK = 2_000
 
 HASHES = 2 * SIDE * ROWS
 SEEDS = mix64(np.arange(1, 2 * HASHES + 1, dtype=np.uint64) * GOLDEN)
@@ -39,7 +41,6 @@ SIGNATURE = pa.schema(
         ("n", pa.int64()),
         ("h1", pa.int64()),
         ("h2", pa.int64()),
-        ("bits", pa.int64()),
         ("a", pa.list_(pa.int64())),
         ("b", pa.list_(pa.int64())),
     ]
@@ -64,14 +65,13 @@ def minhashes(values):
 
 
 def sketches(low):
-    """The two collections of sketches, and one bit of each minhash."""
+    """The two collections of sketches."""
     low = mix64(low)
     folded = np.zeros(2 * SIDE, np.uint64)
     for r in range(ROWS):
         folded = mix64(folded + low.reshape(2 * SIDE, ROWS)[:, r] + GOLDEN)
-    bits = int(np.bitwise_or.reduce((low & np.uint64(1)) << np.arange(HASHES, dtype=np.uint64)))
     folded = folded.view(np.int64)
-    return folded[:SIDE].tolist(), folded[SIDE:].tolist(), bits
+    return folded[:SIDE].tolist(), folded[SIDE:].tolist()
 
 
 def signatures(docs, words):
@@ -83,12 +83,12 @@ def signatures(docs, words):
                 values = shingles(text, words, hashes)
                 d = hashlib.blake2b(values.tobytes(), digest_size=16).digest()
                 h1, h2 = np.frombuffer(d, np.int64).tolist()
-                a, b, bits = sketches(minhashes(values)) if len(values) else ([], [], 0)
-                out.append((doc_id, len(values), h1, h2, bits, a, b))
-            yield batch_of(list(zip(*out, strict=True)) or [[]] * 7, SIGNATURE)
+                a, b = sketches(minhashes(values)) if len(values) else ([], [])
+                out.append((doc_id, len(values), h1, h2, a, b))
+            yield batch_of(list(zip(*out, strict=True)) or [[]] * 6, SIGNATURE)
 
     given = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_bytes("text").alias("text"))
-    schema = "doc_id bigint, n bigint, h1 bigint, h2 bigint, bits bigint, a array<bigint>, b array<bigint>"
+    schema = "doc_id bigint, n bigint, h1 bigint, h2 bigint, a array<bigint>, b array<bigint>"
     return given.mapInArrow(scan, schema)
 
 
@@ -127,10 +127,8 @@ def _sets(docs, ids, words):
     return given.mapInArrow(scan, "id bigint, shingles array<bigint>")
 
 
-def _confirmed(docs, pairs, words, percent):
+def _confirmed(sets, pairs, percent):
     """The pairs (u, v) whose full sets are similar enough."""
-    ids = pairs.select(F.explode(F.array("u", "v")).alias("id"))
-    sets = _sets(docs, ids, words)
     u = sets.select(F.col("id").alias("u"), F.col("shingles").alias("su"))
     v = sets.select(F.col("id").alias("v"), F.col("shingles").alias("sv"))
     shared = F.size(F.array_intersect("su", "sv"))
@@ -144,6 +142,104 @@ def _confirmed(docs, pairs, words, percent):
     )
 
 
+def _placed(placed, known):
+    """Members of buckets with their components, where a bucket holds more than one."""
+    own = known.select(F.col("node").alias("rep"), "component")
+    placed = placed.join(own, "rep", "left").select("key", "rep", F.coalesce("component", "c").alias("c"))
+    mixed = placed.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low < high")
+    return stored(placed.join(mixed.select("key"), "key", "left_semi"), "members")
+
+
+def _to_heads(placed, turn):
+    """Pairs of a member of each bucket, another one each turn, with the members not connected to it yet."""
+    order = F.xxhash64("rep", F.lit(turn)) if turn else F.col("rep")
+    ordered = placed.withColumn("o", order)
+    heads = ordered.groupBy("key").agg(F.min("o").alias("o"))
+    heads = ordered.join(heads, ["key", "o"]).select("key", F.col("rep").alias("head"), F.col("c").alias("hc")).distinct()
+    pairs = placed.join(heads, "key").filter("c <> hc")
+    return pairs.select(F.least("head", "rep").alias("u"), F.greatest("head", "rep").alias("v")).distinct()
+
+
+def _overlaps(rows, percent):
+    """Linked pairs of left and right documents of different components, by counting over an inverted index."""
+    left, right = rows[rows["side"] != 1], rows[rows["side"] != 0]
+    if not len(left) or not len(right):
+        return pd.DataFrame({"u": [], "v": []}, dtype="int64")
+    sizes = right["n"].to_numpy()
+    every = np.concatenate(right["shingles"].to_list())
+    owner = np.repeat(np.arange(len(right)), [len(s) for s in right["shingles"]])
+    order = np.argsort(every, kind="stable")
+    owner = owner[order].astype(np.int32)
+    tokens, start = np.unique(every[order], return_index=True)
+    stop = np.append(start[1:], len(every))
+    reps, c, out = right["rep"].to_numpy(), right["c"].to_numpy(), []
+    for rep, own, n, values in left[["rep", "c", "n", "shingles"]].itertuples(index=False):
+        at = np.minimum(np.searchsorted(tokens, values), len(tokens) - 1)
+        at = at[tokens[at] == values]
+        if not len(at):
+            continue
+        shared = np.bincount(np.concatenate([owner[a:b] for a, b in zip(start[at], stop[at], strict=True)]), minlength=len(right))
+        near = (shared * 100 >= percent * (n + sizes - shared)) & (c != own) & (reps != rep)
+        out += [(min(rep, x), max(rep, x)) for x in reps[near].tolist()]
+    return pd.DataFrame(sorted(set(out)), columns=["u", "v"], dtype="int64")
+
+
+def _open_links(placed, sets, percent, block=BLOCK):
+    """Links between all members of mixed buckets that are in different components.
+
+    Buckets that share members are a family. The smallest component of a family, around which it lies, needs no
+    comparison with itself; the rest is compared with everything. Families of up to a block are put together, larger ones
+    are cut into blocks, and each pair of blocks is one task of bounded size that gives back links only.
+    """
+    low = placed.groupBy("key").agg(F.min("rep").alias("v"))
+    family = components(placed.join(low, "key").select(F.col("rep").alias("u"), "v"))
+    family = family.select(F.col("node").alias("rep"), F.col("component").alias("family"))
+    rows = stored(placed.select("rep", "c").distinct().join(family, "rep"), "families")
+    of_family = rows.groupBy("family").agg(
+        F.count("*").alias("size"), F.min("c").alias("base")
+    )
+    inner = F.col("c") == F.col("base")
+    rows = rows.join(of_family.select("family", "size", "base"), "family").withColumn("inner", inner)
+    counted = rows.groupBy("family", "inner").agg(F.count("*").alias("m"))
+    rows = rows.join(counted, ["family", "inner"]).join(
+        counted.groupBy("family").agg(
+            F.sum(F.when(~F.col("inner"), F.ceil(F.col("m") / block))).alias("outer_blocks"),
+            F.sum(F.when(F.col("inner"), F.ceil(F.col("m") / block))).alias("inner_blocks"),
+        ),
+        "family",
+    )
+    n_small = rows.filter(F.col("size") <= block).count()
+    bins = max(1, -(-n_small // block))
+    own = F.pmod(F.xxhash64("rep"), F.ceil(F.col("m") / block))
+    rows = rows.withColumn("own", own).withColumn("ob", F.coalesce("outer_blocks", F.lit(0)))
+    rows = rows.withColumn("ib", F.coalesce("inner_blocks", F.lit(0)))
+
+    def task(i, j, side):
+        return F.struct(i.cast("bigint").alias("i"), j.cast("bigint").alias("j"), F.lit(side).alias("side"))
+
+    # Outer block i meets outer blocks j > i, itself, and all inner blocks (numbered after the outer ones).
+    others = F.transform(F.sequence(F.lit(0), F.col("ob") + F.col("ib") - 1), lambda b: b.cast("bigint"))
+    o = F.col("own")
+    outer = F.transform(
+        others,
+        lambda b: F.when(b == o, task(o, o, 2)).when(b > o, task(o, b, 0)).otherwise(task(b, o, 1)),
+    )
+    inner_tasks = F.transform(
+        F.filter(others, lambda b: b < F.col("ob")), lambda b: task(b, F.col("ob") + o, 1)
+    )
+    big = F.when(F.col("inner"), inner_tasks).otherwise(outer)
+    small = F.array(task(F.pmod(F.xxhash64("family"), F.lit(bins)), F.lit(-1), 2))
+    tasks = rows.select(
+        "rep", "c",
+        F.when(F.col("size") <= block, F.lit(None).cast("bigint")).otherwise(F.col("family")).alias("f"),
+        F.explode(F.when(F.col("size") <= block, small).otherwise(big)).alias("t"),
+    )
+    full = tasks.join(sets.withColumnRenamed("id", "rep"), "rep").select(
+        "f", "t.i", "t.j", "t.side", "rep", "c", F.size("shingles").cast("bigint").alias("n"), "shingles"
+    )
+    return full.groupBy("f", "i", "j").applyInPandas(lambda rows: _overlaps(rows, percent), "u bigint, v bigint")
+
+
 def similar_size(x, y, percent):
     return F.least(x, y) * 100 >= percent * F.greatest(x, y)
 
@@ -174,53 +270,25 @@ def link(docs, words=2, percent=80):
         .select("key", "head")
     )
     members = stored(keys.join(heads, "key").select("key", "head", "rep"), "members")
-    about = reps.select(F.col("doc_id").alias("id"), "n", "bits").dropDuplicates(["id"])
+    about = reps.select(F.col("doc_id").alias("id"), "n").dropDuplicates(["id"])
 
-    pairs = members.filter("rep <> head").select(F.col("head").alias("u"), F.col("rep").alias("v")).distinct()
+    sets = stored(_sets(docs, members.select(F.explode(F.array("head", "rep")).alias("id")), words), "sets")
+    placed = members.select("key", "rep", F.col("rep").alias("c")).distinct()
+    links = None
     sizes = about.select("id", "n")
-    pairs = (
-        pairs.join(sizes.withColumnRenamed("id", "u").withColumnRenamed("n", "nu"), "u")
-        .join(sizes.withColumnRenamed("id", "v").withColumnRenamed("n", "nv"), "v")
-        .filter(similar_size(F.col("nu"), F.col("nv"), percent))
-        .select("u", "v")
-    )
-    pairs = stored(pairs, "pairs")
-    first = stored(_confirmed(docs, pairs, words, percent), "links")
-
-    # What is not connected to the head of its bucket yet is compared with the members of other components there.
-    known = components(first)
-    own = known.select(F.col("node").alias("rep"), F.col("component").alias("c"))
-    heads = known.select(F.col("node").alias("head"), F.col("component").alias("hc"))
-    placed = (
-        members.join(own, "rep", "left")
-        .join(heads, "head", "left")
-        .select("key", "head", "rep", F.coalesce("c", "rep").alias("c"), F.coalesce("hc", "head").alias("hc"))
-    )
-    left = placed.filter("c <> hc")
-    open_keys = left.select("key").groupBy("key").count().filter("count > 0").select("key")
-    info = about.withColumnRenamed("id", "rep")
-    x = left.join(info, "rep").select("key", *[F.col(c).alias(f"x_{c}") for c in ("rep", "c", "n", "bits")])
-    y = (
-        placed.filter("rep <> head")
-        .join(open_keys, "key", "left_semi")
-        .join(info, "rep")
-        .select("key", *[F.col(c).alias(f"y_{c}") for c in ("rep", "c", "n", "bits")])
-    )
-    agree = HASHES - F.bit_count(F.col("x_bits").bitwiseXOR(F.col("y_bits")))
-    more = (
-        x.join(
-            y,
-            (x["key"] == y["key"])
-            & (F.col("x_c") != F.col("y_c"))
-            & similar_size(F.col("x_n"), F.col("y_n"), percent)
-            & (agree >= MIN_AGREE),
+    for turn in range(TURNS):
+        pairs = _to_heads(placed, turn)
+        pairs = (
+            pairs.join(sizes.withColumnRenamed("id", "u").withColumnRenamed("n", "nu"), "u")
+            .join(sizes.withColumnRenamed("id", "v").withColumnRenamed("n", "nv"), "v")
+            .filter(similar_size(F.col("nu"), F.col("nv"), percent))
+            .select("u", "v")
         )
-        .select(F.least("x_rep", "y_rep").alias("u"), F.greatest("x_rep", "y_rep").alias("v"))
-        .distinct()
-    )
-    more = stored(more, "pairs")
-    second = _confirmed(docs, more, words, percent)
-    links = first.unionByName(second).unionByName(copies.select(F.col("rep").alias("u"), F.col("doc_id").alias("v")))
+        found = _confirmed(sets, stored(pairs, "pairs"), percent)
+        links = stored(found if links is None else links.unionByName(found), "links")
+        placed = _placed(placed, components(links))
+    links = links.unionByName(_open_links(placed, sets, percent))
+    links = links.unionByName(copies.select(F.col("rep").alias("u"), F.col("doc_id").alias("v")))
     final = components(links).select(F.col("node").alias("doc_id"), "component")
     return sig.select("doc_id", F.col("n").alias("n_shingles")).join(final, "doc_id", "left").select(
         "doc_id",
