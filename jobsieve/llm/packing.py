@@ -36,23 +36,68 @@ PIECE = pa.schema(
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, deal bigint"
 
 
+#: How byte-level vocabularies write bytes: printable ones as they are, the others from U+0100 on.
+_PRINTED = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_BYTE_ALPHABET = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTED)}
+
+
 class ChunkIds(dict):
-    """Token ids of a chunk without white space; the tokenizer never looks across white space."""
+    """Token ids of chunks without white space; the tokenizer never looks across white space."""
 
-    def __init__(self, tokenizer, bound=400_000):
+    def __init__(self, tokenizer, bound=1_000_000):
         super().__init__()
         self.tokenizer, self.bound = tokenizer, bound
+        self.plain_words = all(self._plain(w) for w in ("The", "Größe", "Élève", "señor", "ſ", "x"))
+        self.clear()
 
-    def __missing__(self, chunk):
-        if chunk[-1:] in b".," and len(chunk) > 1 and chunk[-2:-1].isalnum():
-            ids = self[chunk[:-1]] + self[chunk[-1:]]  # a stop or comma after an ASCII letter or digit stands alone
-        else:
+    def _plain(self, word):
+        """Whether the short way gives the same ids as the tokenizer."""
+        self.plain_words = True
+        self._encode([word.encode()])
+        return self[word.encode()] == np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _encode(self, chunks):
+        model, hard = self.tokenizer.model, []
+        for chunk in chunks:
             text = chunk.decode("utf-8", "replace")
-            ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        if len(self) >= self.bound:
-            self.clear()
-        self[chunk] = ids
-        return ids
+            if self.plain_words and text.isalpha() and max(text) <= "\u017e" and "\u0130" not in text:
+                # One word of Latin letters: lower case and the byte alphabet are all that precedes the model.
+                word = text.lower().encode().decode("latin-1").translate(_BYTE_ALPHABET)
+                self[chunk] = np.array([t.id for t in model.tokenize(word)], "<u4").tobytes()
+            else:
+                hard.append((chunk, text))
+        if hard:
+            coded = self.tokenizer.encode_batch_fast([t for _, t in hard], add_special_tokens=False)
+            for (chunk, _), c in zip(hard, coded, strict=True):
+                self[chunk] = np.array(c.ids, "<u4").tobytes()
+
+    def of(self, chunks):
+        """The ids of all chunks, one after the other, as bytes."""
+        new = [c for c in set(chunks) if c not in self]
+        if new:
+            if len(self) + 2 * len(new) > self.bound:
+                self.clear()
+                new = list(set(chunks))
+            # A stop or comma after an ASCII letter or digit stands alone.
+            cut = {c: (c[:-1], c[-1:]) for c in new if c[-1:] in b".," and c[-2:-1].isalnum()}
+            parts = {p for pair in cut.values() for p in pair}
+            self._encode([c for c in parts.union(c for c in new if c not in cut) if c not in self])
+            for c, (word, stop) in cut.items():
+                self[c] = self[word] + self[stop]
+        return b"".join(map(self.__getitem__, chunks))
+
+
+#: Kept by each worker from task to task, per tokenizer file.
+_KNOWN = {}
+
+
+def _chunk_ids(path):
+    if path not in _KNOWN:
+        from tokenizers import Tokenizer
+
+        with open(path, encoding="utf-8") as f:
+            _KNOWN[path] = ChunkIds(Tokenizer.from_str(f.read()))
+    return _KNOWN[path]
 
 
 def tokenize(docs, tokenizer_path, length=LENGTH, end_id=END_ID, column="text"):
@@ -63,15 +108,12 @@ def tokenize(docs, tokenizer_path, length=LENGTH, end_id=END_ID, column="text"):
     """
 
     def scan(batches):
-        from tokenizers import Tokenizer
-
-        with open(tokenizer_path, encoding="utf-8") as f:
-            known = ChunkIds(Tokenizer.from_str(f.read()))
+        known = _chunk_ids(tokenizer_path)
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             out = []
             for doc_id, text in rows_of(batch, "doc_id", "text"):
-                ids = b"".join([*map(known.__getitem__, text.split()), end])
+                ids = known.of(text.split()) + end
                 for k in range(0, len(ids), 4 * length):
                     part = ids[k : k + 4 * length]
                     crc = zlib.crc32(part)

@@ -5,7 +5,7 @@ import os
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
-from . import ann, decontaminate, line_dedup, near_dedup, packing, toxicity
+from . import ann, decontaminate, html_main, license_scan, line_dedup, near_dedup, packing, pii, toxicity, warc
 from .common import table
 
 QUERIES = {}
@@ -47,6 +47,11 @@ def op2_toxicity(spark, sf):
     )
 
 
+@query
+def op3_license_scan(spark, sf):
+    return license_scan.scan(table(spark, sf, "documents").select("doc_id", "text"))
+
+
 @query
 def op4_decontamination(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
@@ -61,6 +66,23 @@ def op4_decontamination(spark, sf):
     )
 
 
+@query
+def op5_personal_data(spark, sf):
+    found = pii.find(table(spark, sf, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id",
+        *[pii.counted("base", k).alias(f"n_{k}") for k in pii.KINDS],
+        sha256(pii.written("base")).alias("base_sha256"),
+        pii.written("spans").alias("spans"),
+    )
+
+
+@query
+def op6_main_text(spark, sf):
+    pages = table(spark, sf, "pages").select("page_id", "url", "html")
+    return html_main.main_text(pages).withColumn("n_chars", F.length("text").cast("bigint"))
+
+
 @query
 def op7_near_dedup(spark, sf):
     return near_dedup.link(table(spark, sf, "documents").select("doc_id", "text"))
@@ -72,6 +94,22 @@ def op8_nearest_neighbours(spark, sf):
     return ann.CodeIndex(vectors).search(vectors.filter("vec_id % 20 = 0"), k=20)
 
 
+@query
+def op9_warc_derivatives(spark, sf):
+    responses = warc.responses_of_pages(table(spark, sf, "pages"))
+    made = warc.derive(responses)
+    header = F.col("warc")
+    return made.select(
+        "record_id",
+        "record_type",
+        "refers_to",
+        header["warc-target-uri"].alias("target_uri"),
+        header["warc-source-payload-digest"].alias("payload_digest"),
+        header["warc-block-digest"].alias("block_digest"),
+        header["content-length"].cast("bigint").alias("content_length"),
+    )
+
+
 @query
 def op10_packing(spark, sf):
     return packing.pack_documents(table(spark, sf, "documents").select("doc_id", "text"), tokenizer())
