@@ -93,14 +93,14 @@ def shingles(tokens):
     )
 
 
+def _minhash(values, k):
+    return F.array_min(F.transform(values, lambda s: F.xxhash64(s, F.lit(k))))
+
+
 def _band_keys(values, n_bands):
     """One key per band over a set of shingles."""
     return [
-        F.xxhash64(
-            F.lit(b),
-            *[F.array_min(F.transform(values, lambda s, k=b * ROWS + r: F.xxhash64(s, F.lit(k)))) for r in range(ROWS)],
-        )
-        for b in range(n_bands)
+        F.xxhash64(F.lit(b), *[_minhash(values, b * ROWS + r) for r in range(ROWS)]) for b in range(n_bands)
     ]
 
 
