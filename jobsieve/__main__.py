@@ -62,12 +62,12 @@ def enrich(spark, args):
 
 
 def extract(spark, args):
-    posts = readers.spread(readers.read_posts_json(spark, args.source))
+    posts = readers.spread(readers.read_posts_json(spark, args.source, lines=args.lines))
     sinks.write_posts_json(extract_flat(posts, _dictionaries(spark, args)), args.out)
 
 
 def enrich_files(spark, args):
-    posts = readers.spread(readers.read_posts_json(spark, args.source))
+    posts = readers.spread(readers.read_posts_json(spark, args.source, lines=args.lines))
     enrich_posts(posts, _dictionaries(spark, args)).write.parquet(args.out)
 
 
@@ -125,8 +125,10 @@ def main(argv=None, spark=None):
     p.add_argument("--min-partitions", type=int)
     stream(p)
     dictionaries(p)
-    dictionaries(command(extract, "source", "out"))
-    dictionaries(command(enrich_files, "source", "out"))
+    for job in (extract, enrich_files):
+        p = command(job, "source", "out")
+        p.add_argument("--lines", action="store_true", help="the files hold JSON lines, as pages writes them")
+        dictionaries(p)
     p = command(report, "table", "out")
     p.add_argument("--k", type=int, default=20)
     p.add_argument("--filter", nargs="*", default=[], help="column=value")

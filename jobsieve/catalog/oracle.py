@@ -263,6 +263,7 @@ ORACLE = {
 count(*) AS n FROM posts GROUP BY 1""",
     "s3_landing_stream": f"WITH {POSTS} SELECT {FIELDS} FROM posts WHERE Description <> ''",
     "s4_posts_json": f"WITH {POSTS} SELECT {FIELDS} FROM posts",
+    "s4_json_lines": f"WITH {POSTS} SELECT {FIELDS} FROM posts",
     "s5_labelled_files": """SELECT doc_id AS doc, CASE WHEN doc_id % 25 = 1 THEN 'invalid JSON'
   WHEN doc_id % 40 = 3 THEN 'no tokens' ELSE 'good' END AS status,
 CASE WHEN doc_id % 25 = 1 OR doc_id % 40 = 3 THEN 0 ELSE CAST(len(string_split(text, ' ')) AS INTEGER) END AS n_tokens FROM documents""",

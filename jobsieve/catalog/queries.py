@@ -111,6 +111,14 @@ def s4_posts_json(spark, sf):
     return readers.read_posts_json(spark, path)
 
 
+@query
+def s4_json_lines(spark, sf):
+    """All posts through the engine's own JSON-lines sink and back."""
+    path = scratch_dir(spark, "lines")
+    sinks.write_posts_json(inputs.posts(spark, sf).select(*POST_FIELDS), path)
+    return readers.read_posts_json(spark, path, lines=True)
+
+
 @query
 def s5_labelled_files(spark, sf):
     """One file per document; every 25th is cut short and every 40th has no tokens."""
@@ -255,7 +263,7 @@ def s15_resume(spark, sf):
     source, out, progress = (scratch_dir(spark, n) for n in ("source", "out", "progress"))
     for part in ("arrival % 2 = 0", None, "arrival % 2 = 1"):
         if part:
-            p.filter(part).coalesce(1).write.mode("append").parquet(source)
+            p.filter(part).write.mode("append").parquet(source)
         stream = spark.readStream.schema(p.schema).parquet(source)
         jobs.start(stream, jobs.upsert_sink(out), progress, available_now=True).awaitTermination()
     return sinks.read_versions(spark, out, p.schema).groupBy("run", "batch").agg(F.count("*").alias("posts"))

@@ -22,13 +22,13 @@ DESCRIPTION_OPEN = r'<div\b[^>]*class="[^"]*\bshow-more-less-html__markup\b[^"]*
 
 _LIST = r"(?s)<ul\b[^>]*>(.*?)</ul>"
 _ITEM = r"(?s)<li\b[^>]*>(.*?)</li>"
-_NOT_TEXT = r"(?is)<(?:!--.*?-->|script\b.*?</script>|style\b.*?</style>|[^>]+>)"
+_NOT_TEXT = r"(?is)<(?:!--.*?-->|script\b.*?</script>|style\b.*?</style>|[a-z/!?][^>]*>)"
 
 # Named character references of HTML 5, the frequent ones first.
 _COMMON = ["amp", "lt", "gt", "quot", "apos", "nbsp"]
 _NAMES = _COMMON + sorted(n[:-1] for n in html5 if n.endswith(";") and n[:-1] not in _COMMON)
 ENTITIES = {name: html5[f"{name};"] for name in _NAMES}
-_REFERENCE = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
+_REFERENCE = r"^(#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);"
 
 
 def _character(code) -> Column:
@@ -98,11 +98,15 @@ def html_descendant_text(c, outer, inner) -> Column:
 
 
 def html_attr(c, tag, attr) -> Column:
-    """An attribute of the first ``tag``; NULL when the tag lacks it or it is empty."""
+    """An attribute of the first ``tag``; NULL when the tag lacks it or it is empty.
+
+    Names are matched in any case, values with either quote or none.
+    """
+    value = rf"""(?i)\s{attr}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
     return let(
-        F.coalesce(F.regexp_extract(col(c), rf"<{tag}\b[^>]*>", 0), F.lit("")),
+        F.coalesce(F.regexp_extract(col(c), rf"(?i)<{tag}\b[^>]*>", 0), F.lit("")),
         lambda element: F.when(element == "", "").otherwise(
-            _null_if_empty(unescape(F.regexp_extract(element, rf'\b{attr}="([^"]*)"', 1)))
+            _null_if_empty(unescape(F.regexp_replace(F.regexp_extract(element, value, 1), "^[\"']|[\"']$", "")))
         ),
     )
 

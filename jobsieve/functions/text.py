@@ -83,5 +83,9 @@ def set_query_param(c, name, value) -> Column:
         ),
         lambda p: p.isNotNull(),
     )
+    # Parameters of one name stand together, at the place of the first.
+    kept = F.flatten(
+        F.transform(F.array_distinct(F.transform(kept, key)), lambda n: F.filter(kept, lambda p: key(p) == n))
+    )
     kept = F.when(first > 0, kept).otherwise(F.concat(kept, F.array(pair)))
     return F.concat(base, F.lit("?"), F.array_join(kept, "&"), fragment)

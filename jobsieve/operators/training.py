@@ -117,11 +117,11 @@ def encode_sequences(
 
 
 def pad_sequences(
-    df: DataFrame, split_col="split", splits=("train", "val"), pad_id=0, sequences=None
+    df: DataFrame, split_col="split", pad_id=0, sequences=None
 ) -> DataFrame:
-    """Pad the three arrays to the longest sequence of their split.
+    """Pad the three arrays to the longest sequence of their split, whatever splits there are.
 
-    One aggregate row holds the maximum of every split, so the sequences are not shuffled.
+    One row per split holds its maximum; the optimizer sends those to the sequences.
     ``sequences`` may name the frame ``df`` was encoded from; the lengths are then taken from its
     tokens and nothing is encoded twice.
     """
@@ -129,15 +129,17 @@ def pad_sequences(
         sizes, size = df, F.size("input_ids")
     else:
         sizes, size = sequences, F.size("tokens") + 2
-    longest = {s: sizes.agg(F.max(F.when(F.col(split_col) == s, size))).scalar() for s in splits}
-    length = F.coalesce(*[F.when(F.col(split_col) == s, n) for s, n in longest.items()])
-    return df.withColumns(
+    longest = sizes.groupBy(F.col(split_col).alias("_split")).agg(F.max(size).alias("_length"))
+    joined = df.join(longest, F.col(split_col).eqNullSafe(F.col("_split")))
+    length = F.col("_length")
+    padded = joined.withColumns(
         {
             "input_ids": pad_to("input_ids", length, pad_id),
             "attention_mask": pad_to("attention_mask", length, 0),
             "labels": pad_to("labels", length, IGNORED_LABEL_ID),
         }
     )
+    return padded.select(*df.columns)
 
 
 def argmax_labels(df: DataFrame, scores="scores", out="pred_ids") -> DataFrame:

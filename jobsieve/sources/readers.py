@@ -38,9 +38,16 @@ def read_landing_stream(spark: SparkSession, directory, schema=POST, **options)
     return spark.readStream.schema(schema).options(**options).json(directory)
 
 
-def read_posts_json(spark: SparkSession, path, schema=POST) -> DataFrame:
-    """Posts from JSON documents that hold one object or an array of objects."""
-    return spark.read.schema(schema).option("multiLine", True).json(path)
+def read_posts_json(spark: SparkSession, path, schema=POST, lines=False) -> DataFrame:
+    """Posts from JSON documents that hold one object or an array of objects.
+
+    With ``lines`` every line of a file is such a document, and files are split between tasks; this is what
+    ``write_posts_json`` and the job ``pages`` write. Without it, a file is one document, read by one task.
+    """
+    if not lines:
+        return spark.read.schema(schema).option("multiLine", True).json(path)
+    parsed = F.from_json("value", T.ArrayType(schema))  # a single object is an array of one
+    return spark.read.text(path).filter(F.trim("value") != "").select(F.explode(parsed).alias("post")).select("post.*")
 
 
 def read_labelled_tokens(spark: SparkSession, path, glob="*.json"):

@@ -86,7 +86,7 @@ def dedupe_stream(df: DataFrame, key="Job_ID", column="Description", salt=8, ttl
 
     Keys are kept in the state store. Repeats of a hot key are first dropped per (key, salt),
     spread over ``salt`` tasks, so that only a handful ever meet at the final stage. Which of
-    several posts in one micro-batch is first is not defined; ``dedupe_batches`` is exact there.
+    several posts in one micro-batch is first is not defined; ``ingest_sink`` is exact there.
     With ``ttl`` and ``event_time`` keys are forgotten after that time.
     """
     df = require_non_empty(df, column)

@@ -215,7 +215,8 @@ def test_html_absent_and_blank(spark):
     assert one(spark, html.html_nth_item("h", 1), h=page) == "A"
     assert one(spark, html.html_nth_item("h", 2), h=page) is None
     assert one(spark, html.html_nth_item("h", 3), h=page) == ""
-    assert one(spark, html.html_attr("h", "time", "datetime"), h="<time datetime='x'>") is None
+    assert one(spark, html.html_attr("h", "time", "datetime"), h="<time title='x'>") is None
+    assert one(spark, html.html_attr("h", "time", "datetime"), h="<time datetime='x'>") == "x"
     assert one(spark, html.html_attr("h", "time", "datetime"), h='<p><time a="b" datetime="2024-01-02">') == "2024-01-02"
     assert one(spark, html.html_attr("h", "time", "datetime"), h="<p>") == ""
 

@@ -114,3 +114,39 @@ def test_dates(spark):
     good, bad = clean.validate_dates(df)
     assert sorted(str(r[0]) for r in good.collect()) == ["2024-01-31", "None"]
     assert sorted(r[0] for r in bad.select(F.col("Pubblication_date")).collect()) == ["", "2024-13-01", "x"]
+
+
+def test_json_lines_keep_every_post(spark, tmp_path):
+    from jobsieve.schemas import POST
+    from jobsieve.sources.readers import read_posts_json
+    from jobsieve.sources.sinks import write_posts_json
+
+    posts = spark.createDataFrame([[str(i)] * len(POST) for i in range(10)], POST)
+    write_posts_json(posts.coalesce(1), str(tmp_path / "p"))
+    assert read_posts_json(spark, str(tmp_path / "p"), lines=True).count() == 10
+    (tmp_path / "a.json").write_text('[{"Job_ID": "1"}, {"Job_ID": "2"}]\n{"Job_ID": "3"}\n\n')
+    assert {r.Job_ID for r in read_posts_json(spark, str(tmp_path / "a.json"), lines=True).collect()} == {"1", "2", "3"}
+
+
+def test_html_and_url_faults(spark):
+    from pyspark.sql import functions as F
+
+    from jobsieve.functions import html, text
+
+    def value(column, s):
+        return spark.createDataFrame([(s,)], "c string").select(column.alias("v")).first().v
+
+    assert value(html.text_of("c"), "5 < 6 years and 7 > 3 <b>x</b>&#x000020AC;") == "5 < 6 years and 7 > 3 x€"
+    assert value(html.html_attr("c", "time", "datetime"), "<TIME data-datetime='a' DateTime='b'>") == "b"
+    assert value(html.html_attr("c", "a", "href"), "<a class=k href=/x>") == "/x"
+    assert value(text.set_query_param("c", "z", F.lit("1")), "http://h/?a=1&b=2&a=3") == "http://h/?a=1&a=3&b=2&z=1"
+
+
+def test_any_split_is_padded(spark):
+    from jobsieve.operators.training import pad_sequences
+
+    df = spark.createDataFrame(
+        [("test", [1], [1], [1]), ("test", [1, 2], [1, 1], [1, 1]), (None, [1], [1], [1])],
+        "split string, input_ids array<int>, attention_mask array<int>, labels array<int>",
+    )
+    assert sorted(len(r.input_ids) for r in pad_sequences(df).collect()) == [1, 2, 2]
