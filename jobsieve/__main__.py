@@ -3,7 +3,7 @@
 import argparse
 
 from .operators import insights, training
-from .operators.clean import drop_fields, require_non_empty
+from .operators.clean import drop_fields
 from .plans.enrich import enrich_posts, extract_flat
 from .plans.ingest import posts_from_pages
 from .schemas import ENRICHED_POST
@@ -37,27 +37,36 @@ def pages(spark, args):
 
 
 def ingest(spark, args):
-    events = readers.read_landing_stream(spark, args.source)
+    raw = "malformed"
+    events = readers.read_landing_stream(spark, args.source, raw=raw)
     if args.brokers:
         forward = jobs.topic_sink(args.topic, **{"kafka.bootstrap.servers": args.brokers})
     else:
         forward = jobs.payload_version_sink(args.topic)
     if args.state_store:
-        stream = jobs.dedupe_stream(drop_fields(events))
+        stream = jobs.dedupe_stream(drop_fields(events).drop(raw).filter("Job_ID IS NOT NULL"))
         sink = jobs.fan_out([jobs.upsert_sink(args.table), forward])
         jobs.start(stream, sink, args.progress, args.run, args.available_now).awaitTermination()
         return
-    # Posts carry no arrival number of their own; the file they came in and its time give the order.
-    arrived = events.selectExpr("*", "_metadata.file_modification_time AS arrived", "_metadata.file_path AS file")
-    order = ["arrived", "file", "Pubblication_date", "Description"]
-    sink = jobs.ingest_sink(args.table, arrived.schema, order=order, forward=[lambda b, i, r: forward(b.drop("arrived", "file"), i, r)])
-    jobs.start(require_non_empty(arrived), sink, args.progress, args.run, args.available_now).awaitTermination()
+    # Posts carry no arrival number of their own; the time of their file and their place in it give the order.
+    place = {"arrived": "file_modification_time", "file": "file_path", "block": "file_block_start"}
+    arrived = events.selectExpr("*", *[f"_metadata.{source} AS {name}" for name, source in place.items()])
+    sink = jobs.ingest_sink(
+        args.table,
+        arrived.drop(raw).schema,
+        order=list(place),
+        forward=[lambda b, i, r: forward(b.drop(*place), i, r)],
+        quarantine=args.quarantine or f"{args.table.rstrip('/')}-quarantine",
+        raw=raw,
+    )
+    jobs.start(arrived, sink, args.progress, args.run, args.available_now).awaitTermination()
 
 
 def enrich(spark, args):
     query = jobs.run_stream(
-        _payloads(spark, args), args.table, args.progress, _dictionaries(spark, args), args.run, args.available_now
-    )
+        _payloads(spark, args), args.table, args.progress, _dictionaries(spark, args), args.run, args.available_now,
+        quarantine=args.quarantine or f"{args.table.rstrip('/')}-quarantine",
+    )
     query.awaitTermination()
 
 
@@ -74,6 +83,7 @@ def enrich_files(spark, args):
 def report(spark, args):
     state = sinks.merge_by_key(sinks.read_versions(spark, args.table, ENRICHED_POST))
     chosen = insights.facet(state, dict(f.split("=", 1) for f in args.filter))
+    chosen = chosen.persist()
     insights.top_skills(chosen, args.k).write.mode("overwrite").json(f"{args.out}/top_skills")
     for column in ("Title", "Industry_type"):
         insights.skills_by(chosen, column, args.k).write.mode("overwrite").json(f"{args.out}/by_{column}")
@@ -116,6 +126,7 @@ def main(argv=None, spark=None):
         p.add_argument("--brokers", help="Kafka brokers; without them folders are used")
         p.add_argument("--run", type=int, default=0, help="a new number replays everything")
         p.add_argument("--available-now", action="store_true", help="stop when the source is read")
+        p.add_argument("--quarantine", help="folder of malformed input and rows without a key, by default beside the table")
 
     command(pages, "listings", "details", "out")
     p = command(ingest, "source", "table", "topic", "progress")

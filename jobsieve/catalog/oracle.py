@@ -168,9 +168,10 @@ def conll_spans(rows, key, label, token="token"):
 _GLUED = r"regexp_replace(replace(tokens, ' ##', ''), '^\s+|\s+$', '', 'g')"
 
 OLD_NEW = f"""{POSTS},
-keyed AS (SELECT * REPLACE (CAST(doc_id AS VARCHAR) AS Job_ID, CASE WHEN arrival % 6 <> 5 THEN Location END AS Location) FROM posts),
-o AS (SELECT * FROM keyed WHERE scrape = 0 AND arrival % 10 <> 0),
-n AS (SELECT * FROM keyed WHERE scrape = 1 AND arrival % 14 <> 1)"""
+keyed AS (SELECT * REPLACE (CASE WHEN arrival % 10 = 0 THEN 'old-' WHEN arrival % 14 = 1 THEN 'new-' ELSE '' END
+  || CAST(doc_id AS VARCHAR) AS Job_ID, CASE WHEN arrival % 6 <> 5 THEN Location END AS Location) FROM posts),
+o AS (SELECT * FROM keyed WHERE scrape = 0),
+n AS (SELECT * FROM keyed WHERE scrape = 1)"""
 
 _UPSERTED = f"""WITH {OLD_NEW}
 SELECT coalesce(n.Job_ID, o.Job_ID) AS Job_ID, coalesce(n.arrival, o.arrival) AS arrival,
@@ -410,7 +411,7 @@ SELECT issue, a.term, detail, count(m.arrival) AS posts FROM audit a LEFT JOIN m
 '##' || Title AS bare, lower(Company_name) AS lowered, split_part(Company_name, ' ', 2) AS part, Title AS decoded FROM posts""",
     "f_array_functions": """SELECT vec_id, CAST(list_position(embedding, list_max(embedding)) - 1 AS INTEGER) AS argmax,
 array_to_string(list_sort(list_distinct(ints)), '|') AS levels,
-array_to_string(ints[1:3], '|') || '|-100|-100|-100' AS padded, list_contains(ints, 0) AS has_zero
+array_to_string(ints, '|') || '|-100|-100|-100' AS padded, list_contains(ints, 0) AS has_zero
 FROM (SELECT vec_id, embedding, list_transform(embedding, lambda x: CAST(floor(x * 10) AS INTEGER)) AS ints FROM embeddings)""",
     "r1_enrich_stream": _STREAMED,
     "r2_dedupe_stream": f"WITH {POSTS} SELECT Job_ID, CAST(1 AS BIGINT) AS posts FROM posts WHERE Description <> '' GROUP BY Job_ID",

@@ -2,6 +2,7 @@
 
 import json
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from ..functions import arrays, html, text
@@ -165,12 +166,12 @@ def s7_taxonomy_usage(spark, sf):
 
 
 def _old_and_new(spark, sf):
-    """First scrapes as the table, full posts as the new rows; keyed by document."""
-    p = inputs.posts(spark, sf).withColumn("Job_ID", F.floor(F.col("arrival") / 2).cast("string"))
-    p = p.withColumn("Location", F.when(F.col("arrival") % 6 != 5, F.col("Location")))
-    old = p.filter("arrival % 2 = 0").filter("arrival % 10 != 0")
-    new = p.filter("arrival % 2 = 1").filter("arrival % 14 != 1")
-    return old, new
+    """First scrapes as the table, full posts as the new rows; keyed by document, some by a key of their own."""
+    a, doc = F.col("arrival"), F.floor(F.col("arrival") / 2).cast("string")
+    only = F.when(a % 10 == 0, "old-").when(a % 14 == 1, "new-").otherwise("")
+    p = inputs.posts(spark, sf).withColumn("Job_ID", F.concat(only, doc))
+    p = p.withColumn("Location", F.when(a % 6 != 5, F.col("Location")))
+    return p.filter("arrival % 2 = 0"), p.filter("arrival % 2 = 1")
 
 
 @query
@@ -472,25 +473,22 @@ def x1_lexicon_hits(spark, sf):
 def x2_custom_labeler(spark, sf):
     """A labeller of the user's own: a vectorised function over batches of texts."""
     out = extract.extract_skills(
-        inputs.posts(spark, sf), "arrival", "Description", labeler=_length_labeler
+        inputs.posts(spark, sf), "Job_ID", "Description", labeler=_length_labeler
     )
     return out.select("arrival", joined("skills").alias("skills"))
 
 
-def _length_labeler(texts):
+def _length_labeler(text):
     """Stands for a model: words of 15 letters or more open a span, 12 to 14 continue it."""
 
-    def label(batches):
-        for batch in batches:
-            words = batch.assign(token=batch["Description"].str.split()).explode("token")
-            words["pos"] = words.groupby(level=0).cumcount()
-            size = words["token"].str.len()
-            words["label"] = "O"
-            words.loc[size >= 12, "label"] = "I-SKILL"
-            words.loc[size >= 15, "label"] = "B-SKILL"
-            yield words[["arrival", "pos", "token", "label"]]
+    def label(word):
+        return "B-SKILL" if len(word) >= 15 else "I-SKILL" if len(word) >= 12 else "O"
 
-    return texts.mapInPandas(label, "arrival bigint, pos bigint, token string, label string")
+    @F.pandas_udf("array<struct<token:string,label:string>>")
+    def labelled(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: [{"token": w, "label": label(w)} for w in (t or "").split()])
+
+    return labelled(text)
 
 
 @query
@@ -656,7 +654,7 @@ def f_array_functions(spark, sf):
         "vec_id",
         arrays.argmax("embedding").alias("argmax"),
         joined(F.sort_array(F.array_distinct(ints)).cast("array<string>")).alias("levels"),
-        joined(arrays.pad_to(F.slice(ints, 1, 3), F.lit(6), -100).cast("array<string>")).alias("padded"),
+        joined(arrays.pad_to(ints, F.size(ints) + 3, -100).cast("array<string>")).alias("padded"),
         F.array_contains(ints, 0).alias("has_zero"),
     )
 

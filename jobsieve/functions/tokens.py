@@ -44,8 +44,8 @@ def normalise_term(term):
 
 
 def matchable_terms(terms):
-    """Distinct terms that tokenising leaves as they are; no text can contain the others."""
-    return sorted({t for t in terms if t and normalise_term(t) == t})
+    """Distinct lower-cased terms that tokenising leaves whole; no text can contain the others."""
+    return sorted({t.lower() for t in terms if t and normalise_term(t) == t.lower()})
 
 
 def _escaped(ch):

@@ -27,10 +27,12 @@ def flag_blank(df: DataFrame, column="Description") -> DataFrame:
     return df.withColumns({"is_empty": is_empty(column), "is_blank": is_blank(column)})
 
 
-def decode_payload(df: DataFrame, schema=POST, value_col="value") -> DataFrame:
-    """Binary or string JSON to typed columns; malformed input gives an all-NULL row."""
-    decoded = df.select(F.from_json(F.col(value_col).cast("string"), schema).alias("data"))
-    return expand_struct(decoded, "data")
+def decode_payload(df: DataFrame, schema=POST, value_col="value", keep=()) -> DataFrame:
+    """Binary or string JSON to typed columns; malformed input gives an all-NULL row.
+
+    Columns named in ``keep`` stay in front, such as the raw value or the offset.
+    """
+    return df.select(*keep, F.from_json(F.col(value_col).cast("string"), schema).alias("data")).select(*keep, "data.*")
 
 
 def expand_struct(df: DataFrame, column) -> DataFrame:

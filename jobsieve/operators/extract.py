@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import is_blank, let
-from ..functions.tokens import lexicon_pattern, mentions, span_text, tagged_tokens, tokens, truncate
+from ..functions.tokens import decode_tagged, lexicon_pattern, mentions, span_text, tagged_tokens, tokens, truncate
 from ..schemas import SPECIAL_TOKENS
 
 # Positions per piece of a document in the relational decoder.
@@ -33,15 +33,18 @@ def label_tokens(df: DataFrame, doc, text, lexicon) -> DataFrame:
     return rows.filter("_t IS NOT NULL").select(doc, "pos", "_t.token", "_t.label")
 
 
-def lexicon_hits(df: DataFrame, doc, text, lexicon: DataFrame, max_words=4) -> DataFrame:
+def lexicon_hits(df: DataFrame, doc, text, lexicon: DataFrame, max_words=None) -> DataFrame:
     """Rows (doc, pos, n, term): every mention not strictly inside a longer one.
 
-    For a lexicon of any size, one ``term`` column; mentions may overlap here. Tokens meet the
+    For a lexicon of any size, one ``term`` column in any case; mentions may overlap here. Tokens meet the
     first words of the terms, and only those that match form n-grams, inside the row, to meet the
     whole terms. Containment is settled per exact place, so texts are read once, only hits are
-    shuffled, and nothing is gathered per document.
+    shuffled, and nothing is gathered per document. ``max_words`` is the length of the longest term, counted
+    where it is not given.
     """
-    terms = lexicon.select("term").distinct()
+    terms = lexicon.select(F.lower("term").alias("term")).filter("term <> ''").distinct()
+    if max_words is None:
+        max_words = terms.agg(F.max(F.size(F.split("term", " ")))).first()[0] or 1
     firsts = terms.select(F.substring_index("term", " ", 1).alias("first")).distinct()
 
     def windows(words):
@@ -149,21 +152,20 @@ def extract_skills(df: DataFrame, key, text, lexicon=None, labeler=None, out="sk
     """Add the sorted set of skills named in a text; ``[]`` for a blank text.
 
     By default mentions of ``lexicon`` terms are found inside the row. ``labeler`` is a function
-    from rows (key, text) to rows (key, pos, token, label), such as a ``mapInPandas`` around a
-    trained model; its spans are decoded and joined back by the unique ``key``.
+    from a text column to a column array<struct<token,label>>, such as a ``pandas_udf`` around a
+    trained model; its spans are decoded inside the row too, so repeated keys do no harm and streams
+    can use it. A NULL array names no skill.
     """
     empty = F.array().cast("array<string>")
     if labeler is None:
         source = F.col(text)
         if max_tokens is not None:
             source = F.array_join(truncate(tokens(text), max_tokens), " ")
-        found = F.sort_array(F.array_distinct(mentions(source, lexicon_pattern(lexicon))))
-        return df.withColumn(out, F.when(is_blank(text), empty).otherwise(found))
-    texts = df.filter(~is_blank(text)).select(key, text)
-    labelled = truncate_tokens(labeler(texts), max_tokens)
-    sets = (
-        span_texts(decode_bio(labelled, key))
-        .groupBy(key)
-        .agg(F.sort_array(F.collect_set("span")).alias(out))
-    )
-    return df.join(sets, key, "left").withColumn(out, F.coalesce(out, empty))
+        found = mentions(source, lexicon_pattern(lexicon))
+    else:
+        # The labels become a column first: inside the decoder they would be computed once per use.
+        df = df.withColumn("_tagged", truncate(labeler(F.col(text)), max_tokens))
+        spans = F.transform(decode_tagged("_tagged"), lambda s: span_text(s))
+        found = F.coalesce(F.filter(spans, lambda s: s != ""), empty)
+    found = F.sort_array(F.array_distinct(found))
+    return df.withColumn(out, F.when(is_blank(text), empty).otherwise(found)).drop("_tagged")

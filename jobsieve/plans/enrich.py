@@ -18,7 +18,7 @@ def normalize_posts(df: DataFrame, dicts: Dictionaries) -> DataFrame:
 def enrich_posts(df: DataFrame, dicts=None, labeler=None, key="Job_ID", max_tokens=None) -> DataFrame:
     """Posts with normalised title and the Skills struct instead of the Description.
 
-    Without a custom ``labeler`` the plan has no shuffle, so batch and streaming share it.
+    The plan has no shuffle, with a custom ``labeler`` too, so batch and streaming share it.
     """
     dicts = dicts or Dictionaries()
     posts = normalize_posts(df, dicts)

@@ -33,8 +33,14 @@ def read_posts_stream(spark: SparkSession, source, options=None, fmt="kafka", sc
     return reader.schema(schema).options(**(options or {})).load(source)
 
 
-def read_landing_stream(spark: SparkSession, directory, schema=POST, **options) -> DataFrame:
-    """Unbounded JSON events from files that arrive in a directory, one event per line."""
+def read_landing_stream(spark: SparkSession, directory, schema=POST, raw=None, **options) -> DataFrame:
+    """Unbounded JSON events from files that arrive in a directory, one event per line.
+
+    ``raw`` names a column for lines that are no such event, kept as they came.
+    """
+    if raw:
+        schema = T.StructType([*schema.fields, T.StructField(raw, T.StringType())])
+        options = {"columnNameOfCorruptRecord": raw, **options}
     return spark.readStream.schema(schema).options(**options).json(directory)
 
 

@@ -70,9 +70,11 @@ def merge_by_key(versions: DataFrame, key="Job_ID", order=()) -> DataFrame:
     """State of a table that is upserted by key: per leaf, the last value that is not NULL.
 
     Structs merge field by field and arrays are replaced whole. One aggregation, combined
-    map-side, gives all leaves.
+    map-side, gives all leaves. Of rows that tie on version and ``order`` one wins by its content, with all
+    its leaves, whatever order the rows come in.
     """
-    newest = F.struct(*[F.col(c) for c in [*VERSION, *order]])
+    content = F.xxhash64(*[F.col(c) for c in versions.columns if c not in VERSION])
+    newest = F.struct(*[F.col(c) for c in [*VERSION, *order]], content.alias("_content"))
     leaves = _leaves(versions.drop(*VERSION).schema, key)
     merged = versions.groupBy(key).agg(
         *[

@@ -8,7 +8,7 @@ from ..operators.clean import decode_payload, drop_fields, require_non_empty, sp
 from ..operators.dedupe import dedupe_first, reject_known
 from ..plans.enrich import enrich_posts
 from ..schemas import POST
-from ..sources.sinks import append_version, read_versions, to_payload, write_topic
+from ..sources.sinks import append_version, merge_by_key, read_versions, to_payload, write_topic
 
 
 # Keys of one micro-batch that may be broadcast; above that the lookup is a shuffled join.
@@ -70,15 +70,37 @@ def fan_out(sinks):
     return write
 
 
-def enrich_stream(payloads: DataFrame, dicts=None, schema=POST) -> DataFrame:
+def enrich_stream(payloads: DataFrame, dicts=None, schema=POST, labeler=None) -> DataFrame:
     """Payload rows to enriched posts; payloads without a Job_ID are left out."""
     good, _ = split_quarantine(decode_payload(payloads, schema))
-    return enrich_posts(good, dicts)
+    return enrich_posts(good, dicts, labeler)
 
 
-def run_stream(payloads, table, checkpoint, dicts=None, run=0, available_now=False):
-    """The enrichment job: decode, normalise, extract, categorise, upsert by key."""
-    return start(enrich_stream(payloads, dicts), upsert_sink(table), checkpoint, run, available_now)
+def run_stream(
+    payloads, table, checkpoint, dicts=None, run=0, available_now=False, labeler=None, quarantine=None, key="Job_ID",
+    order=(),
+):
+    """The enrichment job: decode, normalise, extract, categorise, upsert by key.
+
+    Updates of one key in a micro-batch are merged in the source's ``order`` (columns of the payload rows, by default
+    the offset where the source has one). Payloads that do not decode, or have no key, are kept as they came
+    in the folder ``quarantine`` where one is given.
+    """
+    order = list(order) or [c for c in ("offset", "partition") if c in payloads.columns]
+
+    def write(batch, batch_id, run):
+        batch = batch.select("value", *order).persist()
+        try:
+            good, bad = split_quarantine(decode_payload(batch, keep=["value", *order]), [key])
+            if quarantine:
+                append_version(bad.select(F.col("value").cast("string")), quarantine, batch_id, run)
+            rich = enrich_posts(good.drop("value"), dicts, labeler, key)
+            versions = rich.withColumns({"run": F.lit(0), "batch": F.lit(0)})
+            append_version(merge_by_key(versions, key, order).drop(*order), table, batch_id, run)
+        finally:
+            batch.unpersist()
+
+    return start(payloads, write, checkpoint, run, available_now)
 
 
 def dedupe_stream(df: DataFrame, key="Job_ID", column="Description", salt=8, ttl=None, event_time=None) -> DataFrame:
@@ -103,9 +125,12 @@ def dedupe_with_table(batch: DataFrame, table: DataFrame, key="Job_ID", order="a
     return reject_known(dedupe_first(drop_fields(batch), key, order, column), table, key, column)
 
 
-def ingest_sink(table, schema, key="Job_ID", order="arrival", column="Description", forward=()):
+def ingest_sink(table, schema, key="Job_ID", order="arrival", column="Description", forward=(), quarantine=None, raw=None):
     """A ``write_batch`` for the ingest job: dedupe against the table, store, forward.
 
+    Rows that tie in ``order`` come in the order of their places in the source. Rows without a key, malformed lines among
+    them, are no posts; they go to the folder ``quarantine`` where one is given, with the malformed line in ``raw``.
+
     Stored rows are partitioned by whether they have a Description, so the lookup of known keys
     reads the key column of one partition only. A repeated micro-batch ignores its own earlier
     output, so repeating it gives the same result.
@@ -117,7 +142,13 @@ def ingest_sink(table, schema, key="Job_ID", order="arrival", column="Descriptio
         # Seeded rows carry a negative batch number and belong to every run.
         earlier = stored.filter((F.col("batch") < 0) | ((F.col("run") == run) & (F.col("batch") < batch_id)))
         known = earlier.filter("has_text").select(key)
-        first = dedupe_first(drop_fields(batch), key, order, column).persist()
+        good, bad = split_quarantine(drop_fields(batch), [key])
+        if quarantine:
+            append_version(bad, quarantine, batch_id, run)
+        # Taken before any shuffle, the number follows the place in the source.
+        good = (good.drop(raw) if raw else good).withColumn("_place", F.monotonically_increasing_id())
+        by = [order] if isinstance(order, str) else list(order)
+        first = dedupe_first(good, key, [*by, "_place"], column).drop("_place").persist()
         try:
             # With few new keys the stored ones are filtered where they are read, not shuffled.
             if first.count() <= MAX_BROADCAST_KEYS:

@@ -94,3 +94,28 @@ def test_bulk_ingest_does_not_depend_on_partitioning(spark):
         assert [r.Description for r in ingest_batch(df.repartition(n)).collect()] == ["a1"]
     known = spark.createDataFrame([("1", "z")], "Job_ID string, Description string")
     assert ingest_batch(df, known).count() == 0
+
+
+def test_ingest_keeps_the_first_line_and_sets_bad_lines_aside(spark, tmp_path):
+    at = lambda n: str(tmp_path / n)
+    (tmp_path / "landing").mkdir()
+    keyless = [{k: v for k, v in post(Description=d).items() if k != "Job_ID"} for d in ("a", "b")]
+    events = [
+        post(Job_ID="1", Description="first in file", Pubblication_date="2024-05-01"),
+        post(Job_ID="1", Description="second in file", Pubblication_date="2024-01-01"),
+        *keyless,
+    ]
+    (tmp_path / "landing" / "a.json").write_text("\n".join([*map(json.dumps, events), "{broken"]))
+    main(["ingest", "--source", at("landing"), "--table", at("t"), "--topic", at("o"), "--progress", at("p"), "--available-now"], spark)
+    assert [r.Description for r in sinks.read_versions(spark, at("t"), POST).collect()] == ["first in file"]
+    bad = spark.read.parquet(at("t-quarantine"))
+    assert sorted((r.Description or "", r.malformed or "") for r in bad.collect()) == [("", "{broken"), ("a", ""), ("b", "")]
+
+
+def test_enrich_job_keeps_undecodable_payloads(spark, tmp_path):
+    at = lambda n: str(tmp_path / n)
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.txt").write_text("not json\n" + json.dumps(post(Job_ID="1", Description="Java")))
+    main(["enrich", "--source", at("in"), "--table", at("t"), "--progress", at("p"), "--available-now"], spark)
+    assert [r.value for r in spark.read.parquet(at("t-quarantine")).collect()] == ["not json"]
+    assert [r.Job_ID for r in sinks.read_versions(spark, at("t"), ENRICHED_POST).collect()] == ["1"]

@@ -179,11 +179,28 @@ def test_random_lexicons(spark):
 def test_custom_labeler_equals_lexicon(spark, texts):
     lexicon = Dictionaries().lexicon()
     df = spark.createDataFrame(texts, "d int, t string")
-    own = extract.extract_skills(df, "d", "t", labeler=lambda x: extract.label_tokens(x, "d", "t", lexicon))
+    own = extract.extract_skills(df, "d", "t", labeler=lambda text: tagged_tokens(text, lexicon_pattern(lexicon)))
     built_in = extract.extract_skills(df, "d", "t", lexicon)
     assert {r.d: r.skills for r in own.collect()} == {r.d: r.skills for r in built_in.collect()}
 
 
+def test_custom_labeler_on_repeated_keys(spark):
+    df = spark.createDataFrame([("k", "java spring"), ("k", "sql python")], "Job_ID string, t string")
+    labeler = lambda text: tagged_tokens(text, lexicon_pattern(["java spring", "sql"]))
+    out = extract.extract_skills(df, "Job_ID", "t", labeler=labeler)
+    assert {r.t: r.skills for r in out.collect()} == {"java spring": ["java spring"], "sql python": ["sql"]}
+    assert "Exchange" not in plan_of(out)
+
+
+def test_terms_of_any_case_and_length(spark):
+    terms = ["a b c d e", "PostgreSQL", "Apache Kafka"]
+    df = spark.createDataFrame([(1, "x a b c d e, postgresql on Apache  Kafka")], "d int, t string")
+    hits = extract.lexicon_hits(df, "d", "t", spark.createDataFrame([(t,) for t in terms], "term string"))
+    found = sorted(r.term for r in hits.collect())
+    assert found == ["a b c d e", "apache kafka", "postgresql"]
+    assert sorted(df.select(mentions("t", lexicon_pattern(terms))).first()[0]) == found
+
+
 def test_lexicon_size_is_checked():
     with pytest.raises(ValueError, match="exceed"):
         lexicon_pattern([f"term{i}" for i in range(6000)])

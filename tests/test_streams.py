@@ -1,10 +1,12 @@
 """Streaming results equal batch results; repeats and replays change nothing."""
 
+import json
 from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
+from jobsieve.functions.tokens import lexicon_pattern, tagged_tokens
 from jobsieve.operators import clean, dedupe
 from jobsieve.plans.enrich import enrich_posts
 from jobsieve.schemas import POST, POST_FIELDS
@@ -146,3 +148,24 @@ def test_dedupe_with_table(spark):
     out = jobs.dedupe_with_table(batch, table)
     assert [r.Job_ID for r in out.collect()] == ["2"] and "host" not in out.columns
     assert dedupe.overwrite_by_key(out.drop("arrival"), table).count() == 2
+
+
+def test_merge_does_not_depend_on_row_order(spark):
+    data = [("1", "new title", "x", 0, 0), ("1", "old title", None, 0, 0)]
+    got = set()
+    for rows_in in (data, data[::-1]):
+        df = spark.createDataFrame(rows_in, "Job_ID string, Title string, Location string, run long, batch long")
+        got.add(str(sinks.merge_by_key(df.coalesce(1)).collect()))
+    assert len(got) == 1
+
+
+def test_stream_merges_updates_of_a_key_in_offset_order(spark, folders):
+    source, table, progress, _ = folders
+    title = lambda t, place: {**dict.fromkeys(POST_FIELDS), "Job_ID": "1", "Title": t, "Location": place}
+    data = [(2, json.dumps(title("last", None))), (1, json.dumps(title("first", "rome")))]
+    df = spark.createDataFrame(data, "offset long, value string")
+    df.coalesce(1).write.parquet(source)
+    labeler = lambda text: tagged_tokens(text, lexicon_pattern(["java"]))
+    stream = spark.readStream.schema(df.schema).parquet(source)
+    jobs.run_stream(stream, table, progress, available_now=True, labeler=labeler).awaitTermination()
+    assert [(r.Title, r.Location) for r in spark.read.parquet(table).collect()] == [("last", "rome")]
