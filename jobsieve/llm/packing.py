@@ -6,6 +6,7 @@ or two for one, wherever that raises the sum of squared fills, so that full bins
 run empty. What stays underfull in a group is dealt again over far fewer groups.
 """
 
+import re
 import zlib
 from bisect import bisect_left, insort
 
@@ -13,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from .common import batch_of, rows_of, stored, text_bytes
+from .common import batch_of, stored, text_bytes
 
 LENGTH = 4096
 END_ID = 1
@@ -36,55 +37,81 @@ PIECE = pa.schema(
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, deal bigint"
 
 
-#: How byte-level vocabularies write bytes: printable ones as they are, the others from U+0100 on.
-_PRINTED = {*range(33, 127), *range(161, 173), *range(174, 256)}
-_BYTE_ALPHABET = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTED)}
+#: What every chunk of plain characters consists of; each part is encoded for itself.
+_PART = re.compile(r"[A-Za-zÀ-ÖØ-öø-įı-ž]+|[0-9]|[!-&(-/:-@\[-`{-~]+")
+_PLAIN = re.compile(r"[0-9A-Za-zÀ-ÖØ-öø-įı-ž!-&(-/:-@\[-`{-~]+")
 
 
-class ChunkIds(dict):
-    """Token ids of chunks without white space; the tokenizer never looks across white space."""
+class ChunkIds:
+    """Token ids of chunks without white space; the tokenizer never looks across white space.
+
+    Chunks of Latin letters, digits and ASCII marks are encoded part by part, many new parts in one string: a part's
+    ids end with the only one that closes a word. Others are encoded one by one.
+    """
 
     def __init__(self, tokenizer, bound=1_000_000):
-        super().__init__()
-        self.tokenizer, self.bound = tokenizer, bound
-        self.plain_words = all(self._plain(w) for w in ("The", "Größe", "Élève", "señor", "ſ", "x"))
-        self.clear()
-
-    def _plain(self, word):
-        """Whether the short way gives the same ids as the tokenizer."""
-        self.plain_words = True
-        self._encode([word.encode()])
-        return self[word.encode()] == np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def _encode(self, chunks):
-        model, hard = self.tokenizer.model, []
+        self.tokenizer, self.bound, self.known, self.parts = tokenizer, bound, {}, {}
+        suffix = getattr(tokenizer.model, "end_of_word_suffix", None)
+        self.closes = np.zeros(max(tokenizer.get_vocab().values()) + 1, bool)
+        if suffix:
+            self.closes[[i for t, i in tokenizer.get_vocab().items() if t.endswith(suffix)]] = True
+        probe = ["The", "Größe,", "(Élève)", "señor's", "a--b", "x2.50", "ſ", "ŒUVRE!!", "<|endoftext|>"]
+        self.in_parts = bool(suffix)
+        self._learn([c.encode() for c in probe])
+        self.in_parts &= all(self.known[c.encode()] == self._ids([c])[0] for c in probe)
+        self.known, self.parts = {}, {}
+
+    def _ids(self, texts):
+        coded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(c.ids, "<u4").tobytes() for c in coded]
+
+    def _learn_parts(self, parts):
+        """Encode parts, a thousand in a string."""
+        for k in range(0, len(parts), 1000):
+            some = parts[k : k + 1000]
+            data = self._ids([" ".join(some)])[0]
+            stops = (4 * (np.flatnonzero(self.closes[np.frombuffer(data, "<u4")]) + 1)).tolist()
+            if len(stops) == len(some):
+                self.parts.update(zip(some, map(data.__getitem__, map(slice, [0, *stops], stops)), strict=False))
+            else:
+                self.parts.update(zip(some, self._ids(some), strict=True))
+
+    def _learn(self, chunks):
+        plain, hard = [], []
         for chunk in chunks:
             text = chunk.decode("utf-8", "replace")
-            if self.plain_words and text.isalpha() and max(text) <= "\u017e" and "\u0130" not in text:
-                # One word of Latin letters: lower case and the byte alphabet are all that precedes the model.
-                word = text.lower().encode().decode("latin-1").translate(_BYTE_ALPHABET)
-                self[chunk] = np.array([t.id for t in model.tokenize(word)], "<u4").tobytes()
+            if self.in_parts and _PLAIN.fullmatch(text) and "<|" not in text:
+                plain.append((chunk, _PART.findall(text)))
             else:
                 hard.append((chunk, text))
+        self._learn_parts(list({p for _, parts in plain for p in parts}.difference(self.parts)))
+        for chunk, parts in plain:
+            self.known[chunk] = self.parts[parts[0]] if len(parts) == 1 else b"".join([self.parts[p] for p in parts])
         if hard:
-            coded = self.tokenizer.encode_batch_fast([t for _, t in hard], add_special_tokens=False)
-            for (chunk, _), c in zip(hard, coded, strict=True):
-                self[chunk] = np.array(c.ids, "<u4").tobytes()
+            self.known.update(zip([c for c, _ in hard], self._ids([t for _, t in hard]), strict=True))
 
-    def of(self, chunks):
-        """The ids of all chunks, one after the other, as bytes."""
-        new = [c for c in set(chunks) if c not in self]
+    def of(self, texts):
+        """The ids of every text, as bytes."""
+        chunks = [t.split() for t in texts]
+        every = set().union(*chunks)
+        new = every.difference(self.known)
         if new:
-            if len(self) + 2 * len(new) > self.bound:
-                self.clear()
-                new = list(set(chunks))
-            # A stop or comma after an ASCII letter or digit stands alone.
-            cut = {c: (c[:-1], c[-1:]) for c in new if c[-1:] in b".," and c[-2:-1].isalnum()}
-            parts = {p for pair in cut.values() for p in pair}
-            self._encode([c for c in parts.union(c for c in new if c not in cut) if c not in self])
-            for c, (word, stop) in cut.items():
-                self[c] = self[word] + self[stop]
-        return b"".join(map(self.__getitem__, chunks))
+            if len(self.known) + len(new) > self.bound:
+                self.known, self.parts, new = {}, {}, every
+            self._learn(list(new))
+        return [b"".join(map(self.known.__getitem__, c)) for c in chunks]
+
+
+def _runs(sizes, most=1 << 18):
+    """(start, stop) of runs of neighbours of about `most` bytes together."""
+    start, total = 0, 0
+    for i, size in enumerate(sizes):
+        total += size
+        if total >= most:
+            yield start, i + 1
+            start, total = i + 1, 0
+    if start < len(sizes):
+        yield start, len(sizes)
 
 
 #: Kept by each worker from task to task, per tokenizer file.
@@ -111,15 +138,17 @@ def tokenize(docs, tokenizer_path, length=LENGTH, end_id=END_ID, column="text"):
         known = _chunk_ids(tokenizer_path)
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            out = []
-            for doc_id, text in rows_of(batch, "doc_id", "text"):
-                ids = known.of(text.split()) + end
-                for k in range(0, len(ids), 4 * length):
-                    part = ids[k : k + 4 * length]
-                    crc = zlib.crc32(part)
-                    deal = zlib.crc32(b"%d %d" % (doc_id or 0, k), crc)
-                    out.append((doc_id, k // (4 * length), k // 4, len(part) // 4, crc, deal))
-            yield batch_of(list(zip(*out, strict=True)) or [[]] * 6, PIECE)
+            doc_ids, texts = (batch.column(c).to_pylist() for c in ("doc_id", "text"))
+            for start, stop in _runs([len(t) for t in texts]):
+                out = []
+                for doc_id, ids in zip(doc_ids[start:stop], known.of(texts[start:stop]), strict=True):
+                    ids += end
+                    for k in range(0, len(ids), 4 * length):
+                        part = ids[k : k + 4 * length]
+                        crc = zlib.crc32(part)
+                        deal = zlib.crc32(b"%d %d" % (doc_id or 0, k), crc)
+                        out.append((doc_id, k // (4 * length), k // 4, len(part) // 4, crc, deal))
+                yield batch_of(list(zip(*out, strict=True)), PIECE)
 
     given = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_bytes(column).alias("text"))
     return given.mapInArrow(scan, PIECES)
