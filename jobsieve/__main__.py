@@ -92,7 +92,10 @@ def report(spark, args):
 
 
 def compact(spark, args):
-    sinks.compact(spark, args.table, ENRICHED_POST, args.out)
+    if args.posts:
+        sinks.compact_posts(spark, args.table, args.out)
+    else:
+        sinks.compact(spark, args.table, ENRICHED_POST, args.out)
 
 
 def prepare(spark, args):
@@ -104,6 +107,8 @@ def prepare(spark, args):
     training.pad_sequences(encoded, sequences=split).write.partitionBy("split").parquet(f"{args.out}/encoded")
     bad = rejects.unionByName(unknown.selectExpr("file", "'unknown label' AS reason"))
     bad.write.json(f"{args.out}/rejects")
+    training.load_report(sequences, bad).write.json(f"{args.out}/load_report")
+    training.split_report(split).write.json(f"{args.out}/split_report")
 
 
 def main(argv=None, spark=None):
@@ -143,7 +148,8 @@ def main(argv=None, spark=None):
     p = command(report, "table", "out")
     p.add_argument("--k", type=int, default=20)
     p.add_argument("--filter", nargs="*", default=[], help="column=value")
-    command(compact, "table", "out")
+    p = command(compact, "table", "out")
+    p.add_argument("--posts", action="store_true", help="the table is one of ingest, not of enrich")
     p = command(prepare, "source", "vocab", "out")
     p.add_argument("--fraction", type=float, default=0.2)
     p.add_argument("--seed", type=int, default=2)

@@ -140,12 +140,15 @@ def labelled_docs(spark, sf_dir) -> DataFrame:
 
 
 def listing_pages(spark, sf_dir) -> DataFrame:
-    """One listing page per document, with two cards; the second card lacks some fields."""
+    """One listing page per document, with two cards; the second card lacks some fields.
+
+    Cards lie in a wrapper and hold a list of their own.
+    """
     d = F.col("doc_id")
 
     def card(job, title, company, rest):
         return F.concat(
-            F.lit('<li>\n <div class="base-card relative" data-entity-urn="urn:x:job:'),
+            F.lit('<li>\n <section><div class="base-card relative" data-entity-urn="urn:x:job:'),
             job.cast("string"),
             F.lit('"><a class="full-link" href="/v"><span class="sr-only"> '),
             title,
@@ -153,7 +156,7 @@ def listing_pages(spark, sf_dir) -> DataFrame:
             company,
             F.lit("</a></h4>"),
             rest,
-            F.lit("</div></div></li>"),
+            F.lit("</div><ul><li>tag</li></ul></div></section></li>"),
         )
 
     place = F.concat(

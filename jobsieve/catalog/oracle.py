@@ -437,6 +437,7 @@ FROM scored GROUP BY doc""",
     "t6_aligned_labels": f"""WITH {SCORED} SELECT doc, gold, pred, count(*) AS n, CAST(sum(pos) AS BIGINT) AS pos_sum
 FROM aligned GROUP BY doc, gold, pred""",
     "t7_span_prf": _prf(conll_spans),
+    "t7_span_prf_rows": _prf(conll_spans),
     "t7_span_prf_strict": _prf(strict_spans),
     "t8_split_report": f"WITH {SEQUENCES} SELECT split, count(*) AS n FROM split GROUP BY split",
     "p9_ignored_positions": f"""WITH {SCORED} SELECT doc, count(*) AS n, CAST(min(pos) AS INTEGER) AS first_pos, CAST(max(pos) AS INTEGER) AS last_pos

@@ -723,9 +723,8 @@ def r4_replay(spark, sf):
 
 
 def _sequences(spark, sf):
-    """Sequences of the labelled documents, read from stored files."""
-    path = staged(inputs.labelled_docs(spark, sf), "labelled")
-    return training.to_sequences(spark.read.parquet(path))
+    """Sequences of the labelled documents."""
+    return training.to_sequences(inputs.labelled_docs(spark, sf))
 
 
 def _vocabulary(spark, sf):
@@ -807,13 +806,18 @@ def t6_aligned_labels(spark, sf):
 
 @query
 def t7_span_prf(spark, sf):
-    return training.span_prf(training.aligned_labels(training.argmax_labels(_scored(spark, sf))))
+    return training.sequence_prf(training.argmax_labels(_scored(spark, sf)))
 
 
 @query
 def t7_span_prf_strict(spark, sf):
-    rows = training.aligned_labels(training.argmax_labels(_scored(spark, sf)))
-    return training.span_prf(rows, mode="strict")
+    return training.sequence_prf(training.argmax_labels(_scored(spark, sf)), mode="strict")
+
+
+@query
+def t7_span_prf_rows(spark, sf):
+    """The same from one row per token, for sequences of any length."""
+    return training.span_prf(training.aligned_labels(training.argmax_labels(_scored(spark, sf))))
 
 
 @query

@@ -1,6 +1,7 @@
 """Column helpers for arrays and label ids."""
 
 import json
+import zlib
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -27,6 +28,19 @@ def literal_map(entries) -> Column:
     return F.from_json(F.lit(json.dumps(entries)), "map<string,string>")
 
 
+def lookup(entries, key) -> Column:
+    """The value of a key in a constant string map of many entries, NULL for an unknown key.
+
+    The map is a literal dealt into buckets by checksum, so that few entries are compared for each key.
+    """
+    buckets = [{} for _ in range(max(1, len(entries) // 8))]
+    for k, v in entries.items():
+        buckets[zlib.crc32(k.encode()) % len(buckets)][k] = v
+    held = F.from_json(F.lit(json.dumps(buckets)), "array<map<string,string>>")
+    place = F.pmod(F.crc32(col(key).cast("binary")), F.lit(len(buckets))).cast("int")
+    return F.try_element_at(F.get(held, place), col(key))
+
+
 def label_id(label) -> Column:
     """Label text to id, NULL for an unknown label."""
     return F.try_element_at(literal_map(LABEL_IDS), col(label)).cast("int")

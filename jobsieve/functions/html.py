@@ -9,11 +9,11 @@ from html.entities import html5
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .arrays import literal_map
+from .arrays import lookup
 from .text import col, let, strip
 
 # Selectors of the job pages, as patterns.
-CARD = r'(?s)<li[^>]*>\s*(<div[^>]*class="[^"]*\bbase-card\b.*?)</li>'
+CARD_OPEN = r"""<div\b[^>]*\sclass\s*=\s*(?:"(?:[^">]*\s)?base-card[\s"]|'(?:[^'>]*\s)?base-card[\s'])"""
 CARD_URN = r'<div[^>]*\bdata-entity-urn="([^"]*)"'
 CARD_TITLE = ("a", "span")
 CARD_COMPANY = ("h4", "a")
@@ -40,15 +40,13 @@ def _character(code) -> Column:
 
 def unescape(c) -> Column:
     """Decode the numeric and named character references that end in a semicolon."""
-    named = literal_map(ENTITIES)
-
     def decoded(piece, i):
         # Every piece after the first starts with what followed an ampersand.
         ref = F.regexp_extract(piece, _REFERENCE, 1)
         code = F.when(
             ref.rlike("^#[0-9]"), F.substr(ref, F.lit(2)).try_cast("bigint")
         ).when(ref.startswith("#"), F.conv(F.substr(ref, F.lit(3)), 16, 10).try_cast("bigint"))
-        char = F.coalesce(_character(code), F.try_element_at(named, ref))
+        char = F.coalesce(_character(code), lookup(ENTITIES, ref))
         rest = F.substr(piece, F.length(ref) + 2)
         as_is = F.concat(F.lit("&"), piece)
         return F.when(i == 0, piece).otherwise(F.coalesce(F.concat(char, rest), as_is))
@@ -144,6 +142,35 @@ def html_block(c, open_pattern, tag="div") -> Column:
     return let(F.regexp_extract(c, open_pattern, 0), after)
 
 
+def html_cards(c, open_pattern=CARD_OPEN, tag="div", within="li") -> Column:
+    """All containers, with their tags, that lie anywhere inside a ``within`` element, in page order.
+
+    A container ends where it closes, at the next one that opens, or at the end of the page.
+    """
+
+    def depths(pieces):
+        change = F.transform(
+            pieces, lambda p: F.size(F.split(p, rf"(?i)<{within}\b")) - F.size(F.split(p, rf"(?i)</{within}\b"))
+        )
+        return let(change, lambda n: F.transform(n, lambda _, i: _total(F.slice(n, F.lit(1), i))))
+
+    def whole(piece):
+        opening = rf"(?i)^<{tag}\b[^>]*>"
+        return F.concat(F.regexp_extract(piece, opening, 0), html_block(piece, opening, tag), F.lit(f"</{tag}>"))
+
+    def cards(pieces):
+        placed = F.arrays_zip(pieces.alias("piece"), depths(pieces).alias("depth"))
+        inside = F.filter(placed, lambda p, i: (i > 0) & (p["depth"] > 0))
+        return F.transform(inside, lambda p: whole(p["piece"]))
+
+    # A page that starts with a container has nothing before it, and so no element around it.
+    return let(F.split(col(c), rf"(?i)(?={open_pattern})"), cards)
+
+
+def _total(numbers) -> Column:
+    return F.aggregate(numbers, F.lit(0), lambda a, b: a + b)
+
+
 def html_block_text(c, open_pattern=DESCRIPTION_OPEN, tag="div") -> Column:
     """All text of a container; ``''`` when it is absent or blank."""
     return F.coalesce(text_of(html_block(c, open_pattern, tag)), F.lit(""))

@@ -28,8 +28,8 @@ _FAN_OUT = 6
 # Marks around a lexicon hit inside a text; blanked in the input first.
 _OPEN, _CLOSE = "\u0001", "\u0002"
 
-# A lexicon up to this many terms becomes one pattern; larger ones use the join operator.
-MAX_PATTERN_TERMS = 5_000
+# A lexicon up to this many terms becomes one pattern, which every task holds; larger ones use the join operator.
+MAX_PATTERN_TERMS = 200_000
 
 
 def tokens(text) -> Column:

@@ -8,9 +8,15 @@ from ..functions.text import urn_part
 from ..schemas import POST_FIELDS
 
 
-def explode_cards(df: DataFrame, html_col="html", card_pattern=html.CARD) -> DataFrame:
-    """One row per repeated card of a page, with its place on the page; pages without cards drop."""
-    cards = F.regexp_extract_all(F.col(html_col), F.lit(card_pattern), F.lit(1))
+def explode_cards(df: DataFrame, html_col="html", card_pattern=None) -> DataFrame:
+    """One row per repeated card of a page, with its place on the page; pages without cards drop.
+
+    Cards are the containers of the job pages, wherever they lie in a list item, or the first group of a pattern.
+    """
+    if card_pattern is None:
+        cards = html.html_cards(html_col)
+    else:
+        cards = F.regexp_extract_all(F.col(html_col), F.lit(card_pattern), F.lit(1))
     # The outer form keeps the optimizer from filtering on the array, which would build it twice.
     rows = df.select("*", F.posexplode_outer(cards).alias("card_no", "card")).drop(html_col)
     return rows.filter("card IS NOT NULL")

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.arrays import literal_map
+from ..functions.arrays import lookup
 from ..functions.text import col, remove_prefix, strip
 
 
@@ -27,11 +27,9 @@ def normalized_array(values, aliases: dict):
 
     Case-sensitive, one hop; NULL gives ``[]``. Row-local, for dictionaries of bounded size.
     """
-    mapping = literal_map(aliases)
-
     def canonical(skill):
         bare = remove_prefix(skill, "##")
-        return F.coalesce(F.try_element_at(mapping, bare), bare)
+        return F.coalesce(lookup(aliases, bare), bare)
 
     mapped = F.filter(F.transform(col(values), canonical), lambda s: s != "")
     return F.coalesce(F.sort_array(F.array_distinct(mapped)), F.array().cast("array<string>"))

@@ -3,10 +3,14 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.arrays import argmax, id_label, label_id, pad_to
-from ..schemas import IGNORED_LABEL_ID
+from ..functions.arrays import argmax, id_label, label_id, lookup, pad_to
+from ..functions.text import let
+from ..schemas import IGNORED_LABEL_ID, LABEL_IDS
 from .extract import decode_bio
 
+# Words of a vocabulary that may become a literal, about 2 MB; a larger one is joined.
+MAX_LITERAL_WORDS = 50_000
+
 
 def to_sequences(df: DataFrame, key="doc", tokens_col="tokens") -> DataFrame:
     """Labelled records to parallel arrays ``tokens`` and ``labels``, ordered by position.
@@ -78,14 +82,30 @@ def load_report(good: DataFrame, rejects: DataFrame) -> DataFrame:
 
 
 def encode_sequences(
-    df: DataFrame, vocab: DataFrame, key="doc", cls_id=101, sep_id=102, unk_id=100, keep=()
+    df: DataFrame, vocab: DataFrame, key="doc", cls_id=101, sep_id=102, unk_id=100, keep=(),
+    literal_words=MAX_LITERAL_WORDS,
 ) -> DataFrame:
     """Arrays ``input_ids``, ``attention_mask`` and ``labels`` with the two boundary tokens added.
 
-    ``vocab`` has unique rows (token, id); unknown tokens get ``unk_id``. The compact arrays are
-    partitioned by ``key`` before they are exploded, so gathering the ids needs no further shuffle
-    when the vocabulary is small enough to broadcast; a larger one is joined by shuffle.
+    ``vocab`` has unique rows (token, id); unknown tokens get ``unk_id``. A vocabulary of up to ``literal_words``
+    is looked up inside the row, without a shuffle. A larger one is joined: the compact arrays are partitioned by
+    ``key`` before they are exploded, so gathering the ids shuffles them once. Both ways give the same rows.
     """
+    words = vocab.filter("token IS NOT NULL").select("token", "id").take(literal_words + 1)
+    ignored = F.array(F.lit(IGNORED_LABEL_ID))
+    if len(words) <= literal_words:
+        known = {token: str(number) for token, number in words if number is not None}
+        coded = F.transform(
+            F.coalesce("tokens", F.array().cast("array<string>")),
+            lambda t: F.coalesce(lookup(known, t).cast("int"), F.lit(unk_id)),
+        )
+        return df.withColumn("_ids", coded).select(
+            key,
+            *keep,
+            F.concat(F.array(F.lit(cls_id)), "_ids", F.array(F.lit(sep_id))).alias("input_ids"),
+            F.array_repeat(F.lit(1), F.size("_ids") + 2).alias("attention_mask"),
+            F.concat(ignored, F.transform("labels", label_id), ignored).alias("labels"),
+        )
     ids = vocab.select(F.col("token").alias("_token"), F.col("id").alias("_id"))
     label_ids = F.transform("labels", label_id)
     exploded = (
@@ -105,7 +125,6 @@ def encode_sequences(
             F.first("labels", ignorenulls=True).alias("_labels"),
         )
     )
-    ignored = F.array(F.lit(IGNORED_LABEL_ID))
     input_ids = F.concat(F.array(F.lit(cls_id)), F.col("_ids.id"), F.array(F.lit(sep_id)))
     return gathered.select(
         key,
@@ -157,6 +176,60 @@ def aligned_labels(df: DataFrame, key="doc", gold="labels", pred="pred_ids") ->
     )
 
 
+def span_places(labels, pos, mode="conll"):
+    """Spans of one row as sorted numbers ``start * 2**31 + end``, from label ids and their positions.
+
+    A span is a B and the I after it; with ``conll`` an I that follows neither opens one, with ``strict`` it is ignored.
+    """
+    begins, goes_on = F.lit(LABEL_IDS["B-SKILL"]), F.lit(LABEL_IDS["I-SKILL"])
+
+    def is_in(x):
+        return F.coalesce((x == begins) | (x == goes_on), F.lit(False))
+
+    def spans(rows):
+        label = lambda i: F.get(rows, i)["label"]
+        continues = lambda x: F.coalesce(x == goes_on, F.lit(False))
+        opens = F.filter(
+            rows,
+            lambda r, i: is_in(r["label"]) & ~(continues(r["label"]) & (i > 0) & is_in(label(F.greatest(i - 1, F.lit(0))))),
+        )
+        closes = F.filter(rows, lambda r, i: is_in(r["label"]) & ~continues(label(i + 1)))
+        both = F.zip_with(
+            opens,
+            closes,
+            lambda a, b: F.struct(a["label"].alias("first"), (a["pos"].cast("bigint") * F.lit(1 << 31) + b["pos"]).alias("place")),
+        )
+        return F.transform(both if mode == "conll" else F.filter(both, lambda s: s["first"] == begins), lambda s: s["place"])
+
+    return let(F.arrays_zip(labels.alias("label"), pos.alias("pos")), spans)
+
+
+def sequence_prf(df: DataFrame, gold="labels", pred="pred_ids", mode="conll") -> DataFrame:
+    """``span_prf`` of rows that hold all label ids of a sequence: spans are found and compared inside the row.
+
+    Positions whose gold id is the ignored one do not count, nor do those beyond the gold labels. Only three
+    numbers a task are shuffled.
+    """
+    if mode not in ("strict", "conll"):
+        raise ValueError(f"unknown mode {mode!r}")
+    pairs = F.transform(
+        F.arrays_zip(F.col(gold).alias("g"), F.col(pred).alias("p")),
+        lambda x, i: F.struct(x["g"].alias("g"), x["p"].alias("p"), i.alias("pos")),
+    )
+    kept = df.select(F.filter(pairs, lambda x: x["g"] != IGNORED_LABEL_ID).alias("_x"))
+    sides = kept.select(
+        span_places(F.col("_x.g"), F.col("_x.pos"), mode).alias("g"),
+        span_places(F.col("_x.p"), F.col("_x.pos"), mode).alias("p"),
+    )
+    counts = sides.agg(
+        *[
+            F.coalesce(F.sum(F.size(c).cast("bigint")), F.lit(0)).alias(name)
+            for name, c in (("tp", F.array_intersect("g", "p")), ("gold_spans", F.col("g")), ("pred_spans", F.col("p")))
+        ]
+    )
+    return _rates(counts)
+
+
 def spans_of(labels: DataFrame, key, label, mode) -> DataFrame:
     rows = labels.select(key, "pos", F.lit("").alias("token"), label)
     return decode_bio(rows, key, "pos", "token", label, mode=mode).select(key, "start", "end")
@@ -182,7 +255,10 @@ def span_prf(labels: DataFrame, key="doc", gold="gold", pred="pred", mode="conll
         F.coalesce(F.sum("g"), F.lit(0)).alias("gold_spans"),
         F.coalesce(F.sum("p"), F.lit(0)).alias("pred_spans"),
     )
+    return _rates(totals)
+
 
+def _rates(totals):
     def ratio(a, b):
         return F.when(b > 0, a / b).otherwise(F.lit(0.0))
 

@@ -9,7 +9,7 @@ from ..functions.arrays import literal_map
 from . import default_dictionaries as defaults
 
 # A dictionary up to this many entries may be turned into literals; larger ones stay tables.
-MAX_LITERAL_ENTRIES = 5_000
+MAX_LITERAL_ENTRIES = 200_000
 
 
 def load_alias_map(spark: SparkSession, path: str) -> DataFrame:

@@ -118,3 +118,12 @@ def upsert(old: DataFrame, new: DataFrame, key="Job_ID", order=()) -> DataFrame:
 def compact(spark: SparkSession, path, schema, target, view=merge_by_key, key="Job_ID"):
     """Write the current state of a keyed table as the only version of a new one."""
     append_version(view(read_versions(spark, path, schema), key), target, batch=0)
+
+
+def compact_posts(spark: SparkSession, path, target):
+    """Write all posts of an ingest table as the seed of a new one, whatever the run that goes on with it.
+
+    The columns are those of the stored files; each key is stored once, so nothing is merged.
+    """
+    posts = spark.read.option("basePath", path).parquet(path).drop(*VERSION)
+    append_version(posts, target, batch=-1, partition_by=["has_text"])

@@ -284,6 +284,8 @@ def test_padding_and_encoding(spark):
     df = spark.createDataFrame(rows, "doc int, split string, tokens array<string>, labels array<string>")
     vocab = spark.createDataFrame([("a", 7), ("b", 8)], "token string, id int")
     encoded = training.encode_sequences(df, vocab, keep=["split"])
+    joined = training.encode_sequences(df, vocab, keep=["split"], literal_words=1)
+    assert sorted(map(repr, joined.collect())) == sorted(map(repr, encoded.collect()))
     padded = {r.doc: r for r in training.pad_sequences(encoded).collect()}
     assert padded[1].input_ids == [101, 7, 8, 100, 102] and padded[1].labels == [-100, 1, 2, 0, -100]
     assert padded[2].input_ids == [101, 8, 102, 0, 0]
@@ -322,6 +324,27 @@ def test_span_score(spark):
     assert (nothing.precision, nothing.recall, nothing.f1) == (0.0, 0.0, 0.0)
 
 
+@pytest.mark.parametrize("mode", ["conll", "strict"])
+def test_span_score_within_rows(spark, mode):
+    """The array form agrees with the form of one row per token, also over ignored and unknown ids."""
+    import random
+
+    random.seed(4)
+    rows = [
+        (d, [random.choice([0, 1, 2, 2, -100, 7]) for _ in range(n)], [random.choice([0, 1, 2, 2, None]) for _ in range(n)])
+        for d, n in enumerate([0, 1, 1, 2, 2, 3, 5, 40, 300])
+    ] + [(99, None, None)]
+    df = spark.createDataFrame(rows, "doc int, labels array<int>, pred_ids array<int>")
+    assert training.sequence_prf(df, mode=mode).first() == training.span_prf(training.aligned_labels(df), mode=mode).first()
+
+
+def test_lookup_in_a_large_map(spark):
+    entries = {f"k{i}": f"v{i}" for i in range(3000)} | {"é'": "x", "": "empty"}
+    df = spark.createDataFrame([("k7",), ("k2999",), ("é'",), ("",), ("no",), (None,)], "k string")
+    assert [r[0] for r in df.select(arrays.lookup(entries, "k")).collect()] == ["v7", "v2999", "x", "empty", None, None]
+    assert one(spark, arrays.lookup({}, F.lit("k"))) is None
+
+
 def test_terms_with_quotes_and_extra_providers(spark):
     df = spark.createDataFrame([(["o'x", "a\\b", "p1"],)], "s array<string>")
     out = categorize.categorize_skills(df, "s", {"databases": ["o'x", "a\\b"]}, {"aws": [], "other": ["p1"]}).first().Skills

@@ -27,6 +27,12 @@ def test_landing_to_report(spark, tmp_path):
     main(["ingest", "--source", str(landing), "--table", at("deduped"), "--topic", at("topic"), "--progress", at("p1"), "--available-now"], spark)
     (landing / "b.json").write_text(json.dumps(post(Job_ID="2", Description="late")))
     main(["ingest", "--source", str(landing), "--table", at("deduped"), "--topic", at("topic"), "--progress", at("p1"), "--available-now"], spark)
+    main(["compact", "--table", at("deduped"), "--out", at("small-posts"), "--posts"], spark)
+    (landing / "c.json").write_text("\n".join(json.dumps(post(Job_ID=i, Description="again")) for i in ("1", "2", "3")))
+    main(["ingest", "--source", str(landing), "--table", at("small-posts"), "--topic", at("topic2"), "--progress", at("p3"), "--available-now"], spark)
+    kept = sinks.read_versions(spark, at("small-posts"), POST).collect()
+    assert sorted((r.Job_ID, r.batch) for r in kept) == [("1", -1), ("2", -1), ("3", 0)]
+    (landing / "c.json").unlink()
     enrich = ["enrich", "--source", at("topic") + "/run=0/*", "--table", at("enriched"), "--progress", at("p2"), "--available-now"]
     main(enrich, spark)
     main([*enrich, "--run", "1"], spark)

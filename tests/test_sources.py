@@ -93,6 +93,19 @@ def test_spread(spark):
     assert readers.spread(spark.range(0, 10, 1, 16)).rdd.getNumPartitions() == 16
 
 
+def test_wrapped_and_nested_cards(spark):
+    page = """<div class="base-card">outside</div><ul><li><section><div class='a base-card' data-entity-urn="urn:a:b:1">
+      <ul><li>x</li></ul><a><span>One</span></a></div></section></li>
+      <LI><DIV CLASS="base-card">two<div>in</div></DIV>after</LI><li><div class="base-card--x">no</div></li></ul>"""
+    frame = spark.createDataFrame([(1, page), (2, ""), (3, None)], "page_id int, html string")
+    cards = html_records.explode_cards(frame)
+    got = [(r.card_no, r.card) for r in cards.orderBy("card_no").collect()]
+    assert [n for n, _ in got] == [0, 1]
+    assert got[0][1].startswith("<div class='a base-card'") and got[0][1].endswith("</a></div>")
+    assert got[1][1] == '<DIV CLASS="base-card">two<div>in</div></div>'
+    assert [(r.Job_ID, r.Title) for r in html_records.card_fields(cards).orderBy("card_no").collect()][0] == ("1", "One")
+
+
 def test_posts_from_pages(spark):
     listing = """<ul><li><div class="base-card x" data-entity-urn="urn:a:b:77"><a><span>
       Data Engineer </span></a><h4><a> ACME &amp; Co</a></h4><span class="job-search-card__location">Rome</span>

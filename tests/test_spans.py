@@ -7,6 +7,7 @@ from conftest import plan_of
 from pyspark.sql import functions as F
 
 from jobsieve.functions.tokens import (
+    MAX_PATTERN_TERMS,
     SEPARATORS, decode_tagged, lexicon_pattern, matchable_terms, mentions, span_text, tagged_tokens, tokens,
 )
 from jobsieve.functions.text import strip
@@ -203,7 +204,20 @@ def test_terms_of_any_case_and_length(spark):
 
 def test_lexicon_size_is_checked():
     with pytest.raises(ValueError, match="exceed"):
-        lexicon_pattern([f"term{i}" for i in range(6000)])
+        lexicon_pattern([f"term{i}" for i in range(MAX_PATTERN_TERMS + 1)])
+
+
+def test_large_lexicon(spark):
+    """20,000 terms and aliases give the same as the few that matter."""
+    from jobsieve.plans.enrich import enrich_posts
+    from jobsieve.schemas import POST, POST_FIELDS
+    from jobsieve.sources.dictionaries import Dictionaries
+
+    text = "w17 x and w19999 y, w42 z"
+    df = spark.createDataFrame([tuple(text if f == "Description" else "x" for f in POST_FIELDS)], POST)
+    aliases = {f"w{i} x": f"c{i}" for i in range(20_000)} | {"w19999 y": "last"}
+    skills = enrich_posts(df, Dictionaries(skill_aliases=aliases)).first().Skills
+    assert skills.raw_skills == ["c17", "last"]
 
 
 @pytest.mark.parametrize("run", [" ", ".", "\n", ". ", " .", "a ", "•", "..x ", "c "])
