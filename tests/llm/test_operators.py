@@ -363,3 +363,24 @@ def test_warc_derivatives(spark, tmp_path):
     )
     none = spark.createDataFrame([(None, None)], "warc map<string,string>, block binary")
     assert warc.derive(none).count() == 0
+
+
+def test_chunk_ids_are_those_of_the_tokenizer():
+    """Parts and chunks joined give the same ids as whole texts, also past the bound of what is kept."""
+    import numpy as np
+    from tokenizers import Tokenizer
+
+    from jobsieve.llm.packing import ChunkIds
+    from jobsieve.llm.queries import tokenizer
+
+    plain = Tokenizer.from_file(tokenizer())
+    texts = [
+        "", " ", "a'b,'c 's don't x<|endoftext|>y <|startoftext|> A<|b", "İı ſ ß Ŀ é ﬁ 12½ µm ª5 ×2 日本 ''..'' -'re",
+        "n'T O'REILLY'S a\x00b \x1c q\x85r\xa0s Ω≠ a,́ x.́ (464) $$$ Straße!!, 3.14", "word, " * 3000,
+    ]
+    want = [np.array(plain.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    for bound in (1_000_000, 3):
+        known = ChunkIds(plain, bound)
+        assert known.in_parts
+        assert known.of([t.encode() for t in texts]) == want
+        assert [known.of([t.encode()])[0] for t in texts] == want
