@@ -283,6 +283,43 @@ def test_license_scan(spark):
     assert license_scan.scan(df, spark.createDataFrame([], "template string, text string")).count() == 0
 
 
+def brute_licenses(docs, templates, default=0.8):
+    """{(id, template): (containment, shingles of the longest such text)} over all stretches of twice a template's shingles."""
+    out = {}
+    split = [(i, re.findall(r"[^\W_]+", (text or "").lower())) for i, text in docs]
+    for name, text, least in templates:
+        want = re.findall(r"[^\W_]+", text.lower())
+        k = min(5, len(want))
+        runs = [tuple(want[i : i + k]) for i in range(len(want) - k + 1)]
+        for doc, w in split:
+            s = [tuple(w[i : i + k]) for i in range(len(w) - k + 1)]
+            for at in [i for i, x in enumerate(s) if x in set(runs)]:
+                share = len(set(s[at : at + 2 * len(runs)]) & set(runs)) / len(set(runs))
+                if share >= (least or default) - 1e-9:
+                    out[doc, name] = max(out.get((doc, name), (0, 0)), (share, len(set(runs))))
+    return out
+
+
+def test_license_scan_of_short_notices(spark):
+    lines = [
+        "Licensed under the Apache License, Version 2.0.", "Released under the MIT License.", "Licensed under CC BY-NC 4.0.",
+        "This work is licensed under the GNU General Public License, version 3.", "// SPDX-License-Identifier: MIT",
+    ]
+    docs = [(i, f"some words first\n{t}\nand then more") for i, t in enumerate(lines)] + [(9, "MIT License, Apache License 2")]
+    want = {(0, "Apache-2.0"), (1, "MIT"), (2, "CC-BY-NC-4.0"), (3, "GPL-3.0"), (4, "MIT")}
+    got = license_scan.scan(spark.createDataFrame(docs, DOCS)).collect()
+    assert {(r.doc_id, r.template) for r in got} == want and all(r.start >= 3 for r in got)
+
+
+def test_license_scan_is_that_of_brute_force(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    templates = [tuple(r) for r in license_scan.default_templates(spark).collect()]
+    near = docs.filter(F.lower("text").rlike("licen[sc]e|permission|redistribut|software|warrant|copyright"))
+    want = brute_licenses([tuple(r) for r in near.collect()], templates)
+    got = {(r.doc_id, r.template): (r.containment, r.n_shingles) for r in license_scan.scan(docs).collect()}
+    assert len(want) >= 39 and got == want
+
+
 def brute_personal(text):
     out = []
     for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text):
