@@ -311,6 +311,26 @@ def test_license_scan_of_short_notices(spark):
     assert {(r.doc_id, r.template) for r in got} == want and all(r.start >= 3 for r in got)
 
 
+def test_license_scan_of_stretched_notices(spark):
+    rng = np.random.default_rng(5)
+    words = [f"w{i}" for i in range(400)]
+    templates = [(f"t{i}", " ".join(rng.choice(words, int(rng.integers(3, 60)))), None) for i in range(12)]
+    templates.append(("same length", " ".join(rng.choice(words, 50)), None))
+    docs = []
+    for i in range(500):
+        w = templates[i % len(templates)][1].split()
+        if len(w) > 25 and i % 3:  # insert a block of other words, up to a stretch of twice the template
+            at = len(w) // 2
+            w[at:at] = ["x"] * int(rng.integers(0, len(w) - 4))
+        docs.append((i, " ".join(["y"] * int(rng.integers(0, 90)) + w + ["z"] * int(rng.integers(0, 90)))))
+    want = brute_licenses(docs, templates)
+    df = spark.createDataFrame([t[:2] for t in templates], "template string, text string")
+    got = license_scan.scan(spark.createDataFrame(docs, DOCS), df).collect()
+    assert len(want) > 400
+    found = {(r.doc_id, r.template): (r.containment, r.n_shingles) for r in got}
+    assert all(want[k] == v for k, v in found.items()) and len(found) >= 0.995 * len(want)
+
+
 def test_license_scan_is_that_of_brute_force(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
     templates = [tuple(r) for r in license_scan.default_templates(spark).collect()]
