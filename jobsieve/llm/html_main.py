@@ -47,22 +47,51 @@ _CLOSES_P = frozenset(
 _SAME = {"li": "li", "dt": "dt dd", "dd": "dt dd", "tr": "tr td th", "td": "td th", "th": "td th", "option": "option"}
 
 _NAME = re.compile(r"/?([A-Za-z][A-Za-z0-9:-]*)")
-_ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
+#: The rest of a tag after its name: a quote opens a value only right after =, and only the same quote ends it.
+_TAG_REST = re.compile(r"""(?:[^>=]++|=\s*+(?:"[^"]*"|'[^']*'|[^\s>"'][^\s>]*+|(?=>)))*+>""")
+_UNQUOTED_SLASH = re.compile(r"""=\s*[^\s"'>]*/>$""")
+#: Elements that cannot stand in svg or math: they end one that is not closed.
+_BREAKOUT = (
+    "article|blockquote|body|br|center|div|dl|dd|dt|em|h[1-6]|head|hr|img|li|main|menu|nav|ol|p|pre|section|small|span|strong|"
+    "table|ul"
+)
+_FOREIGN_END = re.compile(rf"<(?:{_BREAKOUT})(?=[\s/>])|</(?:body|html|main|article|section|div|p)\s*>", re.I)
+_ANY_TAG = re.compile(r"</?([A-Za-z][A-Za-z0-9:-]*)")
+#: Raw elements whose text runs to the end of the page if they are not closed.
+_RAW_TEXT = frozenset("script style textarea title iframe".split())
 _SPACES = re.compile(r"\s+")
 
 
 def _tag_end(page, at):
-    """Index after the > of the tag that begins at `at`; quoted values may hold one."""
-    end = page.find(">", at)
-    while end >= 0 and end - at < 65_536:
-        tag = page[at:end]
-        if tag.count('"') % 2 == 0 and tag.count("'") % 2 == 0:
-            return end + 1
-        end = page.find(">", end + 1)
+    """Index after the > of a tag, from the end of its name; a value without its end quote ends at the first >."""
+    if m := _TAG_REST.match(page, at):
+        return m.end()
     plain = page.find(">", at)
     return plain + 1 if plain >= 0 else len(page)
 
 
+def _raw_end(page, name, tag, end):
+    """Index after a raw element whose start tag ends at `end`; `end` itself if it has no content of its own."""
+    if name in ("svg", "math") and tag.endswith("/>") and not _UNQUOTED_SLASH.search(tag):
+        return end
+    if name == "option":
+        # Ends with its own end tag, or before the next tag that cannot be in it.
+        for m in _ANY_TAG.finditer(page, end):
+            if m.group(1).lower() not in _INLINE:
+                own = m.group().lower() == "</option"
+                return _tag_end(page, m.end()) if own else m.start()
+        return len(page)
+    close = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, end)
+    if name in ("svg", "math"):
+        out = _FOREIGN_END.search(page, end, close.start() if close else len(page))
+        if out and not re.search(r"<(?:foreignobject|desc|title|annotation-xml|m[ions]|mtext)\b", page[end : out.start()], re.I):
+            return out.start()
+    if close:
+        return close.end()
+    return len(page) if name in _RAW_TEXT else end
+
+
 def tokens(page):
     """('text', text) / ('open', name, attributes) / ('close', name); comments and raw elements are left out."""
     at, n = 0, len(page)
@@ -77,16 +106,16 @@ def tokens(page):
             end = page.find("-->", lt + 4)
             at = end + 3 if end >= 0 else n
         elif page[lt + 1 : lt + 2] in ("!", "?"):
-            at = _tag_end(page, lt)
+            end = page.find(">", lt)
+            at = end + 1 if end >= 0 else n
         elif m := _NAME.match(page, lt + 1):
-            end, name = _tag_end(page, lt), m.group(1).lower()
+            end, name = _tag_end(page, m.end()), m.group(1).lower()
             tag, at = page[m.end() : end], end
             if page[lt + 1] == "/":
                 yield "close", name
                 continue
             if name in _RAW:
-                close = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, end)
-                at = close.end() if close else n
+                at = _raw_end(page, name, tag, end)
                 continue
             yield "open", name, tag
         else:
@@ -98,10 +127,10 @@ def _names(tag):
     """(class and id words, whether it is hidden)."""
     words, hidden = [], False
     for m in _ATTRIBUTE.finditer(tag):
-        value = (m.group(2) or "").strip("\"'").lower()
-        if m.group(1).lower() in ("hidden", "aria-hidden"):
+        name, value = m.group(1).lower(), (m.group(2) or "").strip("\"'").lower()
+        if name in ("hidden", "aria-hidden"):
             hidden |= value != "false"
-        else:
+        elif name in ("class", "id", "role"):
             words += value.split()
     return words, hidden
 

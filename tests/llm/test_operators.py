@@ -394,6 +394,29 @@ def test_main_text(spark):
     assert got[100] == got[101] == "" and got[None] == "plain" and len(got) == len(rows_)
 
 
+def test_tags_end_at_their_own_quotes():
+    def texts(page):
+        return [b[1] for b in html_main.blocks(page)]
+
+    for tag in ("<img alt=\"Author's photo\">", "<a title=\"it's > that\">", "<a title='say \"x'>", "<p title=a'b>", "<p a'b>"):
+        assert texts(f"<p>one</p>{tag}two it's <p>three") == ["one", "two it's", "three"]
+        assert texts(f"<p>one</p>{tag}two{' long' * 20_000} <p>it's") == ["one", "two" + " long" * 20_000, "it's"]
+    assert texts("<p title=\"main content hidden\">kept</p><p hidden>gone") == ["kept", "gone"]
+    assert [b[3] for b in html_main.blocks("<p title=\"main content hidden\">kept</p><p hidden>gone")] == [False, True]
+    assert texts("<!DOCTYPE html it's><p>one") == ["one"]
+
+
+def test_raw_elements_end_where_they_must():
+    def texts(page):
+        return " ".join(b[1] for b in html_main.blocks(page))
+
+    assert texts("<svg viewBox='0 0 1 1'/><p>one</p><math/><p>two</p><svg><text>no</text></svg><p>three") == "one two three"
+    assert texts("<svg><path d='M0'><p>one</p><svg><text>no</text></svg><p>two") == "one two"
+    options = "<datalist id=x><option value=a><option value=b>B</datalist>"
+    assert texts(f"{options}<p>one</p><select><option>no</select><p>two</p><option>no</option>three") == "one two three"
+    assert texts("<object data=x><p>one") == "one" and texts("<p>one<script>var a = '<p>no'") == "one"
+
+
 def test_wrapper_is_union_free():
     pages = [f"<body><ul>{'<li>a%d</li>' % i * i}</ul>{'<div>x</div>' * (i % 2)}<p>b</p></body>" for i in range(1, 6)]
     learnt = html_main.infer(pages)
