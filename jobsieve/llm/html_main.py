@@ -1,27 +1,32 @@
 """Main text of web pages by wrappers that are inferred per host.
 
-A page becomes a tree of its structural elements. The pages of a bounded sample of each host are aligned one after
-the other: equal elements are merged, neighbours of the same kind become a repeated group, what only some pages have
-becomes optional, and differing texts become slots. The result is a union-free regular expression over
-tags, the wrapper of the host. Texts that stay literal in it belong to the site, not to an article; the part
-that holds most text in slots is where articles stand if no element says so.
+A page becomes a tree of its structural elements. All distinct structures of a host are aligned, a bounded number at a
+time: equal elements are merged, neighbours of the same kind become a repeated group, and what only some pages have
+becomes optional. The result is a union-free regular expression over tags, the wrapper of the host. Texts that stand
+at the same path on at least half of the host's distinct pages are its literals, all others its slots; the part that
+holds most text is where articles stand.
+
+Every page is matched against the wrapper of its host. The text of what matches inside the article's part is the
+article, without literals and lists of links; inside an element that is named an article, nothing is left out. Fixed
+rules (article, main, names of classes) serve pages whose host has fewer than `MIN_PAGES` distinct ones, and pages of
+which no text matches there.
 """
 
 import html
 import json
 import re
 
-import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from .common import rows_of, stored, text_bytes
+from .common import batch_of, key128, rows_of, stored, text_bytes
 
-#: Pages of a host from which its wrapper is inferred at most, and characters of each that are aligned.
-SAMPLE_PAGES = 16
-SAMPLE_CHARS = 200_000
+#: Structures that are aligned by one task at a time, and the share of a host's pages that makes a text a literal.
+MERGE_ROWS = 64
+SITE_SHARE = 0.5
+#: Elements below this depth are aligned as if they stood at it; their texts count and are kept like all others.
+DEPTH = 100
 #: Distinct pages that must agree on a text before it counts as part of the site.
 MIN_PAGES = 4
 
@@ -60,6 +65,7 @@ _FOREIGN_END = re.compile(rf"<(?:{_BREAKOUT})(?=[\s/>])|</(?:body|html|main|arti
 _ANY_TAG = re.compile(r"</?([A-Za-z][A-Za-z0-9:-]*)")
 #: Raw elements whose text runs to the end of the page if they are not closed.
 _RAW_TEXT = frozenset("script style textarea title iframe".split())
+_DIGIT = re.compile(r"\d")
 _SPACES = re.compile(r"\s+")
 
 
@@ -174,7 +180,7 @@ def blocks(page):
             if name in _SAME and stack and stack[-1][0] in _SAME[name].split():
                 stack.pop()
             words, hidden = _names(token[2])
-            key = ".".join([name, *sorted(set(words))[:2]])
+            key = ".".join([name, *sorted({w for w in words if not _DIGIT.search(w)})])
             stack.append((name, key, _is_site(name, words, hidden)))
         else:
             name = token[1]
@@ -205,6 +211,7 @@ def tree(page_blocks):
     open_nodes = [root]
     path = ()
     for own, text, _, _ in page_blocks:
+        own = own[:DEPTH]
         same = 0
         while same < min(len(path), len(own) - 1) and path[same] == own[same]:
             same += 1
@@ -235,17 +242,21 @@ def merge(a, b):
     out = Node(a.key, a.text if a.text == b.text else None)
     out.optional, out.repeated = a.optional or b.optional, a.repeated or b.repeated
     x, y = a.children, b.children
-    best = np.zeros((len(x) + 1, len(y) + 1), np.int32)
+    if [c.key for c in x] == [c.key for c in y]:
+        out.children = [merge(c, d) for c, d in zip(x, y, strict=True)]
+        return _refold(out)
+    best = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
     for i in range(len(x) - 1, -1, -1):
+        row, below, key = best[i], best[i + 1], x[i].key
         for j in range(len(y) - 1, -1, -1):
-            best[i, j] = best[i + 1, j + 1] + 1 if x[i].key == y[j].key else max(best[i + 1, j], best[i, j + 1])
+            row[j] = below[j + 1] + 1 if key == y[j].key else max(below[j], row[j + 1])
     i = j = 0
     while i < len(x) or j < len(y):
         if i < len(x) and j < len(y) and x[i].key == y[j].key:
             out.children.append(merge(x[i], y[j]))
             i, j = i + 1, j + 1
             continue
-        left = j >= len(y) or i < len(x) and best[i + 1, j] >= best[i, j + 1]
+        left = j >= len(y) or i < len(x) and best[i + 1][j] >= best[i][j + 1]
         child = x[i] if left else y[j]
         child.optional = True
         out.children.append(child)
@@ -279,67 +290,143 @@ def pattern(node):
     return body
 
 
+def _content(weight, total):
+    """The innermost container with most of the text, or the article around it; single paragraphs are no containers."""
+    named = [
+        p for p, w in weight.items()
+        if w >= 0.6 * total and p and p[-1].split(".")[0] in ("div", "section", "main", "article", "td", "body")
+    ]
+    path = max(named, key=len, default=())
+    around = [k for k in range(len(path)) if path[k].split(".")[0] == "article"]
+    return path[: around[0] + 1] if around else path
+
+
+def weights(found):
+    """{path: characters outside links below it} of the blocks of a page that do not belong to the site."""
+    weight = {}
+    for path, text, link, site in found:
+        if not site:
+            for k in range(min(len(path), DEPTH) + 1):
+                weight[path[:k]] = weight.get(path[:k], 0) + max(0, len(text) - 2 * link)
+    return weight
+
+
+def distinct_key(found):
+    """What two copies of a page have in common."""
+    return key128(json.dumps([(p, t) for p, t, _, site in found if not site]).encode())
+
+
+def place_key(path, text):
+    """64 bits of a text and where it stands."""
+    return key128(json.dumps([path, text]).encode())[0]
+
+
+def packed_tree(node):
+    """A tree as nested lists, without texts."""
+    flags = node.optional + 2 * node.repeated
+    return [node.key, flags, [packed_tree(c) for c in node.children]]
+
+
+def unpacked_tree(data):
+    node = Node(data[0])
+    node.optional, node.repeated = bool(data[1] & 1), bool(data[1] & 2)
+    node.children = [unpacked_tree(c) for c in data[2]]
+    return node
+
+
 def infer(pages):
-    """``{"literals": [[path, text]], "content": path, "pages": n, "pattern": ...}`` of the pages of one host."""
-    seen, wrapper, weight = set(), None, {}
+    """``{"tree", "literals" (their `place_key`), "content" (a path), "pages", "pattern"}`` of the pages of one host."""
+    seen, wrapper, weight, places = set(), None, {}, {}
     for page in pages:
-        found = blocks(page[:SAMPLE_CHARS])
-        key = tuple((p, t) for p, t, _, site in found if not site)
+        found = blocks(page)
+        key = distinct_key(found)
         if not found or key in seen:
             continue
         seen.add(key)
         mine = tree(found)
         wrapper = mine if wrapper is None else merge(wrapper, mine)
-        for path, text, link, site in found:
-            if not site:
-                for k in range(len(path) + 1):
-                    weight[path[:k]] = weight.get(path[:k], 0) + max(0, len(text) - 2 * link)
-    literals = []
-
-    def walk(node, path):
-        for child in node.children:
-            if child.key == "#":
-                if child.text is not None and not child.optional and not child.repeated:
-                    literals.append([list(path), child.text])
-            elif not child.optional:
-                walk(child, (*path, child.key))
-
-    if wrapper is not None and len(seen) >= MIN_PAGES:
-        walk(wrapper, ())
-    total = weight.get((), 0)
-    # The innermost container with most of the text; single paragraphs and items are no containers.
-    named = [
-        p for p, w in weight.items()
-        if w >= 0.6 * total and p and p[-1].split(".")[0] in ("div", "section", "main", "article", "td", "body")
-    ]
-    content = max(named, key=len, default=())
+        for path, w in weights(found).items():
+            weight[path] = weight.get(path, 0) + w
+        for place in {place_key(p, t) for p, t, _, site in found if not site}:
+            places[place] = places.get(place, 0) + 1
+    enough = max(MIN_PAGES, SITE_SHARE * len(seen))
     return {
-        "literals": literals,
-        "content": list(content),
+        "tree": packed_tree(wrapper) if wrapper is not None else None,
+        "literals": [place for place, n in places.items() if n >= enough],
+        "content": list(_content(weight, weight.get((), 0))),
         "pages": len(seen),
         "pattern": pattern(wrapper) if wrapper is not None else "",
     }
 
 
-def extract(page, wrapper=None):
-    """The blocks of the article, one per line."""
-    found = [b for b in blocks(page) if not b[3]]
-    wrapper = wrapper or {"literals": (), "content": ()}
-    literal, content = wrapper["literals"], tuple(wrapper["content"])
+def matched(found, wrapper):
+    """Whether each block of a page stands at a text of the wrapper, element by element in the order of the expression."""
+    out, path = [], ()
+    # Per open element: its node in the wrapper (None: none) and the place of its last child among the node's.
+    open_nodes = [[wrapper, 0]]
 
-    def named(*tags):
-        return [b for b in found if any(k.split(".")[0] in tags for k in b[0])]
+    def step(key):
+        node, at = open_nodes[-1]
+        children = node.children if node is not None else ()
+        for i in range(at, len(children)):
+            if children[i].key == key:
+                open_nodes[-1][1] = i if children[i].repeated else i + 1
+                return children[i]
+        return None
 
-    def worded():
-        return [b for b in found if any(_ARTICLE_WORDS & set(re.split(r"[-_.]+", k)[1:]) for k in b[0])]
+    for own, _, _, _ in found:
+        own = own[:DEPTH]
+        same = 0
+        while same < min(len(path), len(own) - 1) and path[same] == own[same]:
+            same += 1
+        del open_nodes[same + 1 :]
+        for key in own[same:]:
+            open_nodes.append([step(key), 0])
+        out.append(step("#") is not None)
+        path = own
+    return out
+
+
+def _inside(path, content):
+    """Whether a path lies in the article's part, or in another article beside it, whatever its class."""
+    if path[: len(content)] == content:
+        return True
+    n = len(content) - 1
+    beside = n >= 0 and content[n].split(".")[0] == "article" and len(path) > n and path[:n] == content[:n]
+    return beside and path[n].split(".")[0] == "article"
+
+
+def _is_article(path):
+    return any(k.split(".")[0] == "article" or _ARTICLE_WORDS & set(re.split(r"[-_.]+", k)[1:]) for k in path)
+
+
+def by_rules(found):
+    """The blocks that fixed rules take for the article: those in article, else in main, else below a telling name."""
 
-    kept = named("article") or named("main") or worded()
-    if not kept and content:
-        kept = [b for b in found if b[0][: len(content)] == content]
-    kept = kept or found
+    def named(tag):
+        return [b for b in found if any(k.split(".")[0] == tag for k in b[0])]
+
+    return named("article") or named("main") or [b for b in found if _is_article(b[0])] or found
+
+
+def extract(page, wrapper=None):
+    """The blocks of the article, one per line."""
+    every = blocks(page)
+    found = [b for b in every if not b[3]]
+    literal, kept = (), []
+    if wrapper and wrapper["tree"] is not None and wrapper["pages"] >= MIN_PAGES:
+        literal, content = wrapper["literals"], tuple(wrapper["content"])
+        known = wrapper["tree"] if isinstance(wrapper["tree"], Node) else unpacked_tree(wrapper["tree"])
+        part = [(b, ok) for b, ok in zip(every, matched(every, known), strict=True) if not b[3] and _inside(b[0], content)]
+        # What stands in the article's part in an order that the greedy match does not follow is text all the same.
+        kept = [b for b, _ in part] if any(ok for _, ok in part) else []
+        if not any(k.split(".")[0] == "article" for k in content):
+            kept = [b for b in kept if any(k.split(".")[0] == "article" for k in b[0])] or kept
     lines = [
-        text for path, text, link, _ in kept if (path, text) not in literal and not (link >= 0.9 * len(text) and _in_list(path))
-    ]
+        text for path, text, link, _ in kept or by_rules(found)
+        if _is_article(path)
+        or not (literal and place_key(path, text) in literal) and not (link >= 0.9 * len(text) and _in_list(path))
+    ]
     return "\n".join(lines)
 
 
@@ -351,18 +438,98 @@ def _host(url):
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]*)", 1))
 
 
-def wrappers(pages):
-    """(host, wrapper as JSON), from a bounded sample of pages of each host; URLs without a host share one."""
-    rows = pages.select(_host(F.col("url")).alias("host"), "page_id", F.col("html"))
-    rows = rows.filter(F.length("html") > 0).withColumn("o", F.xxhash64("page_id", "html"))
-    first = Window.partitionBy("host").orderBy("o", "page_id")
-    sample = rows.withColumn("place", F.row_number().over(first)).filter(F.col("place") <= SAMPLE_PAGES)
+_PARSED = (
+    "host string, k1 bigint, k2 bigint, tree string, places array<bigint>, "
+    "weights array<struct<path:string,w:bigint>>"
+)
+
 
-    def learn(rows):
-        rows = rows.sort_values("place")
-        return pd.DataFrame({"host": [rows["host"].iloc[0]], "wrapper": [json.dumps(infer(rows["html"].tolist()))]})
+def _parse(batches):
+    schema = pa.schema(
+        [
+            ("host", pa.string()),
+            ("k1", pa.int64()),
+            ("k2", pa.int64()),
+            ("tree", pa.string()),
+            ("places", pa.list_(pa.int64())),
+            ("weights", pa.list_(pa.struct([("path", pa.string()), ("w", pa.int64())]))),
+        ]
+    )
+    for batch in batches:
+        out = []
+        for host, data in rows_of(batch, "host", "html"):
+            found = blocks(data.decode("utf-8", "replace"))
+            if found:
+                out.append(
+                    (
+                        host,
+                        *distinct_key(found),
+                        json.dumps(packed_tree(tree(found))),
+                        sorted({place_key(p, text) for p, text, _, site in found if not site}),
+                        [{"path": json.dumps(p), "w": w} for p, w in weights(found).items()],
+                    )
+                )
+        if out:
+            yield batch_of(list(zip(*out, strict=True)), schema)
 
-    return sample.groupBy("host").applyInPandas(learn, "host string, wrapper string")
+
+def wrappers(pages):
+    """(host, wrapper as JSON) from all distinct pages of each host; URLs without a host share one."""
+    rows = pages.select(_host(F.col("url")).alias("host"), text_bytes("html").alias("html")).filter(F.length("html") > 0)
+    parsed = stored(rows.mapInArrow(_parse, _PARSED).dropDuplicates(["host", "k1", "k2"]), "distinct-pages")
+    sizes = parsed.groupBy("host").agg(F.count("*").alias("pages"))
+    places = parsed.select("host", F.explode("places").alias("x")).groupBy("host", "x").agg(F.count("*").alias("n"))
+    # Each text that is kept stands on half of the pages: no more than twice those of an average page.
+    literals = (
+        places.filter(F.col("n") >= MIN_PAGES)
+        .join(sizes, "host")
+        .filter(F.col("n") >= SITE_SHARE * F.col("pages"))
+        .groupBy("host")
+        .agg(F.sort_array(F.collect_list("x")).alias("literals"))
+    )
+    held = parsed.select("host", F.explode("weights").alias("x")).groupBy("host", "x.path").agg(F.sum("x.w").alias("w"))
+    total = held.filter("path = '[]'").select("host", F.col("w").alias("total"))
+    # Containers of most of the text lie in each other, or hold no text at all.
+    heavy = (
+        held.join(total, "host")
+        .filter("total > 0 AND w >= 0.6 * total")
+        .groupBy("host", "total")
+        .agg(F.collect_list(F.struct("path", "w")).alias("heavy"))
+    )
+
+    def align(rows):
+        out = None
+        for data in rows["tree"].sort_values():
+            node = unpacked_tree(json.loads(data))
+            out = node if out is None else merge(out, node)
+        return pd.DataFrame({"host": [rows["host"].iloc[0]], "tree": [json.dumps(packed_tree(out))]})
+
+    trees, most = parsed.select("host", "tree").distinct(), None
+    while most is None or most > 1:
+        most = trees.groupBy("host").count().agg(F.max("count")).first()[0] or 0
+        groups = -(-most // MERGE_ROWS)
+        bucket = F.pmod(F.xxhash64("tree", F.lit(most)), F.lit(max(1, groups)))
+        if most > 1:
+            trees = trees.groupBy("host", bucket.alias("bucket")).applyInPandas(align, "host string, tree string")
+            trees = stored(trees, "wrapper-trees")
+    made = sizes.join(trees, "host").join(literals, "host", "left").join(heavy, "host", "left")
+
+    def finish(batches):
+        for batch in batches:
+            hosts, out = [], []
+            for host, n, data, literal, heavy, total in rows_of(batch, "host", "pages", "tree", "literals", "heavy", "total"):
+                weight = {tuple(json.loads(x["path"])): x["w"] for x in heavy or ()}
+                wrapper = {
+                    "tree": json.loads(data),
+                    "literals": literal or [],
+                    "content": list(_content(weight, total or 0)),
+                    "pages": n,
+                }
+                hosts.append(host)
+                out.append(json.dumps(wrapper))
+            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(out, pa.string())], names=["host", "wrapper"])
+
+    return made.select("host", "pages", "tree", "literals", "heavy", "total").mapInArrow(finish, "host string, wrapper string")
 
 
 def main_text(pages):
@@ -384,7 +551,7 @@ def main_text(pages):
                     if len(known) > 2_000:
                         known.clear()
                     w = json.loads(wrapper)
-                    known[wrapper] = {"literals": {(tuple(p), t) for p, t in w["literals"]}, "content": w["content"]}
+                    known[wrapper] = {**w, "tree": unpacked_tree(w["tree"]), "literals": set(w["literals"])}
                 texts.append(extract(data.decode("utf-8", "replace"), known.get(wrapper)))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())], names=["page_id", "url", "text"]

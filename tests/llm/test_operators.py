@@ -417,6 +417,28 @@ def test_raw_elements_end_where_they_must():
     assert texts("<object data=x><p>one") == "one" and texts("<p>one<script>var a = '<p>no'") == "one"
 
 
+def test_main_text_by_wrapper(spark):
+    """No page has an article or a telling class: the wrapper of the host alone tells what is the text."""
+    def one(i, own, first=""):
+        return (
+            f"<body>{first}<div class=top><p>Hosted by us</p></div><div class='w x9'><section class=zz><h1>T{i}</h1>{own}"
+            f"</section></div><div class=low><p>Write to us today</p><p>or {'tomorrow' if i % 7 else 'never'}</p></div></body>"
+        )
+
+    rows_ = [(i, "http://h/%d" % i, one(i, f"<p>{'long text %d ' % i * 9}</p>" + "<ul><li>item</ul>" * (i % 2))) for i in range(40)]
+    rows_ += [(100, "http://h/100", one(100, f"<p>{'late text ' * 9}</p>", "<script>" + "x" * 300_000 + "</script>"))]
+    rows_ += [(200 + i, "http://h/c", one(0, f"<p>{'long text 0 ' * 9}</p>")) for i in range(60)]  # copies of one page
+    inside = "<article><h2>In this series</h2><p>See part %d</p><ul><li><a href=/>See also</a></ul></article>"
+    rows_ += [(300 + i, "http://s/%d" % i, "<body><p>Site line</p>" + inside % i + "</body>") for i in range(8)]
+    rows_ += [(400, "http://deep/", "<div>" * 3_000 + "down here")]
+    df = spark.createDataFrame(rows_, "page_id bigint, url string, html string")
+    got = {r.page_id: r.text for r in html_main.main_text(df).collect()}
+    for i in range(40):
+        assert got[i] == "\n".join([f"T{i}", ("long text %d " % i * 9).strip()] + ["item"] * (i % 2))
+    assert got[100] == "T100\n" + ("late text " * 9).strip() and got[200] == got[0]
+    assert all(got[300 + i] == f"In this series\nSee part {i}\nSee also" for i in range(8)) and got[400] == "down here"
+
+
 def test_wrapper_is_union_free():
     pages = [f"<body><ul>{'<li>a%d</li>' % i * i}</ul>{'<div>x</div>' * (i % 2)}<p>b</p></body>" for i in range(1, 6)]
     learnt = html_main.infer(pages)
