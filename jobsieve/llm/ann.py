@@ -23,8 +23,9 @@ BLOCK_ROWS = 8_192
 #: Lists that a query looks into; None is all of them. Fewer save work where the vectors form clusters, at a loss of
 #: recall: without clusters, the lists of a query do not tell where its neighbours are.
 PROBES = None
-#: Queries that meet a block at once.
+#: Queries that meet a block at once, and queries on average that one task holds.
 QUERY_ROWS = 256
+QUERY_BLOCK_ROWS = 8_192
 #: Width of the error bound, in standard deviations of the estimate.
 EPSILON = 4.0
 SEED = 42
@@ -95,7 +96,8 @@ def nearest(query_ids, queries, ids, vectors, codes, length, fit, centre, turn,
 def valid_vectors(df, id_column, vector_column):
     """(id, vector) of the rows that take part: an id, and finite components of which one is not zero.
 
-    Vectors of another length than most have no inner product with the rest; the length is that of the smallest id.
+    Vectors of another length than most have no inner product with the rest; the length is that of most
+    rows, of equally many the shorter.
     """
     vector = F.col(vector_column).cast("array<double>")
     fine = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
@@ -110,8 +112,9 @@ class CodeIndex:
     def __init__(self, df, id_column="vec_id", vector_column="embedding", list_rows=LIST_ROWS):
         self.spark = df.sparkSession
         rows = valid_vectors(df, id_column, vector_column)
-        n, first = rows.agg(F.count("*"), F.min_by(F.size("vector"), "id")).first()
-        self.rows, self.dim = n, first or 0
+        most = rows.groupBy(F.size("vector").alias("dim")).count().orderBy(F.desc("count"), "dim").first()
+        self.dim, n = most or (0, 0)
+        self.rows = n
         rows = rows.filter(F.size("vector") == self.dim)
         if not n:
             self.codes = None
@@ -174,14 +177,19 @@ class CodeIndex:
                 )
 
         asked = valid_vectors(queries, id_column, vector_column).filter(F.size("vector") == dim)
+        parts = max(1, -(-asked.count() // QUERY_BLOCK_ROWS))
         asked = asked.mapInArrow(probe, "id bigint, vector array<double>, lists array<int>")
         asked = (
-            asked.select("id", "vector", F.explode("lists").alias("list"))
+            asked.select("id", "vector", F.pmod(F.xxhash64("id", "vector"), F.lit(parts)).cast("int").alias("part"), F.explode("lists").alias("list"))
             .join(F.broadcast(sizes), "list")
-            .select("id", "vector", "list", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)).alias("block"))
+            .select("id", "vector", "list", "part", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)).alias("block"))
         )
         rows = self.codes.join(F.broadcast(sizes), "list").withColumn("block", self._block_of(F.col("n_blocks")))
-        rows = rows.select("list", "block", "id", "code", "length", "fit", "vector")
+        # A block meets the queries part by part: a task holds one block and one part of the queries.
+        rows = rows.select(
+            "list", "block", "id", "code", "length", "fit", "vector",
+            F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"),
+        )
 
         def match(key, block, queries):
             if not len(block) or not len(queries):
@@ -199,8 +207,8 @@ class CodeIndex:
             return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
 
         found = (
-            rows.groupBy("list", "block")
-            .cogroup(asked.groupBy("list", "block"))
+            rows.groupBy("list", "block", "part")
+            .cogroup(asked.groupBy("list", "block", "part"))
             .applyInPandas(match, "query_id bigint, vec_id bigint, score double")
         )
         view = fresh("found")

@@ -230,6 +230,20 @@ def test_nearest_neighbours(spark):
     assert ann.CodeIndex(none).search(none).count() == 0
 
 
+def test_nearest_neighbours_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(ann, "QUERY_BLOCK_ROWS", 16)
+    x = np.random.default_rng(3).standard_normal((300, 8)).round(3)
+    # The smallest id has an odd length.
+    data = [(-1, [1.0, 2.0])] + [(i, v.tolist()) for i, v in enumerate(x)]
+    df = spark.createDataFrame(data, "vec_id bigint, embedding array<double>")
+    got = defaultdict(dict)
+    for r in ann.CodeIndex(df, list_rows=100).search(df, k=3).collect():
+        got[r.query_id][r.rank] = r.vec_id
+    assert set(got) == set(range(300))
+    want = {q: sorted((-float(np.cumsum(x[q] * x[i])[-1]), i) for i in range(300) if i != q)[:3] for q in got}
+    assert sum(got[q][n + 1] == i for q in got for n, (_, i) in enumerate(want[q])) >= 0.95 * 900
+
+
 def test_packing(spark):
     words = "hello, World. don't stop Größe señor x1 42 É.".split()
     rng = np.random.default_rng(4)
