@@ -5,7 +5,21 @@ import os
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
-from . import ann, decontaminate, html_main, license_scan, line_dedup, near_dedup, packing, pii, toxicity, warc
+from . import (
+    ann,
+    decontaminate,
+    hard_negatives,
+    html_main,
+    license_scan,
+    line_dedup,
+    near_dedup,
+    packing,
+    pii,
+    quality,
+    token_align,
+    toxicity,
+    warc,
+)
 from .common import table
 
 QUERIES = {}
@@ -113,3 +127,26 @@ def op9_warc_derivatives(spark, sf):
 @query
 def op10_packing(spark, sf):
     return packing.pack_documents(table(spark, sf, "documents").select("doc_id", "text"), tokenizer())
+
+
+@query
+def op11_quality(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return quality.score(docs, table(spark, sf, "labels")).select(
+        "doc_id",
+        quality.held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
+@query
+def op12_hard_negatives(spark, sf):
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    index = hard_negatives.TreeIndex(table(spark, sf, "embeddings").withColumn("label", label))
+    return index.mine(F.col("id") % 50 == 0)
+
+
+@query
+def op13_token_alignment(spark, sf):
+    return token_align.report(table(spark, sf, "documents").select("doc_id", "text"))
