@@ -10,7 +10,9 @@ distinct pairs of ids it links and, per document, places in that list, so what m
 per part and distinct pair, and no token sequence is shuffled.
 """
 
+import gc
 import re
+from functools import cache
 from hashlib import sha256
 
 import numpy as np
@@ -44,26 +46,24 @@ def byte_alphabet():
     return chars
 
 
-def byte_ends(tokens, spans):
+def byte_ends(lengths, begins, ends):
     """Where each token ends: at its span where that holds as many bytes as the token, else by its decoded bytes."""
-    at, ends = 0, []
-    for token, (begin, end) in zip(tokens, spans, strict=True):
-        at = end if begin == at and end - begin == len(token) else at + len(token)
-        ends.append(at)
-    return ends
-
-
-def match(ends_a, ends_b):
-    """(groups, links): index ranges cut where both sequences end a token, and index pairs with overlapping ranges."""
-    groups, links, i, j, from_a, from_b = [], [], 0, 0, 0, 0
-    while i < len(ends_a) and j < len(ends_b):
-        links.append((i, j))
-        a, b = ends_a[i], ends_b[j]
-        i, j = i + (a <= b), j + (b <= a)
-        if a == b:
-            groups.append(((from_a, i), (from_b, j)))
-            from_a, from_b = i, j
-    return groups, links
+    decoded = np.cumsum(lengths)
+    holds = (begins == decoded - lengths) & (ends - begins == lengths)
+    return np.where(holds, ends, decoded)
+
+
+def places(text):
+    """The byte at which each character of a text begins, and its end."""
+    code = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+    return np.concatenate([[0], np.cumsum(1 + (code >= 0x80) + (code >= 0x800) + (code >= 0x10000))])
+
+
+def link(ends_a, ends_b):
+    """Index pairs of tokens with overlapping ranges: one for each stretch between neighbouring ends of either side."""
+    stretch = np.sort(np.concatenate([ends_a, ends_b]), kind="stable")
+    stretch = stretch[np.diff(stretch, prepend=-1) > 0]
+    return stretch, np.searchsorted(ends_a, stretch), np.searchsorted(ends_b, stretch)
 
 
 class Aligner:
@@ -83,6 +83,12 @@ class Aligner:
             for token, i in self.a.get_vocab().items()
         }
         self.b_bytes = [self._piece(i) for i in range(self.b.get_piece_size())]
+        n_a, n_b = max(self.a_bytes) + 1, len(self.b_bytes)
+        self.a_sizes = np.array([len(self.a_bytes.get(i, b"")) for i in range(n_a)])
+        self.b_sizes = np.array([len(x) for x in self.b_bytes])
+        # How an id is written inside a side of a group, and at its end.
+        self.a_inside, self.a_last = (np.array([f"{i}{x}" for i in range(n_a)], object) for x in ",|")
+        self.b_inside, self.b_last = (np.array([f"{i}{x}" for i in range(n_b)], object) for x in ",;")
         self.known = {}
 
     def _piece(self, i):
@@ -91,59 +97,87 @@ class Aligner:
             return bytes([int(m[1], 16)])
         return piece.replace("▁", " ").encode()
 
-    def tokens(self, chunks):
-        """Per chunk (ids of A, ends of A, ids of B, ends of B), or None where its bytes do not come back.
-
-        A chunk comes without the space that stands before it.
+    def tokens(self, text):
+        """(ids of A, their ends, ids of B, their ends) of a text that is not empty, or None where its bytes do not
+        come back. Ends count bytes from the space before the text.
+        """
+        spaced = " " + text
+        whole = spaced.encode()
+        one = self.a.encode(spaced, add_special_tokens=False)
+        other = self.b.encode(text, return_type="offset_mapping", return_bytes=True)
+        a, b = np.array(one.ids, np.int64), np.array(other["ids"], np.int64)
+        if b"".join(map(self.a_bytes.__getitem__, one.ids)) != whole:
+            return None
+        if b"".join(map(self.b_bytes.__getitem__, other["ids"])) != whole:
+            return None
+        begins, ends = (np.array(x, np.int64) for x in zip(*one.offsets, strict=True))
+        if len(whole) != len(spaced):
+            place = places(spaced)
+            begins, ends = place[begins], place[ends]
+        # The space before the text is no part of B's spans.
+        from_b, to_b = (np.array(x, np.int64) + 1 for x in zip(*other["offsets"], strict=True))
+        from_b[0] = 0
+        return a, byte_ends(self.a_sizes[a], begins, ends), b, byte_ends(self.b_sizes[b], from_b, to_b)
+
+    def aligned(self, chunks):
+        """What is to know of each chunk: (groups as text, tokens of A, of B, groups, pairs of ids), or None.
+
+        Chunks that end in no white space stand next to each other in one text, as they do in documents. Where the bytes
+        of such a text do not come back, its halves are tried.
         """
-        encoded = self.a.encode_batch([" " + c for c in chunks], add_special_tokens=False)
-        protos = self.b.encode(chunks, return_type="proto", num_threads=1)
-        for chunk, one, other in zip(chunks, encoded, protos, strict=True):
-            whole = (" " + chunk).encode()
-            a, b = one.ids, [p.id for p in other.pieces]
-            a_bytes, b_bytes = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
-            if b"".join(a_bytes) != whole or b"".join(b_bytes) != whole:
-                yield None
-                continue
-            spans = one.offsets
-            if len(whole) != len(chunk) + 1:  # characters to bytes
-                place = [0]
-                for c in " " + chunk:
-                    place.append(place[-1] + len(c.encode()))
-                spans = [(place[s], place[e]) for s, e in spans]
-            pieces = [(p.begin + 1 if k else 0, p.end + 1) for k, p in enumerate(other.pieces)]
-            yield a, byte_ends(a_bytes, spans), b, byte_ends(b_bytes, pieces)
-
-    def _aligned(self, chunks):
-        for found in self.tokens(chunks):
-            if found is None:
-                yield None
-                continue
+        found = self.tokens(" ".join(chunks))
+        stops = np.cumsum([len(c.encode()) + 1 for c in chunks])
+        if found is not None:
             a, ends_a, b, ends_b = found
-            groups, links = match(ends_a, ends_b)
-            written = ";".join(
-                f"{','.join(map(str, a[s:e]))}|{','.join(map(str, b[u:v]))}" for (s, e), (u, v) in groups
-            )
-            pairs = np.array([a[i] << SHIFT | b[j] for i, j in links], np.int64).tobytes()
-            yield written, len(a), len(b), len(groups), pairs
-
-    def chunks(self, lists):
-        """(all distinct chunks of these lists -> number, what is known of each by number)."""
-        number = {}
-        for chunks in lists:
-            for c in chunks:
-                number.setdefault(c, len(number))
-        out, new = [self.known.get(c) for c in number], []
-        new = [(k, c) for k, c in enumerate(number) if out[k] is None and c not in self.known]
-        if len(self.known) + len(new) > KNOWN_CHUNKS:
-            self.known.clear()
-        for at in range(0, len(new), 2_000):
-            some = new[at : at + 2_000]
-            for (k, c), found in zip(some, self._aligned([c for _, c in some]), strict=True):
-                out[k] = found
-                if len(c) <= CHUNK_CHARS and len(self.known) < KNOWN_CHUNKS:
-                    self.known[c] = found
-        return number, out
+            common = np.intersect1d(ends_a, ends_b, assume_unique=True)
+            cut_at = np.minimum(np.searchsorted(common, stops), len(common) - 1)
+        if found is None or not (common[cut_at] == stops).all():
+            if len(chunks) == 1:
+                return [None]
+            half = len(chunks) // 2
+            return self.aligned(chunks[:half]) + self.aligned(chunks[half:])
+        stretch, i, j = link(ends_a, ends_b)
+        pairs = a[i] << SHIFT | b[j]
+        # Written group by group: the ids of A, then those of B.
+        group_a, group_b = np.searchsorted(common, ends_a), np.searchsorted(common, ends_b)
+        out = np.empty(len(a) + len(b), object)
+        out[np.arange(len(a)) + np.searchsorted(group_b, group_a)] = np.where(
+            common[group_a] == ends_a, self.a_last[a], self.a_inside[a]
+        )
+        out[np.arange(len(b)) + np.searchsorted(group_a, group_b, "right")] = np.where(
+            common[group_b] == ends_b, self.b_last[b], self.b_inside[b]
+        )
+        written = out.tolist()
+        to_a, to_b, to_link = (np.searchsorted(x, stops) + 1 for x in (ends_a, ends_b, stretch))
+        told, at, link_at = [], 0, 0
+        counts = [np.diff(x, prepend=0).tolist() for x in (to_a, to_b, cut_at + 1)]
+        for n_a, n_b, n_groups, stop in zip(*counts, to_link.tolist(), strict=True):
+            n = n_a + n_b
+            told.append(("".join(written[at : at + n]), n_a, n_b, n_groups, pairs[link_at:stop].tobytes()))
+            at, link_at = at + n, stop
+        return told
+
+    def chunks(self, distinct):
+        """What is to know of each of these chunks."""
+        new = [c for c in distinct if c not in self.known]
+        if len(self.known) + len(new) > KNOWN_CHUNKS:  # keep what occurs here
+            self.known = {c: self.known[c] for c in distinct if c in self.known}
+        known, rare, joined = self.known, {}, []
+        for c in new:
+            if len(c) > CHUNK_CHARS or not c or c[-1].isspace():
+                rare[c] = self.aligned([c])[0]
+            else:
+                joined.append(c)
+        for at in range(0, len(joined), 1_000):
+            some = joined[at : at + 1_000]
+            known.update(zip(some, self.aligned(some), strict=True))
+        return [rare[c] if c in rare else known[c] for c in distinct] if rare else [known[c] for c in distinct]
+
+
+@cache
+def aligner_of(a_file, b_file):
+    """One per worker, with what it knows: a bounded number of chunks."""
+    return Aligner(a_file, b_file)
 
 
 def files(a_file=None, b_file=None):
@@ -183,32 +217,37 @@ PART = pa.schema(
 def _part(aligner, part, doc_ids, texts):
     """One row of PART: all that the documents of a part link, with the pairs of ids as places in one list."""
     lists = [cut(t) for t in texts]
-    number, known = aligner.chunks(lists)
-    broken = {k for k, v in enumerate(known) if v is None}
-    sizes = np.array([len(v[4]) // 8 if v else 0 for v in known], np.int64)
-    starts = np.concatenate([[0], np.cumsum(sizes)])
-    pairs = np.frombuffer(b"".join(v[4] for v in known if v), np.int64)
-    distinct, place = np.unique(pairs, return_inverse=True)
-    row = {f.name: [] for f in PART}
-    held_by, places, times = np.zeros(len(distinct), np.int32), [], []
-    for chunks in lists:
-        at = np.fromiter(map(number.__getitem__, chunks), np.int64, len(chunks))
-        if broken and not broken.isdisjoint(at.tolist()):
-            at = at[:0]
-        some = [known[k] for k in at.tolist()]
-        for name, k in (("n_a", 1), ("n_b", 2), ("n_groups", 3)):
-            row[name].append(sum(v[k] for v in some))
-        digest = sha256(";".join([v[0] for v in some]).encode()).hexdigest() if some else ""
-        row["digests"].append(digest)
-        n = sizes[at]
-        within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        own, often = np.unique(place[np.repeat(starts[at], n) + within], return_counts=True)
-        held_by[own] += 1
-        row["n_distinct"].append(len(own))
-        places.append(own.astype(np.int32))
-        times.append(often.astype(np.int32))
-    row |= {"part": part, "doc_ids": doc_ids, "pairs": distinct, "held_by": held_by}
-    row |= {"places": np.concatenate(places), "times": np.concatenate(times)}
+    flat = [c for chunks in lists for c in chunks]
+    distinct = list(dict.fromkeys(flat))
+    known = aligner.chunks(distinct)
+    number = {c: k for k, c in enumerate(distinct)}
+    at = np.fromiter(map(number.__getitem__, flat), np.int64, len(flat))
+    sizes = np.array(list(map(len, lists)), np.int64)
+    doc = np.repeat(np.arange(len(lists)), sizes)
+    broken = np.array([v is None for v in known], bool)
+    whole = np.bincount(doc, broken[at], len(lists)) == 0  # documents of which all chunks come back
+    at, doc, sizes = at[whole[doc]], doc[whole[doc]], np.where(whole, sizes, 0)
+    known = [v or ("", 0, 0, 0, b"") for v in known]
+    row = {"part": part, "doc_ids": doc_ids}
+    for name, k in (("n_a", 1), ("n_b", 2), ("n_groups", 3)):
+        each = np.array([v[k] for v in known], np.int64)
+        row[name] = np.bincount(doc, each[at], len(lists)).astype(np.int64)
+    written, order, stop, row["digests"] = [v[0] for v in known], at.tolist(), 0, []
+    for n in sizes.tolist():
+        start, stop = stop, stop + n
+        text = "".join([written[k] for k in order[start:stop]])[:-1]
+        row["digests"].append(sha256(text.encode()).hexdigest() if n else "")
+    n_links = np.array([len(v[4]) // 8 for v in known], np.int64)
+    starts = np.cumsum(n_links) - n_links
+    pairs = np.frombuffer(b"".join([v[4] for v in known]), np.int64)
+    row["pairs"], place = np.unique(pairs, return_inverse=True)
+    n = n_links[at]
+    within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    base = max(1, len(row["pairs"]))
+    own, often = np.unique(np.repeat(doc, n) * base + place[np.repeat(starts[at], n) + within], return_counts=True)
+    row["places"], row["times"] = own % base, often
+    row["n_distinct"] = np.bincount(own // base, minlength=len(lists))
+    row["held_by"] = np.bincount(own % base, minlength=len(row["pairs"]))
     return pa.RecordBatch.from_arrays([pa.array([row[f.name]], f.type) for f in PART], schema=PART)
 
 
@@ -216,7 +255,8 @@ def parts(docs, a_file=None, b_file=None):
     """The aligned documents, packed into parts."""
 
     def scan(batches):
-        aligner = Aligner(a_file, b_file)
+        gc.set_threshold(1_000_000)  # many small values, and no cycles among them
+        aligner = aligner_of(a_file, b_file)
         part, doc_ids, texts, size = TaskContext.get().partitionId() << 32, [], [], 0
         for batch in batches:
             ids, column = batch.column("doc_id").to_pylist(), batch.column("text")
@@ -323,15 +363,18 @@ def groups(docs, a_file=None, b_file=None):
     schema = pa.list_(pa.struct([("a", pa.list_(pa.int32())), ("b", pa.list_(pa.int32())), ("size", pa.int32())]))
 
     def scan(batches):
-        aligner = Aligner(a_file, b_file)
+        aligner = aligner_of(a_file, b_file)
         for batch in batches:
             for k, doc_id in enumerate(batch.column("doc_id").to_pylist()):
-                found, out = list(aligner.tokens(cut(batch.column("text")[k].as_py()))), []
-                for a, ends_a, b, ends_b in found if None not in found else ():
-                    at = 0
-                    for (s, e), (u, v) in match(ends_a, ends_b)[0]:
-                        out.append({"a": a[s:e], "b": b[u:v], "size": ends_a[e - 1] - at})
-                        at = ends_a[e - 1]
+                text, out = batch.column("text")[k].as_py(), []
+                found = aligner.tokens(text.decode()) if cut(text) else None
+                if found is not None:
+                    a, ends_a, b, ends_b = found
+                    common = np.intersect1d(ends_a, ends_b, assume_unique=True)
+                    in_a, in_b = np.searchsorted(ends_a, common) + 1, np.searchsorted(ends_b, common) + 1
+                    sides = (np.split(x, y[:-1]) for x, y in ((a, in_a), (b, in_b)))
+                    sizes = np.diff(common, prepend=0)
+                    out = [{"a": x, "b": y, "size": n} for x, y, n in zip(*sides, sizes, strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([doc_id], pa.int64()), pa.array([out], schema)], names=["doc_id", "groups"]
                 )
