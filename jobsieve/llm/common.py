@@ -51,7 +51,7 @@ def mix64(x):
 class WordHashes(dict):
     """64-bit hash of each word, kept for repeated words up to a bound."""
 
-    def __init__(self, bound=500_000):
+    def __init__(self, bound=100_000):
         super().__init__()
         self.bound = bound
 
@@ -66,14 +66,42 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
+class Best:
+    """The k best rows per anchor and window so far: highest scores first, ties to the smaller id."""
+
+    def __init__(self, anchors, windows, k):
+        self.k = k
+        self.scores = np.full((anchors, windows, k), -np.inf)
+        self.ids = np.full((anchors, windows, k), np.iinfo(np.int64).max)
+        self.kth = np.full((anchors, windows), -np.inf)
+
+    def add(self, w, q, ids, scores):
+        """Candidates of window w: per anchor, the best k of the old and the new ones."""
+        own, start = np.unique(q, return_index=True)  # q is sorted
+        for a, s, e in zip(own.tolist(), start, np.append(start[1:], len(q)), strict=True):
+            both = np.concatenate([self.scores[a, w], scores[s:e]])
+            names = np.concatenate([self.ids[a, w], ids[s:e]])
+            keep = np.lexsort((names, -both))[: self.k]
+            self.scores[a, w], self.ids[a, w] = both[keep], names[keep]
+            self.kth[a, w] = both[keep[-1]]
+
+
 def text_bytes(column):
     """The UTF-8 bytes of a text column; NULL is the empty text."""
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit("")).cast("binary")
 
 
-def rows_of(batch, *names):
-    """Rows of an Arrow batch, with bytes columns taken as Python bytes."""
-    return zip(*(batch.column(n).to_pylist() for n in names), strict=True)
+def rows_of(batch, *names, step=500):
+    """Rows of an Arrow batch, with bytes columns taken as Python bytes, a few at a time."""
+    for at in range(0, len(batch), step):
+        yield from zip(*(batch.column(n).slice(at, step).to_pylist() for n in names), strict=True)
+
+
+def small_batches(spark, rows=1_000):
+    """From now on no more than so many rows, often of long texts, go to Python at once."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, rows)
 
 
 def batch_of(columns, schema):

@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import Best, stored
 
 #: Rows on which the walls of tiles are fitted at most, and tiles at most; every row is indexed.
 FIT_ROWS = 20_000
@@ -190,26 +190,6 @@ class Block:
                     take(w, needed[q], rows[r], score[q, r])
 
 
-class Best:
-    """The k best rows per anchor and window so far: highest scores first, ties to the smaller id."""
-
-    def __init__(self, anchors, windows, k):
-        self.k = k
-        self.scores = np.full((anchors, windows, k), -np.inf)
-        self.ids = np.full((anchors, windows, k), np.iinfo(np.int64).max)
-        self.kth = np.full((anchors, windows), -np.inf)
-
-    def add(self, w, q, ids, scores):
-        """Candidates of window w: per anchor, the best k of the old and the new ones."""
-        own, start = np.unique(q, return_index=True)  # q is sorted
-        for a, s, e in zip(own.tolist(), start, np.append(start[1:], len(q)), strict=True):
-            both = np.concatenate([self.scores[a, w], scores[s:e]])
-            names = np.concatenate([self.ids[a, w], ids[s:e]])
-            keep = np.lexsort((names, -both))[: self.k]
-            self.scores[a, w], self.ids[a, w] = both[keep], names[keep]
-            self.kth[a, w] = both[keep[-1]]
-
-
 def fresh_ids(rows):
     """Of rows that share an id, the one with the smallest label, then vector."""
     twice = stored(rows.groupBy("id").count().filter("count > 1").select("id"), "repeats")

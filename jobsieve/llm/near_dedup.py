@@ -18,7 +18,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from .common import GOLDEN, WordHashes, batch_of, mix64, rows_of, stored, text_bytes
+from .common import GOLDEN, WordHashes, batch_of, mix64, rows_of, small_batches, stored, text_bytes
 from .components import components
 from .decontaminate import rolling
 
@@ -252,6 +252,7 @@ def link(docs, words=2, percent=80):
     (NULL, empty, blank) are linked with nothing. Rows that share an id are one document. Rows
     without an id are linked with nothing: their component is NULL and they are kept.
     """
+    small_batches(docs.sparkSession)
     sig = stored(signatures(docs, words), "signatures")
     linkable = sig.filter("doc_id IS NOT NULL AND n > 0")
     classes = linkable.groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("rep"))

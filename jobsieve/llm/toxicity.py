@@ -40,7 +40,7 @@ def features_of_word(word):
 
 
 class _Cache(dict):
-    def __init__(self, of, bound=300_000):
+    def __init__(self, of, bound=50_000):
         super().__init__()
         self.of, self.bound = of, bound
 
