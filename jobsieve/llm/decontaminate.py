@@ -12,7 +12,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from .common import GOLDEN, WordHashes, alnum_words, mix64, rows_of, text_bytes
+from .common import GOLDEN, WordHashes, alnum_words, mix64, rows_of, stored, text_bytes
 
 #: Words of benchmark items that are sent to the tasks at once; a larger benchmark is taken in blocks of this size.
 BLOCK_WORDS = 2_000_000
@@ -93,7 +93,8 @@ def scan(docs, benchmark, n=WINDOW):
     """All rows of `docs` with ``n_words``, ``hits`` (start and length of matched windows, in words) and ``items``.
 
     A benchmark beyond one block is matched by one narrow pass per block over the same rows: no join, no
-    shuffle, and no more than a block in memory. NULL texts have no words. Items without an id mark words but are
+    shuffle. The rows are written after each block but the last, whose windows are given back then, so no task ever
+    holds more than one. Without a benchmark, words are counted alone. NULL texts have no words. Items without an id mark words but are
     not listed; items that share an id are one item. Extra columns stay; columns named like a result are replaced.
     """
     spark = docs.sparkSession
@@ -110,7 +111,9 @@ def scan(docs, benchmark, n=WINDOW):
     )
     types = {f.name: f.dataType.simpleString() for f in out.schema}
     schema = ", ".join(f"{c} {t}" for c, t in types.items())
-    for block in _blocks(benchmark):
+    blocks = _blocks(benchmark)
+    block = next(blocks, [])
+    while block is not None:
         windows = spark.sparkContext.broadcast(WindowSet(block, n))
 
         def match(batches, windows=windows):
@@ -135,6 +138,10 @@ def scan(docs, benchmark, n=WINDOW):
                 )
 
         out = out.mapInArrow(match, schema)
+        block = next(blocks, None)
+        if block is not None:
+            out = stored(out, "matched")
+            windows.destroy()
     columns = [F.col(x).alias(c) for c, x in zip(kept, names, strict=True)]
     return out.select(*columns, "n_words", F.arrays_zip("starts", "sizes").alias("hits"), "items")
 

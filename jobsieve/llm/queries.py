@@ -24,8 +24,8 @@ from .common import table
 
 QUERIES = {}
 
-#: Folder of the public tokenizer files.
-TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
+#: Folder of the tokenizer files, where it is not that of the installed package.
+TOKENIZERS = os.environ.get("TOKENIZER_DIR")
 
 
 def query(f):
@@ -34,7 +34,11 @@ def query(f):
 
 
 def tokenizer(name="word_bpe_49k.json"):
-    return os.path.join(TOKENIZERS, name)
+    if TOKENIZERS:
+        return os.path.join(TOKENIZERS, name)
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def sha256(column):

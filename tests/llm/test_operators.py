@@ -230,6 +230,27 @@ def test_nearest_neighbours(spark):
     assert ann.CodeIndex(none).search(none).count() == 0
 
 
+def test_decontamination_without_items_or_rows(spark):
+    docs = spark.createDataFrame([(1, "a b c d"), (2, None), (None, "Größe 1")], DOCS)
+    items = spark.createDataFrame([], "item_id string, text string")
+    got = {(r.doc_id, r.n_words, r.n_hit, r.n_items, r.contaminated) for r in decontaminate.report(docs, items).collect()}
+    assert got == {(1, 4, 0, 0, False), (2, 0, 0, 0, False), (None, 2, 0, 0, False)}
+    blank = spark.createDataFrame([("x", None), ("y", " ,")], "item_id string, text string")
+    assert decontaminate.decontaminate(docs, blank).count() == 3
+    some = spark.createDataFrame([("x", "a b c d")], "item_id string, text string")
+    assert decontaminate.report(docs.limit(0), some).count() == 0
+
+
+def test_decontamination_in_blocks(spark, monkeypatch):
+    items = [(str(k), " ".join(f"w{k}x{j}" for j in range(20))) for k in range(12)]
+    docs = spark.createDataFrame([(k, "start " + items[k][1] + " " + items[(k + 5) % 12][1]) for k in range(12)], DOCS)
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    whole = rows(decontaminate.report(docs, bench).select("doc_id", "n_words", "n_hit", "items", "contaminated"))
+    monkeypatch.setattr(decontaminate, "BLOCK_WORDS", 50)
+    assert len(list(decontaminate._blocks(bench))) > 5
+    assert rows(decontaminate.report(docs, bench).select("doc_id", "n_words", "n_hit", "items", "contaminated")) == whole
+
+
 def test_nearest_neighbours_in_parts(spark, monkeypatch):
     monkeypatch.setattr(ann, "QUERY_BLOCK_ROWS", 16)
     x = np.random.default_rng(3).standard_normal((300, 8)).round(3)
