@@ -7,7 +7,7 @@ the next stage. All but the last return the columns of documents.
 from pyspark.sql import functions as F
 
 from jobsieve.llm import decontaminate, line_dedup, near_dedup, packing, toxicity
-from jobsieve.llm.common import stored, table
+from jobsieve.llm.common import small_batches, stored, table
 from jobsieve.llm.queries import tokenizer
 from jobsieve.session import scratch_dir
 
@@ -21,6 +21,7 @@ ORACLE_SQL = None
 
 def drop_toxic(spark, docs, sf_dir):
     """Documents with a toxicity score below the threshold, learnt from the labels of documents still here."""
+    small_batches(spark)
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     scored = model.score(docs.select(*COLUMNS), out="toxicity")
     return scored.filter(F.col("toxicity") < toxicity.THRESHOLD).select(*COLUMNS)
@@ -28,6 +29,7 @@ def drop_toxic(spark, docs, sf_dir):
 
 def drop_repeated_lines(spark, docs, sf_dir):
     """All documents, less lines that at least five documents hold; ``n_chars`` follows the text."""
+    small_batches(spark)
     docs = docs.select(*COLUMNS)
     cleaned = line_dedup.LineState(spark, scratch_dir(spark, "lines")).insert(docs).clean(docs)
     return cleaned.withColumn("n_chars", F.length("text").cast("bigint")).select(*COLUMNS)
@@ -40,11 +42,13 @@ def drop_near_copies(spark, docs, sf_dir):
 
 def drop_contaminated(spark, docs, sf_dir):
     """Documents of which less than a twentieth of the words lie in benchmark windows."""
+    small_batches(spark)
     return decontaminate.decontaminate(docs.select(*COLUMNS), table(spark, sf_dir, "benchmark"))
 
 
 def pack(spark, docs, sf_dir):
     """Pieces of all documents with their places in sequences of 4,096 tokens."""
+    small_batches(spark)
     return packing.pack_documents(docs.select("doc_id", "text"), tokenizer())
 
 
