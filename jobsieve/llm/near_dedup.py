@@ -92,11 +92,15 @@ def signatures(docs, words):
     return given.mapInArrow(scan, schema)
 
 
-def _sets(docs, ids, words):
-    """(id, shingles) of at least the documents in `ids`: a bit map of fixed size tells which texts to read."""
-    place = F.pmod(F.xxhash64("id"), F.lit(MAP_BITS))
+def _place(*columns):
+    """Where a value stands in a bit map."""
+    return F.pmod(F.xxhash64(*columns), F.lit(MAP_BITS))
+
+
+def _bitmap(places):
+    """A bit map of fixed size, sent to the tasks, of a column ``place``."""
     rows = (
-        ids.select(F.shiftright(place, 6).alias("w"), (place % 64).cast("int").alias("bit"))
+        places.select(F.shiftright("place", 6).alias("w"), (F.col("place") % 64).cast("int").alias("bit"))
         .groupBy("w")
         .agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("m"))
         .toLocalIterator()
@@ -104,13 +108,49 @@ def _sets(docs, ids, words):
     bitmap = np.zeros(MAP_BITS // 64, np.int64)
     for r in rows:
         bitmap[r.w] = r.m
-    needed = docs.sparkSession.sparkContext.broadcast(bitmap)
+    return places.sparkSession.sparkContext.broadcast(bitmap)
+
+
+def _held(bitmap, place):
+    return (bitmap[place >> 6] >> (place & 63)) & 1 == 1
+
+
+def _shared_sketches(reps):
+    """(doc_id, a, b) with NULL for sketches that no other document has.
+
+    A key of two sketches can only be shared where both are, so a fifth of the rows is counted instead of all keys,
+    and documents that resemble nothing give no key. The bit map may keep a sketch too many, never one too few.
+    """
+    every = F.concat("a", "b")
+    seen = reps.select(F.posexplode(every).alias("i", "x")).groupBy("i", "x").count().filter("count > 1")
+    shared = _bitmap(seen.select(_place("x", "i").alias("place")))
+
+    def scan(batches):
+        for batch in batches:
+            if not len(batch):
+                continue
+            lone = ~_held(shared.value, batch.column("places").flatten().to_numpy()).reshape(-1, 2 * SIDE)
+            lists = [batch.column("doc_id")]
+            for name, mask in (("a", lone[:, :SIDE]), ("b", lone[:, SIDE:])):
+                values = pa.array(batch.column(name).flatten().to_numpy(), pa.int64(), mask=mask.ravel())
+                lists.append(pa.ListArray.from_arrays(np.arange(0, len(values) + 1, SIDE, dtype=np.int32), values))
+            some = pa.RecordBatch.from_arrays(lists, names=["doc_id", "a", "b"])
+            yield some.filter(pa.array(~(lone[:, :SIDE].all(axis=1) | lone[:, SIDE:].all(axis=1))))
+
+    given = reps.select("doc_id", "a", "b", F.transform(every, lambda x, i: _place(x, i)).alias("places"))
+    return given.mapInArrow(scan, "doc_id bigint, a array<bigint>, b array<bigint>")
+
+
+def _sets(docs, ids, words):
+    """(id, shingles) of at least the documents in `ids`: a bit map of fixed size tells which texts to read."""
+    place = _place("id")
+    needed = _bitmap(ids.select(place.alias("place")))
 
     def scan(batches):
         hashes, known = WordHashes(), needed.value
         for batch in batches:
             place = batch.column("place").to_numpy()
-            take = np.flatnonzero((known[place >> 6] >> (place & 63)) & 1)
+            take = np.flatnonzero(_held(known, place))
             some = batch.take(pa.array(take))
             for k in range(0, len(some), 500):
                 part = some.slice(k, 500)
@@ -261,9 +301,15 @@ def link(docs, words=2, percent=80):
         classes.select(F.col("rep").alias("doc_id"), "h1", "h2"), ["doc_id", "h1", "h2"], "left_semi"
     )
     key = F.flatten(
-        F.transform("a", lambda x, i: F.transform("b", lambda y, j: F.xxhash64(x, y, i * F.lit(SIDE) + j)))
+        F.transform(
+            "a",
+            lambda x, i: F.transform(
+                "b", lambda y, j: F.when(x.isNotNull() & y.isNotNull(), F.xxhash64(x, y, i * F.lit(SIDE) + j))
+            ),
+        )
     )
-    keys = reps.select(F.explode(key).alias("key"), F.col("doc_id").alias("rep"))
+    keyed = stored(_shared_sketches(reps), "sketches")
+    keys = keyed.select(F.explode(key).alias("key"), F.col("doc_id").alias("rep")).filter("key IS NOT NULL")
     heads = (
         keys.groupBy("key")
         .agg(F.min("rep").alias("head"), F.max("rep").alias("last"))
