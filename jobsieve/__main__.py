@@ -70,13 +70,21 @@ def enrich(spark, args):
     query.awaitTermination()
 
 
+def _posts(spark, args):
+    """The posts of the source; what is no JSON goes to a folder beside the output."""
+    read = readers.read_posts_json(spark, args.source, lines=args.lines, raw="_raw")
+    rejects = read.filter("_raw IS NOT NULL").select("_raw")
+    rejects.write.mode("overwrite").text(f"{args.out.rstrip('/')}-rejects")
+    return readers.spread(read.filter("_raw IS NULL").drop("_raw"))
+
+
 def extract(spark, args):
-    posts = readers.spread(readers.read_posts_json(spark, args.source, lines=args.lines))
+    posts = _posts(spark, args)
     sinks.write_posts_json(extract_flat(posts, _dictionaries(spark, args)), args.out)
 
 
 def enrich_files(spark, args):
-    posts = readers.spread(readers.read_posts_json(spark, args.source, lines=args.lines))
+    posts = _posts(spark, args)
     enrich_posts(posts, _dictionaries(spark, args)).write.parquet(args.out)
 
 

@@ -265,6 +265,8 @@ count(*) AS n FROM posts GROUP BY 1""",
     "s3_landing_stream": f"WITH {POSTS} SELECT {FIELDS} FROM posts WHERE Description <> ''",
     "s4_posts_json": f"WITH {POSTS} SELECT {FIELDS} FROM posts",
     "s4_json_lines": f"WITH {POSTS} SELECT {FIELDS} FROM posts",
+    "s4_malformed_documents": f"""WITH {POSTS} SELECT CASE WHEN arrival % 10 <> 0 THEN Job_ID END AS Job_ID,
+CASE WHEN arrival % 10 <> 0 THEN Title END AS Title, CASE WHEN arrival % 10 = 0 THEN 'broken ' || arrival END AS raw FROM posts""",
     "s5_labelled_files": """SELECT doc_id AS doc, CASE WHEN doc_id % 25 = 1 THEN 'invalid JSON'
   WHEN doc_id % 40 = 3 THEN 'no tokens' ELSE 'good' END AS status,
 CASE WHEN doc_id % 25 = 1 OR doc_id % 40 = 3 THEN 0 ELSE CAST(len(string_split(text, ' ')) AS INTEGER) END AS n_tokens FROM documents""",
@@ -277,6 +279,10 @@ FROM topics t LEFT JOIN mentioned m ON m.term = t.term GROUP BY grp, t.term""",
     "s9_overwrite_by_key": f"""WITH {OLD_NEW}
 SELECT Job_ID, arrival, Title, Location, Description FROM n
 UNION ALL SELECT Job_ID, arrival, Title, Location, Description FROM o WHERE Job_ID NOT IN (SELECT Job_ID FROM n)""",
+    "s9_overwrite_last_wins": f"""WITH {STORED}, n AS (SELECT * FROM posts WHERE Company_name <> 'Company 3'
+  QUALIFY row_number() OVER (PARTITION BY Job_ID ORDER BY arrival DESC) = 1)
+SELECT Job_ID, arrival, Title, Description FROM n
+UNION ALL SELECT Job_ID, arrival, Title, Description FROM stored WHERE Job_ID NOT IN (SELECT Job_ID FROM n)""",
     "s10_payload_round_trip": f"WITH {POSTS} SELECT {FIELDS} FROM posts",
     "s10_topic_folder": f"WITH {POSTS} SELECT {FIELDS} FROM posts",
     "s11_fan_out": f"""WITH {POSTS} SELECT sink, arrival, Description
@@ -335,6 +341,8 @@ FROM documents d LEFT JOIN spans s ON s.doc = d.doc_id GROUP BY d.doc_id""",
     "j1_lookup_enrich": f"""WITH {STORED} SELECT p.arrival, p.Job_ID, CAST(s.arrival AS VARCHAR) AS old_arrival, s.Description AS old_description
 FROM posts p LEFT JOIN stored s USING (Job_ID)""",
     "j2_reject_known": f"""WITH {STORED} SELECT arrival, Job_ID, Description FROM posts p
+WHERE NOT EXISTS (SELECT 1 FROM stored s WHERE s.Job_ID = p.Job_ID AND s.Description <> '')""",
+    "j2_known_keys_indexed": f"""WITH {STORED} SELECT arrival, Job_ID, Description FROM posts p
 WHERE NOT EXISTS (SELECT 1 FROM stored s WHERE s.Job_ID = p.Job_ID AND s.Description <> '')""",
     "j3_normalize_title": f"{BASE}, {LOWERED} SELECT arrival, Title FROM normal",
     "j4_normalize_skills": f"""{FULL} SELECT arrival, coalesce(string_agg(skill, '|' ORDER BY skill), '') AS skills

@@ -14,6 +14,7 @@ from ..session import scratch_dir
 from ..sources import dictionaries as dicts_io
 from ..sources import readers, sinks
 from ..sources.dictionaries import Dictionaries
+from ..sources.key_index import KeyIndex
 from ..streaming import jobs
 from . import inputs
 
@@ -99,7 +100,7 @@ def s3_landing_stream(spark, sf):
 
 @query
 def s4_posts_json(spark, sf):
-    """Documents holding an array of two posts or a single post, read back as posts."""
+    """Files of many documents, each an array of two posts or a single post, read back as posts."""
     pairs = (
         inputs.posts(spark, sf)
         .groupBy(F.floor(F.col("arrival") / 2).alias("d"))
@@ -108,10 +109,20 @@ def s4_posts_json(spark, sf):
     single = F.transform("p", lambda x: F.to_json(x))
     docs = pairs.select(F.explode(F.when(F.col("d") % 2 == 0, F.array(F.to_json("p"))).otherwise(single)).alias("value"))
     path = scratch_dir(spark, "arrays")
-    docs.repartition(32).write.option("maxRecordsPerFile", 1).text(path)
+    docs.write.text(path)
     return readers.read_posts_json(spark, path)
 
 
+@query
+def s4_malformed_documents(spark, sf):
+    """Every tenth line is no JSON: it comes back as it was, and takes no other line with it."""
+    post = F.to_json(F.struct(*POST_FIELDS))
+    broken = F.concat(F.lit("broken "), F.col("arrival").cast("string"))
+    path = scratch_dir(spark, "mixed")
+    inputs.posts(spark, sf).select(F.when(F.col("arrival") % 10 == 0, broken).otherwise(post).alias("value")).write.text(path)
+    return readers.read_posts_json(spark, path, raw="raw").select("Job_ID", "Title", "raw")
+
+
 @query
 def s4_json_lines(spark, sf):
     """All posts through the engine's own JSON-lines sink and back."""
@@ -202,6 +213,15 @@ def s9_overwrite_by_key(spark, sf):
     return dedupe.overwrite_by_key(new, old).select("Job_ID", "arrival", "Title", "Location", "Description")
 
 
+@query
+def s9_overwrite_last_wins(spark, sf):
+    """Several new rows of a key: the last one that arrived stays."""
+    table, posts = _table_and_batch(spark, sf)
+    new = posts.filter("Company_name <> 'Company 3'")
+    state = dedupe.overwrite_by_key(new, table, order="arrival")
+    return state.select("Job_ID", "arrival", "Title", "Description")
+
+
 @query
 def s10_payload_round_trip(spark, sf):
     p = inputs.posts(spark, sf).select(*POST_FIELDS)
@@ -415,6 +435,16 @@ def j2_reject_known(spark, sf):
     return dedupe.reject_known(posts, stored).select("arrival", "Job_ID", "Description")
 
 
+@query
+def j2_known_keys_indexed(spark, sf):
+    """The same lookup through an index of hash buckets, of which only those of the batch are read."""
+    stored, posts = _table_and_batch(spark, sf)
+    index = KeyIndex(spark, scratch_dir(spark, "keys"), keys_per_bucket=500)
+    keys = clean.require_non_empty(stored, "Description").select("Job_ID", F.lit(0).alias("run"), F.lit(0).alias("batch"))
+    index.rebuild(keys)
+    return index.reject_known(posts).select("arrival", "Job_ID", "Description")
+
+
 @query
 def j3_normalize_title(spark, sf):
     aliases = dicts_io.alias_frame(spark, DICTS.title_aliases)

@@ -43,7 +43,13 @@ def reject_known(df: DataFrame, table: DataFrame, key="Job_ID", column="Descript
     return df.join(require_non_empty(table, column).select(key), key, "left_anti")
 
 
-def overwrite_by_key(df: DataFrame, table: DataFrame, key="Job_ID") -> DataFrame:
-    """Table after writing whole rows by key: new rows, one per key, replace old ones."""
-    kept = table.join(df.select(key).distinct(), key, "left_anti")
-    return kept.unionByName(df)
+def overwrite_by_key(df: DataFrame, table: DataFrame, key="Job_ID", order=()) -> DataFrame:
+    """Table after writing whole rows by key: new rows replace old ones, of several new rows of a key the last stays.
+
+    The last is that of the greatest ``order``; rows that tie, or come without one, are settled by content. Rows without a
+    key are never overwritten and all stay.
+    """
+    content = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    last = first_by_key(df.filter(F.col(key).isNotNull()), key, [*[F.desc(c) for c in _columns(order)], content])
+    kept = table.join(last.select(key), key, "left_anti")
+    return kept.unionByName(last).unionByName(df.filter(F.col(key).isNull()))

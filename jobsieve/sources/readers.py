@@ -7,6 +7,8 @@ from pyspark.sql import types as T
 from ..schemas import LABELLED_TOKENS, POST
 
 _CORRUPT = "_corrupt_record"
+#: After a closing bracket, the end of a line that no document goes on from.
+_NEXT_ROOT = r"(?<=[}\]])[ \t\r]*\n\s*(?![\s,\]}])"
 
 
 def spread(df: DataFrame, partitions=None) -> DataFrame:
@@ -44,16 +46,28 @@ def read_landing_stream(spark: SparkSession, directory, schema=POST, raw=None, *
     return spark.readStream.schema(schema).options(**options).json(directory)
 
 
-def read_posts_json(spark: SparkSession, path, schema=POST, lines=False) -> DataFrame:
+def read_posts_json(spark: SparkSession, path, schema=POST, lines=False, raw=None) -> DataFrame:
     """Posts from JSON documents that hold one object or an array of objects.
 
     With ``lines`` every line of a file is such a document, and files are split between tasks; this is what
-    ``write_posts_json`` and the job ``pages`` write. Without it, a file is one document, read by one task.
+    ``write_posts_json`` and the job ``pages`` write. Without it a file, read by one task, may hold one document or
+    several, in any layout: a line that follows a closing bracket and goes on with no comma or closing bracket begins
+    another one.
+
+    No record is lost: what is no such document becomes a row of NULLs, with its text in the column ``raw`` where one
+    is named.
     """
+    documents = spark.read.text(path, wholetext=not lines)
     if not lines:
-        return spark.read.schema(schema).option("multiLine", True).json(path)
+        roots = F.split("value", _NEXT_ROOT)
+        alone = F.transform(roots, lambda x: F.when(x.rlike(r"\A\s*[\[{]"), F.array(x)).otherwise(F.split(x, r"\n")))
+        documents = documents.select(F.explode(F.flatten(alone)).alias("value"))
+    documents = documents.filter(F.col("value").rlike(r"\S"))
     parsed = F.from_json("value", T.ArrayType(schema))  # a single object is an array of one
-    return spark.read.text(path).filter(F.trim("value") != "").select(F.explode(parsed).alias("post")).select("post.*")
+    posts = documents.select("value", F.explode_outer(F.when(F.size(parsed) != 0, parsed)).alias("post"), parsed.isNotNull().alias("read"))
+    posts = posts.filter("post IS NOT NULL OR NOT read")  # an empty array holds no post
+    columns = [F.col(f"post.{f.name}").alias(f.name) for f in schema.fields]
+    return posts.select(*columns, *([F.when(~F.col("read"), F.col("value")).alias(raw)] if raw else []))
 
 
 def read_labelled_tokens(spark: SparkSession, path, glob="*.json"):

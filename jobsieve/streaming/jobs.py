@@ -8,13 +8,10 @@ from ..operators.clean import decode_payload, drop_fields, require_non_empty, sp
 from ..operators.dedupe import dedupe_first, reject_known
 from ..plans.enrich import enrich_posts
 from ..schemas import POST
+from ..sources.key_index import KeyIndex
 from ..sources.sinks import append_version, merge_by_key, read_versions, to_payload, write_topic
 
 
-# Keys of one micro-batch that may be broadcast; above that the lookup is a shuffled join.
-MAX_BROADCAST_KEYS = 200_000
-
-
 def start(df: DataFrame, write_batch, checkpoint, run=0, available_now=False, query_name=None):
     """Start a query that hands every micro-batch to ``write_batch(df, batch_id, run)``.
 
@@ -132,17 +129,18 @@ def ingest_sink(table, schema, key="Job_ID", order="arrival", column="Descriptio
     Rows that tie in ``order`` come in the order of their places in the source. Rows without a key, malformed lines among
     them, are no posts; they go to the folder ``quarantine`` where one is given, with the malformed line in ``raw``.
 
-    Stored rows are partitioned by whether they have a Description, so the lookup of known keys
-    reads the key column of one partition only. A repeated micro-batch ignores its own earlier
-    output, so repeating it gives the same result.
+    Keys of stored rows that have a Description lie in an index beside the table, in hash buckets: a micro-batch reads
+    the buckets of its own keys, however large the table is. The first batch builds the index where there is none. Rows
+    are stored before their keys are, so a batch that was cut off is repeated in full; a repeated batch ignores
+    its own earlier output and gives the same result. ``KeyIndex.compact`` puts the files of many batches together.
     """
 
     def write(batch, batch_id, run):
-        columns = T.StructType([*schema.fields, T.StructField("has_text", T.BooleanType())])
-        stored = read_versions(batch.sparkSession, table, columns)
-        # Seeded rows carry a negative batch number and belong to every run.
-        earlier = stored.filter((F.col("batch") < 0) | ((F.col("run") == run) & (F.col("batch") < batch_id)))
-        known = earlier.filter("has_text").select(key)
+        index = KeyIndex(batch.sparkSession, f"{table.rstrip('/')}_keys", key)
+        if index.generation() is None:
+            columns = T.StructType([*schema.fields, T.StructField("has_text", T.BooleanType())])
+            stored = read_versions(batch.sparkSession, table, columns)
+            index.rebuild(stored.filter("has_text").select(key, "run", "batch"))
         good, bad = split_quarantine(drop_fields(batch), [key])
         if quarantine:
             append_version(bad, quarantine, batch_id, run)
@@ -151,12 +149,13 @@ def ingest_sink(table, schema, key="Job_ID", order="arrival", column="Descriptio
         by = [order] if isinstance(order, str) else list(order)
         first = dedupe_first(good, key, [*by, "_place"], column).drop("_place").persist()
         try:
-            # With few new keys the stored ones are filtered where they are read, not shuffled.
-            if first.count() <= MAX_BROADCAST_KEYS:
-                known = known.join(F.broadcast(first.select(key)), key, "left_semi")
+            # Seeded rows carry a negative batch number and belong to every run.
+            earlier = (F.col("batch") < 0) | ((F.col("run") == run) & (F.col("batch") < batch_id))
+            known = index.known(first).filter(earlier).select(key).distinct()
             fresh = first.join(known, key, "left_anti")
             sinks = [
                 lambda b, i, r: append_version(b.withColumn("has_text", F.lit(True)), table, i, r, ["has_text"]),
+                index.add,
                 *forward,
             ]
             fan_out(sinks)(fresh, batch_id, run)
