@@ -1,5 +1,6 @@
 """Small helpers shared by the corpus operators."""
 
+import ctypes
 import hashlib
 import uuid
 
@@ -97,6 +98,14 @@ def rows_of(batch, *names, step=500):
         yield from zip(*(batch.column(n).slice(at, step).to_pylist() for n in names), strict=True)
 
 
+def give_back():
+    """Return what a task has freed to the system: workers are used again and would keep it."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def small_batches(spark, rows=1_000):
     """From now on no more than so many rows, often of long texts, go to Python at once."""
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"

@@ -146,21 +146,17 @@ def scan(docs, benchmark, n=WINDOW):
     return out.select(*columns, "n_words", F.arrays_zip("starts", "sizes").alias("hits"), "items")
 
 
-def _union_length(starts, sizes):
+def hit_words(hits):
     """How many words lie in any of the windows."""
-    end = total = 0
-    for start, size in sorted(zip(starts, sizes, strict=True)):
-        total += max(0, start + size - max(start, end))
-        end = max(end, start + size)
-    return total
-
+    zero = F.lit(0).cast("bigint")
 
-def hit_words(hits):
-    @F.pandas_udf("bigint")
-    def count(starts: pd.Series, sizes: pd.Series) -> pd.Series:
-        return pd.Series([int(_union_length(a, b)) for a, b in zip(starts, sizes, strict=True)], dtype="int64")
+    def add(seen, hit):
+        stop = hit["starts"] + hit["sizes"]
+        more = F.greatest(zero, stop - F.greatest(hit["starts"], seen["end"]))
+        return F.struct(F.greatest(seen["end"], stop).alias("end"), (seen["total"] + more).alias("total"))
 
-    return count(F.col(f"{hits}.starts"), F.col(f"{hits}.sizes"))
+    start = F.struct(zero.alias("end"), zero.alias("total"))
+    return F.aggregate(F.array_sort(hits), start, add, lambda seen: seen["total"])
 
 
 def report(docs, benchmark, n=WINDOW, share=20):

@@ -18,7 +18,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from .common import GOLDEN, WordHashes, batch_of, mix64, rows_of, small_batches, stored, text_bytes
+from .common import GOLDEN, WordHashes, batch_of, give_back, mix64, rows_of, small_batches, stored, text_bytes
 from .components import components
 from .decontaminate import rolling
 
@@ -86,6 +86,8 @@ def signatures(docs, words):
                 a, b = sketches(minhashes(values)) if len(values) else ([], [])
                 out.append((doc_id, len(values), h1, h2, a, b))
             yield batch_of(list(zip(*out, strict=True)) or [[]] * 6, SIGNATURE)
+        hashes.clear()
+        give_back()
 
     given = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_bytes("text").alias("text"))
     schema = "doc_id bigint, n bigint, h1 bigint, h2 bigint, a array<bigint>, b array<bigint>"
@@ -158,6 +160,8 @@ def _sets(docs, ids, words):
                 yield pa.RecordBatch.from_arrays(
                     [part.column("id"), pa.array(values, pa.list_(pa.int64()))], names=["id", "shingles"]
                 )
+        hashes.clear()
+        give_back()
 
     given = (
         docs.filter("doc_id IS NOT NULL")

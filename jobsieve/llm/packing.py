@@ -49,7 +49,7 @@ class ChunkIds:
     ids end with the only one that closes a word. Others are encoded one by one.
     """
 
-    def __init__(self, tokenizer, bound=400_000):
+    def __init__(self, tokenizer, bound=150_000):
         self.tokenizer, self.bound, self.known, self.parts = tokenizer, bound, {}, {}
         suffix = getattr(tokenizer.model, "end_of_word_suffix", None)
         self.closes = np.zeros(max(tokenizer.get_vocab().values()) + 1, bool)

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from .common import rows_of, stored, text_bytes
+from .common import give_back, rows_of, stored, text_bytes
 
 #: Bounds of the training sample; the prior is counted over all labelled training rows.
 MAX_POSITIVE = 3_000
@@ -104,6 +104,8 @@ class ToxicityModel:
                 rest = [batch.column(n) for n in batch.schema.names if n != "own_text"]
                 own = [n for n in batch.schema.names if n != "own_text"]
                 yield pa.RecordBatch.from_arrays([*rest, pa.array(scores, pa.float64())], names=[*own, "own_score"])
+            known.clear()
+            give_back()
 
         pairs = [(c, n) for c, n in zip(df.columns, names, strict=True) if c in kept]
         given = df.select(*[F.col(f"`{c}`").alias(n) for c, n in pairs], text_bytes(F.col(f"`{text}`")).alias("own_text"))
