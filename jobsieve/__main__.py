@@ -1,6 +1,7 @@
 """Command line: ``spark-submit`` or ``python -m jobsieve <job> ...``."""
 
 import argparse
+import importlib
 
 from .operators import insights, training
 from .operators.clean import drop_fields
@@ -22,6 +23,17 @@ def _dictionaries(spark, args):
     return Dictionaries.load(spark, *paths, stop_terms=args.stop_terms)
 
 
+def _finder(spark, args):
+    """What finds skills: a lexicon table, the user's own labeller, or neither."""
+    found = {}
+    if args.lexicon:
+        found["lexicon"] = spark.read.schema("term string, canonical string").json(args.lexicon)
+    if args.labeler:
+        module, _, name = args.labeler.partition(":")
+        found["labeler"] = getattr(importlib.import_module(module), name)
+    return found
+
+
 def _payloads(spark, args):
     if args.brokers:
         options = {"kafka.bootstrap.servers": args.brokers}
@@ -65,7 +77,7 @@ def ingest(spark, args):
 def enrich(spark, args):
     query = jobs.run_stream(
         _payloads(spark, args), args.table, args.progress, _dictionaries(spark, args), args.run, args.available_now,
-        quarantine=args.quarantine or f"{args.table.rstrip('/')}-quarantine",
+        quarantine=args.quarantine or f"{args.table.rstrip('/')}-quarantine", **_finder(spark, args),
     )
     query.awaitTermination()
 
@@ -80,12 +92,12 @@ def _posts(spark, args):
 
 def extract(spark, args):
     posts = _posts(spark, args)
-    sinks.write_posts_json(extract_flat(posts, _dictionaries(spark, args)), args.out)
+    sinks.write_posts_json(extract_flat(posts, _dictionaries(spark, args), **_finder(spark, args)), args.out)
 
 
 def enrich_files(spark, args):
     posts = _posts(spark, args)
-    enrich_posts(posts, _dictionaries(spark, args)).write.parquet(args.out)
+    enrich_posts(posts, _dictionaries(spark, args), **_finder(spark, args)).write.parquet(args.out)
 
 
 def report(spark, args):
@@ -134,6 +146,8 @@ def main(argv=None, spark=None):
         for name in ("title-aliases", "skill-aliases", "topics", "services"):
             p.add_argument(f"--{name}")
         p.add_argument("--stop-terms", nargs="*", default=[])
+        p.add_argument("--lexicon", help="JSON lines of term and canonical, of any number, in place of the dictionaries' terms")
+        p.add_argument("--labeler", help="module:function from a text column to tagged tokens, in place of a lexicon")
 
     def stream(p):
         p.add_argument("--brokers", help="Kafka brokers; without them folders are used")

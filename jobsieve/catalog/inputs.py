@@ -139,6 +139,15 @@ def labelled_docs(spark, sf_dir) -> DataFrame:
     )
 
 
+def alias_chains(spark, sf_dir) -> DataFrame:
+    """An alias for most documents: chains of up to 96 steps, and every second one closed to a cycle."""
+    d = F.col("doc_id")
+    name = lambda i: F.concat(F.lit("name-"), i.cast("string"))
+    to = F.when(d % 97 != 0, d - 1).when(d % 2 == 0, d + 96)
+    rows = table(spark, sf_dir, "documents").select(name(d).alias("alias"), name(to).alias("canonical"))
+    return rows.filter("canonical IS NOT NULL")
+
+
 def listing_pages(spark, sf_dir) -> DataFrame:
     """One listing page per document, with two cards; the second card lacks some fields.
 

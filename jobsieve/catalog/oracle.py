@@ -330,10 +330,11 @@ lower(Location) AS Location, Pubblication_date, lower(Seniority_level) AS Senior
 lower(Employment_type) AS Employment_type, lower(Job_Function) AS Job_Function, lower(Industry_type) AS Industry_type FROM posts""",
     "p4_blank_guard": f"""WITH {POSTS} SELECT arrival, coalesce(Description = '', TRUE) AS is_empty,
 NOT coalesce(regexp_matches(Description, '\\S'), FALSE) AS is_blank FROM posts""",
-    "p5_drop_description": f"WITH {POSTS} SELECT arrival, {FIELDS.replace('Description, ', '')} FROM posts",
+    "p5_drop_description": f"""{TEXTS} SELECT arrival, {FIELDS.replace('Description, ', '')}, coalesce(skills, '') AS Skills,
+CAST(CASE WHEN coalesce(skills, '') = '' THEN 0 ELSE len(string_split(skills, '|')) END AS INTEGER) AS n_skills
+FROM posts LEFT JOIN {_SKILL_LISTS} USING (arrival)""",
     "p6_expand_struct": f"WITH {POSTS} SELECT arrival, Job_ID, Title FROM posts",
-    "p7_non_empty_tokens": """SELECT doc, CAST(count(*) AS INTEGER) AS n
-FROM (SELECT doc_id AS doc, unnest(string_split(text, ' ')) AS t FROM documents) WHERE length(t) > 14 GROUP BY doc""",
+    "p7_non_empty_tokens": "SELECT doc_id AS doc, CAST(len(string_split(text, ' ')) AS INTEGER) AS n FROM documents WHERE text IS NOT NULL",
     "p8_skip_special_tokens": f"""WITH {BIO}, spans AS {strict_spans('kept', 'doc', 'label')}
 SELECT d.doc_id AS doc, CAST(count(s.doc) AS INTEGER) AS n_spans,
   coalesce(string_agg({_GLUED}, '|' ORDER BY first_pos), '') AS spans
@@ -362,6 +363,12 @@ FROM words w JOIN (SELECT arrival, pos, unnest(range(pos, pos + n)) AS at FROM f
   ON f.arrival = w.arrival AND f.at = w.pos""",
     "x1_lexicon_hits": f"""{TEXTS} SELECT arrival, CAST(pos AS INTEGER) AS pos, n, term FROM hits h WHERE NOT EXISTS (
   SELECT 1 FROM hits b WHERE b.arrival = h.arrival AND b.n > h.n AND b.pos <= h.pos AND b.pos + b.n >= h.pos + h.n)""",
+    "x1_lexicon_mentions": f"{TEXTS} SELECT arrival, pos, CAST(n AS INTEGER) AS n, term FROM found",
+    "x1_spelled_lexicon": f"""WITH {POSTS}, {TOKENS}, spelled(form, term) AS (VALUES ('amazon web services', 'amazon (web) services'),
+  ('node js', 'node. js'), ('oracle cloud', 'oracle, cloud!'), ('java', 'java'), ('c or cpp', 'c (or) cpp')),
+lines AS (SELECT arrival, ' ' || array_to_string(l, ' ') || ' ' AS t FROM word_lists),
+named AS (SELECT DISTINCT arrival, term FROM lines JOIN spelled ON contains(t, ' ' || form || ' '))
+SELECT arrival, coalesce(string_agg(term, '|' ORDER BY term), '') AS skills FROM posts LEFT JOIN named USING (arrival) GROUP BY arrival""",
     "x2_custom_labeler": f"""WITH {POSTS}, w AS (
   SELECT arrival, unnest(l) AS token, generate_subscripts(l, 1) AS pos
   FROM (SELECT arrival, list_filter(string_split_regex(Description, '\\s+'), lambda t: t <> '') AS l FROM posts)),
@@ -379,6 +386,7 @@ FROM posts LEFT JOIN found USING (arrival) GROUP BY arrival""",
     "w2_span_text": f"""WITH {BIO} SELECT doc, first_pos, {_GLUED} AS span
 FROM {strict_spans('kept', 'doc', 'label')} WHERE {_GLUED} <> ''""",
     "e1_enrich_posts": _E1,
+    "e1_enrich_lexicon_table": _E1,
     "e2_extract_flat": f"""{TEXTS} SELECT arrival, {FIELDS.replace('Description, ', '')}, coalesce(skills, '') AS Skills
 FROM posts LEFT JOIN {_SKILL_LISTS} USING (arrival)""",
     "a1_dedupe_first": f"""WITH {POSTS} SELECT arrival, {FIELDS} FROM posts WHERE Description <> ''
@@ -415,6 +423,13 @@ audit AS (
   UNION ALL SELECT 'multi_group', term, string_agg(DISTINCT grp, ',' ORDER BY grp) FROM taxonomy GROUP BY term HAVING count(DISTINCT grp) > 1
   UNION ALL SELECT DISTINCT 'uncategorised', lower(canonical), '' FROM skill_alias WHERE lower(canonical) NOT IN (SELECT term FROM taxonomy))
 SELECT issue, a.term, detail, count(m.arrival) AS posts FROM audit a LEFT JOIN mentioned m ON m.term = a.term GROUP BY issue, a.term, detail""",
+    "c6_alias_chains": """WITH RECURSIVE a AS (SELECT 'name-' || doc_id AS alias, 'name-' || CASE WHEN doc_id % 97 <> 0 THEN doc_id - 1
+    WHEN doc_id % 2 = 0 THEN doc_id + 96 END AS canonical FROM documents WHERE doc_id % 97 <> 0 OR doc_id % 2 = 0),
+walk AS (SELECT alias, canonical AS here, 1 AS hops FROM a
+  UNION ALL SELECT w.alias, a.canonical, hops + 1 FROM walk w JOIN a ON a.alias = w.here WHERE hops < 97),
+ends AS (SELECT * FROM walk WHERE here NOT IN (SELECT alias FROM a))
+SELECT alias, here AS canonical, CAST(hops AS BIGINT) AS hops, false AS cyclic FROM ends
+UNION ALL SELECT alias, min(here), CAST(NULL AS BIGINT), true FROM walk WHERE alias NOT IN (SELECT alias FROM ends) GROUP BY alias""",
     "f_text_functions": f"""WITH {POSTS} SELECT arrival, regexp_replace(Description, '^\\s+|\\s+$', '', 'g') AS stripped,
 '##' || Title AS bare, lower(Company_name) AS lowered, split_part(Company_name, ' ', 2) AS part, Title AS decoded FROM posts""",
     "f_array_functions": """SELECT vec_id, CAST(list_position(embedding, list_max(embedding)) - 1 AS INTEGER) AS argmax,

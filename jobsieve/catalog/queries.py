@@ -386,7 +386,9 @@ def p4_blank_guard(spark, sf):
 
 @query
 def p5_drop_description(spark, sf):
-    return extract_flat(inputs.posts(spark, sf), DICTS, key="arrival").drop("Skills")
+    """The Description goes, the skills found in it stay."""
+    flat = extract_flat(inputs.posts(spark, sf), DICTS, key="arrival")
+    return flat.withColumns({"n_skills": F.size("Skills"), "Skills": joined("Skills")})
 
 
 @query
@@ -397,9 +399,10 @@ def p6_expand_struct(spark, sf):
 
 @query
 def p7_non_empty_tokens(spark, sf):
+    """Every record has a twin without tokens, which is dropped."""
     docs = inputs.labelled_docs(spark, sf)
-    some = docs.withColumn("tokens", F.filter("tokens", lambda t: F.length(t["text"]) > 14))
-    return training.to_sequences(some).select("doc", F.size("tokens").alias("n"))
+    twins = docs.select((-1 - F.col("doc")).alias("doc"), F.slice("tokens", 1, 0).alias("tokens"))
+    return training.to_sequences(docs.unionByName(twins)).select("doc", F.size("tokens").alias("n"))
 
 
 @query
@@ -556,6 +559,32 @@ def e1_enrich_posts(spark, sf):
     return flat_enriched(enriched(spark, sf))
 
 
+def _lexicon_table(spark):
+    return spark.range(0, 1, 1, 1).select(F.explode(F.array(*[F.lit(t) for t in DICTS.lexicon()])).alias("term"))
+
+
+@query
+def x1_lexicon_mentions(spark, sf):
+    """Mentions without overlap, found by joins with a lexicon table."""
+    posts = inputs.posts(spark, sf)
+    found = extract.lexicon_mentions(posts, "arrival", "Description", _lexicon_table(spark))
+    return found.select("arrival", "pos", "n", "term")
+
+
+@query
+def x1_spelled_lexicon(spark, sf):
+    """Terms that tokenising changes are found by what it leaves of them, and come back as they were given."""
+    p = inputs.posts(spark, sf)
+    spelled = ["Amazon (web) services", "node. js", "oracle, cloud!", "java", "c (or) cpp", ". net"]
+    return extract.extract_skills(p, "arrival", "Description", spelled).select("arrival", joined("skills").alias("skills"))
+
+
+@query
+def e1_enrich_lexicon_table(spark, sf):
+    """The whole enrichment with its lexicon as a table."""
+    return flat_enriched(enrich_posts(inputs.posts(spark, sf), DICTS, key="arrival", lexicon=_lexicon_table(spark)))
+
+
 @query
 def e2_extract_flat(spark, sf):
     flat = extract_flat(inputs.posts(spark, sf), DICTS, key="arrival")
@@ -660,6 +689,12 @@ def c6_dictionary_audit(spark, sf):
     )
 
 
+@query
+def c6_alias_chains(spark, sf):
+    """Chains and cycles of aliases followed to their ends."""
+    return normalize.resolve_aliases(inputs.alias_chains(spark, sf))
+
+
 # --- scalar functions ------------------------------------------------------------------------
 
 

@@ -43,9 +43,38 @@ def normalise_term(term):
     return " ".join(p for p in parts if p)
 
 
+def normal_forms(terms):
+    """``{normal form: lower-cased term}`` of all terms that a text can contain.
+
+    Texts hold a term as tokenising leaves it: ``c (lang)`` is found as the tokens ``c lang``. Where several terms have one
+    normal form, the term that is that form itself stands for it, else the smallest. A term whose first character
+    tokenising takes away (``. net``) would be found as another word; ``unmatchable_terms`` lists those.
+    """
+    forms = {}
+    for term in sorted({t.lower() for t in terms if t}):
+        form = normalise_term(term)
+        if _keeps_its_start(term, form) and (form == term or form not in forms):
+            forms[form] = term
+    return forms
+
+
+def _keeps_its_start(term, form):
+    return bool(form) and form[0] == term.strip()[0]
+
+
+def unmatchable_terms(terms):
+    """Lower-cased terms that no text can contain: nothing, or another word, is left of them."""
+    return sorted(t for t in {t.lower() for t in terms} if not _keeps_its_start(t, normalise_term(t)))
+
+
+def respelled_terms(terms):
+    """The part of ``normal_forms`` where the form and the term differ."""
+    return {form: term for form, term in normal_forms(terms).items() if form != term}
+
+
 def matchable_terms(terms):
-    """Distinct lower-cased terms that tokenising leaves whole; no text can contain the others."""
-    return sorted({t.lower() for t in terms if t and normalise_term(t) == t.lower()})
+    """The distinct normal forms of terms, sorted."""
+    return sorted(normal_forms(terms))
 
 
 def _escaped(ch):
@@ -89,7 +118,7 @@ def lexicon_pattern(terms):
         raise ValueError("the lexicon has no matchable term")
     if len(terms) > MAX_PATTERN_TERMS:
         raise ValueError(
-            f"{len(terms)} terms exceed {MAX_PATTERN_TERMS}; use operators.extract.lexicon_hits"
+            f"{len(terms)} terms exceed {MAX_PATTERN_TERMS}; give them as a table"
         )
     return f"({_SEPARATOR})({_branches(set(terms))})"
 

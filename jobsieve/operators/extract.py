@@ -3,12 +3,26 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import is_blank, let
-from ..functions.tokens import decode_tagged, lexicon_pattern, mentions, span_text, tagged_tokens, tokens, truncate
+from ..functions.arrays import lookup
+from ..functions.text import is_blank, let, strip
+from ..functions.tokens import (
+    MAX_PATTERN_TERMS,
+    decode_tagged,
+    lexicon_pattern,
+    matchable_terms,
+    mentions,
+    respelled_terms,
+    span_text,
+    tagged_tokens,
+    tokens,
+    truncate,
+)
 from ..schemas import SPECIAL_TOKENS
 
 # Positions per piece of a document in the relational decoder.
 CHUNK = 1 << 16
+# Hits that are chosen from in one go; the list of chosen ones is copied as it grows.
+FOLD = 500
 
 
 def truncate_tokens(df: DataFrame, n, pos="pos") -> DataFrame:
@@ -33,18 +47,12 @@ def label_tokens(df: DataFrame, doc, text, lexicon) -> DataFrame:
     return rows.filter("_t IS NOT NULL").select(doc, "pos", "_t.token", "_t.label")
 
 
-def lexicon_hits(df: DataFrame, doc, text, lexicon: DataFrame, max_words=None) -> DataFrame:
-    """Rows (doc, pos, n, term): every mention not strictly inside a longer one.
+def _longest(terms):
+    return terms.agg(F.max(F.size(F.split("term", " ")))).first()[0] or 1
 
-    For a lexicon of any size, one ``term`` column in any case; mentions may overlap here. Tokens meet the
-    first words of the terms, and only those that match form n-grams, inside the row, to meet the
-    whole terms. Containment is settled per exact place, so texts are read once, only hits are
-    shuffled, and nothing is gathered per document. ``max_words`` is the length of the longest term, counted
-    where it is not given.
-    """
-    terms = lexicon.select(F.lower("term").alias("term")).filter("term <> ''").distinct()
-    if max_words is None:
-        max_words = terms.agg(F.max(F.size(F.split("term", " ")))).first()[0] or 1
+
+def _all_hits(df, doc, text, terms, max_words):
+    """Rows (doc, pos, n, term) of every place where a term stands; ``terms`` holds distinct tokenised terms."""
     firsts = terms.select(F.substring_index("term", " ", 1).alias("first")).distinct()
 
     def windows(words):
@@ -63,7 +71,21 @@ def lexicon_hits(df: DataFrame, doc, text, lexicon: DataFrame, max_words=None) -
         )
         for n in range(1, max_words + 1)
     ]
-    found = starts.select(doc, "pos", F.inline(F.array(*grams))).join(terms, "term")
+    return starts.select(doc, "pos", F.inline(F.array(*grams))).join(terms, "term")
+
+
+def lexicon_hits(df: DataFrame, doc, text, lexicon: DataFrame, max_words=None) -> DataFrame:
+    """Rows (doc, pos, n, term): every mention not strictly inside a longer one.
+
+    For a lexicon of any size, one ``term`` column in any case; mentions may overlap here. Tokens meet the
+    first words of the terms, and only those that match form n-grams, inside the row, to meet the
+    whole terms. Containment is settled per exact place, so texts are read once, only hits are
+    shuffled, and nothing is gathered per document. ``max_words`` is the length of the longest term, counted
+    where it is not given.
+    """
+    terms = lexicon.select(F.lower("term").alias("term")).filter("term <> ''").distinct()
+    max_words = max_words or _longest(terms)
+    found = _all_hits(df, doc, text, terms, max_words)
     # A hit speaks for its own place and against every place strictly inside it.
     own = F.struct("pos", "n", F.col("n").alias("reach"), F.lit(True).alias("own"))
     inner = [
@@ -83,6 +105,73 @@ def lexicon_hits(df: DataFrame, doc, text, lexicon: DataFrame, max_words=None) -
     )
 
 
+def normal_terms(lexicon: DataFrame) -> DataFrame:
+    """Rows (term, given, canonical): normal forms of a ``term`` table, each once, and what to return for them.
+
+    The relational form of ``functions.tokens.normal_forms``. A column ``canonical`` is taken over where there is one; of
+    several canonical names of one form the smallest is.
+    """
+    given = F.lower("term")
+    canonical = F.col("canonical") if "canonical" in lexicon.columns else F.lit(None).cast("string")
+    forms = lexicon.select(
+        F.array_join(tokens("term"), " ").alias("form"), given.alias("given"), canonical.alias("canonical")
+    ).filter("form <> ''")
+    forms = forms.filter(F.substr("form", F.lit(1), F.lit(1)) == F.substr(strip("given"), F.lit(1), F.lit(1)))
+    first = F.min(F.struct(F.col("form") != F.col("given"), "given"))
+    return forms.groupBy(F.col("form").alias("term")).agg(
+        first["given"].alias("given"), F.min("canonical").alias("canonical")
+    )
+
+
+def lexicon_mentions(df: DataFrame, doc, text, lexicon: DataFrame, max_words=None) -> DataFrame:
+    """Rows (doc, pos, n, term, canonical): mentions that do not overlap, leftmost first, the longest from there.
+
+    The same mentions as those of a pattern, for a lexicon table (``term``, and ``canonical`` where there is one) of any size.
+    Tokens meet first words, n-grams meet whole terms, and only hits are shuffled. Where no hit reaches over a place, the
+    choice starts afresh: hits are gathered per run of overlapping ones, never more than one text, which
+    is a single row already, can hold. Rows that share a ``doc`` must share their text.
+    """
+    terms = normal_terms(lexicon)
+    max_words = max_words or _longest(terms)
+    found = _all_hits(df, doc, text, terms.select("term"), max_words)
+    best = found.groupBy(doc, F.col("pos").cast("bigint").alias("pos")).agg(F.max(F.struct("n", "term")).alias("hit"))
+    hits = best.select(doc, "pos", F.col("hit.n").alias("n"), F.col("hit.term").alias("term"))
+    in_order = Window.partitionBy(doc).orderBy("pos")
+    reach = F.max(F.col("pos") + F.col("n")).over(in_order.rowsBetween(Window.unboundedPreceding, -1))
+    opens = F.coalesce(F.col("pos") >= F.col("reach"), F.lit(True)).cast("bigint")
+    numbered = hits.withColumn("reach", reach).withColumn(
+        "run", F.sum(opens).over(in_order.rowsBetween(Window.unboundedPreceding, 0))
+    )
+    runs = numbered.groupBy(doc, "run").agg(F.sort_array(F.collect_list(F.struct("pos", "n", "term"))).alias("hits"))
+    chosen = runs.select(doc, F.explode(_chosen(F.col("hits"))).alias("hit")).select(doc, "hit.pos", "hit.n", "hit.term")
+    return chosen.join(terms, "term").select(
+        doc, "pos", "n", F.col("given").alias("term"), F.coalesce("canonical", "given").alias("canonical")
+    )
+
+
+def _chosen(hits):
+    """The hits that start where, or after, the one chosen before them ends."""
+    none = F.slice(hits, 1, 0)
+
+    def end(chosen):
+        last = F.get(chosen, F.size(chosen) - 1)
+        return last["pos"] + last["n"]
+
+    def choose(before, part):
+        return F.aggregate(
+            part,
+            none,
+            lambda kept, hit: F.when(
+                hit["pos"] >= F.coalesce(end(kept), end(before), F.lit(0)), F.array_append(kept, hit)
+            ).otherwise(kept),
+        )
+
+    starts = F.sequence(F.lit(1), F.size(hits), F.lit(FOLD))
+    return F.aggregate(
+        starts, none, lambda before, at: F.concat(before, choose(before, F.slice(hits, at, F.lit(FOLD))))
+    )
+
+
 def decode_bio(
     df: DataFrame,
     doc="doc",
@@ -151,7 +240,9 @@ def span_texts(spans: DataFrame, clean_up=False) -> DataFrame:
 def extract_skills(df: DataFrame, key, text, lexicon=None, labeler=None, out="skills", max_tokens=None) -> DataFrame:
     """Add the sorted set of skills named in a text; ``[]`` for a blank text.
 
-    By default mentions of ``lexicon`` terms are found inside the row. ``labeler`` is a function
+    By default mentions of ``lexicon`` terms are found inside the row. A lexicon given as a DataFrame (``term``, and
+    ``canonical`` to return instead), or as more terms than a pattern takes, is joined: equal texts are one
+    text there, and only hits and finished sets are shuffled. ``labeler`` is a function
     from a text column to a column array<struct<token,label>>, such as a ``pandas_udf`` around a
     trained model; its spans are decoded inside the row too, so repeated keys do no harm and streams
     can use it. A NULL array names no skill.
@@ -161,7 +252,16 @@ def extract_skills(df: DataFrame, key, text, lexicon=None, labeler=None, out="sk
         source = F.col(text)
         if max_tokens is not None:
             source = F.array_join(truncate(tokens(text), max_tokens), " ")
-        found = mentions(source, lexicon_pattern(lexicon))
+        if not isinstance(lexicon, DataFrame):
+            terms = matchable_terms(lexicon)
+            if len(terms) > MAX_PATTERN_TERMS:
+                lexicon = df.sparkSession.createDataFrame([(t,) for t in lexicon if t], "term string")
+        if isinstance(lexicon, DataFrame):
+            return _extract_by_join(df, source, lexicon, out)
+        found = mentions(source, lexicon_pattern(terms))
+        respelled = respelled_terms(lexicon)
+        if respelled:
+            found = F.transform(found, lambda m: F.coalesce(lookup(respelled, m), m))
     else:
         # The labels become a column first: inside the decoder they would be computed once per use.
         df = df.withColumn("_tagged", truncate(labeler(F.col(text)), max_tokens))
@@ -169,3 +269,13 @@ def extract_skills(df: DataFrame, key, text, lexicon=None, labeler=None, out="sk
         found = F.coalesce(F.filter(spans, lambda s: s != ""), empty)
     found = F.sort_array(F.array_distinct(found))
     return df.withColumn(out, F.when(is_blank(text), empty).otherwise(found)).drop("_tagged")
+
+
+def _extract_by_join(df, source, lexicon, out):
+    named = df.withColumn("_text_id", F.unhex(F.sha2(source, 256)))
+    texts = df.select(F.unhex(F.sha2(source, 256)).alias("_text_id"), source.alias("_source"))
+    found = lexicon_mentions(texts.filter("_source IS NOT NULL"), "_text_id", "_source", lexicon)
+    sets = found.groupBy("_text_id").agg(F.sort_array(F.collect_set("canonical")).alias("_found"))
+    empty = F.array().cast("array<string>")
+    joined = named.join(sets, "_text_id", "left")
+    return joined.withColumn(out, F.coalesce("_found", empty)).drop("_text_id", "_found")

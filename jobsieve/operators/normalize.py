@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from ..functions.arrays import lookup
 from ..functions.text import col, remove_prefix, strip
+from ..session import scratch_dir
 
 
 def normalize_by_map(df: DataFrame, column, aliases: DataFrame, trim=False) -> DataFrame:
@@ -95,3 +96,65 @@ def dictionary_audit(aliases: DataFrame, taxonomy: DataFrame) -> DataFrame:
         .select(F.lit("uncategorised").alias("issue"), "term", F.lit("").alias("detail"))
     )
     return unreachable.unionByName(chains).unionByName(multi).unionByName(uncategorised)
+
+
+def resolve_aliases(aliases: DataFrame) -> DataFrame:
+    """Chains of aliases followed to their end: rows (alias, canonical, hops, cyclic), one per alias.
+
+    ``hops`` counts the steps to a name that is no alias, or is its own. An alias whose chain runs into a
+    cycle gets the smallest name of that cycle, ``hops`` NULL and ``cyclic`` true; an alias that is its own canonical form is
+    no cycle. Of several canonical forms of one alias the smallest counts; NULL aliases and forms are left out.
+
+    Pointers are doubled: each round every alias takes over what its target points at, so a chain of a thousand steps
+    takes ten rounds. Each round is written to the scratch folder, which keeps the plan short. Once the number of open
+    aliases, the names they point at and the smallest names seen stay the same, all that is open is cyclic.
+    """
+    spark = aliases.sparkSession
+    state = (
+        aliases.filter("alias IS NOT NULL AND canonical IS NOT NULL AND alias <> canonical")
+        .groupBy("alias")
+        .agg(F.min("canonical").alias("canonical"))
+    )
+    state = state.withColumns({"hops": F.lit(1).cast("bigint"), "least": F.col("alias"), "open": F.lit(True)})
+    before = None
+    while True:
+        target = state.select(
+            F.col("alias").alias("_alias"),
+            F.col("canonical").alias("_to"),
+            F.col("hops").alias("_hops"),
+            F.col("least").alias("_least"),
+        )
+        step = state.filter("open").join(target, F.col("canonical") == F.col("_alias"), "left")
+        goes_on = F.col("_alias").isNotNull()
+        moved = step.select(
+            "alias",
+            F.coalesce("_to", "canonical").alias("canonical"),
+            (F.col("hops") + F.coalesce("_hops", F.lit(0))).alias("hops"),
+            F.when(goes_on, F.least("least", "_least")).otherwise(F.col("least")).alias("least"),
+            goes_on.alias("open"),
+        )
+        path = scratch_dir(spark, "aliases")
+        moved.unionByName(state.filter("NOT open")).write.parquet(path)
+        state = spark.read.parquet(path)
+        waiting = state.filter("open")
+        now = waiting.agg(
+            F.count("*").alias("open"),
+            F.count_distinct("canonical").alias("targets"),
+            F.sum(F.xxhash64("alias", "least").cast("decimal(38,0)")).alias("seen"),
+        ).first()
+        if not now.open or now == before:
+            break
+        before = now
+    # What is still open points at a member of its cycle, and that member has seen the whole cycle.
+    members = waiting.select(F.col("alias").alias("_member"), F.col("least").alias("_name"))
+    cyclic = waiting.join(members, F.col("canonical") == F.col("_member")).select(
+        "alias", F.col("_name").alias("canonical"), F.lit(None).cast("bigint").alias("hops"), F.lit(True).alias("cyclic")
+    )
+    ended = state.filter("NOT open").select("alias", "canonical", "hops", F.lit(False).alias("cyclic"))
+    own = (
+        aliases.filter("alias = canonical")
+        .select("alias", "canonical", F.lit(0).cast("bigint").alias("hops"), F.lit(False).alias("cyclic"))
+        .distinct()
+        .join(ended.unionByName(cyclic).select("alias"), "alias", "left_anti")
+    )
+    return ended.unionByName(cyclic).unionByName(own)

@@ -75,13 +75,13 @@ def enrich_stream(payloads: DataFrame, dicts=None, schema=POST, labeler=None) ->
 
 def run_stream(
     payloads, table, checkpoint, dicts=None, run=0, available_now=False, labeler=None, quarantine=None, key="Job_ID",
-    order=(),
+    order=(), lexicon=None,
 ):
     """The enrichment job: decode, normalise, extract, categorise, upsert by key.
 
     Updates of one key in a micro-batch are merged in the source's ``order`` (columns of the payload rows, by default
     the offset where the source has one). Payloads that do not decode, or have no key, are kept as they came
-    in the folder ``quarantine`` where one is given.
+    in the folder ``quarantine`` where one is given. ``lexicon`` may be a table of any size (``plans.enrich``).
     """
     order = list(order) or [c for c in ("offset", "partition") if c in payloads.columns]
 
@@ -91,7 +91,7 @@ def run_stream(
             good, bad = split_quarantine(decode_payload(batch, keep=["value", *order]), [key])
             if quarantine:
                 append_version(bad.select(F.col("value").cast("string")), quarantine, batch_id, run)
-            rich = enrich_posts(good.drop("value"), dicts, labeler, key)
+            rich = enrich_posts(good.drop("value"), dicts, labeler, key, lexicon=lexicon)
             versions = rich.withColumns({"run": F.lit(0), "batch": F.lit(0)})
             append_version(merge_by_key(versions, key, order).drop(*order), table, batch_id, run)
         finally:
