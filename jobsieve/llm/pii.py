@@ -1,14 +1,18 @@
 """Personal data by weak supervision: labelers vote, EM weighs them, a trained classifier decides.
 
 Spans of fixed patterns (email, ip, card, phone) are found as they are defined. Wider candidate patterns find what those miss:
-spelled-out addresses, numbers without a country code, cards and addresses in other spellings. Every candidate gets
-votes (yes, no, or none) from regex, gazetteer and context labelers. The votes of all candidates of the corpus
-are counted per vote pattern, a few hundred patterns whatever the corpus; expectation-maximisation over these
-counts estimates how reliable each labeler is, and how likely each pattern is personal data. On these probabilities a
-logistic classifier over span features is trained, which settles every candidate.
+spelled-out addresses, numbers without a country code, cards and addresses in other spellings, and secrets (long values
+that are assigned to a name). Every candidate, a span of a fixed pattern too, gets votes (yes, no, or none) from regex,
+gazetteer and context labelers. The votes of all candidates of the corpus are counted per kind and vote pattern, at most
+729 a kind whatever the corpus; expectation-maximisation over these counts estimates how reliable each labeler is,
+and how likely each pattern is personal data. On these probabilities a logistic classifier over span features is
+trained, which settles every wider candidate; spans of the fixed patterns stay in any case.
 """
 
+import math
 import re
+from bisect import bisect_right, insort
+from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -17,7 +21,9 @@ from pyspark.sql import functions as F
 
 from .common import rows_of, stored, text_bytes
 
+#: Kinds with a fixed pattern, and all kinds.
 KINDS = ("email", "ip", "card", "phone")
+ALL_KINDS = (*KINDS, "secret")
 CONTEXT = 24
 THRESHOLD = 0.5
 #: Distinct (votes, features) patterns on which the classifier is fitted at most; the commonest come first.
@@ -34,6 +40,7 @@ _WIDE = {
     "ip": re.compile(r"(?<![0-9.])[0-9]{1,3}(?: ?\. ?[0-9]{1,3}){3}(?![0-9.])"),
     "card": re.compile(r"(?<![0-9])[0-9]{4}(?:[._/][0-9]{4}){3}(?![0-9])"),
     "phone": re.compile(r"(?<![0-9+(])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])"),
+    "secret": re.compile(r"(?<=[=:\"'\x20])[A-Za-z0-9+/_-]{16,}+(?![A-Za-z0-9])"),
 }
 
 #: What stands between the name and the host of a spelled-out address, and the host.
@@ -41,13 +48,19 @@ _WIDE_AT = re.compile(
     r"(?: ?[\[(] ?at ?[\])] ?| at |@ | @ ?)[A-Za-z0-9-]{1,63}(?:(?: ?[\[(] ?dot ?[\])] ?| dot |\.)[A-Za-z0-9-]{2,63}){1,4}"
 )
 
+#: What stands before a value that is assigned: a sign, at most two blanks and a quote.
+_ASSIGNED = re.compile(r"[=:][ ]{0,2}[\"']?\Z")
+
 #: Gazetteers, fixed values: words that stand beside personal data, and endings of host names.
 _CUES = {
     "email": ("mail", "email", "e-mail", "contact", "write", "address", "correo", "courriel"),
     "ip": ("ip", "address", "server", "host", "login", "client", "from"),
     "card": ("card", "visa", "mastercard", "amex", "credit", "debit", "karte", "carte", "tarjeta"),
     "phone": ("phone", "tel", "call", "mobile", "fax", "telefon", "téléphone", "teléfono"),
+    "secret": ("token", "secret", "password", "passwd", "pwd", "key", "apikey", "api_key", "api-key", "auth", "bearer", "credential"),
 }
+_OPENINGS = ("ghp_", "gho_", "sk-", "sk_live_", "AKIA", "xox", "glpat-", "AIza")
+_NO_SECRET = ("sha", "sha1", "sha256", "md5", "checksum", "digest", "commit", "hash", "etag", "uuid", "href", "src", "url", "path")
 _AGAINST = ("version", "v", "order", "invoice", "isbn", "section", "chapter", "page", "id", "ref", "price", "total")
 _ENDINGS = ("com", "org", "net", "edu", "gov", "io", "de", "fr", "es", "uk", "it", "info")
 
@@ -99,34 +112,50 @@ def base_spans(text):
 
 
 def _wide(kind, text):
+    if kind == "secret":
+        for m in _WIDE[kind].finditer(text):
+            if _ASSIGNED.search(text, max(0, m.start() - 4), m.start()):
+                yield m.span()
+        return
     if kind != "email":
         yield from (m.span() for m in _WIDE[kind].finditer(text))
         return
+    end = 0
     for m in _WIDE_AT.finditer(text):
         start = m.start()
-        while start > max(0, m.start() - 64) and text[start - 1] in _LOCAL:
+        while start > end and text[start - 1] in _LOCAL:
             start -= 1
         if start < m.start():
             yield start, m.end()
+        end = m.end()
 
 
 def candidates(text, base):
     """(kind, start, end) of wider matches that overlap no span of the fixed patterns, nor an earlier candidate."""
-    taken = sorted((a, b) for _, a, b in base)
-    starts = [a for a, _ in taken]
-    out, mine = [], []
-    for kind in KINDS:
+    starts, ends = [], []  # of disjoint stretches that are taken, in order
+    for a, b in sorted((a, b) for _, a, b in base):
+        if ends and a < ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            starts.append(a)
+            ends.append(b)
+    out = []
+    for kind in ALL_KINDS:
         for a, b in _wide(kind, text):
-            i = int(np.searchsorted(starts, b)) if starts else 0
-            if any(x < b and a < y for x, y in taken[max(0, i - 4) : i]) or any(x < b and a < y for x, y in mine[-8:]):
-                continue
-            mine.append((a, b))
-            out.append((kind, a, b))
+            i = bisect_right(ends, a)
+            if i == len(ends) or starts[i] >= b:
+                insort(starts, a)
+                insort(ends, b)
+                out.append((kind, a, b))
     return out
 
 
+def _entropy(span):
+    return -sum(n / len(span) * math.log2(n / len(span)) for n in Counter(span).values())
+
+
 def votes_of(text, kind, a, b, base):
-    """One vote per labeler: 1 for, -1 against, 0 none."""
+    """One vote per labeler: 1 for, -1 against, 0 none. `base` holds (start, end) of the fixed spans, sorted."""
     span = text[a:b]
     before = re.findall(r"\w+(?:-\w+)?", text[max(0, a - CONTEXT) : a].lower())
     after = re.findall(r"\w+", text[b : b + CONTEXT].lower())
@@ -140,16 +169,22 @@ def votes_of(text, kind, a, b, base):
         check = 1 if all(int(p) <= 255 for p in re.findall(r"\d+", span)) else -1
         gazetteer = 1 if digits.startswith(("10", "192", "172")) else 0
     elif kind == "card":
-        shape = 1 if len(set(re.findall(r"[._/]", span))) == 1 else -1
+        shape = 1 if len(set(re.findall(r"[^0-9]", span))) < 2 else -1
         check = 1 if luhn(digits) else -1
         gazetteer = 1 if digits[:1] in "3456" else -1
+    elif kind == "secret":
+        shape = 1 if digits and len(digits) < b - a else -1
+        check = 1 if _entropy(span) >= 3 else -1
+        gazetteer = 1 if span.startswith(_OPENINGS) or (b - a in (32, 40, 64) and re.fullmatch("[0-9a-fA-F]+", span)) else 0
     else:
-        shape = 1 if len(digits) == 10 and digits[0] not in "01" else -1
-        check = 1 if span.startswith("(") else 0
+        shape = 1 if span[0] == "+" or (len(digits) == 10 and digits[0] not in "01") else -1
+        check = 1 if span[0] in "+(" else 0
         gazetteer = 1 if digits[3:6] == "555" else 0
     context = 1 if any(w in _CUES[kind] for w in before[-3:]) else 0
-    against = -1 if any(w in _AGAINST for w in before[-1:] + after[:1]) else 0
-    near = 1 if any(abs(x - b) < 120 or abs(a - y) < 120 for _, x, y in base) else 0
+    doubts = _NO_SECRET if kind == "secret" else _AGAINST
+    against = -1 if any(w in doubts for w in before[-1:] + after[:1]) else 0
+    i = bisect_right(base, (a - 120, math.inf))  # starts of fixed spans, in order
+    near = 1 if any((x, y) != (a, b) for x, y in base[i : i + 2] if x < b + 120) else 0
     return shape, check, gazetteer, context, against, near
 
 
@@ -157,7 +192,7 @@ def features_of(text, kind, a, b):
     """Small integer features of a span and its surroundings, on which the classifier is trained."""
     span = text[a:b]
     return (
-        KINDS.index(kind),
+        ALL_KINDS.index(kind),
         min(len(_digits(span)), 20),
         min((b - a) // 4, 12),
         int(a > 0 and text[a - 1] in " \n\t("),
@@ -188,7 +223,7 @@ def expectation_maximisation(votes, counts, rounds=50):
 def _expand(features):
     """Features as numbers around one, with a constant."""
     x = np.asarray(features, float)
-    kinds = (x[:, :1] == np.arange(len(KINDS))).astype(float)
+    kinds = (x[:, :1] == np.arange(len(ALL_KINDS))).astype(float)
     return np.hstack([kinds, x[:, 1:] / np.array([10, 6, 1, 1, 3]), np.ones((len(x), 1))])
 
 
@@ -210,7 +245,8 @@ _SPANS = "array<struct<kind:string,start:bigint,end:bigint>>"
 _SPAN = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 _WIDER = pa.list_(
     pa.struct(
-        [("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("votes", pa.list_(pa.int32())), ("feats", pa.list_(pa.int32()))]
+        [("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("votes", pa.list_(pa.int32())), ("feats", pa.list_(pa.int32())),
+         ("base", pa.bool_())]
     )
 )
 
@@ -222,12 +258,15 @@ def _scan(batches):
             text = data.decode("utf-8", "replace")
             base = base_spans(text)
             bases.append([{"kind": k, "start": a, "end": b} for k, a, b in base])
+            places = sorted((a, b) for _, a, b in base)
+            judged = [(*c, True) for c in base] + [(*c, False) for c in candidates(text, base)]
             wider.append(
                 [
-                    {"kind": k, "start": a, "end": b, "votes": votes_of(text, k, a, b, base), "feats": features_of(text, k, a, b)}
-                    for k, a, b in candidates(text, base)
+                    {"kind": k, "start": a, "end": b, "votes": votes_of(text, k, a, b, places), "feats": features_of(text, k, a, b),
+                     "base": own}
+                    for k, a, b, own in judged
                 ]
-            )
+            )
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), pa.array(bases, _SPAN), pa.array(wider, _WIDER)], names=["doc_id", "base", "wider"]
         )
@@ -238,30 +277,33 @@ def find(docs, threshold=THRESHOLD):
 
     `spans` holds all of `base` and the candidates that the classifier accepts, by kind and start. NULL and empty
     texts have none. Rows with NULL or repeated ids are rows of their own. Labelers and classifier are fitted on
-    counts over all candidates of `docs`; without any candidate, nothing is added.
+    counts over all candidates of `docs`; without any candidate, nothing is added. Spans that are added overlap no other.
+    Columns other than ``doc_id`` and ``text`` are not read.
     """
     given = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_bytes("text").alias("text"))
-    wider = "array<struct<kind:string,start:bigint,end:bigint,votes:array<int>,feats:array<int>>>"
+    wider = "array<struct<kind:string,start:bigint,end:bigint,votes:array<int>,feats:array<int>,base:boolean>>"
     found = stored(given.mapInArrow(_scan, f"doc_id bigint, base {_SPANS}, wider {wider}"), "spans")
+    judged = found.select(F.explode("wider").alias("c"))
+    counted_votes = judged.groupBy("c.kind", "c.votes").count().orderBy("kind", "votes").collect()
     patterns = (
-        found.select(F.explode("wider").alias("c"))
-        .groupBy("c.kind", "c.votes", "c.feats")
+        judged.groupBy("c.kind", "c.votes", "c.feats")
         .count()
         .orderBy(F.desc("count"), "kind", "votes", "feats")
         .limit(MAX_PATTERNS)
         .collect()
     )
-    order = {k: i for i, k in enumerate(KINDS)}
+    order = {k: i for i, k in enumerate(ALL_KINDS)}
     if patterns:
+        sure = {}
+        for kind in ALL_KINDS:
+            of_kind = [r for r in counted_votes if r.kind == kind]
+            if of_kind:
+                votes = [tuple(r.votes) for r in of_kind]
+                p = expectation_maximisation(votes, np.array([r["count"] for r in of_kind]))[0]
+                sure.update({(kind, v): x for v, x in zip(votes, p, strict=True)})
         votes = [tuple(r.votes) for r in patterns]
-        kinds = [r.kind for r in patterns]
-        counts = np.array([r["count"] for r in patterns])
-        p = np.zeros(len(patterns))
-        for kind in KINDS:
-            at = [i for i, k in enumerate(kinds) if k == kind]
-            if at:
-                p[at] = expectation_maximisation([votes[i] for i in at], counts[at])[0]
-        w = train_classifier(votes, [r.feats for r in patterns], p, counts)
+        p = np.array([sure[r.kind, v] for r, v in zip(patterns, votes, strict=True)])
+        w = train_classifier(votes, [r.feats for r in patterns], p, np.array([r["count"] for r in patterns]))
     else:
         w = None
 
@@ -270,7 +312,8 @@ def find(docs, threshold=THRESHOLD):
         out = []
         for b, c in zip(base, wider, strict=True):
             spans = [(s["kind"], s["start"], s["end"]) for s in b]
-            if w is not None and len(c):
+            c = [s for s in c if not s["base"]]
+            if w is not None and c:
                 sure = classify([list(s["votes"]) for s in c], [list(s["feats"]) for s in c], w) >= threshold
                 spans += [(s["kind"], s["start"], s["end"]) for s, ok in zip(c, sure, strict=True) if ok]
             spans.sort(key=lambda s: (order[s[0]], s[1], s[2]))

@@ -92,6 +92,8 @@ def op5_personal_data(spark, sf):
         *[pii.counted("base", k).alias(f"n_{k}") for k in pii.KINDS],
         sha256(pii.written("base")).alias("base_sha256"),
         pii.written("spans").alias("spans"),
+        pii.counted("spans", "secret").alias("n_secret"),
+        F.size("spans").cast("bigint").alias("n_spans"),
     )
 
 

@@ -1,5 +1,6 @@
 """Each corpus operator against a brute-force version, with awkward rows."""
 
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -409,6 +410,35 @@ def test_personal_data(spark):
     assert pii.find(df.limit(0)).count() == 0
 
 
+def test_secrets_and_overlaps(spark):
+    rng = random.Random(11)
+    code = lambda: "".join(rng.choices("0123456789abcdef", k=40))
+    secret = [f'la token = "{code()}" and on' for _ in range(40)] + [f"api_key: {code()}." for _ in range(20)]
+    clean = [f'title = "{w * 3}" said' for w in ("international", "zzzzzzzz")] + ["a = b", f"see {code()} there", 'x = "' + "a" * 50_000 + '"']
+    texts = secret + clean + ["call +49 30 1234567 or (555) 123-4567 (555) 123-4567", None, ""]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").withColumn("votes", F.lit("mine"))
+    got = {r.doc_id: [tuple(s) for s in r.spans] for r in pii.find(df).collect()}
+    for i, text in enumerate(texts):
+        found = [text[a:b] for k, a, b in got[i] if k == "secret"]
+        assert found == ([re.search("[0-9a-f]{40}", text).group()] if i < len(secret) else [])
+    assert [k for k, _, _ in got[len(secret) + len(clean)]].count("phone") == 3
+
+
+def test_candidates_equal_brute_force():
+    rng = random.Random(3)
+    parts = ["555-123-4567 ", "+1 555 123 4567", " me at host dot com", "1.2.3.4 ", "1 . 2 . 3 . 4", "4556.7375.8689.9855 ", "key=", "abcdef0123456789abcd ", "a@b.de", " "]
+    for _ in range(300):
+        text = "".join(rng.choices(parts, k=12))
+        base = pii.base_spans(text)
+        taken, want = [(a, b) for _, a, b in base], []
+        for kind in pii.ALL_KINDS:
+            for a, b in pii._wide(kind, text):
+                if not any(x < b and a < y for x, y in taken):
+                    taken.append((a, b))
+                    want.append((kind, a, b))
+        assert pii.candidates(text, base) == want
+
+
 def page(i, body):
     return (
         f"<html><head><title>T{i}</title><script>var a='</p>';</script></head><body><header>Site</header><nav><ul><li><a href='/'>"
