@@ -1,7 +1,7 @@
 """The same queries as plain SQL over the given tables, for comparison on another engine."""
 
 from ..sources import default_dictionaries as defaults
-from ..schemas import CATEGORY_LEAVES, POST_FIELDS, SERVICE_LEAVES
+from ..schemas import CATEGORY_LEAVES, LOWERED_FIELDS, POST_FIELDS, SERVICE_LEAVES
 from ..sources.dictionaries import Dictionaries
 from .inputs import MENTIONS, TITLES
 
@@ -416,6 +416,18 @@ FROM posts GROUP BY 1""",
 WHERE Seniority_level = 'entry level' AND arrival IN
   (SELECT arrival FROM leaves WHERE kind = 'category' AND grp = 'cloud_providers' AND term = 'aws')
 GROUP BY skill ORDER BY posts DESC, skill LIMIT 10""",
+    "a8_counts_kept_up": f"""{FULL}, kept AS (
+  SELECT max(arrival) AS arrival, arg_max(Pubblication_date, arrival) FILTER (Pubblication_date IS NOT NULL) AS day
+  FROM posts WHERE scrape = 1 GROUP BY Job_ID),
+now AS (SELECT * FROM kept JOIN normal USING (arrival)),
+facts AS (
+  SELECT 'skill' AS view, NULL AS "group", skill AS term FROM skills SEMI JOIN kept USING (arrival)
+  UNION ALL SELECT 'title', Title, skill FROM skills JOIN now USING (arrival)
+  UNION ALL SELECT 'industry', Industry_type, skill FROM skills JOIN now USING (arrival)
+  UNION ALL SELECT kind, grp, term FROM leaves SEMI JOIN kept USING (arrival)
+  UNION ALL SELECT 'period', 'month', CAST(CAST(date_trunc('month', TRY_CAST(CASE WHEN day LIKE '____-__-__' THEN day END AS DATE)) AS DATE) AS VARCHAR) FROM kept
+  {" ".join(f"UNION ALL SELECT 'facet', '{c}', {c} FROM now WHERE {c} IS NOT NULL" for c in LOWERED_FIELDS)})
+SELECT view, "group", term, count(*) AS posts FROM facts GROUP BY view, "group", term""",
     "c6_dictionary_audit": f"""{TEXTS}, taxonomy AS (SELECT * FROM topics UNION ALL SELECT * FROM services),
 audit AS (
   SELECT DISTINCT 'unreachable' AS issue, t.term, a.canonical AS detail FROM taxonomy t JOIN skill_alias a ON a.alias = t.term WHERE a.alias <> a.canonical

@@ -677,6 +677,23 @@ def a13_facet(spark, sf):
     return insights.top_skills(chosen, 10)
 
 
+@query
+def a8_counts_kept_up(spark, sf):
+    """Counts of all insights after three micro-batches that each replace the posts of the one before.
+
+    Three consecutive documents share a key, so most rows of the later batches take old facts back.
+    """
+    rows = enrich_posts(inputs.posts(spark, sf).filter("arrival % 2 = 1"), DICTS, key="arrival")
+    source, state, counts, progress = (scratch_dir(spark, n) for n in ("posts", "state", "counts", "progress"))
+    sink = jobs.counts_sink(state, counts, rows.schema, compact_every=2)
+    for part in range(3):
+        rows.filter(F.floor(F.col("arrival") / 2) % 3 == part).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(rows.schema).parquet(source)
+        jobs.start(stream, sink, progress, available_now=True).awaitTermination()
+    deltas = spark.read.option("basePath", counts).parquet(counts)
+    return insights.current_counts(deltas)
+
+
 @query
 def c6_dictionary_audit(spark, sf):
     """Doubtful dictionary entries, with the posts that name each."""

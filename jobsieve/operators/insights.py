@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import parsed_date
-from ..schemas import CATEGORY_LEAVES, SERVICE_LEAVES
+from ..schemas import CATEGORY_LEAVES, LOWERED_FIELDS, SERVICE_LEAVES
 
 
 def _with_skill(df, *columns):
@@ -35,10 +35,13 @@ def skills_by(df: DataFrame, column, k=10) -> DataFrame:
     return counts.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= k)
 
 
+def _leaves():
+    leaves = [("category", g, F.col(f"Skills.categories.{g}")) for g in CATEGORY_LEAVES]
+    return leaves + [("service", g, F.col(f"Skills.cloud_services.{g}")) for g in SERVICE_LEAVES]
+
+
 def category_counts(df: DataFrame) -> DataFrame:
     """Posts per topic entry, provider and service: rows (kind, group, term, posts)."""
-    leaves = [("category", g, F.col(f"Skills.categories.{g}")) for g in CATEGORY_LEAVES]
-    leaves += [("service", g, F.col(f"Skills.cloud_services.{g}")) for g in SERVICE_LEAVES]
 
     def rows(kind, group, values):
         return F.transform(
@@ -46,7 +49,7 @@ def category_counts(df: DataFrame) -> DataFrame:
             lambda t: F.struct(F.lit(kind).alias("kind"), F.lit(group).alias("group"), t.alias("term")),
         )
 
-    terms = F.flatten(F.array(*[rows(*leaf) for leaf in leaves]))
+    terms = F.flatten(F.array(*[rows(*leaf) for leaf in _leaves()]))
     found = df.select(F.inline_outer(terms)).filter("term IS NOT NULL")
     return found.groupBy("kind", "group", "term").agg(F.count("*").alias("posts"))
 
@@ -67,3 +70,58 @@ def facet(df: DataFrame, values: dict) -> DataFrame:
         return F.array_contains(column, value) if is_array else F.col(column) == value
 
     return reduce(lambda d, item: d.filter(condition(*item)), values.items(), df)
+
+
+#: Keyword columns whose values are counted as facets.
+FACETS = LOWERED_FIELDS
+
+
+def facts(df: DataFrame, unit="month") -> DataFrame:
+    """What enriched posts add to every insight: rows (view, group, term), one per post and count it enters.
+
+    Views: ``skill``, ``title`` and ``industry`` (skills within their values), ``category``, ``service``, ``period`` (NULL for
+    undated posts) and ``facet`` (values of a keyword column, which is the group). All come out of one pass without a shuffle.
+    """
+
+    def fact(view, group, term):
+        return F.struct(
+            F.lit(view).alias("view"), group.cast("string").alias("group"), term.cast("string").alias("term")
+        )
+
+    def each(view, group, terms):
+        kept = F.filter(F.coalesce(terms, F.array().cast("array<string>")), lambda t: t.isNotNull())
+        return F.transform(kept, lambda t: fact(view, group, t))
+
+    raw = F.col("Skills.raw_skills")
+    kind = dict(df.dtypes)["Pubblication_date"]
+    date = F.col("Pubblication_date") if kind == "date" else parsed_date("Pubblication_date")
+    lists = [
+        each("skill", F.lit(None), raw),
+        each("title", F.col("Title"), raw),
+        each("industry", F.col("Industry_type"), raw),
+        *[each(kind, F.lit(group), terms) for kind, group, terms in _leaves()],
+        *[each("facet", F.lit(c), F.array(c)) for c in FACETS],
+        F.array(fact("period", F.lit(unit), F.to_date(F.date_trunc(unit, date)))),
+    ]
+    return df.select(F.inline_outer(F.flatten(F.array(*lists)))).filter("view IS NOT NULL")
+
+
+def signed_counts(old: DataFrame, new: DataFrame) -> DataFrame:
+    """How counts change when the rows ``old`` leave a table and ``new`` come: (view, group, term, n), n never 0.
+
+    Facts are added up per task before the shuffle, so a term that every post holds costs one row a task.
+    """
+    out, into = (facts(df).withColumn("n", F.lit(sign)) for df, sign in ((old, -1), (new, 1)))
+    return out.unionByName(into).groupBy("view", "group", "term").agg(F.sum("n").alias("n")).filter("n <> 0")
+
+
+def current_counts(deltas: DataFrame) -> DataFrame:
+    """Counts after all signed changes: (view, group, term, posts)."""
+    return deltas.groupBy("view", "group", "term").agg(F.sum("n").alias("posts")).filter("posts <> 0")
+
+
+def ranked_counts(counts: DataFrame, view, k=10) -> DataFrame:
+    """The k first terms of a view within each of its groups, ties by name: (group, term, posts, rank)."""
+    order = Window.partitionBy("group").orderBy(F.desc("posts"), "term")
+    rows = counts.filter(F.col("view") == view).select("group", "term", "posts")
+    return rows.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)

@@ -46,9 +46,13 @@ class KeyIndex:
     def _placed(self, keys, buckets):
         key = F.col(self.key).cast("string")
         return keys.filter(key.isNotNull()).select(
-            key.alias(self.key), "run", "batch", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int").alias("bucket")
+            key.alias(self.key), *self.schema.names[1:], F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int").alias("bucket")
         )
 
+    def _buckets_for(self, n):
+        need = -(-n // self.keys_per_bucket)
+        return min(self.max_buckets, max(16, 1 << max(0, need - 1).bit_length()))
+
     def _write(self, placed, folder, overwrite):
         # One file for each bucket, sorted, with a filter that tells absent keys. A generation replaces its whole folder
         # and marks its end there; a batch replaces its own folders in the buckets.
@@ -67,8 +71,7 @@ class KeyIndex:
         Until its last file is there the old generation counts, so a run that is cut off leaves nothing to repair.
         """
         old = self.generation()
-        need = -(-keys.count() // self.keys_per_bucket)
-        buckets = min(self.max_buckets, max(16, 1 << max(0, need - 1).bit_length()))
+        buckets = self._buckets_for(keys.count())
         folder = f"{self.path}/gen={old[0] + 1 if old else 0}-buckets={buckets}"
         first = keys.groupBy(self.key, "run").agg(F.min("batch").alias("batch"))
         placed = self._placed(first, buckets).withColumns({k: F.lit(v) for k, v in _BASE.items()})

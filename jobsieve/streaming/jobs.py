@@ -4,11 +4,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators import insights
 from ..operators.clean import decode_payload, drop_fields, require_non_empty, split_quarantine
 from ..operators.dedupe import dedupe_first, reject_known
 from ..plans.enrich import enrich_posts
 from ..schemas import POST
 from ..sources.key_index import KeyIndex
+from ..sources.keyed_state import KeyedState
 from ..sources.sinks import append_version, merge_by_key, read_versions, to_payload, write_topic
 
 
@@ -53,6 +55,29 @@ def payload_version_sink(folder):
     return write
 
 
+def counts_sink(state, counts, schema, key="Job_ID", order=(), compact_every=0):
+    """A ``write_batch`` that keeps the counts of all insights up to date with an upserted table of enriched posts.
+
+    The rows of a micro-batch replace those of their keys in ``state`` (``KeyedState``); what that changes in the counts is
+    written as signed differences to ``counts``, so a batch costs what its keys cost, whatever the tables hold.
+    Repeated batches replace their own output, and a replay under a new run number corrects counts instead of adding to them.
+    ``compact_every`` batches the state is put together; ``current_counts`` reads the counts.
+    """
+
+    def write(batch, batch_id, run):
+        table = KeyedState(batch.sparkSession, state, schema, key)
+        old, new = table.upsert(batch, batch_id, run, order)
+        try:
+            append_version(insights.signed_counts(old, new), counts, batch_id, run)
+        finally:
+            old.unpersist()
+            new.unpersist()
+        if compact_every and batch_id % compact_every == compact_every - 1:
+            table.compact()
+
+    return write
+
+
 def fan_out(sinks):
     """A ``write_batch`` that gives one micro-batch to several sinks, computing it once."""
 
@@ -75,13 +100,14 @@ def enrich_stream(payloads: DataFrame, dicts=None, schema=POST, labeler=None) ->
 
 def run_stream(
     payloads, table, checkpoint, dicts=None, run=0, available_now=False, labeler=None, quarantine=None, key="Job_ID",
-    order=(), lexicon=None,
+    order=(), lexicon=None, also=(),
 ):
     """The enrichment job: decode, normalise, extract, categorise, upsert by key.
 
     Updates of one key in a micro-batch are merged in the source's ``order`` (columns of the payload rows, by default
     the offset where the source has one). Payloads that do not decode, or have no key, are kept as they came
-    in the folder ``quarantine`` where one is given. ``lexicon`` may be a table of any size (``plans.enrich``).
+    in the folder ``quarantine`` where one is given. ``lexicon`` may be a table of any size (``plans.enrich``). Other sinks
+    of the enriched rows, such as ``counts_sink``, are given in ``also``.
     """
     order = list(order) or [c for c in ("offset", "partition") if c in payloads.columns]
 
@@ -93,7 +119,8 @@ def run_stream(
                 append_version(bad.select(F.col("value").cast("string")), quarantine, batch_id, run)
             rich = enrich_posts(good.drop("value"), dicts, labeler, key, lexicon=lexicon)
             versions = rich.withColumns({"run": F.lit(0), "batch": F.lit(0)})
-            append_version(merge_by_key(versions, key, order).drop(*order), table, batch_id, run)
+            rows = merge_by_key(versions, key, order).drop(*order)
+            (fan_out([upsert_sink(table), *also]) if also else upsert_sink(table))(rows, batch_id, run)
         finally:
             batch.unpersist()
 
