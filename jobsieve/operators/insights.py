@@ -76,34 +76,32 @@ def facet(df: DataFrame, values: dict) -> DataFrame:
 FACETS = LOWERED_FIELDS
 
 
-def facts(df: DataFrame, unit="month") -> DataFrame:
+def facts(df: DataFrame, *keep, unit="month") -> DataFrame:
     """What enriched posts add to every insight: rows (view, group, term), one per post and count it enters.
 
     Views: ``skill``, ``title`` and ``industry`` (skills within their values), ``category``, ``service``, ``period`` (NULL for
-    undated posts) and ``facet`` (values of a keyword column, which is the group). All come out of one pass without a shuffle.
+    undated posts) and ``facet`` (values of a keyword column, which is the group). All come out of one pass without a shuffle,
+    with the columns ``keep`` of their post.
     """
 
     def fact(view, group, term):
-        return F.struct(
-            F.lit(view).alias("view"), group.cast("string").alias("group"), term.cast("string").alias("term")
-        )
+        return F.struct(view.alias("view"), group.cast("string").alias("group"), term.cast("string").alias("term"))
 
-    def each(view, group, terms):
-        kept = F.filter(F.coalesce(terms, F.array().cast("array<string>")), lambda t: t.isNotNull())
-        return F.transform(kept, lambda t: fact(view, group, t))
+    def nested(view, group, terms):
+        return F.struct(F.lit(view).alias("view"), group.cast("string").alias("group"), terms.alias("terms"))
 
     raw = F.col("Skills.raw_skills")
+    lists = [nested("skill", F.lit(None), raw), nested("title", F.col("Title"), raw), nested("industry", F.col("Industry_type"), raw)]
+    lists += [nested(kind, F.lit(group), terms) for kind, group, terms in _leaves()]
+    lists += [nested("facet", F.lit(c), F.array(c)) for c in FACETS]
+    each = F.transform(F.array(*lists), lambda g: F.transform(g["terms"], lambda t: fact(g["view"], g["group"], t)))
     kind = dict(df.dtypes)["Pubblication_date"]
     date = F.col("Pubblication_date") if kind == "date" else parsed_date("Pubblication_date")
-    lists = [
-        each("skill", F.lit(None), raw),
-        each("title", F.col("Title"), raw),
-        each("industry", F.col("Industry_type"), raw),
-        *[each(kind, F.lit(group), terms) for kind, group, terms in _leaves()],
-        *[each("facet", F.lit(c), F.array(c)) for c in FACETS],
-        F.array(fact("period", F.lit(unit), F.to_date(F.date_trunc(unit, date)))),
-    ]
-    return df.select(F.inline_outer(F.flatten(F.array(*lists)))).filter("view IS NOT NULL")
+    period = fact(F.lit("period"), F.lit(unit), F.to_date(F.date_trunc(unit, date)))
+    # A struct without any skills gives no list at all.
+    known = F.flatten(F.filter(each, lambda x: x.isNotNull()))
+    rows = df.select(*keep, F.inline_outer(F.concat(known, F.array(period))))
+    return rows.filter("term IS NOT NULL OR view = 'period'")
 
 
 def signed_counts(old: DataFrame, new: DataFrame) -> DataFrame:
@@ -111,8 +109,8 @@ def signed_counts(old: DataFrame, new: DataFrame) -> DataFrame:
 
     Facts are added up per task before the shuffle, so a term that every post holds costs one row a task.
     """
-    out, into = (facts(df).withColumn("n", F.lit(sign)) for df, sign in ((old, -1), (new, 1)))
-    return out.unionByName(into).groupBy("view", "group", "term").agg(F.sum("n").alias("n")).filter("n <> 0")
+    both = old.withColumn("n", F.lit(-1)).unionByName(new.withColumn("n", F.lit(1)))
+    return facts(both, "n").groupBy("view", "group", "term").agg(F.sum("n").alias("n")).filter("n <> 0")
 
 
 def current_counts(deltas: DataFrame) -> DataFrame:

@@ -65,13 +65,14 @@ class KeyedState(KeyIndex):
             self._generation_of(self._rows([], None))
         changes = changes.filter(F.col(self.key).isNotNull()).withColumn(self.key, F.col(self.key).cast("string"))
         version = {"run": F.lit(run).cast("long"), "batch": F.lit(batch).cast("long")}
-        fresh = merge_by_key(changes.withColumns(version), self.key, order).drop(*order).withColumns(version)
         paths = self.touched(changes)
         # Levels are partition columns: files of a first try are not even listed.
         earlier = (F.col("of_run") < run) | ((F.col("of_run") == run) & (F.col("of_batch") < batch))
         stored = self._rows(paths, paths[0].rpartition("/")[0] if paths else None).filter(earlier).drop(*_BASE)
-        old = self._latest(stored.join(fresh.select(self.key), self.key, "left_semi")).persist()
-        new = merge_by_key(old.unionByName(fresh), self.key).persist()
+        old = self._latest(stored.join(changes.select(self.key), self.key, "left_semi")).persist()
+        fresh = changes.withColumns(version)
+        merged = merge_by_key(fresh.unionByName(old, allowMissingColumns=True), self.key, order)
+        new = merged.select(*[c for c in self.schema.names if c not in VERSION]).persist()
         _, buckets, folder = self.generation()
         levels = {"of_run": F.lit(run), "of_batch": F.lit(batch)}
         self._write(self._placed(new.withColumns(version), buckets).withColumns(levels), folder, "dynamic")
