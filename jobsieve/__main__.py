@@ -34,6 +34,11 @@ def _finder(spark, args):
     return found
 
 
+def _insights(folder):
+    """Where rows by key and signed counts lie."""
+    return [f"{folder.rstrip('/')}/{name}" for name in ("state", "counts")]
+
+
 def _payloads(spark, args):
     if args.brokers:
         options = {"kafka.bootstrap.servers": args.brokers}
@@ -75,9 +80,12 @@ def ingest(spark, args):
 
 
 def enrich(spark, args):
+    also = []
+    if args.insights:
+        also = [jobs.counts_sink(*_insights(args.insights), ENRICHED_POST, compact_every=args.compact_every)]
     query = jobs.run_stream(
         _payloads(spark, args), args.table, args.progress, _dictionaries(spark, args), args.run, args.available_now,
-        quarantine=args.quarantine or f"{args.table.rstrip('/')}-quarantine", **_finder(spark, args),
+        quarantine=args.quarantine or f"{args.table.rstrip('/')}-quarantine", also=also, **_finder(spark, args),
     )
     query.awaitTermination()
 
@@ -111,6 +119,32 @@ def report(spark, args):
     insights.posts_over_time(chosen).write.mode("overwrite").json(f"{args.out}/months")
 
 
+def insights_report(spark, args):
+    """The figures of ``report`` from the counts that ``enrich --insights`` keeps, without reading posts."""
+    _, folder = _insights(args.insights)
+    schema = spark.createDataFrame([], "view string, `group` string, term string, n bigint").schema
+    counts = insights.current_counts(sinks.read_versions(spark, folder, schema)).persist()
+
+    def write(name, df):
+        df.write.mode("overwrite").json(f"{args.out}/{name}")
+
+    write("top_skills", insights.ranked_counts(counts, "skill", args.k).selectExpr("term AS skill", "posts"))
+    for view, column in (("title", "Title"), ("industry", "Industry_type")):
+        ranked = insights.ranked_counts(counts, view, args.k)
+        write(f"by_{column}", ranked.selectExpr(f"`group` AS {column}", "term AS skill", "posts", "rank"))
+    leaves = counts.filter("view IN ('category', 'service')")
+    write("categories", leaves.withColumnRenamed("view", "kind"))
+    write("months", counts.filter("view = 'period'").selectExpr("term AS period", "posts"))
+    write("facets", counts.filter("view = 'facet'").selectExpr("`group` AS column", "term AS value", "posts"))
+    counts.unpersist()
+
+
+def score(spark, args):
+    """Precision, recall and F1 of spans, from rows of gold label ids and class scores per position."""
+    rows = spark.read.schema("labels array<int>, scores array<array<double>>").parquet(args.source)
+    training.sequence_prf(training.argmax_labels(rows), mode=args.mode).write.mode("overwrite").json(args.out)
+
+
 def compact(spark, args):
     if args.posts:
         sinks.compact_posts(spark, args.table, args.out)
@@ -161,6 +195,8 @@ def main(argv=None, spark=None):
     stream(p)
     p = command(enrich, "source", "table", "progress")
     p.add_argument("--min-partitions", type=int)
+    p.add_argument("--insights", help="folder of counts that are kept up to date for insights-report")
+    p.add_argument("--compact-every", type=int, default=100, help="batches after which its rows are put together")
     stream(p)
     dictionaries(p)
     for job in (extract, enrich_files):
@@ -170,6 +206,10 @@ def main(argv=None, spark=None):
     p = command(report, "table", "out")
     p.add_argument("--k", type=int, default=20)
     p.add_argument("--filter", nargs="*", default=[], help="column=value")
+    p = command(insights_report, "insights", "out")
+    p.add_argument("--k", type=int, default=20)
+    p = command(score, "source", "out")
+    p.add_argument("--mode", choices=["conll", "strict"], default="conll")
     p = command(compact, "table", "out")
     p.add_argument("--posts", action="store_true", help="the table is one of ingest, not of enrich")
     p = command(prepare, "source", "vocab", "out")

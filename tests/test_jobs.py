@@ -125,3 +125,30 @@ def test_enrich_job_keeps_undecodable_payloads(spark, tmp_path):
     main(["enrich", "--source", at("in"), "--table", at("t"), "--progress", at("p"), "--available-now"], spark)
     assert [r.value for r in spark.read.parquet(at("t-quarantine")).collect()] == ["not json"]
     assert [r.Job_ID for r in sinks.read_versions(spark, at("t"), ENRICHED_POST).collect()] == ["1"]
+
+
+def test_kept_counts_report_what_a_recount_reports(spark, tmp_path):
+    at = lambda n: str(tmp_path / n)
+    day = {"Pubblication_date": "2024-03-15", "Title": "Cook", "Industry_type": "Food"}
+    first = [{"Job_ID": "1", "Description": "java and aws", **day}, {"Job_ID": "2", "Description": "python, java"}]
+    second = [{"Job_ID": "1", "Description": "sql", "Pubblication_date": "2024-04-01"}, {"Description": "java"}]
+    enrich = ["enrich", "--source", at("in"), "--table", at("t"), "--progress", at("p"), "--available-now"]
+    for part in (first, second):
+        spark.createDataFrame([(json.dumps(p),) for p in part], "value string").coalesce(1).write.mode("append").text(at("in"))
+        main([*enrich, "--insights", at("kept")], spark)
+    main(["report", "--table", at("t"), "--out", at("full")], spark)
+    main(["insights-report", "--insights", at("kept"), "--out", at("quick")], spark)
+    for name in ("top_skills", "by_Title", "by_Industry_type", "categories", "months"):
+        full, quick = (spark.read.json(at(f"{kind}/{name}")) for kind in ("full", "quick"))
+        in_order = lambda df: sorted(str(r.asDict()) for r in df.select(*sorted(df.columns)).collect())
+        assert in_order(full) == in_order(quick), name
+    assert {(r.skill, r.posts) for r in spark.read.json(at("quick/top_skills")).collect()} == {("java", 1), ("python", 1), ("sql", 1)}
+
+
+def test_score_job(spark, tmp_path):
+    rows = [([-100, 1, 2, 0, -100], [[1.0, 0.0, 0.0], [0.0, 2.0, 1.0], [0.0, 0.0, 1.0], [3.0, 0.0, 0.0], [0.0, 0.0, 1.0]]), ([1], [[1.0, 0.0, 0.0]])]
+    source = str(tmp_path / "scored")
+    spark.createDataFrame(rows, "labels array<int>, scores array<array<double>>").write.parquet(source)
+    main(["score", "--source", source, "--out", str(tmp_path / "out")], spark)
+    r = spark.read.json(str(tmp_path / "out")).first()
+    assert (r.tp, r.gold_spans, r.pred_spans, r.precision, r.recall) == (1, 2, 1, 1.0, 0.5)
