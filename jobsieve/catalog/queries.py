@@ -850,8 +850,8 @@ def t3_encode_sequences(spark, sf):
 
 @query
 def t4_pad_sequences(spark, sf):
-    split = _split(spark, sf)
-    padded = training.pad_sequences(_encoded(spark, sf, split), sequences=split)
+    lengths = training.split_train_val(training.sequence_sizes(inputs.labelled_docs(spark, sf)))
+    padded = training.pad_sequences(_encoded(spark, sf), sequences=lengths)
     n = lambda c, v: F.size(F.filter(c, lambda x: x == v))
     return padded.select(
         "doc",

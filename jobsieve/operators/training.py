@@ -32,6 +32,11 @@ def to_sequences(df: DataFrame, key="doc", tokens_col="tokens") -> DataFrame:
     )
 
 
+def sequence_sizes(df: DataFrame, key="doc", tokens_col="tokens") -> DataFrame:
+    """Rows (key, ``n``): the lengths of what ``to_sequences`` gives, without ordering anything."""
+    return df.filter(F.size(tokens_col) > 0).select(key, F.size(tokens_col).alias("n"))
+
+
 def split_unknown_labels(df: DataFrame):
     """(good, quarantine): sequences whose labels are all known, and the others."""
     known = F.forall("labels", lambda x: label_id(x).isNotNull())
@@ -141,13 +146,13 @@ def pad_sequences(
     """Pad the three arrays to the longest sequence of their split, whatever splits there are.
 
     One row per split holds its maximum; the optimizer sends those to the sequences.
-    ``sequences`` may name the frame ``df`` was encoded from; the lengths are then taken from its
-    tokens and nothing is encoded twice.
+    ``sequences`` may name the frame ``df`` was encoded from, or its lengths (``sequence_sizes``) with their splits; the
+    lengths are then taken from there and nothing is encoded twice, or ordered twice.
     """
     if sequences is None:
         sizes, size = df, F.size("input_ids")
     else:
-        sizes, size = sequences, F.size("tokens") + 2
+        sizes, size = sequences, (F.col("n") if "n" in sequences.columns else F.size("tokens")) + 2
     longest = sizes.groupBy(F.col(split_col).alias("_split")).agg(F.max(size).alias("_length"))
     joined = df.join(longest, F.col(split_col).eqNullSafe(F.col("_split")))
     length = F.col("_length")
