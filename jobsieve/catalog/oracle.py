@@ -450,6 +450,15 @@ array_to_string(ints, '|') || '|-100|-100|-100' AS padded, list_contains(ints, 0
 FROM (SELECT vec_id, embedding, list_transform(embedding, lambda x: CAST(floor(x * 10) AS INTEGER)) AS ints FROM embeddings)""",
     "r1_enrich_stream": _STREAMED,
     "r2_dedupe_stream": f"WITH {POSTS} SELECT Job_ID, CAST(1 AS BIGINT) AS posts FROM posts WHERE Description <> '' GROUP BY Job_ID",
+    "r2_first_arrivals": f"""WITH {POSTS}, timed AS (
+  SELECT Job_ID, arrival, Description, doc_id % 2 AS part, doc_id * 37 % 1000 + doc_id % 2 * 240 AS m
+  FROM posts WHERE Description <> ''),
+one AS (SELECT * FROM timed WHERE part = 0 QUALIFY row_number() OVER (PARTITION BY Job_ID ORDER BY arrival) = 1),
+mark AS (SELECT max(m) - 660 AS w FROM timed WHERE part = 0),
+two AS (SELECT t.* FROM timed t LEFT JOIN one o ON o.Job_ID = t.Job_ID CROSS JOIN mark
+  WHERE t.part = 1 AND (o.Job_ID IS NULL OR o.m + 120 <= w)
+  QUALIFY row_number() OVER (PARTITION BY t.Job_ID ORDER BY t.arrival) = 1)
+SELECT Job_ID, arrival, Description FROM one UNION ALL SELECT Job_ID, arrival, Description FROM two""",
     "r3_dedupe_with_table": f"""WITH {POSTS}, seeds AS (
   SELECT Job_ID, arrival, CASE WHEN Title = 'Plumber' THEN '' ELSE 'known' END AS Description FROM posts
   WHERE Company_name = 'Company 5' QUALIFY row_number() OVER (PARTITION BY Job_ID ORDER BY arrival DESC) = 1),

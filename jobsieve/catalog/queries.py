@@ -16,6 +16,7 @@ from ..sources import readers, sinks
 from ..sources.dictionaries import Dictionaries
 from ..sources.key_index import KeyIndex
 from ..streaming import jobs
+from ..streaming.arrivals import first_arrivals_stream
 from . import inputs
 
 QUERIES = {}
@@ -778,6 +779,23 @@ def r2_dedupe_stream(spark, sf):
     return kept.groupBy("Job_ID").agg(F.count("*").alias("posts"))
 
 
+@query
+def r2_first_arrivals(spark, sf):
+    """Posts arrive in two batches that share keys; keys are forgotten two hours of event time after their first post."""
+    p = inputs.posts(spark, sf).select("Job_ID", "arrival", "Description")
+    doc = F.floor(F.col("arrival") / 2)
+    minutes = doc * 37 % 1000 + doc % 2 * 240
+    p = p.withColumn("at", F.timestamp_seconds(F.lit(1704067200) + minutes * 60))
+    source, out, progress = (scratch_dir(spark, n) for n in ("source", "first", "progress"))
+    for n in (0, 1):
+        p.filter(doc % 2 == n).write.mode("append").parquet(source)
+        stream = first_arrivals_stream(
+            spark.readStream.schema(p.schema).parquet(source), event_time="at", ttl_seconds=7200, delay="11 hours"
+        )
+        jobs.start(stream, jobs.upsert_sink(out), progress, available_now=True).awaitTermination()
+    return sinks.read_versions(spark, out, p.schema).select("Job_ID", "arrival", "Description")
+
+
 @query
 def r3_dedupe_with_table(spark, sf):
     """First scrapes arrive in one batch and full posts in the next; some keys were stored before."""
