@@ -8,7 +8,7 @@ run empty. What stays underfull in a group is dealt again over far fewer groups.
 
 import re
 import zlib
-from bisect import bisect_left, insort
+from bisect import bisect_left, bisect_right, insort
 
 import numpy as np
 import pyarrow as pa
@@ -171,16 +171,61 @@ def best_fit(lengths, length):
     return bins
 
 
+def _gifts(members, size):
+    """What one or two pieces of a bin hold together: total -> pieces, one piece where that is enough.
+
+    Only sizes matter. Different sizes in a bin add up to no more than its length, so there are few, however many
+    pieces it holds.
+    """
+    first, second = {}, {}
+    for i in members:
+        if first.setdefault(size[i], i) != i:
+            second.setdefault(size[i], i)
+    gifts = {s: [i] for s, i in first.items()}
+    sizes = sorted(first)
+    for x, s in enumerate(sizes):
+        for t in sizes[:x]:
+            gifts.setdefault(s + t, [first[s], first[t]])
+        if s in second:
+            gifts.setdefault(2 * s, [first[s], second[s]])
+    return gifts
+
+
+def _exchange(gifts, pieces, free):
+    """(given, taken) that fill a bin with `free` tokens left the most, or None. `pieces` of that bin: size -> piece."""
+    sums, best = sorted(gifts), None
+    for s, j in pieces.items():
+        at = bisect_right(sums, s + free) - 1
+        if at >= 0 and sums[at] > s and (best is None or sums[at] - s > best[0]):
+            best = (sums[at] - s, gifts[sums[at]], [j])
+    return best and best[1:]
+
+
 def improve(bins, lengths, length, passes=4):
-    """Local search over underfull bins, emptiest first; every step raises the sum of squared fills."""
+    """Local search over underfull bins, emptiest first; every step raises the sum of squared fills.
+
+    All underfull bins are partners of each other. Where the bins are as few as the tokens need, there is nothing to search.
+    """
     size = lengths.tolist()
     fill = [sum(size[i] for i in b) for b in bins]
+    if sum(map(bool, fill)) <= -(-sum(fill) // length):
+        return [b for b in bins if b]
     for _ in range(passes):
         moved = False
         order = sorted((b for b in range(len(bins)) if 0 < fill[b] < length), key=lambda b: (fill[b], b))
         room = sorted((length - fill[b], b) for b in order)
-
-        def shift(a, b, give, take, room=room):
+        held = np.array([(size[i], b) for b in order for i in bins[b]], np.int64).reshape(-1, 2)
+        held = np.unique(held, axis=0)
+        changed, level = set(), np.array(fill, np.int64)
+
+        def partners(a, gifts, held=held, changed=changed, level=level):
+            """Bins in which some piece leaves room for more than itself, as they were, and bins that changed since."""
+            sums = np.array(sorted(gifts), np.int64)
+            at = np.searchsorted(sums, held[:, 0] + length - level[held[:, 1]], "right") - 1
+            gains = (at >= 0) & (sums[at] > held[:, 0])
+            return sorted({*held[gains, 1].tolist(), *changed} - {a}, key=lambda b: (length - fill[b], b))
+
+        def shift(a, b, give, take, room=room, changed=changed, level=level):
             """Give pieces of a to b for pieces of b; b gets fuller by the difference."""
             nonlocal moved
             for x in (a, b):
@@ -194,6 +239,8 @@ def improve(bins, lengths, length, passes=4):
             gain = sum(size[i] for i in give) - sum(size[i] for i in take)
             fill[a] -= gain
             fill[b] += gain
+            changed.update((a, b))
+            level[[a, b]] = fill[a], fill[b]
             for x in (a, b):
                 if 0 < fill[x] < length:
                     insort(room, (length - fill[x], x))
@@ -213,24 +260,15 @@ def improve(bins, lengths, length, passes=4):
                     shift(a, room[at][1], [i], [])
             if not fill[a]:
                 continue
-            # Exchange one for one, or two for one, with the fullest underfull bins.
-            for free, b in [r for r in room if 0 < r[0]][:64]:
-                if b == a or fill[b] < fill[a] or not fill[a] or length - fill[b] != free:
+            # Exchange one for one, or two for one, with any underfull bin that gains by it, the fullest first.
+            gifts = _gifts(bins[a], size)
+            for b in partners(a, gifts):
+                if fill[b] < fill[a] or fill[b] == length or not fill[a]:
                     continue
-                best = None
-                mine = sorted(bins[a], key=lambda i: size[i])
-                sizes = [size[i] for i in mine]
-                pairs = sorted((sizes[x] + sizes[y], x, y) for x in range(len(mine)) for y in range(x)) if len(mine) <= 64 else []
-                for j in bins[b]:
-                    want = size[j] + free
-                    at = bisect_left(sizes, want + 1) - 1
-                    if at >= 0 and sizes[at] > size[j] and (best is None or sizes[at] - size[j] > best[0]):
-                        best = (sizes[at] - size[j], [mine[at]], [j])
-                    at = bisect_left(pairs, (want + 1,)) - 1
-                    if at >= 0 and pairs[at][0] > size[j] and (best is None or pairs[at][0] - size[j] > best[0]):
-                        best = (pairs[at][0] - size[j], [mine[pairs[at][1]], mine[pairs[at][2]]], [j])
+                best = _exchange(gifts, {size[j]: j for j in bins[b]}, length - fill[b])
                 if best:
-                    shift(a, b, best[1], best[2])
+                    shift(a, b, *best)
+                    gifts = _gifts(bins[a], size)
         if not moved:
             break
     return [b for b in bins if b]

@@ -304,6 +304,25 @@ def test_local_search_empties_bins():
     assert all(lengths[b].sum() <= 10 for b in bins) and len(bins) == 3
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_local_search_misses_no_partner(seed):
+    """After it, no exchange of one or two pieces for one fills any fuller bin more: many bins, bins of many pieces."""
+    rng = np.random.default_rng(seed)
+    lengths = np.concatenate([rng.integers(25, 70, 260), np.ones(90, int), np.full(70, 2)])
+    length, places = 100, rng.permutation(np.arange(260)).tolist()
+    bins = [[i] for i in places] + [list(range(260, 350)), list(range(350, 400)), list(range(400, 420))]
+    before = sum(int(lengths[b].sum()) ** 2 for b in bins)
+    bins = packing.improve(bins, lengths, length, passes=1000)
+    fills = [int(lengths[b].sum()) for b in bins]
+    assert sorted(i for b in bins for i in b) == list(range(420)) and max(fills) <= length
+    assert sum(f * f for f in fills) > before
+    for a, mine in enumerate(bins):
+        gifts = {int(lengths[i]) for i in mine} | {int(lengths[i] + lengths[j]) for n, i in enumerate(mine) for j in mine[:n]}
+        for b, other in enumerate(bins):
+            if a != b and fills[a] <= fills[b] < length:
+                assert not any(t < g <= t + length - fills[b] for t in {int(lengths[i]) for i in other} for g in gifts)
+
+
 def test_license_scan(spark):
     mit = license_scan.NOTICES["MIT"].split()
     changed = [*mit[:25], "changed", *mit[26:]]
