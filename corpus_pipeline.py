@@ -14,6 +14,8 @@ from jobsieve.session import scratch_dir
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: Words in a shingle, and percent of shared shingles from which documents are near copies.
 SHINGLE, PERCENT = 5, 80
+#: Chunks that a worker of the last stage keeps: it still holds memory of the stages before.
+KNOWN = 150_000
 
 #: The stages learn, hash and tokenise, which SQL cannot express; a brute-force version tests them.
 ORACLE_SQL = None
@@ -49,7 +51,7 @@ def drop_contaminated(spark, docs, sf_dir):
 def pack(spark, docs, sf_dir):
     """Pieces of all documents with their places in sequences of 4,096 tokens."""
     small_batches(spark)
-    return packing.pack_documents(docs.select("doc_id", "text"), tokenizer())
+    return packing.pack_documents(docs.select("doc_id", "text"), tokenizer(), known=KNOWN)
 
 
 STAGES = [

@@ -20,6 +20,8 @@ LENGTH = 4096
 END_ID = 1
 #: Pieces in a group: bounds the memory of a task and its search, whatever the input.
 GROUP = 40_000
+#: Chunks of text whose ids a worker keeps, about 200 bytes each.
+KNOWN = 1_000_000
 #: Bins with more free tokens than this are dealt again.
 UNDERFULL = 32
 ROUNDS = 2
@@ -49,7 +51,7 @@ class ChunkIds:
     ids end with the only one that closes a word. Others are encoded one by one.
     """
 
-    def __init__(self, tokenizer, bound=150_000):
+    def __init__(self, tokenizer, bound=KNOWN):
         self.tokenizer, self.bound, self.known, self.parts = tokenizer, bound, {}, {}
         suffix = getattr(tokenizer.model, "end_of_word_suffix", None)
         self.closes = np.zeros(max(tokenizer.get_vocab().values()) + 1, bool)
@@ -114,34 +116,35 @@ def _runs(sizes, most=1 << 18):
         yield start, len(sizes)
 
 
-#: Kept by each worker from task to task, per tokenizer file.
+#: Kept by each worker from task to task, per tokenizer file and bound.
 _KNOWN = {}
 
 
-def _chunk_ids(path):
-    if path not in _KNOWN:
+def _chunk_ids(path, bound):
+    if (path, bound) not in _KNOWN:
         from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as f:
-            _KNOWN[path] = ChunkIds(Tokenizer.from_str(f.read()))
-    return _KNOWN[path]
+            _KNOWN[path, bound] = ChunkIds(Tokenizer.from_str(f.read()), bound)
+    return _KNOWN[path, bound]
 
 
-def tokenize(docs, tokenizer_path, length=LENGTH, end_id=END_ID, column="text"):
+def tokenize(docs, tokenizer_path, length=LENGTH, end_id=END_ID, column="text", known=KNOWN):
     """One row per piece of every document: its ids, the end id, cut after every `length` ids.
 
     NULL and empty texts are the end id alone. Every row is a document, also where ids are NULL or repeated; the
-    column ``deal`` is a random but repeatable number that tells repeated rows apart from nothing else.
+    column ``deal`` is a random but repeatable number that tells repeated rows apart from nothing else. A worker keeps the
+    ids of `known` chunks.
     """
 
     def scan(batches):
-        known = _chunk_ids(tokenizer_path)
+        chunks = _chunk_ids(tokenizer_path, known)
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             doc_ids, texts = (batch.column(c).to_pylist() for c in ("doc_id", "text"))
             for start, stop in _runs([len(t) for t in texts]):
                 out = []
-                for doc_id, ids in zip(doc_ids[start:stop], known.of(texts[start:stop]), strict=True):
+                for doc_id, ids in zip(doc_ids[start:stop], chunks.of(texts[start:stop]), strict=True):
                     ids += end
                     for k in range(0, len(ids), 4 * length):
                         part = ids[k : k + 4 * length]
@@ -324,6 +327,6 @@ def pack(pieces, length=LENGTH, group=GROUP, rounds=ROUNDS):
     return out.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
-def pack_documents(docs, tokenizer_path, length=LENGTH, end_id=END_ID, group=GROUP):
+def pack_documents(docs, tokenizer_path, length=LENGTH, end_id=END_ID, group=GROUP, known=KNOWN):
     """Tokenise, cut and pack all documents."""
-    return pack(stored(tokenize(docs, tokenizer_path, length, end_id), "pieces"), length, group)
+    return pack(stored(tokenize(docs, tokenizer_path, length, end_id, known=known), "pieces"), length, group)
