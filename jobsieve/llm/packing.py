@@ -79,14 +79,18 @@ class ChunkIds:
                 self.parts.update(zip(some, self._ids(some), strict=True))
 
     def _learn(self, chunks):
-        plain, hard = [], []
+        words, plain, hard = [], [], []
         for chunk in chunks:
             text = chunk.decode("utf-8", "replace")
-            if self.in_parts and _PLAIN.fullmatch(text) and "<|" not in text:
+            if self.in_parts and chunk.isalpha():  # letters of ASCII: one part
+                words.append((chunk, text))
+            elif self.in_parts and _PLAIN.fullmatch(text) and "<|" not in text:
                 plain.append((chunk, _PART.findall(text)))
             else:
                 hard.append((chunk, text))
-        self._learn_parts(list({p for _, parts in plain for p in parts}.difference(self.parts)))
+        every = {p for _, parts in plain for p in parts}.union(text for _, text in words)
+        self._learn_parts(list(every.difference(self.parts)))
+        self.known.update((chunk, self.parts[text]) for chunk, text in words)
         for chunk, parts in plain:
             self.known[chunk] = self.parts[parts[0]] if len(parts) == 1 else b"".join([self.parts[p] for p in parts])
         if hard:
