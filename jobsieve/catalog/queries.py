@@ -1,6 +1,7 @@
 """One runnable query per operator over the given tables: name -> f(spark, sf_dir)."""
 
 import json
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import functions as F
@@ -509,17 +510,26 @@ def x2_custom_labeler(spark, sf):
     return out.select("arrival", joined("skills").alias("skills"))
 
 
-def _length_labeler(text):
-    """Stands for a model: words of 15 letters or more open a span, 12 to 14 continue it."""
+def _length_label(word):
+    return "B-SKILL" if len(word) >= 15 else "I-SKILL" if len(word) >= 12 else "O"
+
+
+def _length_labels(texts: pa.Array) -> pa.Array:
+    """Batches hold thousands of texts: only a few at a time become Python objects, and labels leave as Arrow columns."""
 
-    def label(word):
-        return "B-SKILL" if len(word) >= 15 else "I-SKILL" if len(word) >= 12 else "O"
+    def part(some):
+        words = [(t or "").split() for t in some]
+        flat = [w for ws in words for w in ws]
+        labels = pa.array(map(_length_label, flat), pa.string())
+        pairs = pa.StructArray.from_arrays([pa.array(flat, pa.string()), labels], ["token", "label"])
+        return pa.ListArray.from_arrays(pa.array([0, *accumulate(map(len, words))], pa.int32()), pairs)
 
-    @F.pandas_udf("array<struct<token:string,label:string>>")
-    def labelled(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: [{"token": w, "label": label(w)} for w in (t or "").split()])
+    return pa.concat_arrays([part(texts.slice(k, 100).to_pylist()) for k in range(0, max(len(texts), 1), 100)])
 
-    return labelled(text)
+
+def _length_labeler(text):
+    """Stands for a model: words of 15 letters or more open a span, 12 to 14 continue it."""
+    return F.arrow_udf(_length_labels, "array<struct<token:string,label:string>>")(text)
 
 
 @query
