@@ -145,7 +145,8 @@ def pad_sequences(
 ) -> DataFrame:
     """Pad the three arrays to the longest sequence of their split, whatever splits there are.
 
-    One row per split holds its maximum; the optimizer sends those to the sequences.
+    One row per split holds its maximum; those few rows go to the sequences, which stay in their tasks however few
+    splits there are.
     ``sequences`` may name the frame ``df`` was encoded from, or its lengths (``sequence_sizes``) with their splits; the
     lengths are then taken from there and nothing is encoded twice, or ordered twice.
     """
@@ -154,7 +155,7 @@ def pad_sequences(
     else:
         sizes, size = sequences, (F.col("n") if "n" in sequences.columns else F.size("tokens")) + 2
     longest = sizes.groupBy(F.col(split_col).alias("_split")).agg(F.max(size).alias("_length"))
-    joined = df.join(longest, F.col(split_col).eqNullSafe(F.col("_split")))
+    joined = df.join(F.broadcast(longest), F.col(split_col).eqNullSafe(F.col("_split")))
     length = F.col("_length")
     padded = joined.withColumns(
         {
