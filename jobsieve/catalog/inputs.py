@@ -7,7 +7,7 @@ stream.
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import col
+from ..functions.text import col, let
 from ..schemas import POST_FIELDS
 from ..sources.readers import spread
 
@@ -100,21 +100,34 @@ def payloads(spark, sf_dir) -> DataFrame:
     return p.select("arrival", value.cast("binary").alias("value"))
 
 
+def _labelled(item):
+    """``item(token, position, label)`` of every blank-separated token of a document, as an array.
+
+    Labels follow from the remainder of doc_id * 31 + position * 17 by 5. From zero on it returns after five positions, so
+    five labels a document are worked out and looked up; below zero each is worked out.
+    """
+    doc, words = F.col("doc_id"), F.split("text", " ")
+
+    def label(pos):
+        h = (doc * 31 + pos * 17) % 5
+        return F.when(h == 0, "B-SKILL").when(h.isin(1, 2), "I-SKILL").otherwise("O")
+
+    five = F.array(*[label(F.lit(k)) for k in range(5)])
+    looked_up = let(five, lambda labels: F.transform(words, lambda t, pos: item(t, pos, F.get(labels, pos % 5))))
+    return F.when(doc >= 0, looked_up).otherwise(F.transform(words, lambda t, pos: item(t, pos, label(pos))))
+
+
 def bio_arrays(spark, sf_dir) -> DataFrame:
     """Every blank-separated token of every document with a computed label, as one array.
 
     Some tokens are ``##`` pieces and some are special tokens.
     """
 
-    def tag(t, pos):
-        h = (F.col("doc_id") * 31 + pos * 17) % 5
+    def tag(t, pos, label):
         token = F.when(pos % 11 == 5, "[SEP]").when(pos % 4 == 3, F.concat(F.lit("##"), t)).otherwise(t)
-        label = F.when(h == 0, "B-SKILL").when(h.isin(1, 2), "I-SKILL").otherwise("O")
         return F.struct(token.alias("token"), label.alias("label"))
 
-    return table(spark, sf_dir, "documents").select(
-        F.col("doc_id").alias("doc"), F.transform(F.split("text", " "), tag).alias("tagged")
-    )
+    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("doc"), _labelled(tag).alias("tagged"))
 
 
 def bio_rows(spark, sf_dir) -> DataFrame:
@@ -125,15 +138,7 @@ def bio_rows(spark, sf_dir) -> DataFrame:
 
 def labelled_docs(spark, sf_dir) -> DataFrame:
     """One labelled record per document: tokens as (position, text, label), in reverse order."""
-    h = lambda pos: (F.col("doc_id") * 31 + pos * 17) % 5
-    items = F.transform(
-        F.split("text", " "),
-        lambda t, i: F.struct(
-            i.alias("position"),
-            t.alias("text"),
-            F.when(h(i) == 0, "B-SKILL").when(h(i).isin(1, 2), "I-SKILL").otherwise("O").alias("label"),
-        ),
-    )
+    items = _labelled(lambda t, i, label: F.struct(i.alias("position"), t.alias("text"), label.alias("label")))
     return table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("doc"), F.reverse(items).alias("tokens")
     )

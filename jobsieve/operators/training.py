@@ -2,6 +2,7 @@
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.arrays import argmax, id_label, label_id, lookup, pad_to
 from ..functions.text import let
@@ -17,14 +18,17 @@ def to_sequences(df: DataFrame, key="doc", tokens_col="tokens") -> DataFrame:
 
     Equal positions keep their order in the record; records without tokens are dropped.
     """
-    ordered = F.sort_array(
-        F.transform(
-            tokens_col,
-            lambda t, i: F.struct(
-                t["position"].alias("position"), i.alias("i"), t["text"].alias("text"), t["label"].alias("label")
-            ),
+    if isinstance(df.schema[tokens_col].dataType.elementType["position"].dataType, T.IntegerType):
+        ordered = let(F.col(tokens_col), _by_position)
+    else:
+        ordered = F.sort_array(
+            F.transform(
+                tokens_col,
+                lambda t, i: F.struct(
+                    t["position"].alias("position"), i.alias("i"), t["text"].alias("text"), t["label"].alias("label")
+                ),
+            )
         )
-    )
     return (
         df.filter(F.size(tokens_col) > 0)
         .withColumn("_ordered", ordered)
@@ -32,6 +36,13 @@ def to_sequences(df: DataFrame, key="doc", tokens_col="tokens") -> DataFrame:
     )
 
 
+def _by_position(items):
+    """Items by position, a missing one first, and then by place: whole numbers made of both are sorted, not the items."""
+    place = F.lit(1 << 31)
+    numbers = F.transform(items, lambda t, i: F.coalesce(t["position"].cast("bigint"), F.lit(-(1 << 31) - 1)) * place + i)
+    return F.transform(F.sort_array(numbers), lambda n: F.get(items, n.bitwiseAND(place - 1).cast("int")))
+
+
 def sequence_sizes(df: DataFrame, key="doc", tokens_col="tokens") -> DataFrame:
     """Rows (key, ``n``): the lengths of what ``to_sequences`` gives, without ordering anything."""
     return df.filter(F.size(tokens_col) > 0).select(key, F.size(tokens_col).alias("n"))
@@ -51,8 +62,10 @@ def split_train_val(df: DataFrame, key="doc", fraction=0.2, seed=2, out="split")
     wide rows are then labelled by comparing with one scalar, without a shuffle.
     """
     rank_key = F.concat(F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))), F.lit(":"), F.col(key).cast("string"))
-    keys = df.select(rank_key.alias("h")).withColumn("bucket", F.substring("h", 1, 4))
-    histogram = keys.groupBy("bucket").agg(F.count("*").alias("n"))
+    # The histogram and the ranking read one shuffle of the keys, so ``df`` is not evaluated for each: neither side may ask
+    # for other columns, or for a filter, that would come before the shuffle.
+    keys = df.select(rank_key.alias("h")).withColumn("bucket", F.coalesce(F.substring("h", 1, 4), F.lit(""))).repartition("bucket")
+    histogram = keys.groupBy("bucket").agg((F.count("h") + F.count_if(F.col("h").isNull())).alias("n"))
     up_to = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
     cumulative = histogram.select(
         "bucket",
