@@ -12,22 +12,29 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 from ..operators.clean import require_non_empty
 
 
-def _written(row):
-    """A one-row Arrow batch as bytes: values of all types pass pandas unharmed in this form."""
-    sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, row.schema) as writer:
-        writer.write_batch(row)
-    return sink.getvalue().to_pybytes()
+def _written(rows):
+    """Each row as the bytes of an Arrow stream of its own: values of all types pass pandas unharmed in this form."""
+    schema = rows.schema.serialize().to_pybytes()  # the same for all, so it is made once
+    return [schema + rows.slice(i, 1).serialize().to_pybytes() for i in range(len(rows))]
+
+
+def _table(rows):
+    return pa.Table.from_batches([part for row in rows for part in pa.ipc.open_stream(row)])
+
+
+def _place_of_first(keys, order):
+    return keys.sort_values([*order, "tie"], kind="stable", na_position="last").index[0]
 
 
 def _read(batches):
     for batch in batches:
-        for row in batch.column("body").to_pylist():
-            yield from pa.ipc.open_stream(row)
+        if len(batch):
+            for body in _table(batch.column("row").to_pylist()).combine_chunks().column("body").chunks:
+                yield pa.RecordBatch.from_struct_array(body)
 
 
-def _firsts(order):
-    """Rows of each Arrow batch that may be the first of their key, and a mark with the latest time.
+def _firsts(order, timed):
+    """Rows of each Arrow batch that may be the first of their key, and a mark with the latest time, which is no row.
 
     A key passes at most once in a micro-batch, with its first row, so dropping the later rows of a batch changes
     no result. Only marks have a time (``at``) that Spark sees: they move the watermark as all rows would, and no
@@ -45,12 +52,12 @@ def _firsts(order):
             if keys["ms"].notna().any():
                 take, mark = np.append(take, keys["ms"].idxmax()), np.append(mark, True)
             kept = batch.take(pa.array(take))
-            bodies = pa.RecordBatch.from_struct_array(kept.column("body"))
-            body = pa.array([_written(bodies.slice(i, 1)) for i in range(len(bodies))], pa.binary())
-            kept = kept.set_column(kept.schema.get_field_index("body"), "body", body)
-            at = pc.if_else(pa.array(mark), kept.column("at"), pa.scalar(None, kept.schema.field("at").type))
-            kept = kept.set_column(kept.schema.get_field_index("at"), "at", at)
-            yield kept.set_column(kept.schema.get_field_index("mark"), "mark", pa.array(mark))
+            rows = pa.array(_written(kept.select([*order, "tie", "ms", "body"])), pa.binary(), mask=mark)
+            columns = [kept.column("key"), rows]
+            if timed:
+                at = kept.column("at")
+                columns.append(pc.if_else(pa.array(mark), at, pa.scalar(None, at.type)))
+            yield pa.RecordBatch.from_arrays(columns, ["key", "row", "at"][: len(columns)])
 
     return cut
 
@@ -68,20 +75,21 @@ def _arrival(order, ttl_ms):
                 state.setTimeoutTimestamp(state.get[0])
             return
         first = None
-        for rows in chunks:
-            rows = rows[~rows["mark"]]
-            if len(rows):
-                rows = rows if first is None else pd.concat([first, rows])
-                first = rows.sort_values([*order, "tie"], kind="stable", na_position="last").head(1)
+        for chunk in chunks:
+            rows = [row for row in [first, *chunk["row"]] if row is not None]
+            if rows:
+                # Most keys have one row.
+                place = _place_of_first(_table(rows).select([*order, "tie"]).to_pandas(), order) if len(rows) > 1 else 0
+                first = rows[place]
         if first is None:
             if state.exists:
                 state.remove()
             return
-        expiry = 0 if ttl_ms is None else max(int(first["ms"].iloc[0]), watermark) + ttl_ms
+        expiry = 0 if ttl_ms is None else max(_table([first]).column("ms")[0].as_py(), watermark) + ttl_ms
         state.update((expiry,))
         if ttl_ms is not None:
             state.setTimeoutTimestamp(expiry)
-        yield pd.DataFrame({"body": [first["body"].iloc[0]]})
+        yield pd.DataFrame({"row": [first]})
 
     return settle
 
@@ -120,15 +128,15 @@ def first_arrivals_stream(
         F.col(f"`{key}`").alias("key"),
         *sorting,
         F.xxhash64(*fields).alias("tie"), F.unix_millis(at).alias("ms"), at.alias("at"),
-        F.lit(False).alias("mark"), F.struct(*fields).alias("body"),
+        F.struct(*fields).alias("body"),
     )
     body = rows.schema["body"].dataType
-    sent = T.StructType([*rows.schema.fields[:-1], T.StructField("body", T.BinaryType())])
-    rows = rows.mapInArrow(_firsts(by), sent)
+    sent = [rows.schema["key"], T.StructField("row", T.BinaryType()), rows.schema["at"]][: 3 if timed else 2]
+    rows = rows.mapInArrow(_firsts(by, timed), T.StructType(sent))
     if timed:
         rows = rows.withWatermark("at", delay)
     passed = rows.groupBy("key").applyInPandasWithState(
-        _arrival(by, int(ttl_seconds * 1000) if timed else None), "body binary", "expiry bigint", "append",
+        _arrival(by, int(ttl_seconds * 1000) if timed else None), "row binary", "expiry bigint", "append",
         GroupStateTimeout.EventTimeTimeout if timed else GroupStateTimeout.NoTimeout,
     )
     return passed.mapInArrow(_read, body)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from jobsieve.catalog import queries
 from jobsieve.operators import training
 from jobsieve.sources import sinks
+from jobsieve.streaming import arrivals
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -89,3 +90,16 @@ def test_equal_and_missing_positions_keep_their_order(spark, kind):
     assert [(r.doc, r.tokens, r.labels) for r in got] == [
         (1, ["b", None, "c", "f", "a", "d", None], ["O", None, None, "O", "O", "O", "O"])
     ]
+
+
+@pytest.mark.parametrize("timed", [False, True])
+def test_first_arrivals_hand_few_columns_to_each_key(spark, tmp_path, timed):
+    """Every column costs a pandas series for every key, every batch that is returned a round trip."""
+    options = {"event_time": "at", "ttl_seconds": 60} if timed else {}
+    stream = spark.readStream.schema("Job_ID string, arrival bigint, Description string, at timestamp").parquet(str(tmp_path))
+    plan = arrivals.first_arrivals_stream(stream, **options)._jdf.queryExecution().analyzed().toString()
+    given = plan[plan.rindex("MapInArrow") :].splitlines()[0]
+    assert "key#" in given and "row#" in given and "body#" not in given and "tie#" not in given and ("at#" in given) == timed
+    rows = arrivals._written(pa.RecordBatch.from_pylist([{"n0": False, "tie": i, "ms": i, "body": {"x": i}} for i in range(500)]))
+    got = list(arrivals._read([pa.RecordBatch.from_pydict({"row": rows})]))
+    assert len(got) == 1 and got[0].to_pylist() == [{"x": i} for i in range(500)]
