@@ -1,6 +1,7 @@
 """What a query costs must not grow with its keys, batches or passes beyond the input."""
 
 import os
+import re
 import tracemalloc
 
 import pyarrow as pa
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from jobsieve.catalog import queries
 from jobsieve.operators import training
 from jobsieve.sources import sinks
-from jobsieve.streaming import arrivals
+from jobsieve.streaming import arrivals, jobs
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -97,9 +98,34 @@ def test_first_arrivals_hand_few_columns_to_each_key(spark, tmp_path, timed):
     """Every column costs a pandas series for every key, every batch that is returned a round trip."""
     options = {"event_time": "at", "ttl_seconds": 60} if timed else {}
     stream = spark.readStream.schema("Job_ID string, arrival bigint, Description string, at timestamp").parquet(str(tmp_path))
-    plan = arrivals.first_arrivals_stream(stream, **options)._jdf.queryExecution().analyzed().toString()
-    given = plan[plan.rindex("MapInArrow") :].splitlines()[0]
-    assert "key#" in given and "row#" in given and "body#" not in given and "tie#" not in given and ("at#" in given) == timed
+    passed = arrivals.first_arrivals_stream(stream, **options)
+    plan = passed._jdf.queryExecution().analyzed()
+    sent = next(line for line in reversed(plan.toString().splitlines()) if "MapInArrow" in line)
+    names = set(re.findall(r"(\w+)#\d+", sent.split("(", 1)[1].split(")", 1)[1]))
+    assert names == {"key", "row", "at"} if timed else names == {"key", "row"}, sent
     rows = arrivals._written(pa.RecordBatch.from_pylist([{"n0": False, "tie": i, "ms": i, "body": {"x": i}} for i in range(500)]))
     got = list(arrivals._read([pa.RecordBatch.from_pydict({"row": rows})]))
     assert len(got) == 1 and got[0].to_pylist() == [{"x": i} for i in range(500)]
+
+
+def test_sorted_text_is_cut_into_small_tasks(spark, tmp_path, monkeypatch):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    docs.coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    monkeypatch.setattr(queries, "SORTED_TEXT", 1 << 14)
+    bytes_stored = sum(f.stat().st_size for f in tmp_path.rglob("*.parquet") if f.is_file())
+    tasks = int(re.search(r"RoundRobinPartitioning\((\d+)\), REPARTITION_BY_NUM", plan_of(queries.x1_label_tokens(spark, str(tmp_path)))).group(1))
+    assert tasks >= bytes_stored >> 14 > 8
+
+
+def test_micro_batches_use_all_cores(spark, tmp_path, monkeypatch):
+    """One file of one row group is one task; its payloads are enriched by all."""
+    table, tasks = str(tmp_path / "table"), []
+    payload = F.format_string('{"Job_ID": "%d", "Description": "python and java"}', F.col("id")).cast("binary").alias("value")
+    spark.range(0, 400, 1, 1).select(payload).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("value binary").parquet(str(tmp_path / "in"))
+
+    real = jobs.enrich_posts
+    counted_tasks = lambda df, *a, **k: (tasks.append(df.rdd.getNumPartitions()), real(df, *a, **k))[1]
+    monkeypatch.setattr(jobs, "enrich_posts", counted_tasks)
+    jobs.run_stream(stream, table, str(tmp_path / "progress"), available_now=True).awaitTermination()
+    assert tasks == [spark.sparkContext.defaultParallelism] and spark.read.parquet(table).count() == 400
