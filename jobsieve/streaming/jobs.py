@@ -112,7 +112,12 @@ def run_stream(
     order = list(order) or [c for c in ("offset", "partition") if c in payloads.columns]
 
     def write(batch, batch_id, run):
-        batch = batch.select("value", *order).persist()
+        # Files have as many splits as cores, and yet few row groups that hold rows: payloads are dealt out, which costs
+        # far less than to enrich them in a few tasks.
+        cores = batch.sparkSession.sparkContext.defaultParallelism
+        batch = batch.select("value", *order).repartition(cores)
+        if quarantine:  # read twice
+            batch = batch.persist()
         try:
             good, bad = split_quarantine(decode_payload(batch, keep=["value", *order]), [key])
             if quarantine:
@@ -122,7 +127,8 @@ def run_stream(
             rows = merge_by_key(versions, key, order).drop(*order)
             (fan_out([upsert_sink(table), *also]) if also else upsert_sink(table))(rows, batch_id, run)
         finally:
-            batch.unpersist()
+            if quarantine:
+                batch.unpersist()
 
     return start(payloads, write, checkpoint, run, available_now)
 
