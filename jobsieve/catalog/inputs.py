@@ -101,6 +101,16 @@ def payloads(spark, sf_dir) -> DataFrame:
     return p.select("arrival", value.cast("binary").alias("value"))
 
 
+def _label(pos):
+    h = (F.col("doc_id") * 31 + pos * 17) % 5
+    return F.when(h == 0, "B-SKILL").when(h.isin(1, 2), "I-SKILL").otherwise("O")
+
+
+def _piece(t, pos):
+    """Some tokens are ``##`` pieces and some are special tokens."""
+    return F.when(pos % 11 == 5, "[SEP]").when(pos % 4 == 3, F.concat(F.lit("##"), t)).otherwise(t)
+
+
 def _labelled(item):
     """``item(token, position, label)`` of every blank-separated token of a document, as an array.
 
@@ -108,33 +118,27 @@ def _labelled(item):
     five labels a document are worked out and looked up; below zero each is worked out.
     """
     doc, words = F.col("doc_id"), F.split("text", " ")
-
-    def label(pos):
-        h = (doc * 31 + pos * 17) % 5
-        return F.when(h == 0, "B-SKILL").when(h.isin(1, 2), "I-SKILL").otherwise("O")
-
-    five = F.array(*[label(F.lit(k)) for k in range(5)])
+    five = F.array(*[_label(F.lit(k)) for k in range(5)])
     looked_up = let(five, lambda labels: F.transform(words, lambda t, pos: item(t, pos, F.get(labels, pos % 5))))
-    return F.when(doc >= 0, looked_up).otherwise(F.transform(words, lambda t, pos: item(t, pos, label(pos))))
+    return F.when(doc >= 0, looked_up).otherwise(F.transform(words, lambda t, pos: item(t, pos, _label(pos))))
 
 
 def bio_arrays(spark, sf_dir) -> DataFrame:
-    """Every blank-separated token of every document with a computed label, as one array.
-
-    Some tokens are ``##`` pieces and some are special tokens.
-    """
+    """Every blank-separated token of every document with a computed label, as one array."""
 
     def tag(t, pos, label):
-        token = F.when(pos % 11 == 5, "[SEP]").when(pos % 4 == 3, F.concat(F.lit("##"), t)).otherwise(t)
-        return F.struct(token.alias("token"), label.alias("label"))
+        return F.struct(_piece(t, pos).alias("token"), label.alias("label"))
 
     return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("doc"), _labelled(tag).alias("tagged"))
 
 
-def bio_rows(spark, sf_dir) -> DataFrame:
-    """The same as rows (doc, pos, token, label)."""
-    rows = bio_arrays(spark, sf_dir).select("doc", F.posexplode_outer("tagged").alias("pos", "t"))
-    return rows.filter("t IS NOT NULL").select("doc", "pos", "t.token", "t.label")
+def bio_rows(spark, sf_dir, task_bytes=None) -> DataFrame:
+    """The same as rows (doc, pos, token, label), worked out row by row: compiled code, unlike that of arrays."""
+    documents = table(spark, sf_dir, "documents")
+    documents = spread(documents, task_bytes=task_bytes) if task_bytes else documents
+    words = documents.select("doc_id", F.posexplode_outer(F.split("text", " ")).alias("pos", "t")).filter("t IS NOT NULL")
+    pos = F.col("pos")
+    return words.select(F.col("doc_id").alias("doc"), pos, _piece(F.col("t"), pos).alias("token"), _label(pos).alias("label"))
 
 
 def labelled_docs(spark, sf_dir) -> DataFrame:

@@ -545,7 +545,7 @@ def x3_truncate_tokens(spark, sf):
 
 
 def _spans(spark, sf, mode):
-    spans = extract.decode_bio(inputs.bio_rows(spark, sf), mode=mode)
+    spans = extract.decode_bio(inputs.bio_rows(spark, sf, SORTED_TEXT), mode=mode)
     return spans.select(
         "doc", F.col("start").alias("first_pos"), F.col("end").alias("last_pos"), F.array_join("tokens", " ").alias("tokens")
     )
@@ -563,7 +563,7 @@ def w1_decode_bio_conll(spark, sf):
 
 @query
 def w2_span_text(spark, sf):
-    spans = extract.span_texts(extract.decode_bio(inputs.bio_rows(spark, sf)))
+    spans = extract.span_texts(extract.decode_bio(inputs.bio_rows(spark, sf, SORTED_TEXT)))
     return spans.select("doc", F.col("start").alias("first_pos"), "span")
 
 

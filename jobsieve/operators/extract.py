@@ -2,8 +2,10 @@
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.arrays import lookup
+from ..functions.spans import BEGIN, INSIDE, MARKS, OUTSIDE, decoded
 from ..functions.text import is_blank, let, strip
 from ..functions.tokens import (
     MAX_PATTERN_TERMS,
@@ -187,7 +189,8 @@ def decode_bio(
     ``conll``: an orphan I-SKILL opens a span. Special tokens never end a span.
 
     A token belongs to its head, the last token up to it that is not I-SKILL. Documents are cut
-    into chunks of positions, so one huge document is spread over many tasks. Spans closed inside
+    into chunks of positions, so one huge document is spread over many tasks. The rows of a chunk become one array,
+    already in the task that reads them; its spans are cut out of it without sorting rows. Spans closed inside
     their chunk are assembled there; only what touches a chunk border goes through a second,
     per-document pass. Both read the same shuffle of the input.
     """
@@ -196,40 +199,37 @@ def decode_bio(
     at = F.col(pos).cast("bigint")
     opens = F.coalesce(F.col(label) == "B-SKILL", F.lit(False))
     continues = F.coalesce(F.col(label) == "I-SKILL", F.lit(False))
-    # Only what the spans need is shuffled: the place, the text of B/I tokens, and for heads one
-    # growing number made of the position and whether it opens a span.
+    mark = F.when(opens, BEGIN).when(continues, INSIDE).otherwise(OUTSIDE)
+    # Only what the spans need is shuffled: the place with its mark, and the text of B/I tokens.
     rows = df.filter(~F.col(token).isin(SPECIAL_TOKENS)).select(
         F.col(doc).alias("doc"),
         F.floor(at / F.lit(chunk)).alias("chunk"),
-        at.alias("pos"),
-        F.when(~continues, at * 2 + opens.cast("bigint")).alias("code"),
-        F.when(opens | continues, F.col(token)).alias("token"),
+        F.struct((at * MARKS + mark).alias("place"), F.when(opens | continues, F.col(token)).alias("token")).alias("row"),
     )
-    in_chunk = Window.partitionBy("doc", "chunk")
-    so_far = in_chunk.orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    headed = rows.withColumn("head", F.max("code").over(so_far)).withColumn(
-        "last_head", F.max("code").over(in_chunk)
-    )
-    member = F.col("code").isNull() | (F.col("code") % 2 != 0)
-    if mode == "strict":
-        member = member & F.coalesce(F.col("head") % 2 != 0, F.lit(False))
-
-    def assembled(members, *group):
-        return (
-            members.groupBy(*group)
-            .agg(
-                F.min("pos").alias("start"),
-                F.max("pos").alias("end"),
-                F.sort_array(F.collect_list(F.struct("pos", "token"))).alias("parts"),
-            )
-            .select(F.col("doc").alias(doc), "start", "end", F.col("parts.token").alias("tokens"))
-        )
+    chunks = rows.groupBy("doc", "chunk").agg(F.collect_list("row").alias("rows"))
+
+    def cut(border, fields):
+        schema = T.StructType([T.StructField("doc", rows.schema["doc"].dataType), *T.StructType.fromDDL(fields).fields])
+        return chunks.mapInArrow(lambda batches: decoded(batches, mode, border), schema)
 
-    settled = headed.filter(F.col("head") < F.col("last_head")).filter(member)
-    at_border = headed.filter(F.col("head").isNull() | (F.col("head") == F.col("last_head")))
+    settled = cut(False, "start bigint, end bigint, tokens array<string>")
     in_doc = Window.partitionBy("doc").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    continued = at_border.withColumn("head", F.max("code").over(in_doc)).filter(member)
-    return assembled(settled, "doc", "chunk", "head").unionByName(assembled(continued, "doc", "head"))
+    member = F.col("place").isNull() | (F.pmod("place", F.lit(MARKS)) == BEGIN)
+    if mode == "strict":
+        member = member & F.coalesce(F.pmod("head", F.lit(MARKS)) == BEGIN, F.lit(False))
+    continued = (
+        cut(True, "pos bigint, place bigint, token string")
+        .withColumn("head", F.max("place").over(in_doc))
+        .filter(member)
+        .groupBy("doc", "head")
+        .agg(
+            F.min("pos").alias("start"),
+            F.max("pos").alias("end"),
+            F.sort_array(F.collect_list(F.struct("pos", "token"))).alias("parts"),
+        )
+        .select("doc", "start", "end", F.col("parts.token").alias("tokens"))
+    )
+    return settled.unionByName(continued).withColumnRenamed("doc", doc)
 
 
 def span_texts(spans: DataFrame, clean_up=False) -> DataFrame:

@@ -95,6 +95,35 @@ def test_one_huge_document_is_spread(spark):
     assert any("hashpartitioning(" in line and "chunk#" in line for line in plan.splitlines())
 
 
+@pytest.mark.parametrize("chunk", [2, 1 << 16])
+def test_rows_of_a_chunk_are_put_together_before_the_shuffle(spark, chunk):
+    """One row per chunk and task is shuffled, and no window runs over rows inside of chunks."""
+    n = 1000
+    df = spark.range(0, n, 1, 1).select(
+        (F.col("id") % 2).alias("doc"), F.col("id").alias("pos"), F.lit("t").alias("token"), F.lit("B-SKILL").alias("label")
+    )
+    spans = extract.decode_bio(df, chunk=chunk)
+    plan = plan_of(spans)
+    assert plan.count("Window [") == 1 and plan.index("partial_collect_list") > plan.index("chunk#")
+    assert spans.count() == n and spans.filter("start = end AND tokens = array('t')").count() == n
+
+
+@pytest.mark.parametrize("chunk", [2, 1 << 16])
+@pytest.mark.parametrize("mode", ["strict", "conll"])
+def test_repeated_and_missing_places(spark, chunk, mode):
+    """Rows that come twice stand side by side; rows without a position or document still make up spans of their own."""
+    text = [(-1, "x", "I-SKILL"), (0, "b", "B-SKILL"), (1, "c", "I-SKILL"), (2, "d", None), (3, None, "B-SKILL"), (4, "e", "I-SKILL")]
+    rows = [((d, 0), *r) for d in (None, 7) for r in text + text[::-1]] + [((9, 1), None, "lost", "I-SKILL")]
+    df = spark.createDataFrame(rows, "doc struct<k:int,g:int>, pos int, token string, label string")
+    got = sorted(((r.doc.k or 0), r.start, r.end, r.tokens) for r in extract.decode_bio(df, mode=mode, chunk=chunk).collect() if r.start is not None)
+    want = [(0, 1, ["b", "b", "c", "c"])]
+    if mode == "conll":
+        want = [(-1, -1, ["x", "x"]), *want, (4, 4, ["e", "e"])]
+    assert got == [(d, *w) for d in (0, 7) for w in want]
+    lost = [r.tokens for r in extract.decode_bio(df, mode=mode, chunk=chunk).collect() if r.start is None]
+    assert lost == ([["lost"]] if mode == "conll" else [])
+
+
 def brute_tokens(text):
     import re
 
