@@ -616,7 +616,7 @@ def a1_dedupe_first(spark, sf):
 def a2_distinct_skills(spark, sf):
     mentions = extract.span_texts(
         extract.decode_bio(
-            extract.label_tokens(inputs.posts(spark, sf), "arrival", "Description", DICTS.lexicon()), "arrival"
+            extract.label_tokens(inputs.posts(spark, sf, SORTED_TEXT), "arrival", "Description", DICTS.lexicon()), "arrival"
         )
     )
     sets = categorize.distinct_skills(mentions, "arrival", "span")
@@ -893,9 +893,11 @@ def t4_pad_sequences(spark, sf):
     )
 
 
-def _scored(spark, sf):
+def _scored(spark, sf, task_bytes=None):
     """Gold label ids at both ends ignored, and three class scores per position."""
-    words = inputs.table(spark, sf, "documents").select(F.col("doc_id").alias("doc"), F.split("text", " ").alias("w"))
+    documents = inputs.table(spark, sf, "documents")
+    documents = readers.spread(documents, task_bytes=task_bytes) if task_bytes else documents
+    words = documents.select(F.col("doc_id").alias("doc"), F.split("text", " ").alias("w"))
     n = F.size("w")
     gold = F.transform("w", lambda _, i: F.when((i == 0) | (i == n - 1), -100).otherwise(((F.col("doc") * 31 + i * 17) % 5) % 3))
     scores = F.transform(
@@ -929,7 +931,7 @@ def t7_span_prf_strict(spark, sf):
 @query
 def t7_span_prf_rows(spark, sf):
     """The same from one row per token, for sequences of any length."""
-    return training.span_prf(training.aligned_labels(training.argmax_labels(_scored(spark, sf))))
+    return training.span_prf(training.aligned_labels(training.argmax_labels(_scored(spark, sf, SORTED_TEXT))))
 
 
 @query

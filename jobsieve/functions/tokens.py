@@ -136,15 +136,15 @@ def truncate(token_array, n) -> Column:
     return token_array if n is None else F.slice(token_array, 1, n)
 
 
-def tagged_tokens(text, pattern) -> Column:
-    """Tokens with BIO labels: array<struct<token,label>>.
-
-    Every mention is enclosed in marks; after splitting at the marks the odd pieces are the
-    mentions and the even ones the text between them.
-    """
+def _pieces(text, pattern):
+    """The text cut at its mentions: every mention is enclosed in marks, so odd pieces are the mentions."""
     clean = F.translate(F.lower(col(text)), _OPEN + _CLOSE, "  ")
     marked = F.regexp_replace(F.concat(F.lit(" "), clean), pattern, f"$1{_OPEN}$2{_CLOSE}")
-    pieces = F.split(marked, f"[{_OPEN}{_CLOSE}]")
+    return F.split(marked, f"[{_OPEN}{_CLOSE}]")
+
+
+def tagged_tokens(text, pattern) -> Column:
+    """Tokens with BIO labels: array<struct<token,label>>."""
 
     def tag(piece, i):
         return F.transform(
@@ -155,7 +155,27 @@ def tagged_tokens(text, pattern) -> Column:
             ),
         )
 
-    return F.flatten(F.transform(pieces, tag))
+    return F.flatten(F.transform(_pieces(text, pattern), tag))
+
+
+def marked_tokens(text, pattern) -> Column:
+    """The same as plain text, to be exploded: array<string>, with a mark in front of the tokens of mentions.
+
+    Lambdas are interpreted, so none runs over the many tokens outside of mentions. ``unmarked`` takes tokens apart.
+    """
+
+    def mark(piece, i):
+        mention = F.transform(tokens(piece), lambda token, j: F.concat(F.when(j == 0, _OPEN).otherwise(_CLOSE), token))
+        return F.when(i % 2 == 0, tokens(piece)).otherwise(mention)
+
+    return F.flatten(F.transform(_pieces(text, pattern), mark))
+
+
+def unmarked(marked) -> tuple[Column, Column]:
+    """Token and label of one of the ``marked_tokens``."""
+    begins, goes_on = F.startswith(col(marked), F.lit(_OPEN)), F.startswith(col(marked), F.lit(_CLOSE))
+    token = F.when(begins | goes_on, F.substr(col(marked), F.lit(2))).otherwise(col(marked))
+    return token, F.when(begins, "B-SKILL").when(goes_on, "I-SKILL").otherwise("O")
 
 
 def decode_tagged(tagged) -> Column:

@@ -11,13 +11,14 @@ from ..functions.tokens import (
     MAX_PATTERN_TERMS,
     decode_tagged,
     lexicon_pattern,
+    marked_tokens,
     matchable_terms,
     mentions,
     respelled_terms,
     span_text,
-    tagged_tokens,
     tokens,
     truncate,
+    unmarked,
 )
 from ..schemas import SPECIAL_TOKENS
 
@@ -44,9 +45,10 @@ def label_tokens(df: DataFrame, doc, text, lexicon) -> DataFrame:
 
     Mentions do not overlap: the leftmost wins, then the longest. No shuffle.
     """
-    tagged = tagged_tokens(text, lexicon_pattern(lexicon))
-    rows = df.select(F.col(doc), F.posexplode_outer(tagged).alias("pos", "_t"))
-    return rows.filter("_t IS NOT NULL").select(doc, "pos", "_t.token", "_t.label")
+    marked = marked_tokens(text, lexicon_pattern(lexicon))
+    rows = df.select(F.col(doc), F.posexplode_outer(marked).alias("pos", "_t")).filter("_t IS NOT NULL")
+    token, label = unmarked("_t")
+    return rows.select(doc, "pos", token.alias("token"), label.alias("label"))
 
 
 def _longest(terms):

@@ -117,6 +117,16 @@ def test_sorted_text_is_cut_into_small_tasks(spark, tmp_path, monkeypatch):
     assert tasks >= bytes_stored >> 14 > 8
 
 
+@pytest.mark.parametrize("name", ["a2_distinct_skills", "w1_decode_bio_conll", "w2_span_text", "t7_span_prf_rows"])
+def test_decoded_text_is_cut_into_small_tasks(spark, tmp_path, monkeypatch, name):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    docs.coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    monkeypatch.setattr(queries, "SORTED_TEXT", 1 << 14)
+    bytes_stored = sum(f.stat().st_size for f in tmp_path.rglob("*.parquet") if f.is_file())
+    tasks = re.findall(r"RoundRobinPartitioning\((\d+)\), REPARTITION_BY_NUM", plan_of(queries.QUERIES[name](spark, str(tmp_path))))
+    assert min(map(int, tasks)) >= bytes_stored >> 14 > 8
+
+
 def test_micro_batches_use_all_cores(spark, tmp_path, monkeypatch):
     """One file of one row group is one task; its payloads are enriched by all."""
     table, tasks = str(tmp_path / "table"), []

@@ -173,6 +173,17 @@ def test_mentions_match_brute_force(spark, texts):
         assert [g.token for g in row.g] == row.w
 
 
+def test_labelled_rows_match_tagged_tokens(spark, texts):
+    """Rows of labelled tokens come without a lambda that makes a label for every token."""
+    terms = Dictionaries().lexicon()
+    odd = [(-1, None), (-2, ""), (-3, "java..\u0001java\u0002 x"), (-4, "... Amazon  Web, Services.. sql.")]
+    df = spark.createDataFrame(texts + odd, "d int, t string")
+    rows = extract.label_tokens(df, "d", "t", terms)
+    assert "named_struct(token" not in plan_of(rows)
+    want = df.select("d", F.posexplode(tagged_tokens("t", lexicon_pattern(terms)))).select("d", "pos", "col.token", "col.label")
+    assert sorted(map(tuple, rows.collect())) == sorted(map(tuple, want.collect()))
+
+
 def test_lexicon_hits_match_brute_force(spark, texts):
     terms = set(matchable_terms(Dictionaries().lexicon()))
     lexicon = spark.createDataFrame([(t,) for t in terms], "term string")
