@@ -22,10 +22,13 @@ def table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df, name):
-    """Write to the shared scratch folder and read back: cuts the lineage and survives lost executors."""
+def stored(df, name, rows=0):
+    """Write to the shared scratch folder and read back: cuts the lineage and survives lost executors.
+
+    ``rows`` bounds the rows of a file, which are written and read as one: for rows that are large.
+    """
     path = scratch_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("maxRecordsPerFile", rows).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -7,7 +7,8 @@ share a character, or a byte-fallback token has no surface of its own, the decod
 Neither tokenizer has tokens that reach over a space that follows a non-space, so texts are cut there, and a
 chunk is aligned once per task however often it occurs. Texts are taken in parts of bounded size. A part keeps the
 distinct pairs of ids it links and, per document, places in that list, so what meets the corpus-wide counts is one row
-per part and distinct pair, and no token sequence is shuffled.
+per part and distinct pair, and no token sequence is shuffled. What is kept per document travels as one compressed value
+per part and meets the counts in Python, part by part: neither side is collected into rows or batches of many parts.
 """
 
 import gc
@@ -20,10 +21,12 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import functions as F
 
-from .common import stored, text_bytes
+from .common import give_back, small_batches, stored, text_bytes
 
 #: Bytes of text in a part; a longer text is a part of its own.
-PART_BYTES = 2_000_000
+PART_BYTES = 1_000_000
+#: Parts in a stored file: a file's rows are read as one batch.
+FILE_PARTS = 32
 #: Chunks that a task remembers, of at most CHUNK_CHARS characters each.
 KNOWN_CHUNKS = 250_000
 CHUNK_CHARS = 64
@@ -200,13 +203,19 @@ def cut(text):
 PART = pa.schema(
     [
         ("part", pa.int64()),
+        ("pairs", pa.list_(pa.int64())),
+        ("held_by", pa.list_(pa.int32())),
+        ("docs", pa.binary()),
+    ]
+)
+#: What ``docs`` holds.
+DOCS = pa.schema(
+    [
         ("doc_ids", pa.list_(pa.int64())),
         ("n_a", pa.list_(pa.int64())),
         ("n_b", pa.list_(pa.int64())),
         ("n_groups", pa.list_(pa.int64())),
         ("digests", pa.list_(pa.string())),
-        ("pairs", pa.list_(pa.int64())),
-        ("held_by", pa.list_(pa.int32())),
         ("n_distinct", pa.list_(pa.int32())),
         ("places", pa.list_(pa.int32())),
         ("times", pa.list_(pa.int32())),
@@ -214,6 +223,18 @@ PART = pa.schema(
 )
 
 
+def _row(row, schema):
+    return pa.RecordBatch.from_arrays([pa.array([row[f.name]], f.type) for f in schema], schema=schema)
+
+
+def _squeezed(batch):
+    """A batch as one compressed value."""
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
 def _part(aligner, part, doc_ids, texts):
     """One row of PART: all that the documents of a part link, with the pairs of ids as places in one list."""
     lists = [cut(t) for t in texts]
@@ -248,7 +269,8 @@ def _part(aligner, part, doc_ids, texts):
     row["places"], row["times"] = own % base, often
     row["n_distinct"] = np.bincount(own // base, minlength=len(lists))
     row["held_by"] = np.bincount(own % base, minlength=len(row["pairs"]))
-    return pa.RecordBatch.from_arrays([pa.array([row[f.name]], f.type) for f in PART], schema=PART)
+    row["docs"] = _squeezed(_row(row, DOCS))
+    return _row(row, PART)
 
 
 def parts(docs, a_file=None, b_file=None):
@@ -270,15 +292,10 @@ def parts(docs, a_file=None, b_file=None):
                     part, doc_ids, texts, size = part + 1, [], [], 0
         if texts:
             yield _part(aligner, part, doc_ids, texts)
+        give_back()
 
     given = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_bytes("text").alias("text"))
-    longs, ints = ("doc_ids", "n_a", "n_b", "n_groups", "pairs"), ("held_by", "n_distinct", "places", "times")
-    schema = ", ".join(
-        "part bigint" if f.name == "part"
-        else f"{f.name} array<{'bigint' if f.name in longs else 'int' if f.name in ints else 'string'}>"
-        for f in PART
-    )
-    return given.mapInArrow(scan, schema)
+    return given.mapInArrow(scan, "part bigint, pairs array<bigint>, held_by array<int>, docs binary")
 
 
 def pair_counts(packed):
@@ -291,34 +308,32 @@ def split_pair(pair="pair"):
     return F.shiftright(pair, SHIFT).alias("a"), F.col(pair).bitwiseAND((1 << SHIFT) - 1).alias("b")
 
 
-def _tell(batches):
-    """The documents of parts with their counts looked up."""
-    for batch in batches:
-        for k in range(len(batch)):
-            row = {name: batch.column(name)[k].values for name in batch.schema.names if name != "part"}
-            n, size = row["n_distinct"].to_numpy().astype(np.int64), len(row["pairs"])
-            count, best = np.zeros(size, np.int64), np.zeros(size, np.int64)
-            if row["looked_up"] is not None:
-                at = row["looked_up"].field("place").to_numpy()
-                count[at] = row["looked_up"].field("n_docs").to_numpy()
-                best[at] = row["looked_up"].field("best").to_numpy()
-            place, times = row["places"].to_numpy(), row["times"].to_numpy().astype(np.int64)
-            ends = np.cumsum(n)
-
-            def per_doc(values, ends=ends, n=n):
-                total = np.concatenate([[0], np.cumsum(values)])
-                return total[ends] - total[ends - n]
-
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *(row[name] for name in ("doc_ids", "n_a", "n_b", "n_groups")),
-                    pa.array(per_doc(times)),
-                    pa.array(per_doc(times * best[place])),
-                    pa.array(per_doc(times * count[place])),
-                    row["digests"],
-                ],
-                names=["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"],
-            )
+def _tell(packed, looked_up):
+    """The documents of a part with their counts looked up."""
+    row = pa.ipc.open_stream(packed.column("docs")[0].as_buffer()).read_next_batch()
+    row = {name: row.column(name)[0].values for name in row.schema.names}
+    at = looked_up.column("place").to_numpy()
+    count, best = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)  # each pair of a part has one row
+    count[at] = looked_up.column("n_docs").to_numpy()
+    best[at] = looked_up.column("best").to_numpy()
+    place, times = row["places"].to_numpy(), row["times"].to_numpy().astype(np.int64)
+    n = row["n_distinct"].to_numpy().astype(np.int64)
+    ends = np.cumsum(n)
+
+    def per_doc(values):
+        total = np.concatenate([[0], np.cumsum(values)])
+        return pa.array(total[ends] - total[ends - n])
+
+    return pa.table(
+        {
+            "doc_id": row["doc_ids"],
+            **{name: row[name] for name in ("n_a", "n_b", "n_groups")},
+            "n_links": per_doc(times),
+            "n_best": per_doc(times * best[place]),
+            "count_sum": per_doc(times * count[place]),
+            "groups_sha256": row["digests"],
+        }
+    )
 
 
 REPORT = (
@@ -337,7 +352,8 @@ def report(docs, a_file=None, b_file=None):
     have no tokens: zeros and an empty digest. Rows are documents of their own, also where ids are NULL or repeat. Other
     columns of `docs` are neither read nor returned. Very long texts are cut at spaces and make a part of their own.
     """
-    packed = stored(parts(docs, a_file, b_file), "aligned")
+    small_batches(docs.sparkSession)
+    packed = stored(parts(docs, a_file, b_file), "aligned", rows=FILE_PARTS)
     counts = pair_counts(packed)
     # As many rows at most as A has ids.
     top = counts.groupBy(split_pair()[0]).agg(F.max("n_docs").alias("most"))
@@ -346,13 +362,9 @@ def report(docs, a_file=None, b_file=None):
         .join(F.broadcast(top), "a")
         .select("pair", "n_docs", (F.col("n_docs") == F.col("most")).cast("int").alias("best"))
     )
-    asked = packed.select("part", F.posexplode("pairs").alias("place", "pair"))
-    looked_up = (
-        asked.join(judged, "pair")
-        .groupBy("part")
-        .agg(F.collect_list(F.struct("place", "n_docs", "best")).alias("looked_up"))
-    )
-    return packed.drop("held_by").join(looked_up, "part", "left").mapInArrow(_tell, REPORT)
+    asked = packed.select(F.col("part").alias("asked_by"), F.posexplode("pairs").alias("place", "pair"))
+    looked_up = asked.join(judged, "pair").select("asked_by", "place", "n_docs", "best").groupBy("asked_by")
+    return packed.select("part", "docs").groupBy("part").cogroup(looked_up).applyInArrow(_tell, REPORT)
 
 
 def groups(docs, a_file=None, b_file=None):

@@ -1,14 +1,16 @@
 """Quality, hard negatives and token alignment against brute-force versions, with awkward rows."""
 
 import hashlib
+import random
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from conftest import plan_of
 from pyspark.sql import functions as F
 
-from jobsieve.llm import hard_negatives, quality, queries, token_align
+from jobsieve.llm import common, hard_negatives, quality, queries, token_align
 
 DATA = "/root/testdata"
 GOOD = "The %s of a river and the hills, where %d people live. They work in the town."
@@ -244,6 +246,24 @@ def test_token_alignment_awkward_rows(spark):
     assert [tuple(r) for r in only_empty] == [(7, 0, 0, 0, 0, 0, 0, "")]
 
 
+def test_token_alignment_holds_few_parts_at_once(spark, monkeypatch):
+    """Wide rows, files of many of them and lists collected by part filled the executors."""
+    rng = random.Random(4)
+    words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(2, 12))) for _ in range(3000)]
+    texts = [" ".join(rng.choices(words, k=500)).encode() for _ in range(token_align.PART_BYTES // 3500)]
+    part = token_align._part(token_align.Aligner(), 0, list(range(len(texts))), texts)
+    assert len(part) == 1 and part.nbytes < 700_000
+
+    made = token_align.report(spark.createDataFrame([(1, "one two"), (2, None)], "doc_id bigint, text string"))
+    plan = plan_of(made)
+    assert "collect_list" not in plan and "FlatMapCoGroupsInArrow" in plan
+
+
+def test_stored_rows_can_be_dealt_to_small_files(spark):
+    held = common.stored(spark.range(10).coalesce(1), "few", rows=3)
+    assert sorted(r[1] for r in held.groupBy("_metadata.file_path").count().collect()) == [1, 3, 3, 3]
+
+
 def test_spans_that_do_not_hold_are_refined_by_bytes():
     def ends(lengths, spans):
         return token_align.byte_ends(np.array(lengths), *np.array(spans).T).tolist()
