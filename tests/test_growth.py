@@ -1,5 +1,6 @@
 """What a query costs must not grow with its keys, batches or passes beyond the input."""
 
+import gzip
 import os
 import re
 import tracemalloc
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from jobsieve.catalog import queries
 from jobsieve.operators import training
-from jobsieve.sources import sinks
+from jobsieve.sources import readers, sinks
 from jobsieve.streaming import arrivals, jobs
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -46,6 +47,49 @@ def test_files_of_one_key_are_numbered_and_repeated_tasks_replace_them(spark, tm
     assert {files["doc=1_0.txt"], files["doc=1_1.txt"]} == {"a", "é"} and files["doc=2_0.txt"] == "c"
 
 
+def test_files_of_tokens_take_less_disk_than_their_text_in_json(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(queries, "scratch_dir", lambda _, name: f"file://{tmp_path}/{name}")
+    text = " ".join(f"word{i % 50}" for i in range(1000))
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    rows = [(i, text, "en", "web", len(text)) for i in [2, 2, 3, 26, 50, 51]]
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/in/documents.parquet")
+    found = queries.s5_labelled_files(spark, f"{tmp_path}/in")
+    want = [(2, "good", 1000), (2, "good", 1000), (3, "no tokens", 0), (26, "invalid JSON", 0), (50, "good", 1000), (51, "invalid JSON", 0)]
+    assert sorted(map(tuple, found.collect())) == want
+    sizes = [f.stat().st_size for f in tmp_path.rglob("*.txt*") if "documents" not in str(f)]
+    assert len(sizes) == 6 and max(sizes) < 2 * len(text)  # 45 bytes of JSON for each word
+
+
+def test_small_labelled_files_share_tasks(spark, tmp_path):
+    for i in range(200):
+        (tmp_path / f"{i}.json").write_text('{"tokens": [{"position": 0, "text": "a", "label": "O"}]}' if i else "{")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8m")
+    try:
+        good, rejects = readers.read_labelled_tokens(spark, str(tmp_path))
+        assert good.rdd.getNumPartitions() <= 2 * spark.sparkContext.defaultParallelism
+        assert good.count() == 199 and rejects.count() == 1
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_files_of_keys_that_do_not_repeat_are_written_without_a_shuffle(spark, tmp_path, monkeypatch):
+    rows = [(1, "a"), (1, "b"), (2, "c"), (None, "d"), (None, "e"), (4, "f")]
+    every = spark.createDataFrame(rows, "doc bigint, value string")
+    alone = every.filter("doc > 1")
+    assert ["Exchange" in plan_of(x) for x in sinks._by_key(alone, "doc")] == [False]
+    once, again = sinks._by_key(every, "doc")
+    assert "hashpartitioning" not in plan_of(once) and sorted(r.value for r in once.collect()) == ["c", "f"]
+    assert sorted(r.value for r in again.collect()) == ["a", "b", "d", "e"]
+    names = ["doc=1_0.gz", "doc=1_1.gz", "doc=2_0.gz", "doc=4_0.gz", "doc=None_0.gz", "doc=None_1.gz"]
+    for k, bound in enumerate((100, 1)):
+        monkeypatch.setattr(sinks, "FEW_KEYS", bound)
+        sinks.write_files(every, f"{tmp_path}/{k}", "doc", "value", suffix=".gz")
+        files = sorted((tmp_path / str(k)).rglob("*.gz"), key=lambda f: f.name)
+        assert [f.name for f in files] == names
+        assert sorted(gzip.decompress(f.read_bytes()).decode() for f in files) == list("abcdef")
+
+
 def test_labeler_holds_few_texts_as_objects():
     texts = pa.array([" ".join(["word", "extraordinarily", "x" * 12] * 200), None, ""] * 1000)
     tracemalloc.start()
